@@ -11,6 +11,12 @@ from rivulet.plans.oracle import ORACLE
 
 QUERY_NAMES = [
     "w_tumbling_key", "w_tumbling", "w_sliding", "w_session", "w_processing_time", "w_chained",
+    "s_parquet_stream", "s_batch_scan", "s_json_stream", "s_envelope", "s_bronze_stream",
+    "s_csv_lines",
+    "p_stateless", "p_flatmap",
+    "a_sum_count", "a_filtered_group", "a_group_count", "a_min_max", "a_distinct",
+    "a_latest_per_key",
+    "d_dedup", "d_dedup_wm",
 ]
 
 

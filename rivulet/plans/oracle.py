@@ -65,3 +65,60 @@ d AS (SELECT hr * 3600 // 86400 * 86400 AS ws, max(c) AS max_inner_cnt, sum(c) A
 SELECT ws AS win_start, ws + 86400 AS win_end, max_inner_cnt, CAST(cnt AS BIGINT) AS cnt FROM d
 WHERE (ws + 86400) * 1000000 <= {_wm_us(DAY_US)}
 """
+
+_PROJECTION = """
+SELECT event_id, user_id, event_type, value, epoch_us(ts) AS ts_us FROM events
+"""
+for _k in ("s_parquet_stream", "s_batch_scan", "s_json_stream", "s_envelope", "d_dedup"):
+    ORACLE[_k] = _PROJECTION
+
+ORACLE["s_bronze_stream"] = """
+SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS avg_value,
+       count(*) AS cnt
+FROM events WHERE event_type = 'purchase' GROUP BY user_id
+"""
+ORACLE["a_filtered_group"] = ORACLE["s_bronze_stream"]
+
+ORACLE["s_csv_lines"] = f"""
+WITH b AS (SELECT epoch_us(ts) // {DAY_US} * 86400 AS ws, event_type FROM events)
+SELECT ws AS win_start, ws + 86400 AS win_end, event_type AS key, count(*) AS cnt
+FROM b GROUP BY ws, event_type
+HAVING (ws + 86400) * 1000000 <= {_wm_us(2 * DAY_US)}
+"""
+
+ORACLE["p_stateless"] = """
+SELECT event_id, user_id, event_type, CAST(round(value * 100) AS BIGINT) AS amount_cents,
+       CAST(json_extract(props, '$.k') AS INTEGER) AS k, epoch_us(ts) AS ts_us
+FROM events WHERE event_type <> 'error'
+"""
+
+ORACLE["p_flatmap"] = """
+WITH w AS (SELECT unnest(regexp_split_to_array(text, '[ \\t\\n\\r\\f]+')) AS word FROM documents)
+SELECT word, count(*) AS cnt FROM w WHERE word <> '' GROUP BY word
+"""
+
+ORACLE["a_sum_count"] = """
+SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value, count(*) AS cnt
+FROM events GROUP BY user_id
+"""
+
+ORACLE["a_group_count"] = """
+SELECT event_type, count(*) AS cnt FROM events GROUP BY event_type
+"""
+
+ORACLE["a_min_max"] = """
+SELECT min(event_id) AS min_event_id, max(event_id) AS max_event_id, count(*) AS cnt FROM events
+"""
+
+ORACLE["a_distinct"] = """
+SELECT count(DISTINCT user_id) AS n_distinct FROM events
+"""
+
+ORACLE["a_latest_per_key"] = """
+SELECT user_id, epoch_us(ts) AS ts_us, event_id, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+"""
+
+ORACLE["d_dedup_wm"] = """
+SELECT event_id, user_id, event_type, value FROM events
+"""

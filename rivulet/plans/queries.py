@@ -11,11 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivulet import schemas
+from rivulet.functions import parse
 from rivulet.functions.numeric import exact_sum
-from rivulet.operators import windows
+from rivulet.functions.time import millis_to_timestamp
+from rivulet.operators import aggregate, dedup, stateless, windows
 from rivulet.plans.materialize import append_to_parquet, through_batches
-from rivulet.sources import tables
-from rivulet.streaming.sinks import BatchPathSink
+from rivulet.session import run_dir
+from rivulet.sources import envelope, files, tables
+from rivulet.streaming import runtime
+from rivulet.streaming.sinks import BatchPathSink, UpsertTable
 
 
 def _cnt():
@@ -75,3 +80,180 @@ def w_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = tables.events(spark, sf_dir)
     agg = windows.chained_windows(ev, "ts", "1 hour", "1 day", delay="1 day")
     return append_to_parquet(agg, "w_chained")
+
+
+# ---------------------------------------------------------------- helpers
+
+EVENT_PAYLOAD = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def _events_as_files(spark: SparkSession, sf_dir: str, root: str, fmt: str,
+                     n: int = 1, options: dict | None = None) -> str:
+    """Rewrite `events` (event time as an instant) as ``n`` ordered slices of ``fmt``
+    files under ``root``; returns the glob a file stream should watch."""
+    ev = tables.events(spark, sf_dir, streaming=False)
+    files.write_slices(ev, root, n, "event_id", fmt=fmt, options=options)
+    return f"{root}/slice-*"
+
+
+def _upsert_through(agg: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """Stream an aggregate in ``update`` mode into a keyed upsert table; the table read
+    back is the full result (update rows replayed through an upsert = the result table)."""
+    sink = through_batches(agg, name, lambda root: UpsertTable(root, keys), output_mode="update")
+    return sink.read(agg.sparkSession, agg.schema)
+
+
+def _complete_through(agg: DataFrame, name: str) -> DataFrame:
+    """Stream an aggregate in ``complete`` mode; each batch overwrites its own batch
+    folder and the newest one is the result table."""
+    sink = through_batches(agg, name, BatchPathSink, output_mode="complete")
+    return sink.read_latest(agg.sparkSession, agg.schema)
+
+
+# ---------------------------------------------------------------- sources
+
+def s_parquet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parquet folder stream over the driver table (``pathGlobFilter`` picks the file)."""
+    return append_to_parquet(stateless.project_events(tables.events(spark, sf_dir)),
+                             "s_parquet_stream")
+
+
+def s_batch_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same projection on a bounded scan (batch = stream for stateless chains)."""
+    return stateless.project_events(tables.events(spark, sf_dir, streaming=False))
+
+
+def s_json_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON folder stream with an explicit schema (events rewritten as JSON files)."""
+    root = run_dir(spark, "s_json_stream_in")
+    glob = _events_as_files(spark, sf_dir, root, "json", n=2, options=parse.JSON_OPTIONS)
+    stream = files.json_stream(spark, glob, schemas.EVENTS_TS, max_files=1,
+                               options=parse.JSON_OPTIONS)
+    return append_to_parquet(stateless.project_events(stream), "s_json_stream")
+
+
+def _write_envelopes(spark: SparkSession, sf_dir: str, root: str, n: int = 2) -> str:
+    ev = files.with_slices(tables.events(spark, sf_dir, streaming=False), n, "event_id")
+    env = envelope.encode(ev, "user_id", EVENT_PAYLOAD, topic="events", offset_col="event_id",
+                          time_col="ts", passthrough=["slice"])
+    for i in range(n):
+        files.write_slice(env, root, i, cols=[f.name for f in schemas.ENVELOPE.fields])
+    return f"{root}/slice-*"
+
+
+def s_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Message envelopes (key/value bytes, topic, partition, offset, ...) parsed with
+    ``from_json`` and flattened with ``select("e.*")``."""
+    glob = _write_envelopes(spark, sf_dir, run_dir(spark, "s_envelope_in"))
+    stream = files.parquet_stream(spark, glob, schemas.ENVELOPE, max_files=1)
+    parsed = envelope.decode(stream, schemas.EVENTS_TS)
+    return append_to_parquet(stateless.project_events(parsed), "s_envelope")
+
+
+def s_bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two queries coupled only by a table: envelopes -> bronze (append, stamped with
+    ingestion time) and bronze as a stream -> complete-mode dashboard."""
+    glob = _write_envelopes(spark, sf_dir, run_dir(spark, "s_bronze_in"))
+    raw = files.parquet_stream(spark, glob, schemas.ENVELOPE, max_files=1)
+    bronze = windows.stamp_ingestion(envelope.decode(raw, schemas.EVENTS_TS), "ingestionTime")
+    bronze_dir = run_dir(spark, "s_bronze_table")
+    runtime.run_to_end(bronze, runtime.checkpoint_for(bronze_dir), sink=bronze_dir)
+    silver = files.parquet_stream(spark, bronze_dir, bronze.schema)
+    dash = aggregate.filtered_group(silver, F.col("event_type") == "purchase", ["user_id"], ["value"])
+    return _complete_through(dash, "s_bronze_dashboard")
+
+
+def s_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``key,epochMillis`` text lines: split, try_cast, null guard, millis -> timestamp,
+    then a watermarked 1-day count per key."""
+    root = run_dir(spark, "s_csv_lines_in")
+    ev = tables.events(spark, sf_dir, streaming=False)
+    lines = ev.select(F.concat_ws(",", "event_type", F.unix_millis("ts").cast("string")).alias("value"),
+                      "event_id")
+    sliced = files.with_slices(lines, 2, "event_id")
+    for i in range(2):
+        files.write_slice(sliced, root, i, fmt="text", cols=["value"])
+    text = files.text_stream(spark, f"{root}/slice-*", max_files=1)
+    key, ms = parse.parse_csv_line(F.col("value"), [("key", "string"), ("ms", "long")])
+    parsed = (text.select(key, ms).where(F.col("key").isNotNull() & F.col("ms").isNotNull())
+              .withColumn("eventTime", millis_to_timestamp("ms")))
+    agg = windows.windowed_agg(parsed, "eventTime", "1 day", [_cnt()], delay="2 days", keys=["key"])
+    return append_to_parquet(agg, "s_csv_lines")
+
+
+# ---------------------------------------------------------------- stateless
+
+def p_stateless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """select / withColumn / filter / flatten / drop on a stream, file sink."""
+    return append_to_parquet(stateless.enrich_events(tables.events(spark, sf_dir)), "p_stateless")
+
+
+def p_flatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """flatMap of document texts into words (``explode``), counted per word; the
+    count streams in update mode into a keyed upsert table."""
+    docs = tables.stream_table(spark, sf_dir, "documents", schemas.DOCUMENTS)
+    counts = aggregate.group_count(stateless.explode_words(docs), ["word"])
+    return _upsert_through(counts, "p_flatmap", ["word"])
+
+
+# ---------------------------------------------------------------- aggregation
+
+def a_sum_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-user sum and count, update mode -> upsert."""
+    agg = aggregate.sum_count(tables.events(spark, sf_dir), ["user_id"], "value")
+    return _upsert_through(agg, "a_sum_count", ["user_id"])
+
+
+def a_filtered_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filter then per-user mean and count (the dashboard), complete mode."""
+    dash = aggregate.filtered_group(tables.events(spark, sf_dir),
+                                    F.col("event_type") == "purchase", ["user_id"], ["value"])
+    return _complete_through(dash, "a_filtered_group")
+
+
+def a_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``groupBy(event_type).count()``, update mode -> upsert."""
+    agg = aggregate.group_count(tables.events(spark, sf_dir), ["event_type"])
+    return _upsert_through(agg, "a_group_count", ["event_type"])
+
+
+def a_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Global min / max / count of the event id, complete mode."""
+    agg = aggregate.min_max_count(tables.events(spark, sf_dir), "event_id")
+    return _complete_through(agg, "a_min_max")
+
+
+def a_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users: streaming dedup into a file sink, counted on read-back."""
+    users = aggregate.distinct_values(tables.events(spark, sf_dir), ["user_id"])
+    return append_to_parquet(users, "a_distinct").agg(F.count(F.lit(1)).alias("n_distinct"))
+
+
+def a_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest event per user (max by event time, then id), update mode -> upsert."""
+    ev = tables.events(spark, sf_dir)
+    latest = aggregate.latest_per_key(ev, ["user_id"], ["ts", "event_id"], ["event_type", "value"])
+    table = _upsert_through(latest, "a_latest_per_key", ["user_id"])
+    return table.select("user_id", F.unix_micros("ts").alias("ts_us"), "event_id",
+                        "event_type", "value")
+
+
+# ---------------------------------------------------------------- dedup
+
+def d_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Union of the stream and a full redelivery of it, deduplicated on event id
+    (unbounded state)."""
+    first = tables.events(spark, sf_dir)
+    again = tables.events(spark, sf_dir)
+    unique = dedup.dedup(first.unionByName(again), ["event_id"])
+    return append_to_parquet(stateless.project_events(unique), "d_dedup")
+
+
+def d_dedup_wm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Redeliveries that arrive up to an hour later (event time shifted), dropped with
+    bounded state: keys are forgotten once the 1-day watermark passes them."""
+    first = tables.events(spark, sf_dir)
+    late = tables.events(spark, sf_dir).withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 HOUR"))
+    unique = dedup.dedup_within_watermark(first.unionByName(late), "ts", "1 day", ["event_id"])
+    out = unique.select("event_id", "user_id", "event_type", "value")
+    return append_to_parquet(out, "d_dedup_wm")

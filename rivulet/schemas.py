@@ -81,3 +81,12 @@ BATCH_TRACE = T.StructType([
     T.StructField("numRowsRemoved", T.LongType()),
     T.StructField("numRowsDroppedByWatermark", T.LongType()),
 ])
+
+# The driver's `documents` table.
+DOCUMENTS = T.StructType([
+    T.StructField("doc_id", T.LongType()),
+    T.StructField("text", T.StringType()),
+    T.StructField("lang", T.StringType()),
+    T.StructField("source", T.StringType()),
+    T.StructField("n_chars", T.LongType()),
+])
