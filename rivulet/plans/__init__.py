@@ -17,6 +17,9 @@ QUERY_NAMES = [
     "a_sum_count", "a_filtered_group", "a_group_count", "a_min_max", "a_distinct",
     "a_latest_per_key",
     "d_dedup", "d_dedup_wm",
+    "j_stream_static", "j_stream_stream", "j_interval", "j_interval_left", "j_backfill",
+    "u_union",
+    "o_fold_upsert", "o_fold_asof", "o_fold_sum", "o_scan", "o_snapshot_diff", "o_update_replay",
 ]
 
 

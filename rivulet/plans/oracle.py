@@ -122,3 +122,106 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
 ORACLE["d_dedup_wm"] = """
 SELECT event_id, user_id, event_type, value FROM events
 """
+
+ORACLE["j_stream_static"] = """
+SELECT e.event_id, e.user_id, e.event_type, c.c_name, c.c_nationkey, c.c_mktsegment
+FROM events e JOIN customer c ON e.user_id = c.c_custkey
+"""
+
+ORACLE["j_stream_stream"] = """
+SELECT event_id, user_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
+"""
+
+_VIEWS_PURCHASES = """
+v AS (SELECT user_id, event_id AS view_id, ts AS view_ts FROM events WHERE event_type = 'view'),
+p AS (SELECT user_id, event_id AS purchase_id, ts AS purchase_ts FROM events WHERE event_type = 'purchase'),
+m AS (SELECT v.user_id, view_id, purchase_id, epoch_us(view_ts) AS view_ts_us,
+             epoch_us(purchase_ts) AS purchase_ts_us
+      FROM v JOIN p ON v.user_id = p.user_id
+       AND p.purchase_ts BETWEEN v.view_ts AND v.view_ts + INTERVAL 6 HOUR)
+"""
+
+ORACLE["j_interval"] = f"WITH {_VIEWS_PURCHASES} SELECT * FROM m"
+
+ORACLE["j_interval_left"] = f"""
+WITH {_VIEWS_PURCHASES},
+wm AS (SELECT least((SELECT (epoch_us(max(view_ts)) // 1000) * 1000 FROM v),
+                    (SELECT (epoch_us(max(purchase_ts)) // 1000) * 1000 FROM p)) - {DAY_US} AS wm)
+SELECT * FROM m
+UNION ALL
+SELECT v.user_id, v.view_id, CAST(NULL AS BIGINT) AS purchase_id, epoch_us(v.view_ts) AS view_ts_us,
+       CAST(NULL AS BIGINT) AS purchase_ts_us
+FROM v WHERE v.view_id NOT IN (SELECT view_id FROM m)
+  AND epoch_us(v.view_ts) + {6 * HOUR_US} < (SELECT wm FROM wm)
+"""
+
+ORACLE["j_backfill"] = """
+SELECT e.user_id, count(*) AS cnt, coalesce(n.n_name, 'unknown') AS country
+FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+GROUP BY e.user_id, coalesce(n.n_name, 'unknown')
+"""
+
+ORACLE["u_union"] = f"""
+WITH b AS (SELECT epoch_us(ts) // {DAY_US} * 86400 AS ws, event_type FROM events),
+wm AS (SELECT least(
+  (SELECT (epoch_us(max(ts)) // 1000) * 1000 FROM events WHERE event_type IN ('click', 'view')),
+  (SELECT (epoch_us(max(ts)) // 1000) * 1000 FROM events WHERE event_type NOT IN ('click', 'view'))
+  ) - {2 * DAY_US} AS wm)
+SELECT ws AS win_start, ws + 86400 AS win_end, event_type, count(*) AS cnt
+FROM b GROUP BY ws, event_type
+HAVING (ws + 86400) * 1000000 <= (SELECT wm FROM wm)
+"""
+
+_CHANGELOG = """
+cl AS (SELECT event_id AS seq, user_id AS key,
+              CASE WHEN event_type = 'error' THEN 'delete' ELSE 'set' END AS op,
+              CAST(round(value * 100) AS BIGINT) AS value FROM events)
+"""
+_AS_OF_SEQ = "(SELECT max(event_id) FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00')"
+
+ORACLE["o_fold_upsert"] = f"""
+WITH {_CHANGELOG}
+SELECT key, value, seq FROM cl
+QUALIFY row_number() OVER (PARTITION BY key ORDER BY seq DESC) = 1 AND op = 'set'
+"""
+
+ORACLE["o_fold_asof"] = f"""
+WITH {_CHANGELOG}
+SELECT key, value, seq FROM cl WHERE seq <= {_AS_OF_SEQ}
+QUALIFY row_number() OVER (PARTITION BY key ORDER BY seq DESC) = 1 AND op = 'set'
+"""
+
+ORACLE["o_fold_sum"] = f"""
+WITH {_CHANGELOG},
+d AS (SELECT key, max(seq) AS ds FROM cl WHERE op = 'delete' GROUP BY key)
+SELECT cl.key, CAST(sum(cl.value) AS BIGINT) AS total, count(*) AS n_sets
+FROM cl LEFT JOIN d ON cl.key = d.key
+WHERE cl.op = 'set' AND (d.ds IS NULL OR cl.seq > d.ds)
+GROUP BY cl.key
+"""
+
+ORACLE["o_scan"] = f"""
+WITH {_CHANGELOG},
+g AS (SELECT *, sum(CASE WHEN op = 'delete' THEN 1 ELSE 0 END)
+                OVER (PARTITION BY key ORDER BY seq ROWS UNBOUNDED PRECEDING) AS grp FROM cl)
+SELECT seq, key, op, value,
+       CAST(sum(CASE WHEN op = 'set' THEN value ELSE 0 END)
+            OVER (PARTITION BY key, grp ORDER BY seq ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running
+FROM g
+"""
+
+ORACLE["o_snapshot_diff"] = f"""
+WITH {_CHANGELOG},
+n AS (SELECT key, value FROM cl
+      QUALIFY row_number() OVER (PARTITION BY key ORDER BY seq DESC) = 1 AND op = 'set'),
+o AS (SELECT key, value FROM cl WHERE seq <= {_AS_OF_SEQ}
+      QUALIFY row_number() OVER (PARTITION BY key ORDER BY seq DESC) = 1 AND op = 'set')
+SELECT coalesce(o.key, n.key) AS key,
+       CASE WHEN o.key IS NULL THEN 'insert' WHEN n.key IS NULL THEN 'delete' ELSE 'update' END AS op,
+       o.value AS old_value, n.value AS new_value
+FROM o FULL OUTER JOIN n ON o.key = n.key
+WHERE o.key IS NULL OR n.key IS NULL OR o.value IS DISTINCT FROM n.value
+"""
+
+ORACLE["o_update_replay"] = ORACLE["a_sum_count"]

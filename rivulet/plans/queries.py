@@ -15,7 +15,7 @@ from rivulet import schemas
 from rivulet.functions import parse
 from rivulet.functions.numeric import exact_sum
 from rivulet.functions.time import millis_to_timestamp
-from rivulet.operators import aggregate, dedup, stateless, windows
+from rivulet.operators import aggregate, dedup, duality, joins, stateless, windows
 from rivulet.plans.materialize import append_to_parquet, through_batches
 from rivulet.session import run_dir
 from rivulet.sources import envelope, files, tables
@@ -257,3 +257,132 @@ def d_dedup_wm(spark: SparkSession, sf_dir: str) -> DataFrame:
     unique = dedup.dedup_within_watermark(first.unionByName(late), "ts", "1 day", ["event_id"])
     out = unique.select("event_id", "user_id", "event_type", "value")
     return append_to_parquet(out, "d_dedup_wm")
+
+
+# ---------------------------------------------------------------- joins (J1-J4), union
+
+def j_stream_static(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events stream joined to the customer table (broadcast only under a size check)."""
+    ev = tables.events(spark, sf_dir).select("event_id", "user_id", "event_type")
+    cust = tables.read_table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    out = joins.stream_static_join(ev, cust, F.col("user_id") == F.col("c_custkey"))
+    return append_to_parquet(out.drop("c_custkey"), "j_stream_static")
+
+
+def j_stream_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams joined on the event id (one partner each), watermarked on both sides
+    with a time bound so join state is released."""
+    a = tables.events(spark, sf_dir).select("event_id", "user_id", "event_type", "ts")
+    b = (tables.events(spark, sf_dir)
+         .select(F.col("event_id"), F.col("ts").alias("props_ts"),
+                 parse.parse_json(F.col("props"), schemas.PROPS)["k"].alias("k")))
+    out = joins.stream_stream_join(a, b, ["event_id"], "ts", "props_ts", delay="1 day",
+                                   within="1 hour")
+    return append_to_parquet(out.select(F.col("l.event_id").alias("event_id"), "user_id",
+                                        "event_type", "k"), "j_stream_stream")
+
+
+def _views_purchases(spark: SparkSession, sf_dir: str):
+    ev1 = tables.events(spark, sf_dir)
+    ev2 = tables.events(spark, sf_dir)
+    views = ev1.where(F.col("event_type") == "view").select(
+        "user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("view_ts"))
+    buys = ev2.where(F.col("event_type") == "purchase").select(
+        "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"))
+    return views, buys
+
+
+def _interval(spark: SparkSession, sf_dir: str, how: str, name: str) -> DataFrame:
+    views, buys = _views_purchases(spark, sf_dir)
+    j = joins.interval_join(views, buys, "user_id", "view_ts", "purchase_ts", 6 * 3600,
+                            how=how, delay="1 day")
+    out = j.select(F.col("l.user_id").alias("user_id"), "view_id", "purchase_id",
+                   F.unix_micros("view_ts").alias("view_ts_us"),
+                   F.unix_micros("purchase_ts").alias("purchase_ts_us"))
+    return append_to_parquet(out, name)
+
+
+def j_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views followed by a purchase of the same user within 6 hours (inner)."""
+    return _interval(spark, sf_dir, "inner", "j_interval")
+
+
+def j_interval_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same, left outer: a view without purchase is emitted (with nulls) once the
+    watermark shows no purchase can still arrive."""
+    return _interval(spark, sf_dir, "left_outer", "j_interval_left")
+
+
+def j_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Backfill a new `country` column onto per-user counts: dimension lookups with a
+    default for misses."""
+    counts = aggregate.group_count(tables.events(spark, sf_dir, streaming=False), ["user_id"])
+    cust = tables.read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = tables.read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    out = joins.lookup(counts, cust, "user_id", "c_custkey")
+    out = joins.lookup(out, nation, "c_nationkey", "n_nationkey")
+    return out.select("user_id", "cnt", F.coalesce(F.col("n_name"), F.lit("unknown")).alias("country"))
+
+
+def u_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams (interactions, everything else), each with its own watermark,
+    unioned into one windowed count; the query watermark is the minimum of the two."""
+    ev_a = tables.events(spark, sf_dir)
+    ev_b = tables.events(spark, sf_dir)
+    a = ev_a.where(F.col("event_type").isin("click", "view")).withWatermark("ts", "2 days")
+    b = ev_b.where(~F.col("event_type").isin("click", "view")).withWatermark("ts", "2 days")
+    agg = windows.windowed_agg(a.unionByName(b), "ts", "1 day", [_cnt()], keys=["event_type"])
+    return append_to_parquet(agg, "u_union")
+
+
+# ---------------------------------------------------------------- duality
+
+AS_OF = "2024-01-16 00:00:00"
+
+
+def _changelog(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    """`events` read as a changelog: key user, value in cents, errors delete the key."""
+    ev = tables.events(spark, sf_dir, streaming=streaming)
+    ev = ev.withColumn("cents", F.round(F.col("value") * 100).cast("long"))
+    return duality.as_changelog(ev, "user_id", "cents", "event_id",
+                                F.col("event_type") == F.lit("error"))
+
+
+def o_fold_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream -> table: the upsert/delete fold of the whole changelog."""
+    return duality.fold_upsert(_changelog(spark, sf_dir))
+
+
+def o_fold_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same fold at an earlier log position (last event before ``AS_OF``)."""
+    ev = tables.events(spark, sf_dir, streaming=False)
+    pos = ev.where(F.col("ts") < F.lit(AS_OF).cast("timestamp")).select(F.max("event_id")).scalar()
+    return duality.fold_upsert(_changelog(spark, sf_dir), upto_seq=pos)
+
+
+def o_fold_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum fold: per key, the sum of assignments after its last delete."""
+    return duality.fold_sum(_changelog(spark, sf_dir))
+
+
+def o_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table at every point: running sum-with-reset per key after each record."""
+    return duality.scan_sum(_changelog(spark, sf_dir))
+
+
+def o_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Table -> stream: net changes between the snapshot as of ``AS_OF`` and now."""
+    old = o_fold_asof(spark, sf_dir)
+    new = o_fold_upsert(spark, sf_dir)
+    return duality.snapshot_diff(old, new, "key", "value")
+
+
+def o_update_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Update-mode output over 4 arrivals replayed through a keyed upsert rebuilds the
+    result table (equal to the batch aggregate)."""
+    root = run_dir(spark, "o_update_replay_in")
+    glob = _events_as_files(spark, sf_dir, root, "parquet", n=4)
+    stream = files.parquet_stream(spark, glob, schemas.EVENTS_SLICED, max_files=1)
+    agg = aggregate.sum_count(stream, ["user_id"], "value")
+    return _upsert_through(agg, "o_update_replay", ["user_id"])

@@ -90,3 +90,12 @@ DOCUMENTS = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("n_chars", T.LongType()),
 ])
+
+
+def with_field(schema: T.StructType, name: str, dtype: T.DataType) -> T.StructType:
+    """A copy of ``schema`` plus one field (``StructType.add`` would mutate the original)."""
+    return T.StructType(list(schema.fields) + [T.StructField(name, dtype)])
+
+
+# `events` slices written by this package carry their slice number.
+EVENTS_SLICED = with_field(EVENTS_TS, "slice", T.IntegerType())
