@@ -20,6 +20,9 @@ QUERY_NAMES = [
     "j_stream_static", "j_stream_stream", "j_interval", "j_interval_left", "j_backfill",
     "u_union",
     "o_fold_upsert", "o_fold_asof", "o_fold_sum", "o_scan", "o_snapshot_diff", "o_update_replay",
+    "k_file_sink", "k_foreach_batch", "k_batch_path", "k_batch_marker", "k_txn_guard",
+    "k_accumulate", "k_upsert", "k_fanout", "k_dead_letter", "k_dedup_downstream",
+    "k_topk_all_time", "t_topk_batch",
 ]
 
 

@@ -225,3 +225,52 @@ WHERE o.key IS NULL OR n.key IS NULL OR o.value IS DISTINCT FROM n.value
 """
 
 ORACLE["o_update_replay"] = ORACLE["a_sum_count"]
+
+_SLICE4 = ("CAST(floor((event_id - (SELECT min(event_id) FROM events)) * {n} / "
+           "((SELECT max(event_id) - min(event_id) + 1 FROM events))) AS INTEGER)")
+
+for _k in ("k_file_sink", "k_batch_path", "k_batch_marker", "k_dedup_downstream"):
+    ORACLE[_k] = _PROJECTION
+
+ORACLE["k_foreach_batch"] = f"""
+SELECT {_SLICE4.format(n=4)} AS slice, count(*) AS cnt,
+       CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total_cents
+FROM events GROUP BY slice
+"""
+
+ORACLE["k_txn_guard"] = """
+SELECT CASE WHEN event_type = 'purchase' THEN 'a' ELSE 'b' END AS app_id, count(*) AS cnt,
+       CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total_cents
+FROM events GROUP BY app_id
+"""
+
+ORACLE["k_accumulate"] = """
+SELECT event_type, count(*) AS cnt, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total_cents
+FROM events GROUP BY event_type
+"""
+
+ORACLE["k_upsert"] = """
+SELECT user_id, event_id, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1
+"""
+
+ORACLE["k_fanout"] = """
+SELECT 'all' AS sink, count(*) AS cnt FROM events
+UNION ALL
+SELECT 'purchases' AS sink, count(*) AS cnt FROM events WHERE event_type = 'purchase'
+"""
+
+ORACLE["k_dead_letter"] = """
+SELECT CASE WHEN event_type = 'error' THEN 'dead_letter' ELSE 'main' END AS sink, count(*) AS cnt
+FROM events GROUP BY sink
+"""
+
+ORACLE["k_topk_all_time"] = """
+SELECT user_id, count(*) AS cnt FROM events GROUP BY user_id ORDER BY cnt DESC, user_id LIMIT 10
+"""
+
+ORACLE["t_topk_batch"] = f"""
+WITH c AS (SELECT {_SLICE4.format(n=2)} AS slice, user_id, count(*) AS cnt FROM events GROUP BY slice, user_id)
+SELECT slice, user_id, cnt, CAST(row_number() OVER (PARTITION BY slice ORDER BY cnt DESC, user_id) AS INTEGER) AS rank
+FROM c QUALIFY rank <= 3
+"""

@@ -8,7 +8,7 @@ instants as epoch microseconds, money-like sums as exact decimal sums.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rivulet import schemas
@@ -20,7 +20,9 @@ from rivulet.plans.materialize import append_to_parquet, through_batches
 from rivulet.session import run_dir
 from rivulet.sources import envelope, files, tables
 from rivulet.streaming import runtime
-from rivulet.streaming.sinks import BatchPathSink, UpsertTable
+from rivulet.streaming.sinks import (AccumulatingTable, BatchPathSink, TxnGuard, UpsertTable,
+                                     VersionedTable, accumulate_merge, append_writer, fan_out,
+                                     split_dead_letter, versioned_sink)
 
 
 def _cnt():
@@ -386,3 +388,208 @@ def o_update_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = files.parquet_stream(spark, glob, schemas.EVENTS_SLICED, max_files=1)
     agg = aggregate.sum_count(stream, ["user_id"], "value")
     return _upsert_through(agg, "o_update_replay", ["user_id"])
+
+
+# ---------------------------------------------------------------- sinks (K3-K19), top-k
+
+N_SLICES = 4
+
+
+def _sliced_stream(spark: SparkSession, sf_dir: str, name: str, n: int = N_SLICES) -> DataFrame:
+    """`events` arriving as ``n`` ordered files, one file per micro-batch."""
+    glob = _events_as_files(spark, sf_dir, run_dir(spark, f"{name}_in"), "parquet", n=n)
+    return files.parquet_stream(spark, glob, schemas.EVENTS_SLICED, max_files=1)
+
+
+def _feed(stream: DataFrame, name: str, fn, replay: bool = False, output_mode: str = "append") -> None:
+    """Run ``stream`` through ``foreachBatch(fn)``. With ``replay`` the same input is run a
+    second time on a fresh checkpoint: the same batch ids arrive again with the same
+    rows (what a lost checkpoint or a replayed batch produces), and the sink must
+    absorb them."""
+    d = run_dir(stream.sparkSession, name)
+    runtime.run_to_end(stream, f"{d}/_checkpoint/run0", foreach_batch=fn, output_mode=output_mode)
+    if replay:
+        runtime.run_to_end(stream, f"{d}/_checkpoint/run1", foreach_batch=fn,
+                           output_mode=output_mode)
+
+
+def _cents() -> "F.Column":
+    return F.round(F.col("value") * 100).cast("long")
+
+
+def _arrivals(spark: SparkSession, sf_dir: str, name: str, n: int, build, **start_kwargs):
+    """``n`` arrivals of `events` slices, each drained by one ``availableNow`` run on the
+    same checkpoint (restart between arrivals): batch ``i`` is exactly slice ``i``."""
+    root = run_dir(spark, f"{name}_in")
+    sliced = files.with_slices(tables.events(spark, sf_dir, streaming=False), n, "event_id")
+    ck = runtime.checkpoint_for(run_dir(spark, name))
+    runs = []
+    for i in range(n):
+        files.write_slice(sliced, root, i)
+        stream = files.parquet_stream(spark, f"{root}/slice-*", schemas.EVENTS_SLICED)
+        runs.append(runtime.run_to_end(build(stream), ck, **start_kwargs))
+    return ck, runs
+
+
+def k_file_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parquet file sink over 4 micro-batches (exactly-once via ``_spark_metadata``)."""
+    stream = _sliced_stream(spark, sf_dir, "k_file_sink")
+    return append_to_parquet(stateless.project_events(stream), "k_file_sink")
+
+
+def k_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``foreachBatch`` runs batch-only DataFrame code on each bounded micro-batch;
+    here per-slice partial counts written to the batch's own folder."""
+    sink = BatchPathSink(run_dir(spark, "k_foreach_batch_out"))
+
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        sink(df.groupBy("slice").agg(_cnt(), F.sum(_cents()).alias("total_cents")), batch_id)
+
+    _feed(_sliced_stream(spark, sf_dir, "k_foreach_batch"), "k_foreach_batch", per_batch)
+    parts = sink.read(spark)
+    return parts.groupBy("slice").agg(F.sum("cnt").alias("cnt"),
+                                      F.sum("total_cents").alias("total_cents"))
+
+
+def _raw_batches(spark: SparkSession, sf_dir: str, name: str, skip_committed: bool) -> DataFrame:
+    sink = BatchPathSink(run_dir(spark, f"{name}_out"), skip_committed=skip_committed)
+    stream = _sliced_stream(spark, sf_dir, name)
+    sink.schema = stream.schema
+    _feed(stream, name, sink, replay=True)
+    return stateless.project_events(sink.read(spark))
+
+
+def k_batch_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deterministic folder per batch id, overwritten when the batch is replayed."""
+    return _raw_batches(spark, sf_dir, "k_batch_path", skip_committed=False)
+
+
+def k_batch_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Processed-batch marker written with the data (the folder's ``_SUCCESS``):
+    replayed batches are skipped instead of rewritten."""
+    return _raw_batches(spark, sf_dir, "k_batch_marker", skip_committed=True)
+
+
+def k_txn_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writers append into one shared table; each batch is applied at most once
+    per ``(app_id, batch_id)`` even though the whole input is replayed."""
+    shared = run_dir(spark, "k_txn_guard_table")
+    stream = _sliced_stream(spark, sf_dir, "k_txn_guard")
+    rows = stream.select("event_id", "event_type", _cents().alias("cents"))
+    for app, cond in (("a", F.col("event_type") == "purchase"),
+                      ("b", F.col("event_type") != "purchase")):
+        guard = TxnGuard(f"{shared}/_txn", app, append_writer(f"{shared}/app_id={app}"))
+        _feed(rows.where(cond), f"k_txn_guard_{app}", guard, replay=True)
+    table = (spark.read.schema("event_id long, event_type string, cents long, app_id string")
+             .option("basePath", shared).parquet(f"{shared}/app_id=a", f"{shared}/app_id=b"))
+    return table.groupBy("app_id").agg(_cnt(), F.sum("cents").alias("total_cents"))
+
+
+def k_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accumulating merge (``t.cnt + s.cnt``) into a versioned table; the version of
+    batch N is its transaction marker, so a replay does not count twice."""
+    table = VersionedTable(run_dir(spark, "k_accumulate_table"))
+    stream = _sliced_stream(spark, sf_dir, "k_accumulate")
+    rows = stream.select("event_type", F.lit(1).cast("long").alias("cnt"), _cents().alias("total_cents"))
+    _feed(rows, "k_accumulate", versioned_sink(table, accumulate_merge(["event_type"], ["cnt", "total_cents"])),
+          replay=True)
+    return table.read(spark)
+
+
+def k_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed upsert per batch (newest event per user wins), replay-safe."""
+    table = UpsertTable(run_dir(spark, "k_upsert_table"), ["user_id"], order=["event_id"])
+    stream = _sliced_stream(spark, sf_dir, "k_upsert").select("user_id", "event_id", "event_type", "value")
+    table.schema = stream.schema
+    _feed(stream, "k_upsert", table, replay=True)
+    return table.read(spark)
+
+
+def k_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One persisted batch written to two sinks (all rows, purchases only)."""
+    all_rows = BatchPathSink(run_dir(spark, "k_fanout_all"))
+    buys = BatchPathSink(run_dir(spark, "k_fanout_purchases"))
+    stream = _sliced_stream(spark, sf_dir, "k_fanout").select("event_id", "user_id", "event_type")
+    all_rows.schema = buys.schema = stream.schema
+
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        fan_out(df, batch_id, [(lambda d: d, all_rows),
+                               (lambda d: d.where(F.col("event_type") == "purchase"), buys)])
+
+    _feed(stream, "k_fanout", per_batch)
+    a = all_rows.read(spark).groupBy().agg(_cnt()).withColumn("sink", F.lit("all"))
+    b = buys.read(spark).groupBy().agg(_cnt()).withColumn("sink", F.lit("purchases"))
+    return a.unionByName(b).select("sink", "cnt")
+
+
+def k_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes whose payload does not parse (error events arrive truncated) go to a
+    dead-letter sink with their raw bytes; the rest to the main sink."""
+    root = run_dir(spark, "k_dead_letter_in")
+    ev = files.with_slices(tables.events(spark, sf_dir, streaming=False), 2, "event_id")
+    js = parse.to_json_payload(EVENT_PAYLOAD)
+    payload = F.when(F.col("event_type") == "error", F.expr("substring({0}, 1, length({0}) - 5)".format(
+        "to_json(struct(event_id, ts, user_id, event_type, value, props), map('timestampFormat', "
+        "\"yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX\"))"))).otherwise(js)
+    env = envelope.encode(ev, "user_id", EVENT_PAYLOAD, topic="events", offset_col="event_id",
+                          time_col="ts", payload=payload, passthrough=["slice"])
+    for i in range(2):
+        files.write_slice(env, root, i, cols=[f.name for f in schemas.ENVELOPE.fields])
+    raw = files.parquet_stream(spark, f"{root}/slice-*", schemas.ENVELOPE, max_files=1)
+    payload_schema = schemas.with_field(schemas.EVENTS_TS, "_corrupt_record", schemas.T.StringType())
+    parsed = envelope.decode(raw, payload_schema, keep_envelope=True, corrupt_col="_corrupt_record")
+    good_sink = BatchPathSink(run_dir(spark, "k_dead_letter_good"))
+    bad_sink = BatchPathSink(run_dir(spark, "k_dead_letter_bad"))
+    ok = F.col("_corrupt_record").isNull() & F.col("event_id").isNotNull()
+    good_cols = ["event_id", "user_id", "event_type", "value"]
+    bad_cols = ["topic", "partition", "offset", "raw_value"]
+    good_sink.schema = parsed.select(*good_cols).schema
+    bad_sink.schema = parsed.select(*bad_cols).schema
+
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        df.persist()
+        try:
+            good, bad = split_dead_letter(df, ok)
+            good_sink(good.select(*good_cols), batch_id)
+            bad_sink(bad.select(*bad_cols), batch_id)
+        finally:
+            df.unpersist()
+
+    _feed(parsed, "k_dead_letter", per_batch)
+    g = good_sink.read(spark).groupBy().agg(_cnt()).withColumn("sink", F.lit("main"))
+    b = bad_sink.read(spark).groupBy().agg(_cnt()).withColumn("sink", F.lit("dead_letter"))
+    return g.unionByName(b).select("sink", "cnt")
+
+
+def k_dedup_downstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At-least-once delivery (a replay appends every batch again) made exact by a
+    dedup on the event id when reading."""
+    path = run_dir(spark, "k_dedup_downstream_table")
+    stream = _sliced_stream(spark, sf_dir, "k_dedup_downstream")
+    _feed(stream, "k_dedup_downstream", append_writer(path), replay=True)
+    delivered = spark.read.schema(stream.schema).parquet(path)
+    return stateless.project_events(dedup.dedup(delivered, ["event_id"]))
+
+
+def k_topk_all_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All-time top 10 users by events: per-batch counts merged into an external
+    running table, then ranked (ties broken by user id)."""
+    table = AccumulatingTable(run_dir(spark, "k_topk_all_time_table"), ["user_id"], ["cnt"])
+    stream = _sliced_stream(spark, sf_dir, "k_topk_all_time").select(
+        "user_id", F.lit(1).cast("long").alias("cnt"))
+    _feed(stream, "k_topk_all_time", table)
+    return table.read(spark).orderBy(F.desc("cnt"), F.asc("user_id")).limit(10)
+
+
+def t_topk_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 3 users of *each* micro-batch (sorting a stream is refused; sorting the
+    bounded batch inside ``foreachBatch`` is not). Batches are the arrivals."""
+    sink = BatchPathSink(run_dir(spark, "t_topk_batch_out"))
+
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        counts = df.groupBy("slice", "user_id").agg(_cnt())
+        w = Window.partitionBy("slice").orderBy(F.desc("cnt"), F.asc("user_id"))
+        sink(counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 3), batch_id)
+
+    _arrivals(spark, sf_dir, "t_topk_batch", 2, lambda s: s, foreach_batch=per_batch)
+    return sink.read(spark).select("slice", "user_id", "cnt", "rank")

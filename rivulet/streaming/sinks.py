@@ -270,6 +270,22 @@ class VersionedTable:
         out.write.mode("overwrite").parquet(f"{self.root}/v={batch_id}")
 
 
+def versioned_sink(table: VersionedTable,
+                   merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function applying ``merge`` to a ``VersionedTable``."""
+    def apply(df: DataFrame, batch_id: int) -> None:
+        table.apply(df, batch_id, merge)
+    return apply
+
+
+def append_writer(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+    """Plain append of every batch: *not* replay-safe on its own (a replayed batch is
+    written twice). Wrap it in ``TxnGuard`` or dedup downstream."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("append").format(fmt).save(path)
+    return write
+
+
 def accumulate_merge(key: Sequence[str], measures: Sequence[str]):
     """``t.m + s.m`` merge for ``VersionedTable.apply``: union and re-aggregate."""
     def merge(base: DataFrame | None, batch: DataFrame) -> DataFrame:
