@@ -23,6 +23,7 @@ QUERY_NAMES = [
     "k_file_sink", "k_foreach_batch", "k_batch_path", "k_batch_marker", "k_txn_guard",
     "k_accumulate", "k_upsert", "k_fanout", "k_dead_letter", "k_dedup_downstream",
     "k_topk_all_time", "t_topk_batch",
+    "s_rate_contiguity", "s_state_reader", "u_millis", "b_progress", "b_audit", "w_late_data",
 ]
 
 

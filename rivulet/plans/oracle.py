@@ -274,3 +274,49 @@ WITH c AS (SELECT {_SLICE4.format(n=2)} AS slice, user_id, count(*) AS cnt FROM
 SELECT slice, user_id, cnt, CAST(row_number() OVER (PARTITION BY slice ORDER BY cnt DESC, user_id) AS INTEGER) AS rank
 FROM c QUALIFY rank <= 3
 """
+
+ORACLE["s_rate_contiguity"] = """
+SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_distinct, min(event_id) AS min_value,
+       max(event_id) AS max_value,
+       CASE WHEN count(*) = 0 THEN 'EMPTY'
+            WHEN count(*) <> count(DISTINCT event_id) THEN 'DUPLICATES'
+            WHEN count(DISTINCT event_id) <> max(event_id) - min(event_id) + 1 THEN 'GAPS'
+            ELSE 'PASS' END AS verdict
+FROM events
+"""
+
+ORACLE["s_state_reader"] = ORACLE["a_group_count"]
+
+ORACLE["u_millis"] = """
+SELECT event_id, epoch_us(ts) // 1000 AS ms, epoch_us(ts) // 1000 * 1000 AS ts_ms_us FROM events
+"""
+
+ORACLE["b_progress"] = f"""
+SELECT CAST({_SLICE4.format(n=2)} AS BIGINT) AS arrival, count(*) AS numInputRows,
+       CAST(0 AS BIGINT) AS numRowsDroppedByWatermark
+FROM events GROUP BY arrival
+"""
+
+ORACLE["b_audit"] = f"""
+WITH s AS (SELECT DISTINCT CAST({_SLICE4.format(n=2)} AS BIGINT) AS batch_id FROM events)
+SELECT 'file_sink' AS query, batch_id, true AS has_offset, true AS has_commit, true AS has_sink,
+       true AS aligned FROM s
+UNION ALL
+SELECT 'foreach_batch' AS query, batch_id, true AS has_offset, true AS has_commit,
+       false AS has_sink, true AS aligned FROM s
+"""
+
+# Late data with a no-data batch after every arrival: a row of arrival N is dropped when
+# its window end is at or below the watermark left by arrivals 0..N-1.
+ORACLE["w_late_data"] = f"""
+WITH r AS (SELECT *, list_position([0, 2, 1, 3], {_SLICE4.format(n=4)}) - 1 AS arrival,
+                  epoch_us(ts) // {DAY_US} * 86400 AS ws FROM events),
+a AS (SELECT arrival, (epoch_us(max(ts)) // 1000) * 1000 AS mx FROM r GROUP BY arrival),
+wm AS (SELECT arrival, coalesce(max(mx) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING
+                                             AND 1 PRECEDING) - {2 * DAY_US}, 0) AS wm_before
+       FROM a),
+kept AS (SELECT r.* FROM r JOIN wm USING (arrival) WHERE (r.ws + 86400) * 1000000 > wm.wm_before)
+SELECT ws AS win_start, ws + 86400 AS win_end, event_type, count(*) AS cnt FROM kept
+GROUP BY ws, event_type
+HAVING (ws + 86400) * 1000000 <= (SELECT max(mx) FROM a) - {2 * DAY_US}
+"""

@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from rivulet import schemas
 from rivulet.functions import parse
 from rivulet.functions.numeric import exact_sum
-from rivulet.functions.time import millis_to_timestamp
+from rivulet.functions.time import millis_to_timestamp, millis_to_timestamp_udf
 from rivulet.operators import aggregate, dedup, duality, joins, stateless, windows
 from rivulet.plans.materialize import append_to_parquet, through_batches
 from rivulet.session import run_dir
-from rivulet.sources import envelope, files, tables
-from rivulet.streaming import runtime
+from rivulet.sources import envelope, files, state, tables
+from rivulet.streaming import observe, runtime
 from rivulet.streaming.sinks import (AccumulatingTable, BatchPathSink, TxnGuard, UpsertTable,
                                      VersionedTable, accumulate_merge, append_writer, fan_out,
                                      split_dead_letter, versioned_sink)
@@ -593,3 +593,84 @@ def t_topk_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     _arrivals(spark, sf_dir, "t_topk_batch", 2, lambda s: s, foreach_batch=per_batch)
     return sink.read(spark).select("slice", "user_id", "cnt", "rank")
+
+
+# ---------------------------------------------------------------- operations
+
+def s_rate_contiguity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Restart from a checkpoint resumes contiguously: two runs on one checkpoint (the
+    second after new data arrived) into one file sink; then rows = distinct =
+    max - min + 1 on the monotone id, else DUPLICATES or GAPS."""
+    sink = run_dir(spark, "s_rate_contiguity_table")
+    schema = stateless.project_events(
+        spark.createDataFrame([], schemas.EVENTS_SLICED)).schema
+    _arrivals(spark, sf_dir, "s_rate_contiguity", 2, stateless.project_events, sink=sink)
+    return aggregate.contiguity(spark.read.schema(schema).parquet(sink), "event_id")
+
+
+def s_state_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state store of a streaming count, read back as a table."""
+    d = run_dir(spark, "s_state_reader")
+    agg = aggregate.group_count(tables.events(spark, sf_dir), ["event_type"])
+    ck = runtime.checkpoint_for(f"{d}/table")
+    runtime.run_to_end(agg, ck, foreach_batch=UpsertTable(f"{d}/table", ["event_type"]),
+                       output_mode="update")
+    st = state.read_state(spark, ck)
+    return st.select(F.col("key.event_type").alias("event_type"), F.col("value.count").alias("cnt"))
+
+
+def u_millis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Epoch millis back to a timestamp with an Arrow-batched pandas UDF (the JVM
+    built-in ``timestamp_millis`` is the default; the UDF is for custom logic)."""
+    ev = tables.events(spark, sf_dir).select("event_id", F.unix_millis("ts").alias("ms"))
+    out = ev.select("event_id", "ms",
+                    F.unix_micros(millis_to_timestamp_udf(F.col("ms"))).alias("ts_ms_us"))
+    return append_to_parquet(out, "u_millis")
+
+
+def b_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-batch trace of a watermarked windowed count fed by two arrivals: the data
+    batches (no-data batches left out) with their input rows and late rows dropped."""
+    def build(stream: DataFrame) -> DataFrame:
+        return windows.windowed_agg(stream, "ts", "1 day", [_cnt()], delay="2 days")
+
+    _, runs = _arrivals(spark, sf_dir, "b_progress", 2, build, sink=run_dir(spark, "b_progress_out"))
+    data = [r for q in runs for r in observe.trace_rows(q) if r[1] > 0]
+    rows = [(i, r[1], r[6]) for i, r in enumerate(data)]
+    return spark.createDataFrame(
+        rows, "arrival long, numInputRows long, numRowsDroppedByWatermark long")
+
+
+def b_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checkpoint audit across two queries (a file sink and a foreachBatch sink): per
+    batch, offset planned / commit written / sink manifest written, and aligned."""
+    sink = run_dir(spark, "b_audit_file_sink")
+    ck_file, _ = _arrivals(spark, sf_dir, "b_audit_file", 2, stateless.project_events, sink=sink)
+    batches = BatchPathSink(run_dir(spark, "b_audit_batches"))
+    ck_fb, _ = _arrivals(spark, sf_dir, "b_audit_fb", 2, stateless.project_events,
+                         foreach_batch=batches)
+    return observe.audit_checkpoints(spark, {"file_sink": (ck_file, sink),
+                                             "foreach_batch": (ck_fb, None)})
+
+
+# ---------------------------------------------------------------- late data
+
+LATE_ORDER = [0, 2, 1, 3]
+
+
+def w_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Out-of-order arrivals: `events` in 4 time slices arriving as 0, 2, 1, 3, each
+    drained by its own ``availableNow`` run (so a no-data batch follows each data
+    batch). Rows whose 1-day window already ended below the watermark (max event time
+    seen so far minus 2 days) are dropped; windows are emitted once final."""
+    root = run_dir(spark, "w_late_data_in")
+    sliced = files.with_slices(tables.events(spark, sf_dir, streaming=False), len(LATE_ORDER), "event_id")
+    sink = run_dir(spark, "w_late_data_out")
+    ck = runtime.checkpoint_for(sink)
+    agg = None
+    for s in LATE_ORDER:
+        files.write_slice(sliced, root, s)
+        stream = files.parquet_stream(spark, f"{root}/slice-*", schemas.EVENTS_SLICED)
+        agg = windows.windowed_agg(stream, "ts", "1 day", [_cnt()], delay="2 days", keys=["event_type"])
+        runtime.run_to_end(agg, ck, sink=sink)
+    return spark.read.schema(agg.schema).parquet(sink)

@@ -5,23 +5,24 @@
 * ``ProgressCollector`` is a ``StreamingQueryListener`` keeping the same rows plus
   rates and event-time stats for live queries (listener events are asynchronous; assert
   on ``recentProgress`` in tests).
-* ``audit_checkpoints`` is a Spark job over many checkpoints at once: it reads the
-  offset log, commit log and file-sink manifest names and lines them up by batch id.
+* ``audit_checkpoints`` lines up, for many checkpoints at once, the offset log, the
+  commit log and the file-sink manifest by batch id (a full outer join in Spark).
 """
 
 from __future__ import annotations
 
+import re
 import threading
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from rivulet import schemas
 
 EPOCH_WATERMARK = "1970-01-01T00:00:00.000Z"
+_LOG_NAME = re.compile(r"^([0-9]+)(?:[.]compact)?$")
 
 
 def _trace_row(p: Mapping) -> tuple:
@@ -82,25 +83,20 @@ class ProgressCollector(StreamingQueryListener):
 
 
 def _log_batches(spark: SparkSession, folders: list[tuple[str, str]], kind: str) -> DataFrame:
-    """Batch ids present in log folders (``offsets``, ``commits``, ``_spark_metadata``),
-    read as a Spark job over file names only (the ``content`` column is never read)."""
+    """Batch ids present in log folders (``offsets``, ``commits``, ``_spark_metadata``).
+
+    Log file names are the batch ids (``N`` or ``N.compact``). They are listed with the
+    Hadoop FileSystem API: Spark's file readers skip ``_``-prefixed folders such as
+    ``_spark_metadata``, and the logs are metadata the driver already lists itself."""
     from rivulet.streaming import paths as fs
 
-    parts = []
+    rows = []
     for query, folder in folders:
-        if folder and fs.exists(spark, folder):
-            files = spark.read.format("binaryFile").load(folder).select("path")
-            name = F.element_at(F.split(F.col("path"), "/"), -1)
-            parts.append(files.select(
-                F.lit(query).alias("query"),
-                F.regexp_extract(name, r"^([0-9]+)([.]compact)?$", 1).alias("b")))
-    if not parts:
-        return spark.createDataFrame([], "query string, batch_id long").withColumn(kind, F.lit(True))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return (out.where(F.col("b") != "")
-            .select("query", F.col("b").cast("long").alias("batch_id")).distinct()
+        for name in fs.list_names(spark, folder):
+            m = _LOG_NAME.match(name)
+            if m:
+                rows.append((query, int(m.group(1))))
+    return (spark.createDataFrame(rows, "query string, batch_id long").distinct()
             .withColumn(kind, F.lit(True)))
 
 
