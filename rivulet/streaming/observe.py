@@ -37,12 +37,12 @@ def _trace_row(p: Mapping) -> tuple:
 def trace_rows(query: StreamingQuery) -> list[tuple]:
     """``batchId, numInputRows, watermark, numRowsTotal, numRowsUpdated,
     numRowsRemoved, numRowsDroppedByWatermark`` per batch, in batch order."""
-    rows = {}
+    rows: dict[int, tuple] = {}
     for p in query.recentProgress:
-        d = p.jsonValue if hasattr(p, "jsonValue") else p
-        d = d if isinstance(d, Mapping) else dict(d)
-        r = _trace_row(d)
-        rows[r[0]] = r
+        r = _trace_row(p if isinstance(p, Mapping) else dict(p))
+        # idle progress events repeat the last batch id with no input: keep the batch's own
+        if r[0] not in rows or r[1] > rows[r[0]][1]:
+            rows[r[0]] = r
     return [rows[k] for k in sorted(rows)]
 
 

@@ -39,6 +39,12 @@ def _batch_dirs(spark: SparkSession, root: str) -> list[int]:
     return sorted(out)
 
 
+def _consume(df: DataFrame) -> None:
+    """Execute a skipped batch without writing it: a stateful upstream operator must
+    still commit its state for this batch id (Spark fails the query otherwise)."""
+    df.write.format("noop").mode("overwrite").save()
+
+
 def _with_batch_col(schema: T.StructType) -> T.StructType:
     fields = [f for f in schema.fields if f.name != BATCH_COL]
     return T.StructType(fields + [T.StructField(BATCH_COL, T.LongType())])
@@ -67,6 +73,7 @@ class BatchPathSink:
         self.schema = df.schema
         if self.skip_committed and self.committed(df.sparkSession, batch_id):
             self.skipped.append(batch_id)
+            _consume(df)
             return
         w = df.write.mode("overwrite").format(self.fmt)
         if self.partition_by:
@@ -223,6 +230,7 @@ class TxnGuard:
         spark = df.sparkSession
         if paths.exists(spark, self.marker(batch_id)):
             self.skipped.append(batch_id)
+            _consume(df)
             return
         self.fn(df, batch_id)
         paths.write_text(spark, self.marker(batch_id), "")
@@ -263,6 +271,7 @@ class VersionedTable:
         spark = df.sparkSession
         if batch_id in self.versions(spark):
             self.skipped.append(batch_id)
+            _consume(df)
             return
         base = self.read(spark, below=batch_id, schema=None if self.schema is None else self.schema)
         out = merge(base, df)
