@@ -35,7 +35,8 @@ def parse_csv_line(value: Column, fields: Sequence[tuple[str, str]], sep: str =
     """``"a,b,..."`` -> typed columns. Bad numbers become null (``try_cast``) instead of
     failing the query under ANSI mode; callers filter nulls explicitly."""
     parts = F.split(value, sep)
-    return [(parts.getItem(i) if t == "string" else parts.getItem(i).try_cast(t)).alias(n)
+    # get() gives null for a missing field (getItem raises under ANSI mode)
+    return [(F.get(parts, i) if t == "string" else F.get(parts, i).try_cast(t)).alias(n)
             for i, (n, t) in enumerate(fields)]
 
 

@@ -22,7 +22,8 @@ DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 
 def estimated_bytes(df: DataFrame) -> int:
     """Optimizer size estimate of a (batch) plan, in bytes."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()))
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else str(size.toString()))
 
 
 def checked_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
