@@ -320,3 +320,8 @@ SELECT ws AS win_start, ws + 86400 AS win_end, event_type, count(*) AS cnt FROM
 GROUP BY ws, event_type
 HAVING (ws + 86400) * 1000000 <= (SELECT max(mx) FROM a) - {2 * DAY_US}
 """
+
+ORACLE["x_idle_users"] = f"""
+SELECT user_id, count(*) AS cnt, epoch_us(max(ts)) AS last_ts_us FROM events GROUP BY user_id
+HAVING (epoch_us(max(ts)) // 1000) * 1000 + {6 * HOUR_US} < {_wm_us(DAY_US)}
+"""

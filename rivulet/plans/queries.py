@@ -8,14 +8,14 @@ instants as epoch microseconds, money-like sums as exact decimal sums.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet import schemas
 from rivulet.functions import parse
 from rivulet.functions.numeric import exact_sum
 from rivulet.functions.time import millis_to_timestamp, millis_to_timestamp_udf
-from rivulet.operators import aggregate, dedup, duality, joins, stateless, windows
+from rivulet.operators import aggregate, dedup, duality, joins, stateful, stateless, topk, windows
 from rivulet.plans.materialize import append_to_parquet, through_batches
 from rivulet.session import run_dir
 from rivulet.sources import envelope, files, state, tables
@@ -588,8 +588,7 @@ def t_topk_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
         counts = df.groupBy("slice", "user_id").agg(_cnt())
-        w = Window.partitionBy("slice").orderBy(F.desc("cnt"), F.asc("user_id"))
-        sink(counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 3), batch_id)
+        sink(topk.top_k(counts, ["slice"], [F.desc("cnt"), F.asc("user_id")], 3, "user_id"), batch_id)
 
     _arrivals(spark, sf_dir, "t_topk_batch", 2, lambda s: s, foreach_batch=per_batch)
     return sink.read(spark).select("slice", "user_id", "cnt", "rank")
@@ -674,3 +673,21 @@ def w_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         agg = windows.windowed_agg(stream, "ts", "1 day", [_cnt()], delay="2 days", keys=["event_type"])
         runtime.run_to_end(agg, ck, sink=sink)
     return spark.read.schema(agg.schema).parquet(sink)
+
+
+# ---------------------------------------------------------------- arbitrary state
+
+def x_idle_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users idle for 6 hours of event time, found by a stateful processor with
+    event-time timers (count and last event time per user, state cleared on report)."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    saved = spark.conf.get(key, None)
+    spark.conf.set(key, stateful.ROCKSDB)  # transformWithState needs RocksDB
+    try:
+        out = stateful.idle_keys(tables.events(spark, sf_dir), "user_id", "ts", 6 * 3600 * 1000, "1 day")
+        return append_to_parquet(out, "x_idle_users")
+    finally:
+        if saved is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, saved)

@@ -83,3 +83,17 @@ def test_snapshot_diff_reports_net_change_only(spark):
     got = {(r.key, r.op, r.old_value, r.new_value)
            for r in duality.snapshot_diff(old, new, "key", "value").collect()}
     assert got == {("b", "update", 2, 5), ("c", "delete", 3, None), ("d", "insert", None, 4)}
+
+
+def test_two_level_top_k_equals_full_sort(spark):
+    from rivulet.operators.topk import top_k
+
+    ev = tables.events(spark, SF0001, streaming=False)
+    counts = ev.groupBy("event_type", "user_id").agg(F.count("*").alias("cnt"))
+    got = top_k(counts, ["event_type"], [F.desc("cnt"), F.asc("user_id")], 4, "user_id", spread=7)
+    rows = sorted((r.event_type, r.user_id, r.cnt) for r in counts.collect())
+    expect = set()
+    for et in {r[0] for r in rows}:
+        grp = sorted((r for r in rows if r[0] == et), key=lambda r: (-r[2], r[1]))[:4]
+        expect |= {(et, u, c, i + 1) for i, (_, u, c) in enumerate(grp)}
+    assert {(r.event_type, r.user_id, r.cnt, r.rank) for r in got.collect()} == expect
