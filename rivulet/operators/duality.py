@@ -76,7 +76,10 @@ def scan_sum(cl: DataFrame, chunk: int = 1 << 20) -> DataFrame:
              .withColumn("_base", F.last(F.when(F.col("r"), F.col("_prev_p")), True).over(prior))
              .select("key", "_chunk",
                      (F.col("_prev_p") - F.coalesce(F.col("_base"), F.lit(0))).alias("_carry")))
-    out = local.join(checked_broadcast(carry), ["key", "_chunk"], "left")
+    # null-safe keys: no inferred IsNotNull filter, so both branches share one shuffle
+    carry = checked_broadcast(carry.withColumnRenamed("key", "_ck").withColumnRenamed("_chunk", "_cc"))
+    out = local.join(carry, F.col("key").eqNullSafe(F.col("_ck")) & (F.col("_chunk") == F.col("_cc")),
+                     "left")
     running = F.when(F.col("_has_reset"), F.col("_since")).otherwise(
         F.coalesce(F.col("_carry"), F.lit(0)) + F.col("_since"))
     return out.select("seq", "key", "op", "value", running.alias("running"))

@@ -101,7 +101,8 @@ def _events_as_files(spark: SparkSession, sf_dir: str, root: str, fmt: str,
 def _upsert_through(agg: DataFrame, name: str, keys: list[str]) -> DataFrame:
     """Stream an aggregate in ``update`` mode into a keyed upsert table; the table read
     back is the full result (update rows replayed through an upsert = the result table)."""
-    sink = through_batches(agg, name, lambda root: UpsertTable(root, keys), output_mode="update")
+    sink = through_batches(agg, name, lambda root: UpsertTable(root, keys, unique_keys=True),
+                           output_mode="update")
     return sink.read(agg.sparkSession, agg.schema)
 
 

@@ -106,15 +106,19 @@ class UpsertTable:
 
     ``order`` names the columns that decide which row of a key is newest (compared as a
     struct, after ``batch_id``). ``op_col`` (optional) marks tombstones with ``'delete'``.
+    ``unique_keys`` declares that every batch already holds one row per key (the output
+    of an ``update``-mode aggregate), which skips the in-batch fold.
     """
 
     def __init__(self, root: str, key: Sequence[str], order: Sequence[str] = (),
-                 op_col: str | None = None, delete_value: str = "delete"):
+                 op_col: str | None = None, delete_value: str = "delete",
+                 unique_keys: bool = False):
         self.root = root.rstrip("/")
         self.key = list(key)
         self.order = list(order)
         self.op_col = op_col
         self.delete_value = delete_value
+        self.unique_keys = unique_keys
         self.schema: T.StructType | None = None
 
     @property
@@ -135,7 +139,7 @@ class UpsertTable:
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         self.schema = df.schema
-        latest = self._latest(df, self.order)
+        latest = df if self.unique_keys else self._latest(df, self.order)
         latest.write.mode("overwrite").parquet(f"{self.batches_root}/{BATCH_COL}={batch_id}")
 
     def _base(self, spark: SparkSession) -> tuple[int, str | None]:
@@ -144,7 +148,8 @@ class UpsertTable:
                       if paths.exists(spark, f"{self.base_root}/{n}/_SUCCESS"))
         return (done[-1], f"{self.base_root}/upto={done[-1]}") if done else (-1, None)
 
-    def _all_rows(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
+    def _all_rows(self, spark: SparkSession, schema: T.StructType) -> tuple[DataFrame, int]:
+        """Base snapshot plus newer batches, and how many folders they came from."""
         full = _with_batch_col(schema)
         upto, base = self._base(spark)
         newer = [b for b in _batch_dirs(spark, self.batches_root) if b > upto]
@@ -155,17 +160,18 @@ class UpsertTable:
             parts.append(spark.read.schema(full).option("basePath", self.batches_root)
                          .parquet(*[f"{self.batches_root}/{BATCH_COL}={b}" for b in newer]))
         if not parts:
-            return spark.createDataFrame([], full)
+            return spark.createDataFrame([], full), 0
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
-        return out
+        return out, (1 if base else 0) + len(newer)
 
     def read(self, spark: SparkSession, schema: T.StructType | None = None,
              keep_batch: bool = False) -> DataFrame:
         schema = schema or self.schema
-        rows = self._all_rows(spark, schema)
-        latest = self._latest(rows, [BATCH_COL, *self.order])
+        rows, n_parts = self._all_rows(spark, schema)
+        # a single folder is already one row per key (folded when written)
+        latest = rows if n_parts <= 1 else self._latest(rows, [BATCH_COL, *self.order])
         if self.op_col:
             latest = latest.where(F.col(self.op_col) != F.lit(self.delete_value))
         cols = [c for c in schema.fieldNames()] + ([BATCH_COL] if keep_batch else [])
@@ -179,7 +185,7 @@ class UpsertTable:
         if not done:
             return -1
         upto = done[-1]
-        rows = self._all_rows(spark, schema).where(F.col(BATCH_COL) <= upto)
+        rows = self._all_rows(spark, schema)[0].where(F.col(BATCH_COL) <= upto)
         latest = self._latest(rows, [BATCH_COL, *self.order])
         latest.write.mode("overwrite").parquet(f"{self.base_root}/upto={upto}")
         return upto
