@@ -66,3 +66,29 @@ def test_trigger_for_run_modes():
     assert runtime.trigger_for("steady", "5 seconds") == {"processingTime": "5 seconds"}
     with pytest.raises(ValueError):
         runtime.trigger_for("sometimes")
+
+
+def test_watermark_without_window_refused_in_append(spark):
+    ev = tables.events(spark, SF0001).withWatermark("ts", "1 day")
+    with pytest.raises(AnalysisException):
+        _start(ev.groupBy("event_type").count(), "append")
+
+
+def test_changing_the_grouping_key_on_a_checkpoint_fails(spark):
+    from rivulet import schemas
+    from rivulet.sources import files
+
+    root = run_dir(spark, "gate_key_in")
+    sliced = files.with_slices(tables.events(spark, SF0001, streaming=False), 2, "event_id")
+    d = run_dir(spark, "gate_key")
+
+    def stream():
+        return files.parquet_stream(spark, f"{root}/slice-*", schemas.EVENTS_SLICED)
+
+    files.write_slice(sliced, root, 0)
+    runtime.run_to_end(stream().groupBy("event_type").count(), f"{d}/ck", output_mode="update",
+                       foreach_batch=BatchPathSink(f"{d}/t"))
+    files.write_slice(sliced, root, 1)  # new data, so the restarted query reads its state
+    with pytest.raises(Exception, match="(?i)schema|state"):
+        runtime.run_to_end(stream().groupBy("user_id").count(), f"{d}/ck", output_mode="update",
+                           foreach_batch=BatchPathSink(f"{d}/t2"))
