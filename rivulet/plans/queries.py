@@ -341,7 +341,7 @@ def u_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- duality
 
-AS_OF = "2024-01-16 00:00:00"
+AS_OF = "2024-01-16T00:00:00Z"
 
 
 def _changelog(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:

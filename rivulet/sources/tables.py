@@ -34,8 +34,15 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, schema: T.StructTy
 
 def with_event_time(df: DataFrame, col: str = "ts") -> DataFrame:
     """Event time as an instant: ``withWatermark`` rejects ``timestamp_ntz``.
-    The cast reads the wall-clock value in the session zone (UTC here)."""
-    return df.withColumn(col, F.col(col).cast("timestamp"))
+
+    The stored wall-clock values are UTC. A plain cast reads them in the session zone,
+    so outside UTC the cast is shifted back (results never depend on the session zone).
+    """
+    tz = df.sparkSession.conf.get("spark.sql.session.timeZone", "UTC")
+    cast = F.col(col).cast("timestamp")
+    if tz.upper() in ("UTC", "Z", "ETC/UTC", "GMT", "+00:00"):
+        return df.withColumn(col, cast)
+    return df.withColumn(col, F.from_utc_timestamp(cast, tz))
 
 
 def events(spark: SparkSession, sf_dir: str, streaming: bool = True,

@@ -50,6 +50,16 @@ def _guard_mode(spark: SparkSession, checkpoint: str, output_mode: str) -> None:
         paths.write_text(spark, marker, json.dumps({"outputMode": output_mode}))
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """Shuffle (= state) partitions for a new stateful query. The checkpoint pins this
+    number for the life of the query, so it is chosen once: the session's setting when
+    it was set on purpose, else the cluster's parallelism instead of the default 200."""
+    configured = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    if configured != "200":
+        return int(configured)
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
 def start(df: DataFrame, checkpoint: str, *, output_mode: str = "append",
           sink: str | None = None, fmt: str = "parquet",
           foreach_batch: Callable[[DataFrame, int], None] | None = None,
@@ -65,10 +75,21 @@ def start(df: DataFrame, checkpoint: str, *, output_mode: str = "append",
         w = w.option(k, v)
     w = w.trigger(**(trigger or {"availableNow": True}))
     if foreach_batch is not None:
-        return w.foreachBatch(foreach_batch).start()
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    return w.format(fmt).start(sink)
+        w = w.foreachBatch(foreach_batch)
+    else:
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w = w.format(fmt)
+    # the query copies the session conf at start: set the state partitions just for it
+    saved = spark.conf.get("spark.sql.shuffle.partitions", None)
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions(spark)))
+    try:
+        return w.start() if foreach_batch is not None else w.start(sink)
+    finally:
+        if saved is None:
+            spark.conf.unset("spark.sql.shuffle.partitions")
+        else:
+            spark.conf.set("spark.sql.shuffle.partitions", saved)
 
 
 def drain(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
