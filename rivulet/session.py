@@ -31,6 +31,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int | None = Non
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        # merge session windows inside each partition before the shuffle (hot users)
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

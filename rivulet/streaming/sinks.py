@@ -192,7 +192,10 @@ class UpsertTable:
 
 
 class AccumulatingTable:
-    """Running totals per key, stored as per-batch partial sums (merge-on-read)."""
+    """Running totals per key, stored as per-batch partial sums (merge-on-read).
+
+    ``compact`` folds the committed partials into one base of totals so the number of
+    folders a reader scans stays bounded; later batches keep landing next to it."""
 
     def __init__(self, root: str, key: Sequence[str], measures: Sequence[str]):
         self.root = root.rstrip("/")
@@ -200,19 +203,61 @@ class AccumulatingTable:
         self.measures = list(measures)
         self.schema: T.StructType | None = None
 
+    @property
+    def batches_root(self) -> str:
+        return f"{self.root}/batches"
+
+    @property
+    def base_root(self) -> str:
+        return f"{self.root}/base"
+
+    def _sum(self, df: DataFrame) -> DataFrame:
+        return df.groupBy(*self.key).agg(*[F.sum(m).alias(m) for m in self.measures])
+
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        partial = df.groupBy(*self.key).agg(*[F.sum(m).alias(m) for m in self.measures])
+        partial = self._sum(df)
         self.schema = partial.schema
-        partial.write.mode("overwrite").parquet(f"{self.root}/{BATCH_COL}={batch_id}")
+        partial.write.mode("overwrite").parquet(f"{self.batches_root}/{BATCH_COL}={batch_id}")
+
+    def _base(self, spark: SparkSession) -> int:
+        done = [int(n.split("=", 1)[1]) for n in paths.list_names(spark, self.base_root)
+                if n.startswith("upto=") and paths.exists(spark, f"{self.base_root}/{n}/_SUCCESS")]
+        return max(done) if done else -1
+
+    def _parts(self, spark: SparkSession, schema: T.StructType, upto_batch: int | None = None):
+        upto = self._base(spark)
+        newer = [b for b in _batch_dirs(spark, self.batches_root)
+                 if b > upto and (upto_batch is None or b <= upto_batch)]
+        parts = []
+        if upto >= 0:
+            parts.append(spark.read.schema(schema).parquet(f"{self.base_root}/upto={upto}"))
+        if newer:
+            parts.append(spark.read.schema(_with_batch_col(schema)).option("basePath", self.batches_root)
+                         .parquet(*[f"{self.batches_root}/{BATCH_COL}={b}" for b in newer])
+                         .drop(BATCH_COL))
+        return parts, newer
 
     def read(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
         schema = schema or self.schema
-        done = _batch_dirs(spark, self.root)
-        if not done:
+        parts, _ = self._parts(spark, schema)
+        if not parts:
             return spark.createDataFrame([], schema)
-        parts = (spark.read.schema(_with_batch_col(schema)).option("basePath", self.root)
-                 .parquet(*[f"{self.root}/{BATCH_COL}={b}" for b in done]))
-        return parts.groupBy(*self.key).agg(*[F.sum(m).alias(m) for m in self.measures])
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return self._sum(out)
+
+    def compact(self, spark: SparkSession, schema: T.StructType | None = None) -> int:
+        """Fold base + committed partials into a new base; returns the last batch folded."""
+        schema = schema or self.schema
+        parts, newer = self._parts(spark, schema)
+        if not newer:
+            return self._base(spark)
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        self._sum(out).write.mode("overwrite").parquet(f"{self.base_root}/upto={newer[-1]}")
+        return newer[-1]
 
 
 class TxnGuard:

@@ -66,6 +66,9 @@ def test_accumulating_table_replay_does_not_double_count(spark):
     t(_kv(spark, [("a", 1), ("a", 2)]), 0)
     t(_kv(spark, [("a", 10)]), 1)
     assert [(r.k, r.v) for r in t.read(spark).collect()] == [("a", 13)]
+    assert t.compact(spark) == 1
+    t(_kv(spark, [("a", 100), ("b", 1)]), 2)
+    assert sorted((r.k, r.v) for r in t.read(spark).collect()) == [("a", 113), ("b", 1)]
 
 
 def test_versioned_accumulate_skips_replayed_version(spark):
