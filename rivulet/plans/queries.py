@@ -8,7 +8,7 @@ instants as epoch microseconds, money-like sums as exact decimal sums.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet import schemas
@@ -414,7 +414,7 @@ def _feed(stream: DataFrame, name: str, fn, replay: bool = False, output_mode: s
                            output_mode=output_mode)
 
 
-def _cents() -> "F.Column":
+def _cents() -> Column:
     return F.round(F.col("value") * 100).cast("long")
 
 
@@ -529,9 +529,8 @@ def k_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(spark, "k_dead_letter_in")
     ev = files.with_slices(tables.events(spark, sf_dir, streaming=False), 2, "event_id")
     js = parse.to_json_payload(EVENT_PAYLOAD)
-    payload = F.when(F.col("event_type") == "error", F.expr("substring({0}, 1, length({0}) - 5)".format(
-        "to_json(struct(event_id, ts, user_id, event_type, value, props), map('timestampFormat', "
-        "\"yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX\"))"))).otherwise(js)
+    payload = F.when(F.col("event_type") == "error",
+                     js.substr(F.lit(1), F.length(js) - F.lit(5))).otherwise(js)
     env = envelope.encode(ev, "user_id", EVENT_PAYLOAD, topic="events", offset_col="event_id",
                           time_col="ts", payload=payload, passthrough=["slice"])
     for i in range(2):
@@ -548,13 +547,8 @@ def k_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad_sink.schema = parsed.select(*bad_cols).schema
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
-        df.persist()
-        try:
-            good, bad = split_dead_letter(df, ok)
-            good_sink(good.select(*good_cols), batch_id)
-            bad_sink(bad.select(*bad_cols), batch_id)
-        finally:
-            df.unpersist()
+        fan_out(df, batch_id, [(lambda d: split_dead_letter(d, ok)[0].select(*good_cols), good_sink),
+                               (lambda d: split_dead_letter(d, ok)[1].select(*bad_cols), bad_sink)])
 
     _feed(parsed, "k_dead_letter", per_batch)
     g = good_sink.read(spark).groupBy().agg(_cnt()).withColumn("sink", F.lit("main"))
