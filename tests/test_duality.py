@@ -90,10 +90,18 @@ def test_two_level_top_k_equals_full_sort(spark):
 
     ev = tables.events(spark, SF0001, streaming=False)
     counts = ev.groupBy("event_type", "user_id").agg(F.count("*").alias("cnt"))
-    got = top_k(counts, ["event_type"], [F.desc("cnt"), F.asc("user_id")], 4, "user_id", spread=7)
     rows = sorted((r.event_type, r.user_id, r.cnt) for r in counts.collect())
     expect = set()
     for et in {r[0] for r in rows}:
         grp = sorted((r for r in rows if r[0] == et), key=lambda r: (-r[2], r[1]))[:4]
         expect |= {(et, u, c, i + 1) for i, (_, u, c) in enumerate(grp)}
-    assert {(r.event_type, r.user_id, r.cnt, r.rank) for r in got.collect()} == expect
+    order = [F.desc("cnt"), F.asc("user_id")]
+    plain = top_k(counts, ["event_type"], order, 4, "user_id")
+    assert {(r.event_type, r.user_id, r.cnt, r.rank) for r in plain.collect()} == expect
+    assert "WindowGroupLimit" in plain._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")  # force sub-groups
+    try:
+        spread = top_k(counts, ["event_type"], order, 4, "user_id", spread=7)
+        assert {(r.event_type, r.user_id, r.cnt, r.rank) for r in spread.collect()} == expect
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
