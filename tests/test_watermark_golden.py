@@ -115,3 +115,48 @@ def test_late_filter_lags_one_batch_without_no_data_batches(spark, conf):
 def test_late_filter_without_lag_when_no_data_batches_run(spark, conf):
     emitted = _run_available_now(spark, conf, [[100], [80], [81], [101]])
     assert emitted == []
+
+
+# Keyed text lines "key,epochMillis" (5 s windows per key, 10 s watermark, append).
+LINES = T.StructType([T.StructField("value", T.StringType())])
+
+
+def _keyed(df):
+    from rivulet.functions.parse import parse_csv_line
+    from rivulet.functions.time import millis_to_timestamp
+
+    key, ms = parse_csv_line(F.col("value"), [("key", "string"), ("ms", "long")])
+    parsed = (df.select(key, ms).where(F.col("key").isNotNull() & F.col("ms").isNotNull())
+              .withColumn("eventTime", millis_to_timestamp("ms")))
+    return windowed_agg(parsed, "eventTime", "5 seconds", [F.count("*").alias("cnt")],
+                        delay="10 seconds", keys=["key"])
+
+
+def _run_lines(spark, conf, batches):
+    conf("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "1")
+    emitted = []
+    h = FileDropStream(spark, LINES, "lines")
+    h.start(_keyed, "append",
+            lambda df, b: emitted.extend((r.win_start, r.win_end, r.key, r.cnt) for r in df.collect()))
+    try:
+        for b in batches:
+            h.add([(f"{k},{ms}",) for k, ms in b])
+            h.process()
+        return sorted(emitted)
+    finally:
+        h.stop()
+
+
+def test_keyed_lines_in_order_simulation(spark, conf):
+    sim1 = [[("P", 602000), ("Q", 604000)], [("R", 607000), ("S", 609000)],
+            [("T", 616000)], [("U", 617000)]]
+    assert _run_lines(spark, conf, sim1) == [(600, 605, "P", 1), (600, 605, "Q", 1)]
+
+
+def test_keyed_lines_out_of_order_simulation(spark, conf):
+    sim2 = [[("A", 543000), ("B", 547000)], [("C", 554000), ("D", 542000)],
+            [("E", 561000), ("F", 543000), ("G", 530000)], [("H", 562000)]]
+    # G (530) is below the watermark and dropped; D and F still land in the open window
+    assert _run_lines(spark, conf, sim2) == [
+        (540, 545, "A", 1), (540, 545, "D", 1), (540, 545, "F", 1), (545, 550, "B", 1)]
