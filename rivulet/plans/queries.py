@@ -135,12 +135,14 @@ def s_json_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return append_to_parquet(stateless.project_events(stream), "s_json_stream")
 
 
-def _write_envelopes(spark: SparkSession, sf_dir: str, root: str, n: int = 2) -> str:
-    ev = files.with_slices(tables.events(spark, sf_dir, streaming=False), n, "event_id")
-    env = envelope.encode(ev, "user_id", EVENT_PAYLOAD, topic="events", offset_col="event_id",
-                          time_col="ts", passthrough=["slice"])
+def _write_envelopes(spark: SparkSession, sf_dir: str, root: str, n: int = 2,
+                     payload: Column | None = None) -> str:
+    """`events` as message envelopes in ``n`` ordered slices of files."""
+    sl = files.Slices(tables.events(spark, sf_dir, streaming=False), n, "event_id")
     for i in range(n):
-        files.write_slice(env, root, i, cols=[f.name for f in schemas.ENVELOPE.fields])
+        env = envelope.encode(sl.part(i), "user_id", EVENT_PAYLOAD, topic="events",
+                              offset_col="event_id", time_col="ts", payload=payload)
+        env.write.mode("overwrite").parquet(f"{root}/slice-{i:04d}")
     return f"{root}/slice-*"
 
 
@@ -173,7 +175,7 @@ def s_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = tables.events(spark, sf_dir, streaming=False)
     lines = ev.select(F.concat_ws(",", "event_type", F.unix_millis("ts").cast("string")).alias("value"),
                       "event_id")
-    sliced = files.with_slices(lines, 2, "event_id")
+    sliced = files.Slices(lines, 2, "event_id")
     for i in range(2):
         files.write_slice(sliced, root, i, fmt="text", cols=["value"])
     text = files.text_stream(spark, f"{root}/slice-*", max_files=1)
@@ -422,7 +424,7 @@ def _arrivals(spark: SparkSession, sf_dir: str, name: str, n: int, build, **star
     """``n`` arrivals of `events` slices, each drained by one ``availableNow`` run on the
     same checkpoint (restart between arrivals): batch ``i`` is exactly slice ``i``."""
     root = run_dir(spark, f"{name}_in")
-    sliced = files.with_slices(tables.events(spark, sf_dir, streaming=False), n, "event_id")
+    sliced = files.Slices(tables.events(spark, sf_dir, streaming=False), n, "event_id")
     ck = runtime.checkpoint_for(run_dir(spark, name))
     runs = []
     for i in range(n):
@@ -526,16 +528,11 @@ def k_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def k_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelopes whose payload does not parse (error events arrive truncated) go to a
     dead-letter sink with their raw bytes; the rest to the main sink."""
-    root = run_dir(spark, "k_dead_letter_in")
-    ev = files.with_slices(tables.events(spark, sf_dir, streaming=False), 2, "event_id")
     js = parse.to_json_payload(EVENT_PAYLOAD)
     payload = F.when(F.col("event_type") == "error",
                      js.substr(F.lit(1), F.length(js) - F.lit(5))).otherwise(js)
-    env = envelope.encode(ev, "user_id", EVENT_PAYLOAD, topic="events", offset_col="event_id",
-                          time_col="ts", payload=payload, passthrough=["slice"])
-    for i in range(2):
-        files.write_slice(env, root, i, cols=[f.name for f in schemas.ENVELOPE.fields])
-    raw = files.parquet_stream(spark, f"{root}/slice-*", schemas.ENVELOPE, max_files=1)
+    glob = _write_envelopes(spark, sf_dir, run_dir(spark, "k_dead_letter_in"), payload=payload)
+    raw = files.parquet_stream(spark, glob, schemas.ENVELOPE, max_files=1)
     payload_schema = schemas.with_field(schemas.EVENTS_TS, "_corrupt_record", schemas.T.StringType())
     parsed = envelope.decode(raw, payload_schema, keep_envelope=True, corrupt_col="_corrupt_record")
     good_sink = BatchPathSink(run_dir(spark, "k_dead_letter_good"))
@@ -658,7 +655,7 @@ def w_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch). Rows whose 1-day window already ended below the watermark (max event time
     seen so far minus 2 days) are dropped; windows are emitted once final."""
     root = run_dir(spark, "w_late_data_in")
-    sliced = files.with_slices(tables.events(spark, sf_dir, streaming=False), len(LATE_ORDER), "event_id")
+    sliced = files.Slices(tables.events(spark, sf_dir, streaming=False), len(LATE_ORDER), "event_id")
     sink = run_dir(spark, "w_late_data_out")
     ck = runtime.checkpoint_for(sink)
     agg = None

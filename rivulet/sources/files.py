@@ -40,23 +40,45 @@ def text_stream(spark: SparkSession, path: str, max_files: int | None = None,
     return _reader(spark, None, max_files, options).text(path)
 
 
+class Slices:
+    """``df`` cut into ``n`` consecutive ranges of an integer ``order_col``.
+
+    ``df`` carries the ``slice`` number; ``part(i)`` selects slice ``i`` with a range
+    predicate on ``order_col`` (pushed into the Parquet scan, so writing all slices
+    reads each row group about once instead of scanning the table ``n`` times)."""
+
+    def __init__(self, df: DataFrame, n: int, order_col: str):
+        bounds = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
+        self.n, self.order_col = n, order_col
+        self.lo = bounds["lo"]
+        self.span = (bounds["hi"] - self.lo + 1) if self.lo is not None else 1
+        if self.lo is None:
+            self.df = df.withColumn("slice", F.lit(0))
+        else:
+            self.df = df.withColumn("slice", F.floor(
+                (F.col(order_col) - F.lit(self.lo)) * F.lit(n) / F.lit(self.span)).cast("int"))
+
+    def start(self, i: int) -> int:
+        """First ``order_col`` value of slice ``i`` (slice(x) = floor((x-lo)*n/span))."""
+        return self.lo + -(-i * self.span // self.n)
+
+    def part(self, i: int) -> DataFrame:
+        if self.lo is None:
+            return self.df
+        c = F.col(self.order_col)
+        return self.df.where((c >= F.lit(self.start(i))) & (c < F.lit(self.start(i + 1))))
+
+
 def with_slices(df: DataFrame, n: int, order_col: str) -> DataFrame:
-    """Number ``n`` consecutive ranges of ``order_col`` as ``slice`` 0..n-1 (one tiny
-    min/max aggregate; no sort, no single-partition window)."""
-    bounds = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
-    if lo is None:
-        return df.withColumn("slice", F.lit(0))
-    span = hi - lo + 1
-    return df.withColumn(
-        "slice", F.floor((F.col(order_col) - F.lit(lo)) * F.lit(n) / F.lit(span)).cast("int"))
-
-
-def write_slice(sliced: DataFrame, root: str, i: int, fmt: str = "parquet",
+    """``df`` with its ``slice`` number 0..n-1 by consecutive ranges of ``order_col``."""
+    return Slices(df, n, order_col).df
+
+
+def write_slice(sliced: DataFrame | Slices, root: str, i: int, fmt: str = "parquet",
                 options: dict | None = None, cols: list[str] | None = None) -> str:
     """Write slice ``i`` (optionally only ``cols``, e.g. the one column of a text file)."""
     path = f"{root.rstrip('/')}/slice-{i:04d}"
-    part = sliced.where(F.col("slice") == i)
+    part = sliced.part(i) if isinstance(sliced, Slices) else sliced.where(F.col("slice") == i)
     if cols:
         part = part.select(*cols)
     w = part.write.mode("overwrite").format(fmt)
@@ -71,8 +93,8 @@ def write_slices(df: DataFrame, root: str, n: int, order_col: str, fmt: str = "p
     """Write ``df`` as ``n`` consecutive slices of ``order_col`` into one folder, one
     write per slice in order, so a file stream sees them oldest-first as ``n`` arrivals.
     Each slice row carries its ``slice`` number. Returns the slice folders."""
-    sliced = with_slices(df, n, order_col)
-    return [write_slice(sliced, root, i, fmt, options) for i in range(n)]
+    sl = Slices(df, n, order_col)
+    return [write_slice(sl, root, i, fmt, options) for i in range(n)]
 
 
 def slice_expr(order_col: str, n: int, table: str) -> str:

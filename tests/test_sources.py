@@ -59,3 +59,11 @@ def test_slices_are_consecutive_ranges(spark):
     spans = sorted((r.slice, r.lo, r.hi) for r in rng.collect())
     assert [s for s, _, _ in spans] == [0, 1, 2, 3]
     assert all(spans[i][2] < spans[i + 1][1] for i in range(3))
+
+
+def test_slice_ranges_agree_with_slice_numbers(spark):
+    sl = files.Slices(tables.events(spark, SF0001, streaming=False), 7, "event_id")
+    for i in range(7):
+        part = sl.part(i)
+        assert part.where(F.col("slice") != i).count() == 0
+        assert part.count() == sl.df.where(F.col("slice") == i).count()
