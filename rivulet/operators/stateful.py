@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from rivulet.streaming.runtime import ROCKSDB  # noqa: F401 - re-exported for callers
 
 
 class IdleCounter(StatefulProcessor):

@@ -50,14 +50,20 @@ def _guard_mode(spark: SparkSession, checkpoint: str, output_mode: str) -> None:
         paths.write_text(spark, marker, json.dumps({"outputMode": output_mode}))
 
 
-def state_partitions(spark: SparkSession) -> int:
-    """Shuffle (= state) partitions for a new stateful query. The checkpoint pins this
-    number for the life of the query, so it is chosen once: the session's setting when
-    it was set on purpose, else the cluster's parallelism instead of the default 200."""
-    configured = spark.conf.get("spark.sql.shuffle.partitions", "200")
-    if configured != "200":
-        return int(configured)
-    return max(1, spark.sparkContext.defaultParallelism)
+_PARTITIONS = "spark.sql.shuffle.partitions"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def state_confs(spark: SparkSession) -> dict[str, str]:
+    """State settings for a new query. The checkpoint pins both for the life of the
+    query, so they are chosen once: the session's values when it sets them, else state
+    partitions = cluster parallelism (not the default 200) and the RocksDB provider
+    (state on local disk, not on the JVM heap)."""
+    parts = spark.conf.get(_PARTITIONS, None)
+    provider = spark.conf.get(_PROVIDER, None)
+    return {_PARTITIONS: parts or str(max(1, spark.sparkContext.defaultParallelism)),
+            _PROVIDER: provider or ROCKSDB}
 
 
 def start(df: DataFrame, checkpoint: str, *, output_mode: str = "append",
@@ -80,16 +86,19 @@ def start(df: DataFrame, checkpoint: str, *, output_mode: str = "append",
         if partition_by:
             w = w.partitionBy(*partition_by)
         w = w.format(fmt)
-    # the query copies the session conf at start: set the state partitions just for it
-    saved = spark.conf.get("spark.sql.shuffle.partitions", None)
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions(spark)))
+    # the query copies the session conf at start: set state confs just for it
+    wanted = state_confs(spark)
+    saved = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         return w.start() if foreach_batch is not None else w.start(sink)
     finally:
-        if saved is None:
-            spark.conf.unset("spark.sql.shuffle.partitions")
-        else:
-            spark.conf.set("spark.sql.shuffle.partitions", saved)
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def drain(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
