@@ -9,6 +9,7 @@
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -113,6 +114,9 @@ def drain(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQue
     err = query.exception()
     if err is not None:
         raise RuntimeError(f"streaming query failed: {err}")
+    if os.environ.get("RIVULET_EXPLAIN"):
+        print(f"== plan of {query.name or query.id} ==")
+        query.explain()
     return query
 
 
