@@ -501,7 +501,8 @@ def k_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def k_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed upsert per batch (newest event per user wins), replay-safe."""
-    table = UpsertTable(run_dir(spark, "k_upsert_table"), ["user_id"], order=["event_id"])
+    table = UpsertTable(run_dir(spark, "k_upsert_table"), ["user_id"], order=["event_id"],
+                        batch_first=False)
     stream = _sliced_stream(spark, sf_dir, "k_upsert").select("user_id", "event_id", "event_type", "value")
     table.schema = stream.schema
     _feed(stream, "k_upsert", table, replay=True)

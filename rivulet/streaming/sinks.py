@@ -107,20 +107,27 @@ class UpsertTable:
     ``order`` names the columns that decide which row of a key is newest (compared as a
     struct, after ``batch_id``). ``op_col`` (optional) marks tombstones with ``'delete'``.
     ``unique_keys`` declares that every batch already holds one row per key (the output
-    of an ``update``-mode aggregate), which skips the in-batch fold.
+    of an ``update``-mode aggregate), which skips the in-batch fold. With
+    ``batch_first=False`` the data's own ``order`` decides before the batch id, so a
+    late-arriving older record never overwrites a newer one.
     """
 
     def __init__(self, root: str, key: Sequence[str], order: Sequence[str] = (),
                  op_col: str | None = None, delete_value: str = "delete",
-                 unique_keys: bool = False):
+                 unique_keys: bool = False, batch_first: bool = True):
         self.root = root.rstrip("/")
         self.key = list(key)
         self.order = list(order)
         self.op_col = op_col
         self.delete_value = delete_value
         self.unique_keys = unique_keys
+        self.batch_first = batch_first
         self.schema: T.StructType | None = None
 
+    @property
+    def _read_order(self) -> list[str]:
+        return [BATCH_COL, *self.order] if self.batch_first else [*self.order, BATCH_COL]
+
     @property
     def batches_root(self) -> str:
         return f"{self.root}/batches"
@@ -171,7 +178,7 @@ class UpsertTable:
         schema = schema or self.schema
         rows, n_parts = self._all_rows(spark, schema)
         # a single folder is already one row per key (folded when written)
-        latest = rows if n_parts <= 1 else self._latest(rows, [BATCH_COL, *self.order])
+        latest = rows if n_parts <= 1 else self._latest(rows, self._read_order)
         if self.op_col:
             latest = latest.where(F.col(self.op_col) != F.lit(self.delete_value))
         cols = [c for c in schema.fieldNames()] + ([BATCH_COL] if keep_batch else [])
@@ -186,7 +193,7 @@ class UpsertTable:
             return -1
         upto = done[-1]
         rows = self._all_rows(spark, schema)[0].where(F.col(BATCH_COL) <= upto)
-        latest = self._latest(rows, [BATCH_COL, *self.order])
+        latest = self._latest(rows, self._read_order)
         latest.write.mode("overwrite").parquet(f"{self.base_root}/upto={upto}")
         return upto
 

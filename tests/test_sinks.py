@@ -60,6 +60,17 @@ def test_upsert_table_with_deletes_and_compaction(spark):
     assert {(r.k, r.v) for r in t.read(spark).collect()} == {("a", 9), ("b", 5)}
 
 
+def test_upsert_by_sequence_ignores_late_older_records(spark):
+    schema = "k string, seq long, v long"
+    by_seq = UpsertTable(run_dir(spark, "t_ups_seq"), ["k"], order=["seq"], batch_first=False)
+    by_batch = UpsertTable(run_dir(spark, "t_ups_batch"), ["k"], order=["seq"])
+    for t in (by_seq, by_batch):
+        t(_kv(spark, [("a", 5, 50)], schema), 0)
+        t(_kv(spark, [("a", 3, 30)], schema), 1)  # older record arriving later
+    assert [r.v for r in by_seq.read(spark).collect()] == [50]
+    assert [r.v for r in by_batch.read(spark).collect()] == [30]
+
+
 def test_accumulating_table_replay_does_not_double_count(spark):
     t = AccumulatingTable(run_dir(spark, "t_acc"), ["k"], ["v"])
     t(_kv(spark, [("a", 1), ("a", 2)]), 0)
