@@ -103,3 +103,24 @@ def test_compaction_keeps_rows_and_reduces_files(spark):
     after = spark.read.parquet(dst)
     assert after.exceptAll(before).count() == 0 and after.count() == before.count()
     assert len(list(_local(dst).glob("*.parquet"))) < len(list(_local(sink).glob("*.parquet")))
+
+
+def test_pacing_by_files_per_trigger(spark):
+    root = run_dir(spark, "t_pacing_in")
+    files.write_slices(tables.events(spark, SF0001, streaming=False), root, 4, "event_id")
+    for per_trigger, batches in ((1, 4), (2, 2), (None, 1)):
+        stream = files.parquet_stream(spark, f"{root}/slice-*", schemas.EVENTS_SLICED,
+                                      max_files=per_trigger)
+        seen = []
+        runtime.run_to_end(stream, run_dir(spark, "t_pacing_ck"),
+                           foreach_batch=lambda df, b: seen.append((b, df.count())))
+        assert len([b for b, n in seen if n]) == batches
+
+
+def test_memory_sink_is_a_named_table(spark):
+    name = "rivulet_mem_test"
+    q = (tables.events(spark, SF0001).groupBy("event_type").count()
+         .writeStream.outputMode("complete").format("memory").queryName(name)
+         .option("checkpointLocation", run_dir(spark, "t_mem_ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.table(name).count() == 5
