@@ -474,15 +474,16 @@ def k_batch_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def k_txn_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two writers append into one shared table; each batch is applied at most once
-    per ``(app_id, batch_id)`` even though the whole input is replayed."""
+    """Two writers (app ids) append into one shared table from each micro-batch; each
+    applies a batch at most once per ``(app_id, batch_id)`` although the whole input is
+    replayed."""
     shared = run_dir(spark, "k_txn_guard_table")
     stream = _sliced_stream(spark, sf_dir, "k_txn_guard")
     rows = stream.select("event_id", "event_type", _cents().alias("cents"))
-    for app, cond in (("a", F.col("event_type") == "purchase"),
-                      ("b", F.col("event_type") != "purchase")):
-        guard = TxnGuard(f"{shared}/_txn", app, append_writer(f"{shared}/app_id={app}"))
-        _feed(rows.where(cond), f"k_txn_guard_{app}", guard, replay=True)
+    buys = F.col("event_type") == "purchase"
+    guards = [(lambda d: d.where(buys), TxnGuard(f"{shared}/_txn", "a", append_writer(f"{shared}/app_id=a"))),
+              (lambda d: d.where(~buys), TxnGuard(f"{shared}/_txn", "b", append_writer(f"{shared}/app_id=b")))]
+    _feed(rows, "k_txn_guard", lambda df, batch_id: fan_out(df, batch_id, guards), replay=True)
     table = (spark.read.schema("event_id long, event_type string, cents long, app_id string")
              .option("basePath", shared).parquet(f"{shared}/app_id=a", f"{shared}/app_id=b"))
     return table.groupBy("app_id").agg(_cnt(), F.sum("cents").alias("total_cents"))
