@@ -92,3 +92,12 @@ def test_changing_the_grouping_key_on_a_checkpoint_fails(spark):
     with pytest.raises(Exception, match="(?i)schema|state"):
         runtime.run_to_end(stream().groupBy("user_id").count(), f"{d}/ck", output_mode="update",
                            foreach_batch=BatchPathSink(f"{d}/t2"))
+
+
+def test_inner_stream_stream_join_without_watermark_runs(spark):
+    a = tables.events(spark, SF0001).select("event_id", "user_id")
+    b = tables.events(spark, SF0001).select("event_id", "event_type")
+    d = run_dir(spark, "gate_inner")
+    sink = BatchPathSink(f"{d}/t")
+    runtime.run_to_end(a.join(b, "event_id"), f"{d}/ck", foreach_batch=sink)
+    assert sink.read(spark).count() == tables.events(spark, SF0001, streaming=False).count()

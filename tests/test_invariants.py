@@ -56,3 +56,20 @@ def test_complete_mode_emits_whole_table(spark, conf):
     assert _mode_emissions(spark, conf, "complete") == [
         [("A", 5), ("B", 3)], [("A", 7), ("B", 3), ("C", 1)],
         [("A", 7), ("B", 9), ("C", 1), ("D", 2)]]
+
+
+def test_windows_align_to_utc_epoch_in_any_session_zone(spark, conf):
+    conf("spark.sql.session.timeZone", "Asia/Kolkata")
+    df = spark.createDataFrame([("2024-01-01T09:10:00Z",)], "t string") \
+        .select(F.col("t").cast("timestamp").alias("ts"))
+    out = windows.windowed_agg(df, "ts", "1 hour", [F.count("*").alias("cnt")]).collect()
+    # 09:00 UTC = 14:30 in Kolkata: buckets follow the UTC epoch, not local hours
+    assert [(r.win_start % 86400, r.win_end % 86400) for r in out] == [(9 * 3600, 10 * 3600)]
+
+
+def test_event_time_of_stored_wall_clock_is_utc_in_any_session_zone(spark, conf):
+    conf("spark.sql.session.timeZone", "America/Los_Angeles")
+    ev = tables.events(spark, SF0001, streaming=False).select(F.unix_micros("ts").alias("us"))
+    conf("spark.sql.session.timeZone", "UTC")
+    ev_utc = tables.events(spark, SF0001, streaming=False).select(F.unix_micros("ts").alias("us"))
+    assert ev.exceptAll(ev_utc).count() == 0
