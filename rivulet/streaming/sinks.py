@@ -179,8 +179,8 @@ class UpsertTable:
         rows, n_parts = self._all_rows(spark, schema)
         # a single folder is already one row per key (folded when written)
         latest = rows if n_parts <= 1 else self._latest(rows, self._read_order)
-        if self.op_col:
-            latest = latest.where(F.col(self.op_col) != F.lit(self.delete_value))
+        if self.op_col:  # null-safe: a row without an op is an assignment, not a delete
+            latest = latest.where(~F.col(self.op_col).eqNullSafe(F.lit(self.delete_value)))
         cols = [c for c in schema.fieldNames()] + ([BATCH_COL] if keep_batch else [])
         return latest.select(*cols)
 
