@@ -50,6 +50,40 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     return spark.createDataFrame(trace_rows(query), schemas.BATCH_TRACE)
 
 
+def progress_line(p: Mapping) -> str:
+    """One-line summary of a progress update: batch, input rows, rates, watermark."""
+    wm = (p.get("eventTime") or {}).get("watermark", "-")
+    return (f"batch={p.get('batchId')} rows={p.get('numInputRows')} "
+            f"in/s={float(p.get('inputRowsPerSecond') or 0):.1f} "
+            f"done/s={float(p.get('processedRowsPerSecond') or 0):.1f} watermark={wm}")
+
+
+class ProgressReporter:
+    """Daemon thread writing ``progress_line`` of a query's last progress every
+    ``interval_s`` seconds (to ``emit``, e.g. a logger) until the query stops."""
+
+    def __init__(self, query: StreamingQuery, interval_s: float = 10.0, emit=print):
+        self.query, self.interval_s, self.emit = query, interval_s, emit
+        self._stop = threading.Event()
+        self._thread = threading.Thread(target=self._run, daemon=True)
+
+    def _run(self) -> None:
+        while not self._stop.wait(self.interval_s):
+            p = self.query.lastProgress
+            if p:
+                self.emit(progress_line(p))
+            if not self.query.isActive:
+                return
+
+    def start(self) -> "ProgressReporter":
+        self._thread.start()
+        return self
+
+    def stop(self) -> None:
+        self._stop.set()
+        self._thread.join(timeout=self.interval_s + 1)
+
+
 class ProgressCollector(StreamingQueryListener):
     """Keeps one row per progress event: trace columns, rates, event-time stats."""
 

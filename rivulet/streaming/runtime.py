@@ -71,8 +71,11 @@ def start(df: DataFrame, checkpoint: str, *, output_mode: str = "append",
           sink: str | None = None, fmt: str = "parquet",
           foreach_batch: Callable[[DataFrame, int], None] | None = None,
           trigger: dict | None = None, query_name: str | None = None,
-          options: dict | None = None, partition_by: list[str] | None = None) -> StreamingQuery:
-    """Start a streaming query into a file sink (``sink``) or a ``foreach_batch`` function."""
+          options: dict | None = None, partition_by: list[str] | None = None,
+          foreach: object | None = None) -> StreamingQuery:
+    """Start a streaming query into a file sink (``sink``), a ``foreach_batch`` function,
+    or a ``foreach`` row writer (an object with ``open``/``process``/``close``; per-row
+    and at-least-once, so prefer ``foreach_batch``). ``fmt="console"`` needs no sink."""
     spark = df.sparkSession
     _guard_mode(spark, checkpoint, output_mode)
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
@@ -83,6 +86,8 @@ def start(df: DataFrame, checkpoint: str, *, output_mode: str = "append",
     w = w.trigger(**(trigger or {"availableNow": True}))
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
+    elif foreach is not None:
+        w = w.foreach(foreach)
     else:
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -93,7 +98,7 @@ def start(df: DataFrame, checkpoint: str, *, output_mode: str = "append",
     for k, v in wanted.items():
         spark.conf.set(k, v)
     try:
-        return w.start() if foreach_batch is not None else w.start(sink)
+        return w.start() if (foreach_batch is not None or foreach is not None) else w.start(sink)
     finally:
         for k, v in saved.items():
             if v is None:

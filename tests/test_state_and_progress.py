@@ -80,3 +80,43 @@ def test_rate_micro_batch_values_are_contiguous(spark):
     finally:
         q.stop()
     assert sorted(seen)[:15] == list(range(15))
+
+
+def test_progress_reporter_emits_lines(spark):
+    from rivulet.streaming.observe import ProgressReporter
+
+    lines = []
+    h = FileDropStream(spark, SCHEMA, "reporter")
+    q = h.start(lambda df: df, "append", lambda df, b: df.collect())
+    rep = ProgressReporter(q, interval_s=0.2, emit=lines.append).start()
+    try:
+        h.add([(1,), (2,)])
+        h.process()
+        deadline = time.time() + 10
+        while not lines and time.time() < deadline:
+            time.sleep(0.1)
+    finally:
+        rep.stop()
+        h.stop()
+    assert lines and lines[0].startswith("batch=")
+
+
+def test_foreach_row_writer(spark):
+    from conftest import SF0001
+    from rivulet.sources import tables
+    from rivulet.streaming import runtime
+
+    class Writer:
+        def open(self, partition_id, epoch_id):
+            return True
+
+        def process(self, row):
+            pass
+
+        def close(self, error):
+            pass
+
+    q = runtime.start(tables.events(spark, SF0001).select("event_id"), run_dir(spark, "t_foreach"),
+                      foreach=Writer())
+    runtime.drain(q)
+    assert q.lastProgress["numInputRows"] > 0
