@@ -28,15 +28,15 @@ from rivulet.streaming import paths
 BATCH_COL = "batch_id"
 
 
+def _committed(spark: SparkSession, root: str, prefix: str) -> list[int]:
+    """Ids of ``<root>/<prefix>=N`` folders holding a ``_SUCCESS`` marker (one glob)."""
+    names = paths.glob_parents(spark, f"{root}/{prefix}=*/_SUCCESS")
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{prefix}="))
+
+
 def _batch_dirs(spark: SparkSession, root: str) -> list[int]:
     """Committed batch ids (folders with a ``_SUCCESS`` marker)."""
-    out = []
-    for name in paths.list_names(spark, root):
-        if name.startswith(f"{BATCH_COL}="):
-            bid = int(name.split("=", 1)[1])
-            if paths.exists(spark, f"{root}/{name}/_SUCCESS"):
-                out.append(bid)
-    return sorted(out)
+    return _committed(spark, root, BATCH_COL)
 
 
 def _consume(df: DataFrame) -> None:
@@ -150,9 +150,7 @@ class UpsertTable:
         latest.write.mode("overwrite").parquet(f"{self.batches_root}/{BATCH_COL}={batch_id}")
 
     def _base(self, spark: SparkSession) -> tuple[int, str | None]:
-        names = [n for n in paths.list_names(spark, self.base_root) if n.startswith("upto=")]
-        done = sorted(int(n.split("=", 1)[1]) for n in names
-                      if paths.exists(spark, f"{self.base_root}/{n}/_SUCCESS"))
+        done = _committed(spark, self.base_root, "upto")
         return (done[-1], f"{self.base_root}/upto={done[-1]}") if done else (-1, None)
 
     def _all_rows(self, spark: SparkSession, schema: T.StructType) -> tuple[DataFrame, int]:
@@ -227,9 +225,8 @@ class AccumulatingTable:
         partial.write.mode("overwrite").parquet(f"{self.batches_root}/{BATCH_COL}={batch_id}")
 
     def _base(self, spark: SparkSession) -> int:
-        done = [int(n.split("=", 1)[1]) for n in paths.list_names(spark, self.base_root)
-                if n.startswith("upto=") and paths.exists(spark, f"{self.base_root}/{n}/_SUCCESS")]
-        return max(done) if done else -1
+        done = _committed(spark, self.base_root, "upto")
+        return done[-1] if done else -1
 
     def _parts(self, spark: SparkSession, schema: T.StructType, upto_batch: int | None = None):
         upto = self._base(spark)
@@ -309,11 +306,7 @@ class VersionedTable:
         self.skipped: list[int] = []
 
     def versions(self, spark: SparkSession) -> list[int]:
-        out = []
-        for n in paths.list_names(spark, self.root):
-            if n.startswith("v=") and paths.exists(spark, f"{self.root}/{n}/_SUCCESS"):
-                out.append(int(n[2:]))
-        return sorted(out)
+        return _committed(spark, self.root, "v")
 
     def read(self, spark: SparkSession, below: int | None = None,
              schema: T.StructType | None = None) -> DataFrame | None:
