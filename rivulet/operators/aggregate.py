@@ -65,3 +65,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     order columns) (A9). One aggregate with partial combine, no sort, no window."""
     newest = F.max(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in payload]))
     return df.groupBy(*keys).agg(newest.alias("_r")).select(*keys, "_r.*")
+
+
+def sensor_dashboard(readings: DataFrame) -> DataFrame:
+    """Occupied rooms: mean temperature and humidity and the reading count per room
+    (the dashboard of the sensor demos, with its column names)."""
+    return (readings.where(F.col("occupied"))
+            .groupBy("roomId")
+            .agg(F.avg("temperature").alias("avgTemperature"),
+                 F.avg("humidity").alias("avgHumidity"),
+                 F.count(F.lit(1)).alias("readingCount")))
