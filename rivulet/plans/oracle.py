@@ -229,7 +229,7 @@ ORACLE["o_update_replay"] = ORACLE["a_sum_count"]
 _SLICE4 = ("CAST(floor((event_id - (SELECT min(event_id) FROM events)) * {n} / "
            "((SELECT max(event_id) - min(event_id) + 1 FROM events))) AS INTEGER)")
 
-for _k in ("k_file_sink", "k_batch_path", "k_batch_marker", "k_dedup_downstream"):
+for _k in ("k_file_sink", "k_batch_path", "k_batch_marker", "k_dedup_downstream", "k_compact"):
     ORACLE[_k] = _PROJECTION
 
 ORACLE["k_foreach_batch"] = f"""

@@ -19,7 +19,7 @@ from rivulet.operators import aggregate, dedup, duality, joins, stateful, statel
 from rivulet.plans.materialize import append_to_parquet, through_batches
 from rivulet.session import run_dir
 from rivulet.sources import envelope, files, state, tables
-from rivulet.streaming import observe, runtime
+from rivulet.streaming import observe, operations, runtime
 from rivulet.streaming.sinks import (AccumulatingTable, BatchPathSink, TxnGuard, UpsertTable,
                                      VersionedTable, accumulate_merge, append_writer, fan_out,
                                      split_dead_letter, versioned_sink)
@@ -685,3 +685,14 @@ def x_idle_users(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.unset(key)
         else:
             spark.conf.set(key, saved)
+
+
+def k_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small-file compaction: a file sink fed by 4 micro-batches (one file each) is
+    rewritten through its manifest into fewer, larger files in a new folder."""
+    sink = run_dir(spark, "k_compact_sink")
+    stream = _sliced_stream(spark, sf_dir, "k_compact")
+    runtime.run_to_end(stateless.project_events(stream), runtime.checkpoint_for(sink), sink=sink)
+    out = run_dir(spark, "k_compact_out")
+    operations.compact_files(spark, sink, out)
+    return spark.read.parquet(out)
