@@ -325,3 +325,15 @@ ORACLE["x_idle_users"] = f"""
 SELECT user_id, count(*) AS cnt, epoch_us(max(ts)) AS last_ts_us FROM events GROUP BY user_id
 HAVING (epoch_us(max(ts)) // 1000) * 1000 + {6 * HOUR_US} < {_wm_us(DAY_US)}
 """
+
+ORACLE["a_avg_partial"] = """
+SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS avg_value,
+       count(*) AS cnt
+FROM events GROUP BY event_type
+"""
+
+ORACLE["k_partitioned_write"] = f"""
+SELECT event_id, user_id, event_type, value, epoch_us(ts) AS ts_us,
+       CAST(floor(epoch_us(ts) / {DAY_US}) AS BIGINT) AS event_day
+FROM events
+"""

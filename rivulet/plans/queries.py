@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rivulet import schemas
 from rivulet.functions import parse
-from rivulet.functions.numeric import exact_sum
+from rivulet.functions.numeric import exact_mean, exact_sum
 from rivulet.functions.time import millis_to_timestamp, millis_to_timestamp_udf
 from rivulet.operators import aggregate, dedup, duality, joins, stateful, stateless, topk, windows
 from rivulet.plans.materialize import append_to_parquet, through_batches
@@ -696,3 +696,38 @@ def k_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = run_dir(spark, "k_compact_out")
     operations.compact_files(spark, sink, out)
     return spark.read.parquet(out)
+
+
+def a_avg_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mean kept as (sum, count) state: four arrivals, one restart between each, update
+    mode into a keyed upsert. The last row per key is the mean over every row, not a
+    mean of per-arrival means (the partial state is merged, never the finished mean)."""
+    table = UpsertTable(run_dir(spark, "a_avg_partial_table"), ["event_type"], unique_keys=True)
+
+    def build(stream: DataFrame) -> DataFrame:
+        return stream.groupBy("event_type").agg(exact_mean("value").alias("avg_value"), _cnt())
+
+    _arrivals(spark, sf_dir, "a_avg_partial", N_SLICES, build, output_mode="update",
+              foreach_batch=table)
+    return table.read(spark)
+
+
+def k_partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch writes with ``mode`` and ``partitionBy`` inside ``foreachBatch``: each batch
+    writes under ``batch_id=N/event_day=D`` with dynamic partition overwrite, so a
+    replayed batch replaces exactly the partitions it wrote and nothing else. Readers
+    filtering on ``event_day`` prune whole folders."""
+    root = f"{run_dir(spark, 'k_partitioned_write')}/table"
+    stream = _sliced_stream(spark, sf_dir, "k_partitioned_write")
+    rows = stateless.project_events(stream).withColumn(
+        "event_day", F.floor(F.col("ts_us") / F.lit(86_400_000_000)).cast("long"))
+
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id", "event_day").parquet(root))
+
+    _feed(rows, "k_partitioned_write", per_batch, replay=True)
+    schema = ("event_id long, user_id long, event_type string, value double, ts_us long, "
+              "batch_id long, event_day long")
+    return spark.read.schema(schema).parquet(root).drop("batch_id")

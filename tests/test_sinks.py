@@ -109,3 +109,24 @@ def test_skipping_a_replayed_batch_of_a_stateful_query_keeps_state(spark):
     assert guard.skipped == [0]
     assert sum(r.cnt for r in sink.read(spark, agg.schema).collect()) == \
         tables.events(spark, SF0001, streaming=False).count()
+
+
+def test_partitioned_write_replay_replaces_only_its_partitions(spark):
+    root = f"{run_dir(spark, 't_partw')}/table"
+
+    def write(df, batch_id):
+        (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id", "day").parquet(root))
+
+    write(_kv(spark, [(1, "a"), (2, "b")], "day long, k string"), 0)
+    write(_kv(spark, [(1, "c")], "day long, k string"), 1)
+    write(_kv(spark, [(1, "a"), (2, "b")], "day long, k string"), 0)  # replay of batch 0
+    got = spark.read.parquet(root)
+    assert sorted((r.batch_id, r.day, r.k) for r in got.collect()) == \
+        [(0, 1, "a"), (0, 2, "b"), (1, 1, "c")]
+    # a filter on a partition column prunes folders at the scan
+    pruned = got.where(F.col("day") == 2)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    assert [r.k for r in pruned.collect()] == ["b"]
