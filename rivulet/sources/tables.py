@@ -35,21 +35,26 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, schema: T.StructTy
 def with_event_time(df: DataFrame, col: str = "ts") -> DataFrame:
     """Event time as an instant: ``withWatermark`` rejects ``timestamp_ntz``.
 
-    The stored wall-clock values are UTC. A plain cast reads them in the session zone,
-    so outside UTC the cast is shifted back (results never depend on the session zone).
+    The stored wall-clock values are UTC. A ``timestamp_ntz`` column is rebuilt field by
+    field as a UTC instant (``make_timestamp`` with an explicit zone), so neither the
+    session zone nor a daylight-saving gap can shift it; a cast would read the wall
+    clock in the session zone. Instants pass through unchanged.
     """
-    tz = df.sparkSession.conf.get("spark.sql.session.timeZone", "UTC")
-    cast = F.col(col).cast("timestamp")
-    if tz.upper() in ("UTC", "Z", "ETC/UTC", "GMT", "+00:00"):
-        return df.withColumn(col, cast)
-    return df.withColumn(col, F.from_utc_timestamp(cast, tz))
+    if isinstance(df.schema[col].dataType, T.TimestampType):
+        return df
+    c = F.col(col)
+    utc = F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                           F.date_part(F.lit("SECOND"), c), F.lit("UTC"))
+    return df.withColumn(col, utc)
 
 
 def events(spark: SparkSession, sf_dir: str, streaming: bool = True,
            max_files_per_trigger: int | None = None) -> DataFrame:
-    """The `events` table, bounded or streaming, with event time cast to an instant."""
+    """The `events` table, bounded or streaming, with event time as an instant.
+
+    The stored ``timestamp_ntz`` column is read under a ``timestamp`` schema: Parquet
+    hands over the stored microseconds as they are, i.e. the UTC instant, with no
+    per-row work and independent of the session zone."""
     if streaming:
-        df = stream_table(spark, sf_dir, "events", schemas.EVENTS, max_files_per_trigger)
-    else:
-        df = read_table(spark, sf_dir, "events")
-    return with_event_time(df)
+        return stream_table(spark, sf_dir, "events", schemas.EVENTS_TS, max_files_per_trigger)
+    return spark.read.schema(schemas.EVENTS_TS).parquet(table_path(sf_dir, "events"))

@@ -73,3 +73,23 @@ def test_event_time_of_stored_wall_clock_is_utc_in_any_session_zone(spark, conf)
     conf("spark.sql.session.timeZone", "UTC")
     ev_utc = tables.events(spark, SF0001, streaming=False).select(F.unix_micros("ts").alias("us"))
     assert ev.exceptAll(ev_utc).count() == 0
+
+
+def test_ntz_wall_clock_becomes_utc_instant_across_dst_in_any_zone(spark, conf):
+    conf("spark.sql.session.timeZone", "America/Los_Angeles")
+    # 02:30 on 2024-03-10 does not exist in Los Angeles; 01:30 on 2024-11-03 occurs twice
+    walls = ["2024-03-10 02:30:00.123456", "2024-11-03 01:30:00", "2024-01-01 00:00:07.179575"]
+    df = spark.createDataFrame([(w,) for w in walls], "w string") \
+        .select(F.col("w").cast("timestamp_ntz").alias("ts"))
+    got = tables.with_event_time(df).select(F.unix_micros("ts").alias("us")).collect()
+    assert [r.us for r in got] == [1710037800123456, 1730597400000000, 1704067207179575]
+
+
+def test_events_read_as_utc_instants_whatever_the_session_zone(spark, conf):
+    conf("spark.sql.session.timeZone", "Pacific/Chatham")
+    ev = tables.events(spark, SF0001, streaming=False).orderBy("event_id").limit(1) \
+        .select(F.unix_micros("ts").alias("us")).collect()
+    import pyarrow.parquet as pq
+    raw = pq.read_table(f"{SF0001}/events.parquet", columns=["event_id", "ts"]).to_pandas()
+    first = raw.sort_values("event_id").iloc[0]["ts"]
+    assert ev[0].us == first.value // 1000
