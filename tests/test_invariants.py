@@ -93,3 +93,15 @@ def test_events_read_as_utc_instants_whatever_the_session_zone(spark, conf):
     raw = pq.read_table(f"{SF0001}/events.parquet", columns=["event_id", "ts"]).to_pandas()
     first = raw.sort_values("event_id").iloc[0]["ts"]
     assert ev[0].us == first.value // 1000
+
+
+def test_event_time_filter_is_pushed_and_exact(spark):
+    import duckdb
+    cut = "2024-01-01 12:00:00"
+    q = tables.events(spark, SF0001, streaming=False).where(
+        F.col("ts") >= F.to_timestamp(F.lit(cut + "Z"), "yyyy-MM-dd HH:mm:ssX"))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts," in plan
+    want = duckdb.connect().execute(
+        f"SELECT count(*) FROM '{SF0001}/events.parquet' WHERE ts >= TIMESTAMP '{cut}'").fetchall()[0][0]
+    assert q.count() == want
