@@ -46,14 +46,28 @@ def stream_static_join(stream: DataFrame, static: DataFrame, on: Column | Sequen
 def stream_stream_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
                        left_ts: str | None = None, right_ts: str | None = None,
                        delay: str | None = None, within: str | None = None,
-                       how: str = "inner") -> DataFrame:
+                       how: str = "inner", spread_by_time: bool = False) -> DataFrame:
     """Equi join of two streams. Without ``delay``/``within`` state is unbounded (inner
-    only); with them both sides get a watermark and a time bound that frees state."""
+    only); with them both sides get a watermark and a time bound that frees state.
+
+    ``spread_by_time`` (for keys that may be hot) also joins on a time bucket of width
+    ``within``: a pair with ``|r - l| <= within`` has ``r``'s bucket within one of
+    ``l``'s, so the right side is written into its bucket and both neighbours and each
+    pair still meets exactly once, while a hot key is spread over its buckets."""
     if delay is None:
         return left.join(right, list(keys), how)
-    lw = left.withWatermark(left_ts, delay).alias("l")
-    rw = right.withWatermark(right_ts, delay).alias("r")
-    cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
+    lw = left.withWatermark(left_ts, delay)
+    rw = right.withWatermark(right_ts, delay)
+    cond = []
+    if spread_by_time:
+        width = F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {within}"))
+        lb = F.floor(F.unix_micros(F.col(left_ts)) / width).cast("long")
+        rb = F.floor(F.unix_micros(F.col(right_ts)) / width).cast("long")
+        lw = lw.withColumn("_bucket", lb)
+        rw = rw.withColumn("_bucket", F.explode(F.array(rb - F.lit(1), rb, rb + F.lit(1))))
+        cond.append(F.col("l._bucket") == F.col("r._bucket"))
+    lw, rw = lw.alias("l"), rw.alias("r")
+    cond += [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
     cond.append(F.col(f"r.{right_ts}").between(
         F.col(f"l.{left_ts}") - F.expr(f"INTERVAL {within}"),
         F.col(f"l.{left_ts}") + F.expr(f"INTERVAL {within}")))

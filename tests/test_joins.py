@@ -77,3 +77,16 @@ def test_lookup_fills_misses(spark):
     out = joins.lookup(facts, dim, "id", "dk", fill={"name": "unknown"})
     assert {(r.id, r.name) for r in out.collect()} == {(1, "x"), (2, "unknown")}
     assert F  # keep import for readers of the test
+
+
+def test_stream_stream_join_spread_by_time_equals_brute_force(spark):
+    left, right, lf, rf = _frames(spark)
+    within = timedelta(seconds=BOUND)
+    want = {(v, p) for u, v, vt in left for u2, p, pt in right
+            if u == u2 and vt - within <= pt <= vt + within}
+    for spread in (False, True):
+        j = joins.stream_stream_join(lf, rf, ["user_id"], "view_ts", "purchase_ts", delay="1 day",
+                                     within="6 hours", spread_by_time=spread)
+        rows = j.select("view_id", "purchase_id").collect()
+        assert len(rows) == len(want)  # each pair meets exactly once
+        assert {(r.view_id, r.purchase_id) for r in rows} == want
