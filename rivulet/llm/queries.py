@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import exact_dedup, mixing
+from rivulet.llm import exact_dedup, mixing, quality_rules
 from rivulet.llm.common import documents
 
 
@@ -18,7 +18,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir))
 
 
-_QUERIES = [op8_exact_dedup, op10_mixing]
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(documents(spark, sf_dir))
+
+
+_QUERIES = [op8_exact_dedup, op9_quality_rules, op10_mixing]
 
 _ORACLE = {
     "op8_exact_dedup": r"""
