@@ -6,8 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import exact_dedup, mixing, quality_rules
+from rivulet.llm import exact_dedup, mixing, quality_fm, quality_rules
 from rivulet.llm.common import documents
+from rivulet.sources.tables import read_table
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_fm.classify(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"),
+                               meta=("n_chars",))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,7 +28,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
-_QUERIES = [op8_exact_dedup, op9_quality_rules, op10_mixing]
+_QUERIES = [op4_quality_classifier, op8_exact_dedup, op9_quality_rules, op10_mixing]
 
 _ORACLE = {
     "op8_exact_dedup": r"""
