@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import exact_dedup, mixing, quality_fm, quality_rules
+from rivulet.llm import exact_dedup, mixing, quality_fm, quality_rules, toxicity_gru
 from rivulet.llm.common import documents
 from rivulet.sources.tables import read_table
 
@@ -16,6 +16,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                                meta=("n_chars",))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_gru.toxicity(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -28,7 +32,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
-_QUERIES = [op4_quality_classifier, op8_exact_dedup, op9_quality_rules, op10_mixing]
+_QUERIES = [op4_quality_classifier, op5_toxicity, op8_exact_dedup, op9_quality_rules, op10_mixing]
 
 _ORACLE = {
     "op8_exact_dedup": r"""
