@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import exact_dedup, mixing, quality_fm, quality_rules, toxicity_gru
+from rivulet.llm import (exact_dedup, mixing, packing, quality_fm, quality_rules, substring_dedup,
+                         toxicity_gru)
 from rivulet.llm.common import documents
 from rivulet.sources.tables import read_table
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.classify(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"),
                                meta=("n_chars",))
@@ -20,6 +25,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_gru.toxicity(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(documents(spark, sf_dir))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -32,7 +41,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
-_QUERIES = [op4_quality_classifier, op5_toxicity, op8_exact_dedup, op9_quality_rules, op10_mixing]
+_QUERIES = [op1_packing, op4_quality_classifier, op5_toxicity, op7_substring_dedup, op8_exact_dedup,
+            op9_quality_rules, op10_mixing]
 
 _ORACLE = {
     "op8_exact_dedup": r"""
