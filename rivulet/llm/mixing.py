@@ -123,8 +123,7 @@ def plan(rows: DataFrame, levels: Sequence[str] = LEVELS, weights=WEIGHTS,
     leaf = Window.partitionBy(*levels)
     ranges = keyed.groupBy(*levels, "range").agg(F.sum("n_tokens").alias("n"), F.max("rest").alias("rest"))
     ranges = ranges.withColumn("end", F.sum("n").over(leaf.orderBy("range")))
-    cut = (ranges.where("end > rest")
-           .withColumn("nth", F.row_number().over(leaf.orderBy("range"))).where("nth = 1")
+    cut = (ranges.where("end > rest and end - n <= rest")  # the range in which the prefix ends
            .select(*levels, "range", (F.col("end") - F.col("n")).alias("before")))
     cut = stored(cut, "mix-cut")
     inside = (_join(keyed, cut, [*levels, "range"]).groupBy(*levels, "key").agg(F.sum("n_tokens").alias("n"), F.max("rest").alias("rest"),
