@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import (exact_dedup, mixing, packing, quality_fm, quality_rules, substring_dedup,
-                         toxicity_gru)
+from rivulet.llm import (exact_dedup, minhash, mixing, packing, quality_fm, quality_rules,
+                         substring_dedup, toxicity_gru)
 from rivulet.llm.common import documents
 from rivulet.sources.tables import read_table
 
@@ -25,6 +25,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_gru.toxicity(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_dedup(documents(spark, sf_dir))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(documents(spark, sf_dir))
 
@@ -41,8 +45,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
-_QUERIES = [op1_packing, op4_quality_classifier, op5_toxicity, op7_substring_dedup, op8_exact_dedup,
-            op9_quality_rules, op10_mixing]
+_QUERIES = [op1_packing, op4_quality_classifier, op5_toxicity, op6_near_dedup,
+            op7_substring_dedup, op8_exact_dedup, op9_quality_rules, op10_mixing]
 
 _ORACLE = {
     "op8_exact_dedup": r"""
