@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import (exact_dedup, minhash, mixing, packing, quality_fm, quality_rules,
-                         substring_dedup, toxicity_gru)
+import corpus_pipeline
+from rivulet.llm import (exact_dedup, html_extract, minhash, mixing, packing, quality_fm,
+                         quality_rules, substring_dedup, toxicity_gru, url_filter)
 from rivulet.llm.common import documents
 from rivulet.sources.tables import read_table
 
@@ -16,6 +17,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, sf_dir, "pages"))
+
+
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.classify(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"),
                                meta=("n_chars",))
@@ -45,8 +54,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
-_QUERIES = [op1_packing, op4_quality_classifier, op5_toxicity, op6_near_dedup,
-            op7_substring_dedup, op8_exact_dedup, op9_quality_rules, op10_mixing]
+_QUERIES = [op1_packing, op2_url_filter, op3_html_extract, op4_quality_classifier, op5_toxicity,
+            op6_near_dedup, op7_substring_dedup, op8_exact_dedup, op9_quality_rules, op10_mixing]
 
 _ORACLE = {
     "op8_exact_dedup": r"""
@@ -105,8 +114,13 @@ _ORACLE = {
 }
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of ``corpus_pipeline`` over ``documents``."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in _QUERIES}
+    return {q.__name__: q for q in [*_QUERIES, pipeline]}
 
 
 def oracles() -> dict[str, str]:
