@@ -33,47 +33,54 @@ ATTEND = 8
 WORD_BUCKETS = 1 << 13
 GRAM_BUCKETS = 1 << 13
 #: Labelled rows used per class at most: those with the smallest hash of their id.
-SAMPLE_PER_CLASS = 2000
+SAMPLE_PER_CLASS = 1500
 EPOCHS = 12
 #: Small samples go on until the network has taken this many steps.
 LEAST_STEPS = 1000
 TOXIC_AT = 0.5
+#: How many toxic documents a clean one counts for in the calibration: most texts are clean.
+CLEAN_WEIGHT = 8.0
 #: Windows that go through the network together.
 BLOCK = 2048
 
 
+def _grams(words: pa.Array, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """(word number from ``base``, bucket) of every character 3- and 4-gram, by word. Words
+    are framed by zero bytes, so that grams see where they start and end."""
+    raw, offsets = _bytes_of(words)
+    lens = np.diff(offsets)
+    ends = np.cumsum(lens + 2)
+    text = np.zeros(int(ends[-1]) + 3, np.uint64)
+    owner = np.repeat(np.arange(len(words)), lens + 2)
+    text[np.arange(len(raw)) + 2 * np.repeat(np.arange(len(words)), lens) + 1] = raw + np.uint64(1)
+    body = np.arange(len(owner))
+    left = ends[owner] - body  # bytes from here to the word's end
+    packed = text[body] | text[body + 1] << np.uint64(9) | text[body + 2] << np.uint64(18)
+    tri, quad = left >= 3, left >= 4
+    grams = np.concatenate([packed[tri], packed[quad] | text[body[quad] + 3] << np.uint64(27) | np.uint64(1 << 40)])
+    owners = np.concatenate([owner[tri], owner[quad]])
+    order = np.argsort(owners, kind="stable")
+    return (owners[order] + base).astype(np.int32), (mix64(grams[order]) % np.uint64(GRAM_BUCKETS)).astype(np.int32)
+
+
 class Words:
     """Inputs of distinct words: word bucket, and character 3- and 4-gram buckets."""
 
     def __init__(self, words: pa.Array):
         words = pc.utf8_trim(pc.utf8_lower(words.cast(pa.large_string())), ".,;:!?\"'()[]")
         self.n = len(words)
-        self.word = (word_hashes(words, 11) % np.uint64(WORD_BUCKETS)).astype(np.int64)
-        raw, offsets = _bytes_of(words)
-        # every word is framed by zero bytes, so that grams see where it starts and ends
-        lens = np.diff(offsets)
-        ends = np.cumsum(lens + 2)
-        text = np.zeros(int(ends[-1]) + 3 if self.n else 3, np.uint64)
-        owner = np.repeat(np.arange(self.n), lens + 2)
-        text[np.arange(len(raw)) + 2 * np.repeat(np.arange(self.n), lens) + 1] = raw + np.uint64(1)
-        body = np.arange(len(owner))
-        left = ends[owner] - body  # bytes from here to the word's end
-        packed = text[body] | text[body + 1] << np.uint64(9) | text[body + 2] << np.uint64(18)
-        tri = left >= 3
-        quad = left >= 4
-        grams = np.concatenate([packed[tri], packed[quad] | text[body[quad] + 3] << np.uint64(27) | np.uint64(1 << 40)])
-        owners = np.concatenate([owner[tri], owner[quad]])
-        order = np.argsort(owners, kind="stable")
-        self.gram = (mix64(grams[order]) % np.uint64(GRAM_BUCKETS)).astype(np.int64)
-        self.gram_of = owners[order]
+        self.word = (word_hashes(words, 11) % np.uint64(WORD_BUCKETS)).astype(np.int32)
+        parts = [_grams(words.slice(i, 1 << 15), i) for i in range(0, self.n, 1 << 15)] or [
+            (np.zeros(0, np.int32),) * 2]
+        self.gram_of, self.gram = (np.concatenate(x) for x in zip(*parts))
         self.gram_start = np.searchsorted(self.gram_of, np.arange(self.n + 1))
         self.gram_n = np.maximum(np.diff(self.gram_start), 1).astype(np.float32)
 
     def gram_mean(self, table: np.ndarray) -> np.ndarray:
-        total = np.concatenate([np.zeros((1, table.shape[1]), np.float64),
-                                np.cumsum(table[self.gram], axis=0, dtype=np.float64)])
-        return ((total[self.gram_start[1:]] - total[self.gram_start[:-1]])
-                / self.gram_n[:, None]).astype(np.float32)
+        out = np.empty((self.n, table.shape[1]), np.float32)
+        for k in range(table.shape[1]):
+            out[:, k] = np.bincount(self.gram_of, table[self.gram, k], self.n)
+        return out / self.gram_n[:, None]
 
 
 def windows(doc: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -296,7 +303,7 @@ def _calibrate(net: Net, score: np.ndarray, toxic: np.ndarray) -> None:
     mid, spread = score.mean(), score.std() + 1e-9
     x = np.stack([(score - mid) / spread, np.ones_like(score)], 1)
     beta = np.zeros(2)
-    share = np.where(toxic == 1, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean()))
+    share = np.where(toxic == 1, 1 / toxic.mean(), CLEAN_WEIGHT / (1 - toxic.mean())) / (1 + CLEAN_WEIGHT)
     for _ in range(50):
         p = logistic(x @ beta)
         grad = x.T @ (share * (p - toxic)) / len(x) + 1e-3 * beta
