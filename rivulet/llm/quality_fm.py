@@ -155,14 +155,15 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], width: int, epochs: int
     return m
 
 
-def _prepared(docs: DataFrame, text_col: str, meta: Sequence[str], *keep) -> DataFrame:
+def _prepared(docs: DataFrame, text_col: str, meta: Sequence[str], *keep: Column) -> DataFrame:
     return docs.select(*keep, whole_text(text_col).alias("_text"),
                        *[F.col(f"`{c}`").cast("double").alias(f"_meta{i}") for i, c in enumerate(meta)])
 
 
-def train(sample: DataFrame, text_col: str = "text", meta: Sequence[str] = ()) -> Machine:
-    """Fit on ``sample`` (documents with ``_label``). Tasks turn texts into sparse vectors,
-    so the driver receives numbers, of a bounded number of rows, and no text."""
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          meta: Sequence[str] = (), per_class: int = SAMPLE_PER_CLASS) -> Machine:
+    """Fit on a bounded labelled sample. Tasks turn its texts into sparse vectors, so the
+    driver receives numbers, of a bounded number of rows, and no text."""
     names = [f"_meta{i}" for i in range(len(meta))]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,8 +175,10 @@ def train(sample: DataFrame, text_col: str = "text", meta: Sequence[str] = ()) -
                     "index": pa.array([index[a:b].astype(np.int32).tobytes() for a, b in zip(starts, starts[1:])], pa.binary()),
                     "value": pa.array([value[a:b].tobytes() for a, b in zip(starts, starts[1:])], pa.binary())})
 
-    found = _prepared(sample, text_col, meta, F.col("_label")).mapInArrow(
-            encode, "label int, index binary, value binary").collect()
+    slim = _prepared(docs, text_col, meta, F.col(id_col).alias("_id"))
+    sample = labelled_sample(slim, labels.withColumnRenamed(id_col, "_id"), "quality", 4, 2, per_class, "_id")
+    found = sample.select("_label", "_text", *names).mapInArrow(
+        encode, "label int, index binary, value binary").collect()
     rows = sorted((r["label"], bytes(r["index"]), bytes(r["value"])) for r in found)  # fixed order, fixed model
     return fit([(y, np.frombuffer(i, np.int32), np.frombuffer(v, np.float32)) for y, i, v in rows],
                BUCKETS + STATS + len(meta))
@@ -205,7 +208,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     crc32(id) mod 4 is not 2. A null or empty text is scored from its (zero) statistics;
     null metadata counts as 0; a null id is not held out; repeated rows each get a row;
     without labels every score is a half; an empty table gives an empty result."""
-    model = train(labelled_sample(docs, labels, "quality", 4, 2, per_class, id_col), text_col, meta)
+    model = train(docs, labels, id_col, text_col, meta, per_class)
     out = score(docs, model, [id_col], text_col, meta)
     doc_id = F.col("_row").getField(id_col)
     return out.select(doc_id.alias(id_col),
@@ -217,5 +220,5 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def kept(docs: DataFrame, labels: DataFrame, text_col: str = "text", meta: Sequence[str] = (),
          per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
     """The rows of ``docs`` with a score of at least ``KEEP_AT``, with their own columns."""
-    model = train(labelled_sample(docs, labels, "quality", 4, 2, per_class), text_col, meta)
+    model = train(docs, labels, "doc_id", text_col, meta, per_class)
     return score(docs, model, docs.columns, text_col, meta).where(F.col("_score") >= KEEP_AT).select("_row.*")

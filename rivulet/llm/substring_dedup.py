@@ -186,7 +186,7 @@ def _count(packets: list[bytes], window: int) -> pa.Table:
     new = np.ones(len(hit), bool)
     new[1:] = (hit[1:] != hit[:-1] + 1) | (of[hit[1:]] != of[hit[:-1]])
     lead = np.flatnonzero(new)
-    tail = np.append(lead[1:], len(hit)) - 1
+    tail = (np.append(lead[1:], len(hit)) - 1)[:len(lead)]
     s_run, s_from, s_to = of[hit[lead]], nth[hit[lead]], nth[hit[tail]] + window
     # every place of a run gets its stretches
     per = np.bincount(s_run, minlength=len(wins))
