@@ -88,11 +88,13 @@ def parse(source: str, templates: frozenset[int] = frozenset(), inner: frozenset
     best: list[str | None] = []
     stack = [_Open("", "", 0, False, False)]
     mains = 0
+    opened: Counter = Counter()  # how many of each tag are open: spares searching a deep stack
     hashes: set[tuple[int, bool]] = set()
 
     def close() -> None:
         nonlocal mains
         e = stack.pop()
+        opened[e.tag] -= 1
         if e.tag in _BLOCK:
             out.append(None)
         mark = b""
@@ -142,7 +144,7 @@ def parse(source: str, templates: frozenset[int] = frozenset(), inner: frozenset
         if m[1]:
             if tag == "br":
                 out.append(" ")
-            elif any(e.tag == tag for e in stack):
+            elif opened[tag]:
                 while stack[-1].tag != tag:
                     close()
                 close()
@@ -151,12 +153,9 @@ def parse(source: str, templates: frozenset[int] = frozenset(), inner: frozenset
             end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>", re.I).search(source, pos)
             pos = end.end() if end else size
             continue
-        if tag in _BLOCK:
-            closes = ("p",) + _CLOSES.get(tag, ())
-        else:
-            closes = _CLOSES.get(tag, ())
+        closes = (("p",) if tag in _BLOCK else ()) + _CLOSES.get(tag, ())
         if closes:
-            depth = len(stack) - 1
+            depth = len(stack) - 1 if any(opened[c] for c in closes) else 0
             cut = 0
             while depth > 0:
                 if stack[depth].tag in closes:
@@ -166,6 +165,7 @@ def parse(source: str, templates: frozenset[int] = frozenset(), inner: frozenset
                 depth -= 1
             while cut and len(stack) > cut:
                 close()
+        if tag in _BLOCK:
             out.append(None)
         if tag in _VOID:
             out.append(None if tag == "hr" else " " if tag == "br" else "")
@@ -177,6 +177,7 @@ def parse(source: str, templates: frozenset[int] = frozenset(), inner: frozenset
         drop = _boilerplate(tag, attrs, mains > 0)
         main = main and not drop
         mains += main
+        opened[tag] += 1
         stack.append(_Open(tag, attrs.get("class", "") + "\x00" + attrs.get("id", ""), len(out), drop, main))
     while len(stack) > 1:
         close()

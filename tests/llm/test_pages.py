@@ -111,6 +111,7 @@ def test_parse(page, text):
 
 def test_deep_and_broken_pages_end():
     assert parse("<div>" * 20000 + "x") == "x"
+    assert parse("<b>" * 20000 + "</i>" * 20000 + "<p>" * 20000 + "x") == "x"
     assert parse("<" * 5000) == "<" * 5000
     assert parse('<p a="' * 2000).count("x") == 0
 
