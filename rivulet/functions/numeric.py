@@ -1,8 +1,9 @@
-"""Order-independent numeric aggregates.
+"""Sums and means of amounts.
 
-Floating-point sums depend on summation order, which differs between partial
-aggregates, micro-batch boundaries and engines. Amounts with a fixed number of
-decimals are summed as decimals (exact, associative) and only then turned into doubles.
+``total`` and ``mean`` are Spark's own ``sum`` and ``avg``. Floating-point sums depend on
+summation order in their last digits, which differs between partial aggregates and
+micro-batches; where a result must not, name the decimals that the result is to show, or
+the scale of the amounts, and the sum is made of exact decimals.
 """
 
 from __future__ import annotations
@@ -10,15 +11,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
 
+def _col(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
-def exact_sum(c: Column | str, dtype: str = MONEY) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast(dtype)).cast("double")
 
+def total(c: Column | str, decimals: int | None = None) -> Column:
+    """``sum``; with ``decimals`` the finished sum is rounded to so many."""
+    out = F.sum(_col(c))
+    return out if decimals is None else F.round(out, decimals)
 
-def exact_mean(c: Column | str, dtype: str = MONEY) -> Column:
-    """Mean as exact sum / count (same double division everywhere)."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast(dtype)).cast("double") / F.count(col)
+
+def mean(c: Column | str, decimals: int | None = None) -> Column:
+    """``avg``; with ``decimals`` the finished mean is rounded to so many."""
+    out = F.avg(_col(c))
+    return out if decimals is None else F.round(out, decimals)
+
+
+def exact_sum(c: Column | str, scale: int) -> Column:
+    """Sum of amounts with at most ``scale`` decimals, exact in any order. Further decimals
+    are rounded and an amount of 10^(28 - scale) or more raises, so the caller names it."""
+    return F.sum(_col(c).cast(f"decimal(28,{scale})"))

@@ -41,5 +41,5 @@ def parse_csv_line(value: Column, fields: Sequence[tuple[str, str]], sep: str =
 
 
 def words(text: Column) -> Column:
-    """Whitespace-separated tokens of a text (empty tokens removed)."""
-    return F.filter(F.split(text, WORD_SPLIT), lambda w: w != F.lit(""))
+    """Whitespace-separated tokens of a text (the first or last may be empty)."""
+    return F.split(text, WORD_SPLIT)

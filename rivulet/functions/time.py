@@ -18,12 +18,6 @@ def epoch_micros(c: Column | str) -> Column:
     return F.unix_micros(F.col(c) if isinstance(c, str) else c)
 
 
-def window_bounds(win: str = "window", prefix: str = "win") -> list[Column]:
-    """``window.start``/``window.end`` as epoch seconds named ``<prefix>_start/_end``."""
-    return [epoch_seconds(F.col(f"{win}.start")).alias(f"{prefix}_start"),
-            epoch_seconds(F.col(f"{win}.end")).alias(f"{prefix}_end")]
-
-
 def millis_to_timestamp(c: Column | str) -> Column:
     """Epoch millis to timestamp on the JVM side (no UDF needed)."""
     return F.timestamp_millis(F.col(c) if isinstance(c, str) else c)

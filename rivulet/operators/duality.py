@@ -1,8 +1,9 @@
 """Stream-table duality: changelog folds, the table at every point, snapshot diffs.
 
 A changelog is ``(seq, key, op, value)``: ``op='set'`` assigns, ``op='delete'`` removes
-the key. Folds are aggregations with partial combine (no per-key sort); the scan is a
-two-level prefix computation so that one hot key is split into bounded chunks.
+the key (also the null key). Folds of fixed-width values are hash aggregates with partial
+combine; the sum fold and the scan are two-level, so that one hot key is split into
+chunks of the log.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.operators.joins import checked_broadcast
+from rivulet.operators.aggregate import latest_per_key
 
 SET, DELETE = "set", "delete"
 
@@ -27,22 +28,39 @@ def fold_upsert(cl: DataFrame, upto_seq: Column | int | None = None) -> DataFram
     keys whose last record is a delete are absent. Output ``key, value, seq``."""
     if upto_seq is not None:
         cl = cl.where(F.col("seq") <= upto_seq)
-    last = cl.groupBy("key").agg(F.max(F.struct("seq", "op", "value")).alias("_r"))
-    return (last.where(F.col("_r.op") == F.lit(SET))
-            .select("key", F.col("_r.value").alias("value"), F.col("_r.seq").alias("seq")))
-
-
-def fold_sum(cl: DataFrame, limit_bytes: int | None = None) -> DataFrame:
-    """Table = per key, sum of ``set`` values after the key's last delete. Two passes:
-    last delete per key (an aggregate), then the sum of later assignments (join back to
-    that small per-key table, broadcast when its size allows; AQE splits a skewed key
-    otherwise)."""
-    last_del = (cl.where(F.col("op") == F.lit(DELETE)).groupBy("key")
-                .agg(F.max("seq").alias("_del_seq")))
-    last_del = checked_broadcast(last_del, limit_bytes) if limit_bytes else checked_broadcast(last_del)
-    joined = cl.where(F.col("op") == F.lit(SET)).join(last_del, "key", "left")
-    after = joined.where(F.col("_del_seq").isNull() | (F.col("seq") > F.col("_del_seq")))
-    return after.groupBy("key").agg(F.sum("value").alias("total"), F.count(F.lit(1)).alias("n_sets"))
+    flat = cl.select("key", "seq", (F.col("op") == F.lit(SET)).alias("_set"), "value")
+    last = latest_per_key(flat, ["key"], ["seq"], ["_set", "value"])
+    return last.where("_set").select("key", "value", "seq")
+
+
+def fold_two(cl: DataFrame, upto_seq: Column | int) -> DataFrame:
+    """The upsert fold at ``upto_seq`` and at the end in one pass (whole numbers or other
+    fixed-width values): ``key, old_set, old_value, new_set, new_value``."""
+    early = F.when(F.col("seq") <= upto_seq, F.col("seq"))
+    is_set = F.col("op") == F.lit(SET)
+    flat = cl.select("key", "seq", early.alias("_early"), is_set.alias("_set"), "value")
+    return flat.groupBy("key").agg(
+        F.max_by("_set", "_early").alias("old_set"), F.max_by("value", "_early").alias("old_value"),
+        F.max_by("_set", "seq").alias("new_set"), F.max_by("value", "seq").alias("new_value"))
+
+
+def fold_sum(cl: DataFrame, chunk: int = 1 << 20) -> DataFrame:
+    """Table = per key, sum of ``set`` values after the key's last delete.
+
+    One shuffle of the raw rows, by ``(key, seq div chunk)``, so a hot key is spread over
+    its chunks: each chunk's last delete and the sum and count after it. A key's chunks
+    are then few: the sums from its last chunk with a delete on."""
+    w = Window.partitionBy("key", "_chunk")
+    c = cl.withColumn("_chunk", F.floor(F.col("seq") / F.lit(chunk)).cast("long")).withColumn(
+        "_del", F.max(F.when(F.col("op") == F.lit(DELETE), F.col("seq"))).over(w))
+    after = (F.col("op") == F.lit(SET)) & (F.col("_del").isNull() | (F.col("seq") > F.col("_del")))
+    chunks = c.groupBy("key", "_chunk").agg(
+        F.sum(F.when(after, F.col("value"))).alias("s"), F.count(F.when(after, 1)).alias("n"),
+        F.max(F.when(F.col("_del").isNotNull(), F.col("_chunk"))).alias("_reset"))
+    chunks = chunks.withColumn("_from", F.max("_reset").over(Window.partitionBy("key")))
+    live = chunks.where(F.col("_from").isNull() | (F.col("_chunk") >= F.col("_from")))
+    out = live.groupBy("key").agg(F.sum("s").alias("total"), F.sum("n").alias("n_sets"))
+    return out.where("n_sets > 0")
 
 
 def scan_sum(cl: DataFrame, chunk: int = 1 << 20) -> DataFrame:
@@ -55,49 +73,52 @@ def scan_sum(cl: DataFrame, chunk: int = 1 << 20) -> DataFrame:
     records, so no task holds a whole hot key. Output ``seq, key, op, value, running``.
     """
     set_value = F.when(F.col("op") == F.lit(SET), F.col("value")).otherwise(F.lit(0))
-    c = cl.withColumn("_chunk", F.floor(F.col("seq") / F.lit(chunk)).cast("long"))
-    w = Window.partitionBy("key", "_chunk").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    # a key that is never null: the join at the end then asks for the very distribution
+    # that the windows made
+    blank = F.lit("0").cast(cl.schema["key"].dataType)
+    c = cl.select("seq", "key", "op", "value", F.col("key").isNull().alias("_null"),
+                  F.coalesce("key", blank).alias("_k"),
+                  F.floor(F.col("seq") / F.lit(chunk)).cast("long").alias("_chunk"))
+    by = ["_null", "_k", "_chunk"]
+    w = Window.partitionBy(*by).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     step1 = c.withColumn("_cum", F.sum(set_value).over(w))
     step2 = step1.withColumn(
         "_at_reset", F.last(F.when(F.col("op") == F.lit(DELETE), F.col("_cum")), True).over(w))
     local = (step2.withColumn("_has_reset", F.col("_at_reset").isNotNull())
              .withColumn("_since", F.col("_cum") - F.coalesce(F.col("_at_reset"), F.lit(0))))
-
-    summary = (local.groupBy("key", "_chunk")
-               .agg(F.max_by(F.struct(F.col("_since").alias("s"), F.col("_has_reset").alias("r")),
-                             F.col("seq")).alias("_last"),
-                    F.max(F.col("_has_reset").cast("int")).alias("_any_reset"))
-               .select("key", "_chunk", F.col("_last.s").alias("s"),
-                       (F.col("_any_reset") == 1).alias("r")))
-    ws = Window.partitionBy("key").orderBy("_chunk")
-    prior = ws.rowsBetween(Window.unboundedPreceding, -1)
-    carry = (summary
+    # the hash keeps every column in this branch too, so both read one shuffle
+    summary = local.groupBy(*by).agg(
+        F.max_by("_since", "seq").alias("s"), F.max("_has_reset").alias("r"),
+        F.max(F.hash("key", "op", "value")).alias("_all"))
+    prior = Window.partitionBy("_null", "_k").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (summary.where(F.col("_all").isNotNull())
              .withColumn("_prev_p", F.coalesce(F.sum("s").over(prior), F.lit(0)))
              .withColumn("_base", F.last(F.when(F.col("r"), F.col("_prev_p")), True).over(prior))
-             .select("key", "_chunk",
-                     (F.col("_prev_p") - F.coalesce(F.col("_base"), F.lit(0))).alias("_carry")))
-    # null-safe keys: no inferred IsNotNull filter, so both branches share one shuffle
-    carry = checked_broadcast(carry.withColumnRenamed("key", "_ck").withColumnRenamed("_chunk", "_cc"))
-    out = local.join(carry, F.col("key").eqNullSafe(F.col("_ck")) & (F.col("_chunk") == F.col("_cc")),
-                     "left")
+             .select(*by, (F.col("_prev_p") - F.coalesce(F.col("_base"), F.lit(0))).alias("_carry")))
+    out = local.join(carry, by, "left")
     running = F.when(F.col("_has_reset"), F.col("_since")).otherwise(
         F.coalesce(F.col("_carry"), F.lit(0)) + F.col("_since"))
     return out.select("seq", "key", "op", "value", running.alias("running"))
 
 
+def changes(both: DataFrame) -> DataFrame:
+    """Net change per key from ``key, old_set, old_value, new_set, new_value`` (a set is true
+    where the key is in the snapshot): ``insert``, ``update`` or ``delete`` with both
+    values; unchanged keys are omitted."""
+    was, now = F.coalesce("old_set", F.lit(False)), F.coalesce("new_set", F.lit(False))
+    old_value, new_value = F.when(was, F.col("old_value")), F.when(now, F.col("new_value"))
+    op = F.when(~was, F.lit("insert")).when(~now, F.lit("delete")).otherwise(F.lit("update"))
+    changed = (was != now) | (was & ~old_value.eqNullSafe(new_value))
+    return both.where(changed).select("key", op.alias("op"), old_value.alias("old_value"), new_value.alias("new_value"))
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:
-    """Net change between two snapshots (one row per key each): ``insert``, ``update``
-    or ``delete`` with old/new values; unchanged keys are omitted. One union and one
-    aggregation (a single shuffle), no join."""
-    both = (old.select(F.col(key).alias("key"), F.lit(0).alias("_side"), F.col(value).alias("v"))
-            .unionByName(new.select(F.col(key).alias("key"), F.lit(1).alias("_side"),
-                                    F.col(value).alias("v"))))
-    g = both.groupBy("key").agg(
-        F.max(F.when(F.col("_side") == 0, F.struct(F.col("v")))).alias("_o"),
-        F.max(F.when(F.col("_side") == 1, F.struct(F.col("v")))).alias("_n"))
-    op = (F.when(F.col("_o").isNull(), F.lit("insert"))
-          .when(F.col("_n").isNull(), F.lit("delete"))
-          .otherwise(F.lit("update")))
-    changed = F.col("_o").isNull() | F.col("_n").isNull() | ~F.col("_o.v").eqNullSafe(F.col("_n.v"))
-    return g.where(changed).select("key", op.alias("op"), F.col("_o.v").alias("old_value"),
-                                   F.col("_n.v").alias("new_value"))
+    """Net change between two snapshots (one row per key each). One union and one
+    aggregation (a single shuffle; a hash aggregate for fixed-width values), no join."""
+    def side(df: DataFrame, is_new: bool) -> DataFrame:
+        return df.select(F.col(key).alias("key"), F.lit(is_new).alias("_new"), F.col(value).alias("v"))
+
+    g = side(old, False).unionByName(side(new, True)).groupBy("key").agg(
+        F.max(~F.col("_new")).alias("old_set"), F.max(F.when(~F.col("_new"), F.col("v"))).alias("old_value"),
+        F.max("_new").alias("new_set"), F.max(F.when(F.col("_new"), F.col("v"))).alias("new_value"))
+    return changes(g)

@@ -12,7 +12,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +28,8 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def checked_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """``F.broadcast(df)`` if its estimated size is within ``limit_bytes``, else ``df``
-    unchanged (a shuffle join). The static side of a stream-static join is re-read and
-    re-broadcast every micro-batch, so the check runs against its current size."""
+    unchanged (a shuffle join). The check is made once, when the plan is built: for
+    bounded plans, not for the static side of a long-running stream."""
     try:
         size = estimated_bytes(df)
     except Exception:  # noqa: BLE001 - no estimate: do not risk a broadcast
@@ -37,10 +37,21 @@ def checked_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_LIMIT)
     return F.broadcast(df) if size <= limit_bytes else df
 
 
-def stream_static_join(stream: DataFrame, static: DataFrame, on: Column | Sequence[str] | str,
-                       how: str = "inner", limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """The stream drives; the static side is joined as of each micro-batch."""
-    return stream.join(checked_broadcast(static, limit_bytes), on, how)
+def stream_static_join(read_static: Callable[[], DataFrame], on: Column | Sequence[str] | str,
+                       sink: Callable[[DataFrame, int], None], how: str = "inner",
+                       select: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: each micro-batch meets the static table as it is then.
+    ``read_static`` is called per batch (a plan built once would keep the file listing of
+    its start), so Spark's own threshold decides about a broadcast by today's size."""
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        sink(select(batch.join(read_static(), on, how)), batch_id)
+
+    return per_batch
+
+
+def _bucket(micros: Column, width: Column) -> Column:
+    """Number of the time bucket, in whole numbers (also before 1970)."""
+    return F.call_function("div", micros - F.pmod(micros, width), width)
 
 
 def stream_stream_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -61,8 +72,7 @@ def stream_stream_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     cond = []
     if spread_by_time:
         width = F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {within}"))
-        lb = F.floor(F.unix_micros(F.col(left_ts)) / width).cast("long")
-        rb = F.floor(F.unix_micros(F.col(right_ts)) / width).cast("long")
+        lb, rb = (_bucket(F.unix_micros(F.col(c)), width) for c in (left_ts, right_ts))
         lw = lw.withColumn("_bucket", lb)
         rw = rw.withColumn("_bucket", F.explode(F.array(rb - F.lit(1), rb, rb + F.lit(1))))
         cond.append(F.col("l._bucket") == F.col("r._bucket"))
@@ -88,8 +98,8 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
     if delay:
         left = left.withWatermark(left_ts, delay)
         right = right.withWatermark(right_ts, delay)
-    lb = F.floor(F.unix_micros(F.col(left_ts)) / F.lit(bound_seconds * 1_000_000)).cast("long")
-    rb = F.floor(F.unix_micros(F.col(right_ts)) / F.lit(bound_seconds * 1_000_000)).cast("long")
+    width = F.lit(bound_seconds * 1_000_000).cast("long")
+    lb, rb = (_bucket(F.unix_micros(F.col(c)), width) for c in (left_ts, right_ts))
     l2 = left.withColumn("_bucket", lb).alias("l")
     r2 = right.withColumn("_bucket", F.explode(F.array(rb, rb - F.lit(1)))).alias("r")
     on = ((F.col(f"l.{key}") == F.col(f"r.{key}"))

@@ -1,55 +1,71 @@
 """Arbitrary stateful processing (``transformWithStateInPandas``) with timers and TTL.
 
-``IdleCounter`` keeps, per key, the number of events and the latest event time. Each
-batch re-arms an event-time timer at ``latest + gap``; when the watermark passes it the
-key is reported as idle (count, latest event time) and its state is cleared. An
-optional TTL drops state of keys that stop receiving data even without a watermark.
-
-Input rows of a key arrive as an iterator of Arrow batches; the processor only folds
-counts and a maximum over them, so a hot key is streamed through, never materialised.
-Needs the RocksDB state store provider.
+``idle_keys`` reports every idle period: a stretch of ``gap_ms`` of event time without an
+event of the key. Events are first counted on the JVM per key and short time bucket (a
+windowed aggregate with partial combine), so a hot key reaches the Python processor as a
+row per bucket. The aggregate hands over a bucket once the watermark has passed it, so
+buckets arrive in time order however the input is cut into batches, and the processor
+walks them: a gap between two buckets ends an idle period, and so does a timer when the
+key stays silent. An optional TTL drops the state of keys without a watermark.
+
+Needs the RocksDB state store provider. The processor is pickled by value: workers need
+no copy of this package.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from rivulet.streaming.runtime import ROCKSDB  # noqa: F401 - re-exported for callers
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: Width of the buckets; no gap shorter than this can be asked for.
+BUCKET_MS = 3_600_000
 
 
 class IdleCounter(StatefulProcessor):
-    def __init__(self, key_col: str, gap_ms: int, ttl_ms: int | None = None):
+    def __init__(self, key_col: str, gap_ms: int, bucket_ms: int = BUCKET_MS, ttl_ms: int | None = None):
         self.key_col = key_col
         self.gap_ms = gap_ms
+        self.bucket_ms = bucket_ms
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.acc = handle.getValueState("acc", "cnt long, last_us long", self.ttl_ms)
 
+    def _report(self, key, found: list[tuple[int, int]]) -> pd.DataFrame:
+        return pd.DataFrame({self.key_col: [key[0]] * len(found), "cnt": [c for c, _ in found],
+                             "last_ts_us": [t for _, t in found]})
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
         cnt, last_us = self.acc.get() if self.acc.exists() else (0, None)
-        for chunk in rows:
-            cnt += len(chunk)
-            m = int(chunk["ts_us"].max())
-            last_us = m if last_us is None else max(last_us, m)
+        buckets = pd.concat(list(rows)).sort_values("lo_us")  # a row per bucket of the batch
+        idle = []
+        for n, lo, hi in zip(buckets["n"].tolist(), buckets["lo_us"].tolist(), buckets["hi_us"].tolist()):
+            if last_us is not None and lo - last_us >= self.gap_ms * 1000:
+                idle.append((cnt, last_us))
+                cnt = 0
+            cnt, last_us = cnt + n, hi
         for t in list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
-        self.handle.registerTimer(last_us // 1000 + self.gap_ms)
+        # events up to a bucket's width behind the watermark may still be on their way
+        self.handle.registerTimer(last_us // 1000 + self.gap_ms + self.bucket_ms)
         self.acc.update((cnt, last_us))
-        return iter([])
+        if idle:
+            yield self._report(key, idle)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
-        if not self.acc.exists():
-            return iter([])
-        cnt, last_us = self.acc.get()
-        self.acc.clear()
-        yield pd.DataFrame({self.key_col: [key[0]], "cnt": [cnt], "last_ts_us": [last_us]})
+        if self.acc.exists():
+            cnt, last_us = self.acc.get()
+            self.acc.clear()
+            yield self._report(key, [(cnt, last_us)])
 
     def close(self) -> None:
         pass
@@ -57,11 +73,17 @@ class IdleCounter(StatefulProcessor):
 
 def idle_keys(df: DataFrame, key: str, ts: str, gap_ms: int, delay: str,
               ttl_ms: int | None = None) -> DataFrame:
-    """Keys that went idle for ``gap_ms`` of event time: ``key, cnt, last_ts_us``."""
-    src = (df.withWatermark(ts, delay)
-           .select(key, ts, F.unix_micros(F.col(ts)).alias("ts_us")))
+    """Every idle period of ``gap_ms`` or more: ``key, cnt, last_ts_us``, with the number of
+    the key's events since its last idle period and the time of the last one."""
+    if gap_ms < BUCKET_MS:
+        raise ValueError("the gap must be at least a bucket long")
+    us = F.unix_micros(F.col(ts))
+    buckets = (df.withWatermark(ts, delay)
+               .groupBy(F.window(ts, f"{BUCKET_MS} milliseconds").alias("_w"), key)
+               .agg(F.count(F.lit(1)).alias("n"), F.min(us).alias("lo_us"), F.max(us).alias("hi_us"))
+               .select(key, F.window_time("_w").alias("bucket_time"), "n", "lo_us", "hi_us"))
     key_type = dict(df.dtypes)[key]
-    return src.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=IdleCounter(key, gap_ms, ttl_ms),
+    return buckets.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=IdleCounter(key, gap_ms, ttl_ms=ttl_ms),
         outputStructType=f"{key} {key_type}, cnt long, last_ts_us long",
         outputMode="Append", timeMode="EventTime")

@@ -34,4 +34,4 @@ def project_events(df: DataFrame) -> DataFrame:
 
 def explode_words(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """flatMap: one row per whitespace token of ``text``."""
-    return df.select(*keep, F.explode(words(F.col(text))).alias("word"))
+    return df.select(*keep, F.explode(words(F.col(text))).alias("word")).where(F.col("word") != "")

@@ -24,7 +24,7 @@ QUERY_NAMES = [
     "k_accumulate", "k_upsert", "k_fanout", "k_dead_letter", "k_dedup_downstream",
     "k_topk_all_time", "t_topk_batch",
     "s_rate_contiguity", "s_state_reader", "u_millis", "b_progress", "b_audit", "w_late_data",
-    "x_idle_users", "k_compact", "a_avg_partial", "k_partitioned_write",
+    "x_idle_users", "x_migrate", "k_compact", "a_avg_partial", "k_partitioned_write",
 ]
 
 

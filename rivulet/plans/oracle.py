@@ -19,7 +19,7 @@ ORACLE: dict[str, str] = {}
 ORACLE["w_tumbling_key"] = f"""
 WITH b AS (SELECT epoch_us(ts) // {DAY_US} * 86400 AS ws, event_type, value FROM events)
 SELECT ws AS win_start, ws + 86400 AS win_end, event_type, count(*) AS cnt,
-       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+       round(sum(value), 6) AS total_value
 FROM b GROUP BY ws, event_type
 HAVING (ws + 86400) * 1000000 <= {_wm_us(2 * DAY_US)}
 """
@@ -35,7 +35,7 @@ ORACLE["w_sliding"] = f"""
 WITH b AS (SELECT epoch_us(ts) // {4 * HOUR_US} * 14400 - k * 14400 AS ws, value
            FROM events, unnest([0, 1, 2]) AS t(k))
 SELECT ws AS win_start, ws + 43200 AS win_end, count(*) AS cnt,
-       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+       round(sum(value), 6) AS total_value
 FROM b GROUP BY ws
 HAVING (ws + 43200) * 1000000 <= {_wm_us(DAY_US)}
 """
@@ -47,7 +47,7 @@ s AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 6 HOUR THEN
                 OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM o),
 g AS (SELECT user_id, sid, epoch_us(min(ts)) AS session_start_us,
              epoch_us(max(ts)) + {6 * HOUR_US} AS session_end_us, count(*) AS cnt,
-             CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+             round(sum(value), 6) AS total_value
       FROM s GROUP BY user_id, sid)
 SELECT user_id, session_start_us, session_end_us, cnt, total_value FROM g
 WHERE session_end_us <= {_wm_us(DAY_US)}
@@ -73,7 +73,7 @@ for _k in ("s_parquet_stream", "s_batch_scan", "s_json_stream", "s_envelope", "d
     ORACLE[_k] = _PROJECTION
 
 ORACLE["s_bronze_stream"] = """
-SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS avg_value,
+SELECT user_id, round(avg(value), 6) AS avg_value,
        count(*) AS cnt
 FROM events WHERE event_type = 'purchase' GROUP BY user_id
 """
@@ -98,7 +98,7 @@ SELECT word, count(*) AS cnt FROM w WHERE word <> '' GROUP BY word
 """
 
 ORACLE["a_sum_count"] = """
-SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value, count(*) AS cnt
+SELECT user_id, round(sum(value), 6) AS total_value, count(*) AS cnt
 FROM events GROUP BY user_id
 """
 
@@ -166,7 +166,7 @@ ORACLE["u_union"] = f"""
 WITH b AS (SELECT epoch_us(ts) // {DAY_US} * 86400 AS ws, event_type FROM events),
 wm AS (SELECT least(
   (SELECT (epoch_us(max(ts)) // 1000) * 1000 FROM events WHERE event_type IN ('click', 'view')),
-  (SELECT (epoch_us(max(ts)) // 1000) * 1000 FROM events WHERE event_type NOT IN ('click', 'view'))
+  (SELECT (epoch_us(max(ts)) // 1000) * 1000 FROM events WHERE event_type NOT IN ('click', 'view') OR event_type IS NULL)
   ) - {2 * DAY_US} AS wm)
 SELECT ws AS win_start, ws + 86400 AS win_end, event_type, count(*) AS cnt
 FROM b GROUP BY ws, event_type
@@ -321,13 +321,29 @@ GROUP BY ws, event_type
 HAVING (ws + 86400) * 1000000 <= (SELECT max(mx) FROM a) - {2 * DAY_US}
 """
 
+# Hourly counts reach the processor once the watermark passes their hour; a period is idle
+# when the next counted event is 6 hours away, or when the watermark is 7 hours past it.
 ORACLE["x_idle_users"] = f"""
-SELECT user_id, count(*) AS cnt, epoch_us(max(ts)) AS last_ts_us FROM events GROUP BY user_id
-HAVING (epoch_us(max(ts)) // 1000) * 1000 + {6 * HOUR_US} < {_wm_us(DAY_US)}
+WITH e AS (SELECT user_id, epoch_us(ts) AS us FROM events
+           WHERE (epoch_us(ts) // {HOUR_US} + 1) * {HOUR_US} <= {_wm_us(DAY_US)}),
+n AS (SELECT *, lag(us) OVER w AS prev, lead(us) OVER w AS nxt FROM e WINDOW w AS (PARTITION BY user_id ORDER BY us)),
+i AS (SELECT *, sum(CASE WHEN us - prev >= {6 * HOUR_US} THEN 1 ELSE 0 END)
+                OVER (PARTITION BY user_id ORDER BY us ROWS UNBOUNDED PRECEDING) AS island FROM n),
+g AS (SELECT user_id, count(*) AS cnt, max(us) AS last_ts_us, max(island) OVER (PARTITION BY user_id) = island AS final
+      FROM i GROUP BY user_id, island)
+SELECT user_id, cnt, last_ts_us FROM g
+WHERE NOT final OR (last_ts_us // 1000) * 1000 + {7 * HOUR_US} < {_wm_us(DAY_US)}
+"""
+
+ORACLE["x_migrate"] = """
+SELECT e.user_id, coalesce(n.n_name, 'unknown') AS country, count(*) AS cnt
+FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+GROUP BY e.user_id, coalesce(n.n_name, 'unknown')
 """
 
 ORACLE["a_avg_partial"] = """
-SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS avg_value,
+SELECT event_type, round(avg(value), 6) AS avg_value,
        count(*) AS cnt
 FROM events GROUP BY event_type
 """

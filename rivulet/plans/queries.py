@@ -8,22 +8,27 @@ instants as epoch microseconds, money-like sums as exact decimal sums.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rivulet import schemas
 from rivulet.functions import parse
-from rivulet.functions.numeric import exact_mean, exact_sum
-from rivulet.functions.time import millis_to_timestamp, millis_to_timestamp_udf
+from rivulet.functions.numeric import mean, total
+from rivulet.functions.time import millis_to_timestamp
 from rivulet.operators import aggregate, dedup, duality, joins, stateful, stateless, topk, windows
 from rivulet.plans.materialize import append_to_parquet, through_batches
 from rivulet.session import run_dir
 from rivulet.sources import envelope, files, state, tables
-from rivulet.streaming import observe, operations, runtime
+from rivulet.streaming import observe, operations, paths, runtime
+from rivulet.streaming.commits import BATCH_COL, GEN_COL
 from rivulet.streaming.sinks import (AccumulatingTable, BatchPathSink, TxnGuard, UpsertTable,
                                      VersionedTable, accumulate_merge, append_writer, fan_out,
                                      split_dead_letter, versioned_sink)
 
+#: Decimals that registered queries show of sums and means (float sums depend on their
+#: order in the last digits).
+DECIMALS = 6
+
 
 def _cnt():
     """count(*) under the name ``cnt``."""
@@ -36,7 +41,7 @@ def w_tumbling_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: 1-day tumbling counts per event type, 2-day watermark, append mode."""
     ev = tables.events(spark, sf_dir)
     agg = windows.windowed_agg(ev, "ts", "1 day", [_cnt(),
-                                                   exact_sum("value").alias("total_value")],
+                                                   total("value", DECIMALS).alias("total_value")],
                                delay="2 days", keys=["event_type"])
     return append_to_parquet(agg, "w_tumbling_key")
 
@@ -52,7 +57,7 @@ def w_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """12-hour windows every 4 hours (each event lands in 3 windows), 1-day watermark."""
     ev = tables.events(spark, sf_dir)
     agg = windows.windowed_agg(ev, "ts", "12 hours", [_cnt(),
-                                                      exact_sum("value").alias("total_value")],
+                                                      total("value", DECIMALS).alias("total_value")],
                                slide="4 hours", delay="1 day")
     return append_to_parquet(agg, "w_sliding")
 
@@ -61,7 +66,7 @@ def w_session(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-user sessions closed after a 6-hour gap, 1-day watermark."""
     ev = tables.events(spark, sf_dir)
     agg = windows.session_agg(ev, "ts", "6 hours", ["user_id"],
-                              [_cnt(), exact_sum("value").alias("total_value")],
+                              [_cnt(), total("value", DECIMALS).alias("total_value")],
                               delay="1 day")
     return append_to_parquet(agg, "w_session")
 
@@ -113,6 +118,11 @@ def _complete_through(agg: DataFrame, name: str) -> DataFrame:
     return sink.read_latest(agg.sparkSession, agg.schema)
 
 
+def _shown(df: DataFrame) -> DataFrame:
+    """Doubles with the decimals that results show."""
+    return df.withColumns({c: F.round(c, DECIMALS) for c, t in df.dtypes if t == "double"})
+
+
 # ---------------------------------------------------------------- sources
 
 def s_parquet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,8 +140,7 @@ def s_json_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON folder stream with an explicit schema (events rewritten as JSON files)."""
     root = run_dir(spark, "s_json_stream_in")
     glob = _events_as_files(spark, sf_dir, root, "json", n=2, options=parse.JSON_OPTIONS)
-    stream = files.json_stream(spark, glob, schemas.EVENTS_TS, max_files=1,
-                               options=parse.JSON_OPTIONS)
+    stream = files.json_stream(spark, glob, schemas.EVENTS_TS, options=parse.JSON_OPTIONS)
     return append_to_parquet(stateless.project_events(stream), "s_json_stream")
 
 
@@ -150,7 +159,7 @@ def s_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message envelopes (key/value bytes, topic, partition, offset, ...) parsed with
     ``from_json`` and flattened with ``select("e.*")``."""
     glob = _write_envelopes(spark, sf_dir, run_dir(spark, "s_envelope_in"))
-    stream = files.parquet_stream(spark, glob, schemas.ENVELOPE, max_files=1)
+    stream = files.parquet_stream(spark, glob, schemas.ENVELOPE)
     parsed = envelope.decode(stream, schemas.EVENTS_TS)
     return append_to_parquet(stateless.project_events(parsed), "s_envelope")
 
@@ -159,13 +168,13 @@ def s_bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two queries coupled only by a table: envelopes -> bronze (append, stamped with
     ingestion time) and bronze as a stream -> complete-mode dashboard."""
     glob = _write_envelopes(spark, sf_dir, run_dir(spark, "s_bronze_in"))
-    raw = files.parquet_stream(spark, glob, schemas.ENVELOPE, max_files=1)
+    raw = files.parquet_stream(spark, glob, schemas.ENVELOPE)
     bronze = windows.stamp_ingestion(envelope.decode(raw, schemas.EVENTS_TS), "ingestionTime")
     bronze_dir = run_dir(spark, "s_bronze_table")
     runtime.run_to_end(bronze, runtime.checkpoint_for(bronze_dir), sink=bronze_dir)
     silver = files.parquet_stream(spark, bronze_dir, bronze.schema)
     dash = aggregate.filtered_group(silver, F.col("event_type") == "purchase", ["user_id"], ["value"])
-    return _complete_through(dash, "s_bronze_dashboard")
+    return _shown(_complete_through(dash, "s_bronze_dashboard"))
 
 
 def s_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +187,7 @@ def s_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     sliced = files.Slices(lines, 2, "event_id")
     for i in range(2):
         files.write_slice(sliced, root, i, fmt="text", cols=["value"])
-    text = files.text_stream(spark, f"{root}/slice-*", max_files=1)
+    text = files.text_stream(spark, f"{root}/slice-*")
     key, ms = parse.parse_csv_line(F.col("value"), [("key", "string"), ("ms", "long")])
     parsed = (text.select(key, ms).where(F.col("key").isNotNull() & F.col("ms").isNotNull())
               .withColumn("eventTime", millis_to_timestamp("ms")))
@@ -194,11 +203,12 @@ def p_stateless(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p_flatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """flatMap of document texts into words (``explode``), counted per word; the
-    count streams in update mode into a keyed upsert table."""
+    """flatMap of document texts into words (``explode``), counted per word: partial counts
+    per batch into an accumulating table, so no state store holds the vocabulary."""
     docs = tables.stream_table(spark, sf_dir, "documents", schemas.DOCUMENTS)
-    counts = aggregate.group_count(stateless.explode_words(docs), ["word"])
-    return _upsert_through(counts, "p_flatmap", ["word"])
+    ones = stateless.explode_words(docs).withColumn("cnt", F.lit(1).cast("long"))
+    sink = through_batches(ones, "p_flatmap", lambda root: AccumulatingTable(root, ["word"], ["cnt"]))
+    return sink.read(spark)
 
 
 # ---------------------------------------------------------------- aggregation
@@ -206,14 +216,14 @@ def p_flatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 def a_sum_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-user sum and count, update mode -> upsert."""
     agg = aggregate.sum_count(tables.events(spark, sf_dir), ["user_id"], "value")
-    return _upsert_through(agg, "a_sum_count", ["user_id"])
+    return _shown(_upsert_through(agg, "a_sum_count", ["user_id"]))
 
 
 def a_filtered_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filter then per-user mean and count (the dashboard), complete mode."""
     dash = aggregate.filtered_group(tables.events(spark, sf_dir),
                                     F.col("event_type") == "purchase", ["user_id"], ["value"])
-    return _complete_through(dash, "a_filtered_group")
+    return _shown(_complete_through(dash, "a_filtered_group"))
 
 
 def a_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,18 +239,20 @@ def a_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def a_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct users: streaming dedup into a file sink, counted on read-back."""
+    """Distinct users: a streaming aggregate (partial step before the shuffle) in update
+    mode into an upsert table, counted on read-back."""
     users = aggregate.distinct_values(tables.events(spark, sf_dir), ["user_id"])
-    return append_to_parquet(users, "a_distinct").agg(F.count(F.lit(1)).alias("n_distinct"))
+    return _upsert_through(users, "a_distinct", ["user_id"]).agg(F.count(F.lit(1)).alias("n_distinct"))
 
 
 def a_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest event per user (max by event time, then id), update mode -> upsert."""
-    ev = tables.events(spark, sf_dir)
-    latest = aggregate.latest_per_key(ev, ["user_id"], ["ts", "event_id"], ["event_type", "value"])
-    table = _upsert_through(latest, "a_latest_per_key", ["user_id"])
-    return table.select("user_id", F.unix_micros("ts").alias("ts_us"), "event_id",
-                        "event_type", "value")
+    """Latest event per user (max by event time, then id): each batch folded by hash
+    aggregation into an upsert table that the data's own order decides."""
+    rows = tables.events(spark, sf_dir).select("user_id", "ts", "event_id", "event_type", "value")
+    sink = through_batches(rows, "a_latest_per_key", lambda root: UpsertTable(
+        root, ["user_id"], order=["ts", "event_id"], batch_first=False))
+    return sink.read(spark).select("user_id", F.unix_micros("ts").alias("ts_us"), "event_id",
+                                   "event_type", "value")
 
 
 # ---------------------------------------------------------------- dedup
@@ -267,12 +279,17 @@ def d_dedup_wm(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- joins (J1-J4), union
 
 def j_stream_static(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events stream joined to the customer table (broadcast only under a size check)."""
+    """Events stream joined to the customer table as it is when each batch runs."""
     ev = tables.events(spark, sf_dir).select("event_id", "user_id", "event_type")
-    cust = tables.read_table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    out = joins.stream_static_join(ev, cust, F.col("user_id") == F.col("c_custkey"))
-    return append_to_parquet(out.drop("c_custkey"), "j_stream_static")
+    sink = BatchPathSink(run_dir(spark, "j_stream_static_out"))
+
+    def customers() -> DataFrame:
+        return tables.read_table(spark, sf_dir, "customer").select(
+            F.col("c_custkey").alias("user_id"), "c_name", "c_nationkey", "c_mktsegment")
+
+    runtime.run_to_end(ev, run_dir(spark, "j_stream_static_ck"),
+                       foreach_batch=joins.stream_static_join(customers, "user_id", sink))
+    return sink.read(spark).drop(GEN_COL, BATCH_COL)
 
 
 def j_stream_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -335,8 +352,9 @@ def u_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     unioned into one windowed count; the query watermark is the minimum of the two."""
     ev_a = tables.events(spark, sf_dir)
     ev_b = tables.events(spark, sf_dir)
-    a = ev_a.where(F.col("event_type").isin("click", "view")).withWatermark("ts", "2 days")
-    b = ev_b.where(~F.col("event_type").isin("click", "view")).withWatermark("ts", "2 days")
+    chosen = F.col("event_type").isin("click", "view")
+    a = ev_a.where(chosen).withWatermark("ts", "2 days")
+    b = ev_b.where(~chosen | F.col("event_type").isNull()).withWatermark("ts", "2 days")
     agg = windows.windowed_agg(a.unionByName(b), "ts", "1 day", [_cnt()], keys=["event_type"])
     return append_to_parquet(agg, "u_union")
 
@@ -359,11 +377,15 @@ def o_fold_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duality.fold_upsert(_changelog(spark, sf_dir))
 
 
+def _as_of(spark: SparkSession, sf_dir: str) -> Column:
+    """Log position of ``AS_OF``: a scalar subquery inside the plan."""
+    ev = tables.events(spark, sf_dir, streaming=False)
+    return ev.where(F.col("ts") < F.lit(AS_OF).cast("timestamp")).select(F.max("event_id")).scalar()
+
+
 def o_fold_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same fold at an earlier log position (last event before ``AS_OF``)."""
-    ev = tables.events(spark, sf_dir, streaming=False)
-    pos = ev.where(F.col("ts") < F.lit(AS_OF).cast("timestamp")).select(F.max("event_id")).scalar()
-    return duality.fold_upsert(_changelog(spark, sf_dir), upto_seq=pos)
+    return duality.fold_upsert(_changelog(spark, sf_dir), upto_seq=_as_of(spark, sf_dir))
 
 
 def o_fold_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -377,20 +399,18 @@ def o_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def o_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Table -> stream: net changes between the snapshot as of ``AS_OF`` and now."""
-    old = o_fold_asof(spark, sf_dir)
-    new = o_fold_upsert(spark, sf_dir)
-    return duality.snapshot_diff(old, new, "key", "value")
+    """Table -> stream: net changes between the snapshot as of ``AS_OF`` and now, both
+    folded in one pass."""
+    return duality.changes(duality.fold_two(_changelog(spark, sf_dir), _as_of(spark, sf_dir)))
 
 
 def o_update_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update-mode output over 4 arrivals replayed through a keyed upsert rebuilds the
     result table (equal to the batch aggregate)."""
-    root = run_dir(spark, "o_update_replay_in")
-    glob = _events_as_files(spark, sf_dir, root, "parquet", n=4)
-    stream = files.parquet_stream(spark, glob, schemas.EVENTS_SLICED, max_files=1)
-    agg = aggregate.sum_count(stream, ["user_id"], "value")
-    return _upsert_through(agg, "o_update_replay", ["user_id"])
+    table = UpsertTable(run_dir(spark, "o_update_replay_table"), ["user_id"], unique_keys=True)
+    _arrivals(spark, sf_dir, "o_update_replay", N_SLICES,
+              lambda s: aggregate.sum_count(s, ["user_id"], "value"), output_mode="update", foreach_batch=table)
+    return _shown(table.read(spark))
 
 
 # ---------------------------------------------------------------- sinks (K3-K19), top-k
@@ -398,46 +418,55 @@ def o_update_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 N_SLICES = 4
 
 
-def _sliced_stream(spark: SparkSession, sf_dir: str, name: str, n: int = N_SLICES) -> DataFrame:
-    """`events` arriving as ``n`` ordered files, one file per micro-batch."""
-    glob = _events_as_files(spark, sf_dir, run_dir(spark, f"{name}_in"), "parquet", n=n)
-    return files.parquet_stream(spark, glob, schemas.EVENTS_SLICED, max_files=1)
+def _replay_last(spark: SparkSession, checkpoint: str) -> None:
+    """Make the checkpoint look as after a crash between a batch's sink and its commit: the
+    next start runs the same batch again, with the same id and rows."""
+    done = [int(n) for n in paths.list_names(spark, f"{checkpoint}/commits") if n.isdigit()]
+    paths.delete(spark, f"{checkpoint}/commits/{max(done)}")
+    paths.delete(spark, f"{checkpoint}/commits/.{max(done)}.crc")
 
 
-def _feed(stream: DataFrame, name: str, fn, replay: bool = False, output_mode: str = "append") -> None:
-    """Run ``stream`` through ``foreachBatch(fn)``. With ``replay`` the same input is run a
-    second time on a fresh checkpoint: the same batch ids arrive again with the same
-    rows (what a lost checkpoint or a replayed batch produces), and the sink must
-    absorb them."""
-    d = run_dir(stream.sparkSession, name)
-    runtime.run_to_end(stream, f"{d}/_checkpoint/run0", foreach_batch=fn, output_mode=output_mode)
-    if replay:
-        runtime.run_to_end(stream, f"{d}/_checkpoint/run1", foreach_batch=fn,
-                           output_mode=output_mode)
+def _feed(spark: SparkSession, sf_dir: str, name: str, fn, build=lambda s: s, replay: bool = False,
+          output_mode: str = "append") -> None:
+    """Run `events`, arriving in ``N_SLICES`` slices, through ``foreachBatch(fn)``. With
+    ``replay`` every batch is run a second time, as after a crash before its commit, and
+    the sink must absorb it."""
+    _arrivals(spark, sf_dir, name, N_SLICES, build, replay=replay, foreach_batch=fn, output_mode=output_mode)
 
 
 def _cents() -> Column:
     return F.round(F.col("value") * 100).cast("long")
 
 
-def _arrivals(spark: SparkSession, sf_dir: str, name: str, n: int, build, **start_kwargs):
+def _arrivals(spark: SparkSession, sf_dir: str, name: str, n: int, build, replay: bool = False,
+              **start_kwargs):
     """``n`` arrivals of `events` slices, each drained by one ``availableNow`` run on the
-    same checkpoint (restart between arrivals): batch ``i`` is exactly slice ``i``."""
+    same checkpoint (restart between arrivals): batch ``i`` is exactly slice ``i``,
+    however many files a slice has."""
     root = run_dir(spark, f"{name}_in")
     sliced = files.Slices(tables.events(spark, sf_dir, streaming=False), n, "event_id")
     ck = runtime.checkpoint_for(run_dir(spark, name))
     runs = []
     for i in range(n):
         files.write_slice(sliced, root, i)
-        stream = files.parquet_stream(spark, f"{root}/slice-*", schemas.EVENTS_SLICED)
-        runs.append(runtime.run_to_end(build(stream), ck, **start_kwargs))
+        for again in range(1 + replay):
+            if again:
+                _replay_last(spark, ck)
+            stream = files.parquet_stream(spark, f"{root}/slice-*", schemas.EVENTS_SLICED)
+            runs.append(runtime.run_to_end(build(stream), ck, **start_kwargs))
     return ck, runs
 
 
 def k_file_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parquet file sink over 4 micro-batches (exactly-once via ``_spark_metadata``)."""
-    stream = _sliced_stream(spark, sf_dir, "k_file_sink")
-    return append_to_parquet(stateless.project_events(stream), "k_file_sink")
+    """Parquet file sink over 4 micro-batches (exactly-once via ``_spark_metadata``), the
+    last of each run replayed."""
+    sink = run_dir(spark, "k_file_sink_table")
+    _arrivals(spark, sf_dir, "k_file_sink", N_SLICES, stateless.project_events, replay=True, sink=sink)
+    return spark.read.schema(_projected(spark)).parquet(sink)
+
+
+def _projected(spark: SparkSession):
+    return stateless.project_events(spark.createDataFrame([], schemas.EVENTS_SLICED)).schema
 
 
 def k_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -448,7 +477,7 @@ def k_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     def per_batch(df: DataFrame, batch_id: int) -> None:
         sink(df.groupBy("slice").agg(_cnt(), F.sum(_cents()).alias("total_cents")), batch_id)
 
-    _feed(_sliced_stream(spark, sf_dir, "k_foreach_batch"), "k_foreach_batch", per_batch)
+    _feed(spark, sf_dir, "k_foreach_batch", per_batch)
     parts = sink.read(spark)
     return parts.groupBy("slice").agg(F.sum("cnt").alias("cnt"),
                                       F.sum("total_cents").alias("total_cents"))
@@ -456,46 +485,41 @@ def k_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_batches(spark: SparkSession, sf_dir: str, name: str, skip_committed: bool) -> DataFrame:
     sink = BatchPathSink(run_dir(spark, f"{name}_out"), skip_committed=skip_committed)
-    stream = _sliced_stream(spark, sf_dir, name)
-    sink.schema = stream.schema
-    _feed(stream, name, sink, replay=True)
+    _feed(spark, sf_dir, name, sink, replay=True)
     return stateless.project_events(sink.read(spark))
 
 
 def k_batch_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deterministic folder per batch id, overwritten when the batch is replayed."""
+    """A folder per query and batch, replaced when the batch is replayed."""
     return _raw_batches(spark, sf_dir, "k_batch_path", skip_committed=False)
 
 
 def k_batch_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Processed-batch marker written with the data (the folder's ``_SUCCESS``):
-    replayed batches are skipped instead of rewritten."""
+    """Processed-batch marker committed with the data: replayed batches are skipped
+    instead of rewritten."""
     return _raw_batches(spark, sf_dir, "k_batch_marker", skip_committed=True)
 
 
 def k_txn_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two writers (app ids) append into one shared table from each micro-batch; each
-    applies a batch at most once per ``(app_id, batch_id)`` although the whole input is
-    replayed."""
+    """Two writers (app ids) fed by each micro-batch; each applies a batch once per
+    ``(app_id, batch_id)`` although every batch is replayed."""
     shared = run_dir(spark, "k_txn_guard_table")
-    stream = _sliced_stream(spark, sf_dir, "k_txn_guard")
-    rows = stream.select("event_id", "event_type", _cents().alias("cents"))
     buys = F.col("event_type") == "purchase"
-    guards = [(lambda d: d.where(buys), TxnGuard(f"{shared}/_txn", "a", append_writer(f"{shared}/app_id=a"))),
-              (lambda d: d.where(~buys), TxnGuard(f"{shared}/_txn", "b", append_writer(f"{shared}/app_id=b")))]
-    _feed(rows, "k_txn_guard", lambda df, batch_id: fan_out(df, batch_id, guards), replay=True)
-    table = (spark.read.schema("event_id long, event_type string, cents long, app_id string")
-             .option("basePath", shared).parquet(f"{shared}/app_id=a", f"{shared}/app_id=b"))
-    return table.groupBy("app_id").agg(_cnt(), F.sum("cents").alias("total_cents"))
+    sinks = {app: BatchPathSink(f"{shared}/{app}", app_id=app) for app in ("a", "b")}
+    guards = {app: TxnGuard(f"{shared}/_txn", app, sink) for app, sink in sinks.items()}
+    targets = [(lambda d: d.where(buys), guards["a"]), (lambda d: d.where(~buys | buys.isNull()), guards["b"])]
+    _feed(spark, sf_dir, "k_txn_guard", lambda df, batch_id: fan_out(df, batch_id, targets),
+          build=lambda s: s.select("event_id", "event_type", _cents().alias("cents")), replay=True)
+    rows = [sink.read(spark).select("cents", F.lit(app).alias("app_id")) for app, sink in sinks.items()]
+    return rows[0].unionByName(rows[1]).groupBy("app_id").agg(_cnt(), F.sum("cents").alias("total_cents"))
 
 
 def k_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accumulating merge (``t.cnt + s.cnt``) into a versioned table; the version of
-    batch N is its transaction marker, so a replay does not count twice."""
+    """Accumulating merge (``t.cnt + s.cnt``) into a versioned table; the commit of a
+    batch's version is its transaction marker, so a replay does not count twice."""
     table = VersionedTable(run_dir(spark, "k_accumulate_table"))
-    stream = _sliced_stream(spark, sf_dir, "k_accumulate")
-    rows = stream.select("event_type", F.lit(1).cast("long").alias("cnt"), _cents().alias("total_cents"))
-    _feed(rows, "k_accumulate", versioned_sink(table, accumulate_merge(["event_type"], ["cnt", "total_cents"])),
+    _feed(spark, sf_dir, "k_accumulate", versioned_sink(table, accumulate_merge(["event_type"], ["cnt", "total_cents"])),
+          build=lambda s: s.select("event_type", F.lit(1).cast("long").alias("cnt"), _cents().alias("total_cents")),
           replay=True)
     return table.read(spark)
 
@@ -504,9 +528,8 @@ def k_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed upsert per batch (newest event per user wins), replay-safe."""
     table = UpsertTable(run_dir(spark, "k_upsert_table"), ["user_id"], order=["event_id"],
                         batch_first=False)
-    stream = _sliced_stream(spark, sf_dir, "k_upsert").select("user_id", "event_id", "event_type", "value")
-    table.schema = stream.schema
-    _feed(stream, "k_upsert", table, replay=True)
+    _feed(spark, sf_dir, "k_upsert", table, build=lambda s: s.select("user_id", "event_id", "event_type", "value"),
+          replay=True)
     return table.read(spark)
 
 
@@ -514,14 +537,12 @@ def k_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One persisted batch written to two sinks (all rows, purchases only)."""
     all_rows = BatchPathSink(run_dir(spark, "k_fanout_all"))
     buys = BatchPathSink(run_dir(spark, "k_fanout_purchases"))
-    stream = _sliced_stream(spark, sf_dir, "k_fanout").select("event_id", "user_id", "event_type")
-    all_rows.schema = buys.schema = stream.schema
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
         fan_out(df, batch_id, [(lambda d: d, all_rows),
                                (lambda d: d.where(F.col("event_type") == "purchase"), buys)])
 
-    _feed(stream, "k_fanout", per_batch)
+    _feed(spark, sf_dir, "k_fanout", per_batch, build=lambda s: s.select("event_id", "user_id", "event_type"))
     a = all_rows.read(spark).groupBy().agg(_cnt()).withColumn("sink", F.lit("all"))
     b = buys.read(spark).groupBy().agg(_cnt()).withColumn("sink", F.lit("purchases"))
     return a.unionByName(b).select("sink", "cnt")
@@ -534,7 +555,7 @@ def k_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.when(F.col("event_type") == "error",
                      js.substr(F.lit(1), F.length(js) - F.lit(5))).otherwise(js)
     glob = _write_envelopes(spark, sf_dir, run_dir(spark, "k_dead_letter_in"), payload=payload)
-    raw = files.parquet_stream(spark, glob, schemas.ENVELOPE, max_files=1)
+    raw = files.parquet_stream(spark, glob, schemas.ENVELOPE)
     payload_schema = schemas.with_field(schemas.EVENTS_TS, "_corrupt_record", schemas.T.StringType())
     parsed = envelope.decode(raw, payload_schema, keep_envelope=True, corrupt_col="_corrupt_record")
     good_sink = BatchPathSink(run_dir(spark, "k_dead_letter_good"))
@@ -542,14 +563,12 @@ def k_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     ok = F.col("_corrupt_record").isNull() & F.col("event_id").isNotNull()
     good_cols = ["event_id", "user_id", "event_type", "value"]
     bad_cols = ["topic", "partition", "offset", "raw_value"]
-    good_sink.schema = parsed.select(*good_cols).schema
-    bad_sink.schema = parsed.select(*bad_cols).schema
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
         fan_out(df, batch_id, [(lambda d: split_dead_letter(d, ok)[0].select(*good_cols), good_sink),
                                (lambda d: split_dead_letter(d, ok)[1].select(*bad_cols), bad_sink)])
 
-    _feed(parsed, "k_dead_letter", per_batch)
+    runtime.run_to_end(parsed, run_dir(spark, "k_dead_letter_ck"), foreach_batch=per_batch)
     g = good_sink.read(spark).groupBy().agg(_cnt()).withColumn("sink", F.lit("main"))
     b = bad_sink.read(spark).groupBy().agg(_cnt()).withColumn("sink", F.lit("dead_letter"))
     return g.unionByName(b).select("sink", "cnt")
@@ -559,19 +578,26 @@ def k_dedup_downstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """At-least-once delivery (a replay appends every batch again) made exact by a
     dedup on the event id when reading."""
     path = run_dir(spark, "k_dedup_downstream_table")
-    stream = _sliced_stream(spark, sf_dir, "k_dedup_downstream")
-    _feed(stream, "k_dedup_downstream", append_writer(path), replay=True)
-    delivered = spark.read.schema(stream.schema).parquet(path)
+    _feed(spark, sf_dir, "k_dedup_downstream", append_writer(path), replay=True)
+    delivered = spark.read.schema(schemas.EVENTS_SLICED).parquet(path)
     return stateless.project_events(dedup.dedup(delivered, ["event_id"]))
 
 
 def k_topk_all_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-time top 10 users by events: per-batch counts merged into an external
-    running table, then ranked (ties broken by user id)."""
+    running table, then ranked (ties broken by user id). Half way a new checkpoint takes
+    over: its batch ids start at 0 again, and count as what they are, new rows."""
     table = AccumulatingTable(run_dir(spark, "k_topk_all_time_table"), ["user_id"], ["cnt"])
-    stream = _sliced_stream(spark, sf_dir, "k_topk_all_time").select(
-        "user_id", F.lit(1).cast("long").alias("cnt"))
-    _feed(stream, "k_topk_all_time", table)
+    root = run_dir(spark, "k_topk_all_time_in")
+    sliced = files.Slices(tables.events(spark, sf_dir, streaming=False), N_SLICES, "event_id")
+    for i in range(N_SLICES):
+        half = f"{root}/{2 * i // N_SLICES}"
+        files.write_slice(sliced, half, i)
+        stream = files.parquet_stream(spark, f"{half}/slice-*", schemas.EVENTS_SLICED).select(
+            "user_id", F.lit(1).cast("long").alias("cnt"))
+        runtime.run_to_end(stream, f"{half}-checkpoint", foreach_batch=table)
+        if i == 1:
+            table.compact(spark)
     return table.read(spark).orderBy(F.desc("cnt"), F.asc("user_id")).limit(10)
 
 
@@ -595,10 +621,8 @@ def s_rate_contiguity(spark: SparkSession, sf_dir: str) -> DataFrame:
     second after new data arrived) into one file sink; then rows = distinct =
     max - min + 1 on the monotone id, else DUPLICATES or GAPS."""
     sink = run_dir(spark, "s_rate_contiguity_table")
-    schema = stateless.project_events(
-        spark.createDataFrame([], schemas.EVENTS_SLICED)).schema
     _arrivals(spark, sf_dir, "s_rate_contiguity", 2, stateless.project_events, sink=sink)
-    return aggregate.contiguity(spark.read.schema(schema).parquet(sink), "event_id")
+    return aggregate.contiguity(spark.read.schema(_projected(spark)).parquet(sink), "event_id")
 
 
 def s_state_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -606,32 +630,32 @@ def s_state_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = run_dir(spark, "s_state_reader")
     agg = aggregate.group_count(tables.events(spark, sf_dir), ["event_type"])
     ck = runtime.checkpoint_for(f"{d}/table")
-    runtime.run_to_end(agg, ck, foreach_batch=UpsertTable(f"{d}/table", ["event_type"]),
+    runtime.run_to_end(agg, ck, foreach_batch=UpsertTable(f"{d}/table", ["event_type"], unique_keys=True),
                        output_mode="update")
     st = state.read_state(spark, ck)
     return st.select(F.col("key.event_type").alias("event_type"), F.col("value.count").alias("cnt"))
 
 
 def u_millis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Epoch millis back to a timestamp with an Arrow-batched pandas UDF (the JVM
-    built-in ``timestamp_millis`` is the default; the UDF is for custom logic)."""
+    """Epoch millis back to a timestamp (``timestamp_millis``)."""
     ev = tables.events(spark, sf_dir).select("event_id", F.unix_millis("ts").alias("ms"))
-    out = ev.select("event_id", "ms",
-                    F.unix_micros(millis_to_timestamp_udf(F.col("ms"))).alias("ts_ms_us"))
+    out = ev.select("event_id", "ms", F.unix_micros(millis_to_timestamp("ms")).alias("ts_ms_us"))
     return append_to_parquet(out, "u_millis")
 
 
 def b_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-batch trace of a watermarked windowed count fed by two arrivals: the data
-    batches (no-data batches left out) with their input rows and late rows dropped."""
+    """Per-batch trace of a watermarked windowed count fed by two arrivals, from the
+    listener's progress table: the data batches (no-data batches left out) with their
+    input rows and late rows dropped."""
     def build(stream: DataFrame) -> DataFrame:
         return windows.windowed_agg(stream, "ts", "1 day", [_cnt()], delay="2 days")
 
+    progress = observe.ProgressTable(spark, run_dir(spark, "b_progress_rows"))
     _, runs = _arrivals(spark, sf_dir, "b_progress", 2, build, sink=run_dir(spark, "b_progress_out"))
-    data = [r for q in runs for r in observe.trace_rows(q) if r[1] > 0]
-    rows = [(i, r[1], r[6]) for i, r in enumerate(data)]
-    return spark.createDataFrame(
-        rows, "arrival long, numInputRows long, numRowsDroppedByWatermark long")
+    progress.close()
+    data = progress.read().where((F.col("queryId") == str(runs[0].id)) & (F.col("numInputRows") > 0))
+    arrival = F.row_number().over(Window.orderBy("batchId")) - 1  # a row per batch of one query
+    return data.select(arrival.cast("long").alias("arrival"), "numInputRows", "numRowsDroppedByWatermark")
 
 
 def b_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -672,27 +696,57 @@ def w_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- arbitrary state
 
 def x_idle_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users idle for 6 hours of event time, found by a stateful processor with
-    event-time timers (count and last event time per user, state cleared on report)."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    saved = spark.conf.get(key, None)
-    spark.conf.set(key, stateful.ROCKSDB)  # transformWithState needs RocksDB
+    """Every 6-hour idle period of a user in event time, found by a stateful processor with
+    event-time timers over hourly counts, in four arrivals."""
+    sink = run_dir(spark, "x_idle_users_table")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    saved = spark.conf.get(provider, None)
+    spark.conf.set(provider, runtime.ROCKSDB)  # transformWithState needs RocksDB
     try:
-        out = stateful.idle_keys(tables.events(spark, sf_dir), "user_id", "ts", 6 * 3600 * 1000, "1 day")
-        return append_to_parquet(out, "x_idle_users")
+        _arrivals(spark, sf_dir, "x_idle_users", N_SLICES, lambda s: stateful.idle_keys(
+            s, "user_id", "ts", 6 * 3600 * 1000, "1 day"), sink=sink)
     finally:
         if saved is None:
-            spark.conf.unset(key)
+            spark.conf.unset(provider)
         else:
-            spark.conf.set(key, saved)
+            spark.conf.set(provider, saved)
+    return spark.read.schema("user_id long, cnt long, last_ts_us long").parquet(sink)
+
+
+def x_migrate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State migration: counts per user (two arrivals, in the old query's state) become
+    counts per user and country; the new query, on a checkpoint of its own, adds the
+    later half of the input to them."""
+    def countries(df: DataFrame) -> DataFrame:
+        cust = tables.read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+        nation = tables.read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+        out = joins.lookup(joins.lookup(df, cust, "user_id", "c_custkey"), nation, "c_nationkey", "n_nationkey")
+        return out.select("user_id", F.coalesce("n_name", F.lit("unknown")).alias("country"), "cnt")
+
+    root = run_dir(spark, "x_migrate")
+    sliced = files.Slices(tables.events(spark, sf_dir, streaming=False), N_SLICES, "event_id")
+
+    def arrivals(name: str, which: range, build, **kwargs) -> None:
+        for i in which:
+            files.write_slice(sliced, f"{root}/{name}_in", i)
+            stream = files.parquet_stream(spark, f"{root}/{name}_in/slice-*", schemas.EVENTS_SLICED)
+            runtime.run_to_end(build(stream), f"{root}/{name}_checkpoint", **kwargs)
+
+    arrivals("old", range(2), lambda s: aggregate.group_count(s, ["user_id"]), output_mode="update",
+             foreach_batch=UpsertTable(f"{root}/old_table", ["user_id"], unique_keys=True))
+    table = AccumulatingTable(f"{root}/new_table", ["user_id", "country"], ["cnt"])
+    operations.migrate_totals(spark, f"{root}/old_checkpoint", f"{root}/old_state", table,
+                              lambda st: countries(st.select("user_id", F.col("count").alias("cnt"))))
+    arrivals("new", range(2, N_SLICES), lambda s: s.select("user_id", F.lit(1).cast("long").alias("cnt")),
+             foreach_batch=lambda df, batch_id: table(countries(df), batch_id))
+    return table.read(spark)
 
 
 def k_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Small-file compaction: a file sink fed by 4 micro-batches (one file each) is
-    rewritten through its manifest into fewer, larger files in a new folder."""
+    """Small-file compaction: a file sink fed by 4 micro-batches is rewritten through its
+    manifest into fewer, larger files in a new folder."""
     sink = run_dir(spark, "k_compact_sink")
-    stream = _sliced_stream(spark, sf_dir, "k_compact")
-    runtime.run_to_end(stateless.project_events(stream), runtime.checkpoint_for(sink), sink=sink)
+    _arrivals(spark, sf_dir, "k_compact", N_SLICES, stateless.project_events, sink=sink)
     out = run_dir(spark, "k_compact_out")
     operations.compact_files(spark, sink, out)
     return spark.read.parquet(out)
@@ -705,7 +759,7 @@ def a_avg_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = UpsertTable(run_dir(spark, "a_avg_partial_table"), ["event_type"], unique_keys=True)
 
     def build(stream: DataFrame) -> DataFrame:
-        return stream.groupBy("event_type").agg(exact_mean("value").alias("avg_value"), _cnt())
+        return stream.groupBy("event_type").agg(mean("value", DECIMALS).alias("avg_value"), _cnt())
 
     _arrivals(spark, sf_dir, "a_avg_partial", N_SLICES, build, output_mode="update",
               foreach_batch=table)
@@ -718,16 +772,17 @@ def k_partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     replayed batch replaces exactly the partitions it wrote and nothing else. Readers
     filtering on ``event_day`` prune whole folders."""
     root = f"{run_dir(spark, 'k_partitioned_write')}/table"
-    stream = _sliced_stream(spark, sf_dir, "k_partitioned_write")
-    rows = stateless.project_events(stream).withColumn(
-        "event_day", F.floor(F.col("ts_us") / F.lit(86_400_000_000)).cast("long"))
+
+    def day(stream: DataFrame) -> DataFrame:
+        return stateless.project_events(stream).withColumn(
+            "event_day", F.floor(F.col("ts_us") / F.lit(86_400_000_000)).cast("long"))
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
         (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id", "event_day").parquet(root))
 
-    _feed(rows, "k_partitioned_write", per_batch, replay=True)
+    _feed(spark, sf_dir, "k_partitioned_write", per_batch, build=day, replay=True)
     schema = ("event_id long, user_id long, event_type string, value double, ts_us long, "
               "batch_id long, event_day long")
     return spark.read.schema(schema).parquet(root).drop("batch_id")

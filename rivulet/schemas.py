@@ -4,18 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# The driver's `events` table as stored in Parquet (event time is timestamp_ntz there).
-EVENTS = T.StructType([
-    T.StructField("event_id", T.LongType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("props", T.StringType()),
-])
-
-# Same rows once event time is an instant (what `withWatermark` accepts), as used in
-# JSON payloads and streams written by this package.
+# The driver's `events` table with event time as an instant (what `withWatermark` accepts),
+# as used in JSON payloads and streams written by this package.
 EVENTS_TS = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("ts", T.TimestampType()),
@@ -62,17 +52,10 @@ CHANGELOG = T.StructType([
     T.StructField("value", T.IntegerType()),
 ])
 
-# Text line source.
-TEXT = T.StructType([T.StructField("value", T.StringType())])
-
-# Rate source rows.
-RATE = T.StructType([
-    T.StructField("timestamp", T.TimestampType()),
-    T.StructField("value", T.LongType()),
-])
-
 # Per-batch trace row of a streaming query.
 BATCH_TRACE = T.StructType([
+    T.StructField("queryId", T.StringType()),
+    T.StructField("runId", T.StringType()),
     T.StructField("batchId", T.LongType()),
     T.StructField("numInputRows", T.LongType()),
     T.StructField("watermark", T.StringType()),
@@ -80,6 +63,11 @@ BATCH_TRACE = T.StructType([
     T.StructField("numRowsUpdated", T.LongType()),
     T.StructField("numRowsRemoved", T.LongType()),
     T.StructField("numRowsDroppedByWatermark", T.LongType()),
+    T.StructField("inputRowsPerSecond", T.DoubleType()),
+    T.StructField("processedRowsPerSecond", T.DoubleType()),
+    T.StructField("eventTimeMin", T.StringType()),
+    T.StructField("eventTimeAvg", T.StringType()),
+    T.StructField("eventTimeMax", T.StringType()),
 ])
 
 # The driver's `documents` table.

@@ -7,6 +7,7 @@ only create a private folder when it is unset (local tests), never otherwise.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,8 +32,6 @@ def build_session(master: str = "local[8]", shuffle_partitions: int | None = Non
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
-        # merge session windows inside each partition before the shuffle (hot users)
-        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -56,6 +55,9 @@ def work_root(spark: SparkSession) -> str:
         existing = jsc.sc().getCheckpointDir()
         root = existing.get() if existing.isDefined() else None
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set {_CHECKPOINT_CONF} to a folder that all of {master} shares")
         root = tempfile.mkdtemp(prefix="rivulet-")
         try:
             spark.conf.set(_CHECKPOINT_CONF, root)

@@ -75,3 +75,10 @@ def kafka_sink_options(servers: str, topic: str) -> dict:
     """Options for ``writeStream.format("kafka")`` (at-least-once: pair it with a
     downstream dedup on an event id)."""
     return {"kafka.bootstrap.servers": servers, "topic": topic}
+
+
+def sink_rows(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Rows as a bus sink takes them: ``value`` is the whole row as JSON, ``key`` (optional)
+    a column as text."""
+    value = to_json_payload([F.col(f"`{c}`") for c in df.columns]).alias("value")
+    return df.select(value) if key is None else df.select(F.col(key).cast("string").alias("key"), value)

@@ -1,8 +1,9 @@
 """File-folder streams (JSON, Parquet, text lines) and writers that feed them.
 
 A file stream tracks *files*, not records: files must be complete and immutable when
-they appear (Spark's writers commit by rename, which gives that). Pacing is by file
-count (``maxFilesPerTrigger``); files are taken oldest first.
+they appear (Spark's writers commit by rename, which gives that). Pacing is by bytes
+(``max_bytes``) or by file count (``max_files``); files are taken oldest first. A batch is
+then as large as the pace, whatever the size of the files.
 """
 
 from __future__ import annotations
@@ -13,25 +14,29 @@ from pyspark.sql import types as T
 
 
 def _reader(spark: SparkSession, schema: T.StructType | None, max_files: int | None,
-            options: dict | None):
+            options: dict | None, max_bytes: str | None = None):
     r = spark.readStream
     if schema is not None:
         r = r.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        r = r.option("maxBytesPerTrigger", max_bytes)
     for k, v in (options or {}).items():
         r = r.option(k, v)
     return r
 
 
 def json_stream(spark: SparkSession, path: str, schema: T.StructType,
-                max_files: int | None = None, options: dict | None = None) -> DataFrame:
-    return _reader(spark, schema, max_files, options).json(path)
+                max_files: int | None = None, options: dict | None = None,
+                max_bytes: str | None = None) -> DataFrame:
+    return _reader(spark, schema, max_files, options, max_bytes).json(path)
 
 
 def parquet_stream(spark: SparkSession, path: str, schema: T.StructType,
-                   max_files: int | None = None, options: dict | None = None) -> DataFrame:
-    return _reader(spark, schema, max_files, options).parquet(path)
+                   max_files: int | None = None, options: dict | None = None,
+                max_bytes: str | None = None) -> DataFrame:
+    return _reader(spark, schema, max_files, options, max_bytes).parquet(path)
 
 
 def text_stream(spark: SparkSession, path: str, max_files: int | None = None,
@@ -95,9 +100,3 @@ def write_slices(df: DataFrame, root: str, n: int, order_col: str, fmt: str = "p
     Each slice row carries its ``slice`` number. Returns the slice folders."""
     sl = Slices(df, n, order_col)
     return [write_slice(sl, root, i, fmt, options) for i in range(n)]
-
-
-def slice_expr(order_col: str, n: int, table: str) -> str:
-    """SQL for the slice number ``write_slices`` assigns (used by the oracles)."""
-    return (f"CAST(floor(({order_col} - (SELECT min({order_col}) FROM {table})) * {n} / "
-            f"((SELECT max({order_col}) - min({order_col}) + 1 FROM {table}))) AS INTEGER)")

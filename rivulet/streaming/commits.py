@@ -1,0 +1,139 @@
+"""Commit log of a folder table: which writes count, in which order.
+
+A write is identified by who wrote it and which of its batches it was: the query's id
+(or an explicit ``app_id``) and the batch id. Batch ids alone do not do, because a new
+checkpoint counts from 0 again. Every app gets a *generation* when it first writes to
+the table, so writes are ordered by ``(generation, batch id)``; ``reset`` hides all
+generations so far, for a backfill that starts over.
+
+Data goes to ``<root>/data/gen=G/app=A/batch_id=N/attempt=U`` and becomes visible by an
+empty marker file named after it, so a reader never sees half a write or a hole while a
+batch is rewritten, and a crash before the marker leaves nothing to undo. The log is
+metadata: one small file per batch, listed with one call.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from dataclasses import dataclass
+from urllib.parse import quote
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from rivulet.streaming import paths
+
+GEN_COL, BATCH_COL = "gen", "batch_id"
+
+
+def app_of(df: DataFrame, app_id: str | None) -> str:
+    """``app_id``, else the id of the streaming query that runs this batch (kept across
+    restarts of one checkpoint, new with a new checkpoint), else ``batch``."""
+    query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return quote(app_id or query or "batch", safe="").replace(".", "%2E")
+
+
+@dataclass(frozen=True, order=True)
+class Entry:
+    gen: int
+    batch: int
+    app: str
+    attempt: str
+
+
+class CommitLog:
+    def __init__(self, root: str):
+        self.root = root.rstrip("/")
+        self.folder = f"{self.root}/_log"
+        self._gens: dict[str, int] = {}
+
+    def _names(self, spark: SparkSession) -> list[list[str]]:
+        return [n.split(".") for n in paths.list_names(spark, self.folder) if not n.startswith(".")]
+
+    def _floor(self, names) -> int:
+        return max((int(n[1]) for n in names if n[0] == "reset"), default=0)
+
+    def generation(self, spark: SparkSession, app: str) -> int:
+        if app not in self._gens:
+            names = self._names(spark)
+            floor = self._floor(names)
+            mine = [int(n[1]) for n in names if n[0] == "app" and n[2] == app and int(n[1]) >= floor]
+            if not mine:
+                gen = max([floor, *[int(n[1]) + 1 for n in names if n[0] == "app"]])
+                paths.write_text(spark, f"{self.folder}/app.{gen:06d}.{app}", "")
+                mine = [gen]
+            self._gens[app] = max(mine)
+        return self._gens[app]
+
+    def entries(self, spark: SparkSession) -> list[Entry]:
+        """The committed writes since the last reset, in order; of several attempts at one
+        batch the last committed."""
+        names = self._names(spark)
+        floor = self._floor(names)
+        last: dict[tuple, Entry] = {}
+        for n in sorted(names):
+            if n[0] == "batch" and int(n[1]) >= floor:
+                e = Entry(int(n[1]), int(n[2]), n[3], n[4])
+                last[e.gen, e.batch, e.app] = e
+        return sorted(last.values())
+
+    def path(self, e: Entry) -> str:
+        return f"{self.root}/data/gen={e.gen}/app={e.app}/{BATCH_COL}={e.batch}/attempt={e.attempt}"
+
+    def new_entry(self, spark: SparkSession, app: str, batch_id: int) -> Entry:
+        """Attempts sort by when they began."""
+        tick = int(spark.sparkContext._jvm.java.lang.System.currentTimeMillis())
+        return Entry(self.generation(spark, app), int(batch_id), app, f"{tick:015d}-{uuid.uuid4().hex[:8]}")
+
+    def commit(self, spark: SparkSession, e: Entry) -> None:
+        paths.write_text(spark, f"{self.folder}/batch.{e.gen:06d}.{e.batch:012d}.{e.app}.{e.attempt}", "")
+
+    def reset(self, spark: SparkSession) -> int:
+        """Start over: nothing written so far counts any more. Returns the generation from
+        which writes count again."""
+        names = self._names(spark)
+        gen = max([self._floor(names), *[int(n[1]) for n in names if n[0] == "app"]]) + 1
+        paths.write_text(spark, f"{self.folder}/reset.{gen:06d}", "")
+        self._gens.clear()
+        return gen
+
+    # A base holds what was folded into it: per app the last batch.
+
+    def base(self, spark: SparkSession) -> tuple[str | None, dict[str, int]]:
+        names = self._names(spark)
+        floor = self._floor(names)
+        done = sorted(n for n in names if n[0] == "base" and int(n[1][:6]) >= floor)
+        if not done:
+            return None, {}
+        name = ".".join(done[-1])
+        return f"{self.root}/base/{done[-1][2]}", json.loads(paths.read_text(spark, f"{self.folder}/{name}"))
+
+    def new_base(self) -> tuple[str, str]:
+        key = uuid.uuid4().hex[:12]
+        return key, f"{self.root}/base/{key}"
+
+    def commit_base(self, spark: SparkSession, key: str, folded: dict[str, int]) -> None:
+        """Bases are told apart by generation and then by how many there are."""
+        names = self._names(spark)
+        gen = max([self._floor(names), *[int(n[1]) for n in names if n[0] == "app"]])
+        nth = sum(n[0] == "base" for n in names)
+        paths.write_text(spark, f"{self.folder}/base.{gen:06d}{nth:06d}.{key}", json.dumps(folded))
+
+    def vacuum(self, spark: SparkSession) -> int:
+        """Delete the folders of batches whose newest attempt is another one, or that a
+        reset hid. Only for a table that nobody is writing to or reading from."""
+        keep = {self.path(e) for e in self.entries(spark)}
+        gone = 0
+        for n in self._names(spark):
+            if n[0] == "batch":
+                folder = self.path(Entry(int(n[1]), int(n[2]), n[3], n[4]))
+                if folder not in keep and paths.exists(spark, folder):
+                    gone += paths.delete(spark, folder)
+        return gone
+
+
+def with_order_cols(schema: T.StructType) -> T.StructType:
+    """``schema`` plus the columns that a read by folder name adds."""
+    fields = [f for f in schema.fields if f.name not in (BATCH_COL, GEN_COL)]
+    return T.StructType(fields + [T.StructField(GEN_COL, T.IntegerType()), T.StructField(BATCH_COL, T.LongType())])

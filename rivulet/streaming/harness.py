@@ -8,6 +8,7 @@ writes one new file (atomically, through Spark's writer) into a watched folder a
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.session import run_dir
+from rivulet.streaming.observe import trace_row
 
 
 class FileDropStream:
@@ -63,3 +65,19 @@ class FileDropStream:
     def stop(self) -> None:
         if self.query is not None:
             self.query.stop()
+
+    def trace(self) -> list[tuple]:
+        """``batchId, numInputRows, watermark, numRowsTotal, numRowsUpdated, numRowsRemoved,
+        numRowsDroppedByWatermark`` per batch of the running query, in batch order. It reads
+        the query's recent progress, which must still hold its first batch."""
+        rows: dict[int, tuple] = {}
+        for p in self.query.recentProgress:
+            r = trace_row(json.loads(p.json))
+            # idle progress events repeat the last batch id with no input: keep the batch's own
+            if r["batchId"] not in rows or r["numInputRows"] > rows[r["batchId"]][1]:
+                rows[r["batchId"]] = tuple(r[k] for k in (
+                    "batchId", "numInputRows", "watermark", "numRowsTotal", "numRowsUpdated",
+                    "numRowsRemoved", "numRowsDroppedByWatermark"))
+        if rows and min(rows) > 0:
+            raise RuntimeError("the query's first batches have left its recent progress: use ProgressTable")
+        return [rows[k] for k in sorted(rows)]

@@ -2,8 +2,9 @@
 
 * ``export_state``: externalise a stateful operator's state as a Parquet table (first
   step of a state migration: export -> transform with DataFrame code -> seed).
-* ``seed_upsert_table``: write a table as the base snapshot of an ``UpsertTable`` so a
-  new query (new checkpoint version) continues on top of migrated or backfilled state.
+* ``reset_and_backfill``: state migration by recomputing everything with the new query.
+* ``migrate_totals``: state migration by converting the old query's totals; the new query
+  continues from them.
 * ``compact_files``: rewrite a file-sink folder (read through its manifest, so only
   committed files) into fewer, larger files in a new folder.
 """
@@ -11,12 +12,15 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.operators.joins import estimated_bytes
 from rivulet.sources.state import read_state
-from rivulet.streaming.sinks import BATCH_COL, UpsertTable
+from rivulet.streaming import paths, runtime
+from rivulet.streaming.sinks import AccumulatingTable
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
@@ -30,14 +34,24 @@ def export_state(spark: SparkSession, checkpoint: str, out_path: str, operator_i
     return spark.read.parquet(out_path)
 
 
-def seed_upsert_table(table: UpsertTable, df: DataFrame, as_of_batch: int = -1) -> None:
-    """Install ``df`` (one row per key) as the table's base snapshot; batches with ids
-    above ``as_of_batch`` are folded on top of it."""
-    from pyspark.sql import functions as F
-
-    table.schema = df.schema
-    (df.withColumn(BATCH_COL, F.lit(as_of_batch).cast("long"))
-     .write.mode("overwrite").parquet(f"{table.base_root}/upto={as_of_batch}"))
+def reset_and_backfill(table, build: Callable[[], DataFrame], checkpoint: str, **start_kwargs) -> StreamingQuery:
+    """State migration by recomputation: hide what ``table`` (a sink of ``sinks``) holds and
+    drain ``build()``, the new query over the whole input, into it on a fresh checkpoint."""
+    df = build()
+    if paths.exists(df.sparkSession, checkpoint):
+        raise ValueError(f"{checkpoint} exists: a backfill needs a fresh checkpoint")
+    table.reset(df.sparkSession)
+    return runtime.run_to_end(df, checkpoint, foreach_batch=table, **start_kwargs)
+
+
+def migrate_totals(spark: SparkSession, checkpoint: str, work_path: str, table: AccumulatingTable,
+                   transform: Callable[[DataFrame], DataFrame], operator_id: int = 0) -> DataFrame:
+    """State migration by conversion: the running totals in the old query's state, turned
+    into the new query's keys by ``transform``, become the base of ``table``. The new
+    query (fresh checkpoint, only later input) adds its partial sums to them."""
+    migrated = transform(export_state(spark, checkpoint, work_path, operator_id))
+    table.seed(migrated)
+    return migrated
 
 
 def compact_files(spark: SparkSession, src: str, dst: str,

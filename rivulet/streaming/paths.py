@@ -28,16 +28,6 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(str(s.getPath().getName()) for s in fs.listStatus(p))
 
 
-def glob_parents(spark: SparkSession, pattern: str) -> list[str]:
-    """Names of the parent folders of files matching ``pattern`` (one listing call,
-    e.g. ``<root>/batch_id=*/_SUCCESS`` -> committed batch folders)."""
-    fs, p = _fs(spark, pattern)
-    found = fs.globStatus(p)
-    if found is None:
-        return []
-    return sorted(str(s.getPath().getParent().getName()) for s in found)
-
-
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, p = _fs(spark, path)
     out = fs.create(p, True)
@@ -60,9 +50,3 @@ def read_text(spark: SparkSession, path: str) -> str:
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))
-
-
-def rename(spark: SparkSession, src: str, dst: str) -> bool:
-    fs, s = _fs(spark, src)
-    _, d = _fs(spark, dst)
-    return bool(fs.rename(s, d))

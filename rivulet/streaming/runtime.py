@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,33 +39,40 @@ def checkpoint_for(table_path: str, version: int = 1) -> str:
     return f"{table_path.rstrip('/')}/_checkpoint/v{version}"
 
 
-def _guard_mode(spark: SparkSession, checkpoint: str, output_mode: str) -> None:
+def _check_mode(spark: SparkSession, checkpoint: str, output_mode: str) -> bool:
+    """Refuse another output mode than the checkpoint's; whether it is recorded yet."""
     marker = f"{checkpoint}/{_MODE_FILE}"
-    if paths.exists(spark, marker):
-        saved = json.loads(paths.read_text(spark, marker))
-        if saved.get("outputMode") != output_mode:
-            raise ValueError(
-                f"checkpoint {checkpoint} was written in {saved.get('outputMode')!r} mode; "
-                f"restarting it in {output_mode!r} would change what the sink holds. "
-                "Start a new checkpoint version instead.")
-    else:
-        paths.write_text(spark, marker, json.dumps({"outputMode": output_mode}))
+    if not paths.exists(spark, marker):
+        return False
+    saved = json.loads(paths.read_text(spark, marker))
+    if saved.get("outputMode") != output_mode:
+        raise ValueError(
+            f"checkpoint {checkpoint} was written in {saved.get('outputMode')!r} mode; "
+            f"restarting it in {output_mode!r} would change what the sink holds. "
+            "Start a new checkpoint version instead.")
+    return True
 
 
 _PARTITIONS = "spark.sql.shuffle.partitions"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_MERGE_SESSIONS = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STARTING = threading.Lock()
 
 
-def state_confs(spark: SparkSession) -> dict[str, str]:
-    """State settings for a new query. The checkpoint pins both for the life of the
-    query, so they are chosen once: the session's values when it sets them, else state
-    partitions = cluster parallelism (not the default 200) and the RocksDB provider
-    (state on local disk, not on the JVM heap)."""
-    parts = spark.conf.get(_PARTITIONS, None)
-    provider = spark.conf.get(_PROVIDER, None)
-    return {_PARTITIONS: parts or str(max(1, spark.sparkContext.defaultParallelism)),
-            _PROVIDER: provider or ROCKSDB}
+def query_confs(spark: SparkSession, state_partitions: int | None = None) -> dict[str, str]:
+    """Settings of one query where they differ from the session's: the RocksDB provider
+    unless the session names one (state on local disk, not on the JVM heap), session
+    windows merged inside a partition before the shuffle, and ``state_partitions`` if the
+    caller gives it. The checkpoint pins provider and partitions for the life of the
+    query, so size partitions for the state the query will have; otherwise the session's
+    ``spark.sql.shuffle.partitions`` holds."""
+    wanted = {_MERGE_SESSIONS: "true"}
+    if spark.conf.get(_PROVIDER, None) is None:
+        wanted[_PROVIDER] = ROCKSDB
+    if state_partitions:
+        wanted[_PARTITIONS] = str(state_partitions)
+    return {k: v for k, v in wanted.items() if spark.conf.get(k, None) != v}
 
 
 def start(df: DataFrame, checkpoint: str, *, output_mode: str = "append",
@@ -72,12 +80,13 @@ def start(df: DataFrame, checkpoint: str, *, output_mode: str = "append",
           foreach_batch: Callable[[DataFrame, int], None] | None = None,
           trigger: dict | None = None, query_name: str | None = None,
           options: dict | None = None, partition_by: list[str] | None = None,
-          foreach: object | None = None) -> StreamingQuery:
+          foreach: object | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Start a streaming query into a file sink (``sink``), a ``foreach_batch`` function,
     or a ``foreach`` row writer (an object with ``open``/``process``/``close``; per-row
-    and at-least-once, so prefer ``foreach_batch``). ``fmt="console"`` needs no sink."""
+    and at-least-once, so prefer ``foreach_batch``). ``fmt="console"`` needs no sink.
+    The output mode is recorded with the checkpoint once the query has started."""
     spark = df.sparkSession
-    _guard_mode(spark, checkpoint, output_mode)
+    recorded = _check_mode(spark, checkpoint, output_mode)
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
@@ -92,19 +101,23 @@ def start(df: DataFrame, checkpoint: str, *, output_mode: str = "append",
         if partition_by:
             w = w.partitionBy(*partition_by)
         w = w.format(fmt)
-    # the query copies the session conf at start: set state confs just for it
-    wanted = state_confs(spark)
-    saved = {k: spark.conf.get(k, None) for k in wanted}
-    for k, v in wanted.items():
-        spark.conf.set(k, v)
-    try:
-        return w.start() if (foreach_batch is not None or foreach is not None) else w.start(sink)
-    finally:
-        for k, v in saved.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    # a query copies the session's settings when it starts: one start at a time sets its own
+    with _STARTING:
+        wanted = query_confs(spark, state_partitions)
+        saved = {k: spark.conf.get(k, None) for k in wanted}
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        try:
+            query = w.start() if (foreach_batch is not None or foreach is not None) else w.start(sink)
+        finally:
+            for k, v in saved.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
+    if not recorded:
+        paths.write_text(spark, f"{checkpoint}/{_MODE_FILE}", json.dumps({"outputMode": output_mode}))
+    return query
 
 
 def drain(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:

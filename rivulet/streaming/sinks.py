@@ -1,18 +1,20 @@
 """Idempotent batch sinks for ``foreachBatch`` (and for plain batch jobs).
 
 Spark replays a planned-but-uncommitted micro-batch with the *same* ``batch_id`` and the
-same rows. Every sink here turns that into a no-op or an identical overwrite:
+same rows; a new checkpoint starts again at batch 0 with *other* rows. Every sink here
+therefore knows a batch by who wrote it and its id (``commits.CommitLog``): a replay is a
+no-op or replaces its own rows, and a new query's batches are new rows.
 
-* ``BatchPathSink``: each batch goes to ``<root>/batch_id=N`` with overwrite, so a
-  replay rewrites the same folder; its ``_SUCCESS`` file is the processed-batch marker.
+* ``BatchPathSink``: each batch in a folder of its own; a replay replaces it.
 * ``UpsertTable``: keyed upsert as merge-on-read. Each batch writes its latest row per
-  key (tombstones for deletes) to its own batch folder; readers fold the newest row per
-  key. Writes cost O(batch), not O(table); ``compact`` folds old batches into a base.
-* ``AccumulatingTable``: per-batch partial sums in batch folders; readers add them up.
-  A replay overwrites its own partials, so counts are never added twice.
-* ``TxnGuard``: skip a batch already applied by the same ``(app_id, batch_id)``, for
-  writers whose target is shared or not path-deterministic.
+  key (tombstones for deletes); readers fold the newest row per key. Writes cost
+  O(batch), not O(table); ``compact`` folds old batches into a base.
+* ``AccumulatingTable``: per-batch partial sums; readers add them up.
+* ``TxnGuard``: skip a batch already applied by the same ``(app_id, batch_id)``.
+* ``VersionedTable``: copy-on-write for small result tables.
 * ``fan_out`` / ``split_dead_letter``: several outputs from one persisted batch.
+
+All tables have ``reset``: what was written so far is hidden, for a backfill from scratch.
 """
 
 from __future__ import annotations
@@ -23,20 +25,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rivulet.operators.aggregate import latest_per_key
 from rivulet.streaming import paths
-
-BATCH_COL = "batch_id"
-
-
-def _committed(spark: SparkSession, root: str, prefix: str) -> list[int]:
-    """Ids of ``<root>/<prefix>=N`` folders holding a ``_SUCCESS`` marker (one glob)."""
-    names = paths.glob_parents(spark, f"{root}/{prefix}=*/_SUCCESS")
-    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{prefix}="))
-
-
-def _batch_dirs(spark: SparkSession, root: str) -> list[int]:
-    """Committed batch ids (folders with a ``_SUCCESS`` marker)."""
-    return _committed(spark, root, BATCH_COL)
+from rivulet.streaming.commits import BATCH_COL, GEN_COL, CommitLog, Entry, app_of, with_order_cols
 
 
 def _consume(df: DataFrame) -> None:
@@ -45,176 +36,182 @@ def _consume(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def _with_batch_col(schema: T.StructType) -> T.StructType:
-    fields = [f for f in schema.fields if f.name != BATCH_COL]
-    return T.StructType(fields + [T.StructField(BATCH_COL, T.LongType())])
-
+class _Table:
+    """A folder of committed batches."""
 
-class BatchPathSink:
-    """Deterministic path per batch, overwritten on replay (``skip_committed`` turns the
-    ``_SUCCESS`` marker into a processed-batch check that skips the work instead)."""
+    replay_safe = True
 
-    def __init__(self, root: str, fmt: str = "parquet", skip_committed: bool = False,
-                 partition_by: Sequence[str] = ()):
+    def __init__(self, root: str, app_id: str | None = None):
         self.root = root.rstrip("/")
-        self.fmt = fmt
-        self.skip_committed = skip_committed
-        self.partition_by = list(partition_by)
+        self.app_id = app_id
+        self.log = CommitLog(self.root)
         self.schema: T.StructType | None = None
         self.skipped: list[int] = []
 
-    def path(self, batch_id: int) -> str:
-        return f"{self.root}/{BATCH_COL}={batch_id}"
+    def applied(self, spark: SparkSession, app: str, batch_id: int) -> bool:
+        folded = self.log.base(spark)[1]
+        return batch_id <= folded.get(app, -1) or any(
+            e.app == app and e.batch == batch_id for e in self.log.entries(spark))
+
+    def _skip(self, df: DataFrame, batch_id: int) -> bool:
+        """Whether this very batch was committed before; if so, it is only executed."""
+        if not self.applied(df.sparkSession, app_of(df, self.app_id), batch_id):
+            return False
+        self.skipped.append(batch_id)
+        _consume(df)
+        return True
 
-    def committed(self, spark: SparkSession, batch_id: int) -> bool:
-        return paths.exists(spark, f"{self.path(batch_id)}/_SUCCESS")
+    def _write(self, df: DataFrame, batch_id: int, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
+        spark = df.sparkSession
+        entry = self.log.new_entry(spark, app_of(df, self.app_id), batch_id)
+        w = df.write.mode("overwrite").format(fmt)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.save(self.log.path(entry))
+        self.log.commit(spark, entry)
+
+    def _load(self, spark: SparkSession, entries: Sequence[Entry], schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+        """Rows of ``entries`` with ``gen`` and ``batch_id``."""
+        full = with_order_cols(schema)
+        if not entries:
+            return spark.createDataFrame([], full)
+        return (spark.read.schema(full).option("basePath", f"{self.root}/data").format(fmt)
+                .load([self.log.path(e) for e in entries]).select(*full.fieldNames()))
+
+    def _unfolded(self, spark: SparkSession) -> tuple[str | None, dict[str, int], list[Entry]]:
+        """(base folder, what it holds, the batches on top of it)."""
+        base, folded = self.log.base(spark)
+        return base, folded, [e for e in self.log.entries(spark) if e.batch > folded.get(e.app, -1)]
+
+    def _commit_base(self, spark: SparkSession, df: DataFrame, folded: dict[str, int]) -> None:
+        key, path = self.log.new_base()
+        df.write.mode("overwrite").parquet(path)
+        self.log.commit_base(spark, key, folded)
+
+    def reset(self, spark: SparkSession) -> None:
+        self.log.reset(spark)
+
+
+def _folded(folded: dict[str, int], entries: Sequence[Entry]) -> dict[str, int]:
+    out = dict(folded)
+    for e in entries:
+        out[e.app] = max(e.batch, out.get(e.app, -1))
+    return out
+
+
+class BatchPathSink(_Table):
+    """A folder per batch. A replay writes it anew and then switches over, or, with
+    ``skip_committed``, is recognised by the batch's marker and skipped."""
+
+    def __init__(self, root: str, fmt: str = "parquet", skip_committed: bool = False,
+                 partition_by: Sequence[str] = (), app_id: str | None = None):
+        super().__init__(root, app_id)
+        self.fmt = fmt
+        self.skip_committed = skip_committed
+        self.partition_by = list(partition_by)
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         self.schema = df.schema
-        if self.skip_committed and self.committed(df.sparkSession, batch_id):
-            self.skipped.append(batch_id)
-            _consume(df)
-            return
-        w = df.write.mode("overwrite").format(self.fmt)
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.save(self.path(batch_id))
+        if not (self.skip_committed and self._skip(df, batch_id)):
+            self._write(df, batch_id, self.fmt, self.partition_by)
 
-    def batches(self, spark: SparkSession) -> list[int]:
-        return _batch_dirs(spark, self.root)
+    def batches(self, spark: SparkSession) -> list[tuple[int, int]]:
+        return [(e.gen, e.batch) for e in self.log.entries(spark)]
 
     def read(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
-        """All committed batches with their ``batch_id`` column."""
-        schema = _with_batch_col(schema or self.schema)
-        done = self.batches(spark)
-        if not done:
-            return spark.createDataFrame([], schema)
-        return (spark.read.schema(schema).option("basePath", self.root).format(self.fmt)
-                .load([self.path(b) for b in done]))
+        """All committed batches with their ``gen`` and ``batch_id``."""
+        return self._load(spark, self.log.entries(spark), schema or self.schema, self.fmt)
 
     def read_latest(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
         """The newest committed batch only: the result table of a ``complete`` query."""
         schema = schema or self.schema
-        done = self.batches(spark)
-        if not done:
-            return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).format(self.fmt).load(self.path(done[-1]))
+        return self._load(spark, self.log.entries(spark)[-1:], schema, self.fmt).select(*schema.fieldNames())
 
 
-class UpsertTable:
+class UpsertTable(_Table):
     """Keyed upsert with merge-on-read.
 
-    ``order`` names the columns that decide which row of a key is newest (compared as a
-    struct, after ``batch_id``). ``op_col`` (optional) marks tombstones with ``'delete'``.
-    ``unique_keys`` declares that every batch already holds one row per key (the output
-    of an ``update``-mode aggregate), which skips the in-batch fold. With
-    ``batch_first=False`` the data's own ``order`` decides before the batch id, so a
-    late-arriving older record never overwrites a newer one.
+    ``order`` names the columns that decide which row of a key is newest (after the
+    batch). ``op_col`` (optional) marks tombstones with ``'delete'``. ``unique_keys``
+    declares that every batch already holds one row per key (the output of an
+    ``update``-mode aggregate), which skips the in-batch fold; without it an ``order`` is
+    required. With ``batch_first=False`` the data's own ``order`` decides before the
+    batch, so a late-arriving older record never overwrites a newer one.
     """
 
     def __init__(self, root: str, key: Sequence[str], order: Sequence[str] = (),
                  op_col: str | None = None, delete_value: str = "delete",
-                 unique_keys: bool = False, batch_first: bool = True):
-        self.root = root.rstrip("/")
+                 unique_keys: bool = False, batch_first: bool = True, app_id: str | None = None):
+        super().__init__(root, app_id)
+        if not order and not unique_keys:
+            raise ValueError("an upsert needs an order of a key's rows, or batches with unique keys")
         self.key = list(key)
         self.order = list(order)
         self.op_col = op_col
         self.delete_value = delete_value
         self.unique_keys = unique_keys
         self.batch_first = batch_first
-        self.schema: T.StructType | None = None
-
-    @property
-    def _read_order(self) -> list[str]:
-        return [BATCH_COL, *self.order] if self.batch_first else [*self.order, BATCH_COL]
-
-    @property
-    def batches_root(self) -> str:
-        return f"{self.root}/batches"
-
-    @property
-    def base_root(self) -> str:
-        return f"{self.root}/base"
-
-    def _latest(self, df: DataFrame, order: Sequence[str]) -> DataFrame:
-        """Newest row per key: one aggregation with partial (map-side) combine, so a hot
-        key costs one row per partition in the shuffle, not all its rows."""
-        payload = [c for c in df.columns if c not in self.key]
-        newest = F.max(F.struct(*[F.col(c) for c in order],
-                                *[F.col(c) for c in payload if c not in order])).alias("_r")
-        return df.groupBy(*self.key).agg(newest).select(*self.key, "_r.*")
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         self.schema = df.schema
-        latest = df if self.unique_keys else self._latest(df, self.order)
-        latest.write.mode("overwrite").parquet(f"{self.batches_root}/{BATCH_COL}={batch_id}")
-
-    def _base(self, spark: SparkSession) -> tuple[int, str | None]:
-        done = _committed(spark, self.base_root, "upto")
-        return (done[-1], f"{self.base_root}/upto={done[-1]}") if done else (-1, None)
-
-    def _all_rows(self, spark: SparkSession, schema: T.StructType) -> tuple[DataFrame, int]:
-        """Base snapshot plus newer batches, and how many folders they came from."""
-        full = _with_batch_col(schema)
-        upto, base = self._base(spark)
-        newer = [b for b in _batch_dirs(spark, self.batches_root) if b > upto]
-        parts = []
+        if self._skip(df, batch_id):
+            return
+        payload = [c for c in df.columns if c not in (*self.key, *self.order)]
+        latest = df if self.unique_keys else latest_per_key(df, self.key, self.order, payload).select(*df.columns)
+        self._write(latest, batch_id)
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        """Newest row per key of rows with ``gen`` and ``batch_id``."""
+        rows = rows.withColumn("_write", F.col(GEN_COL).cast("long") * F.lit(1 << 40) + F.col(BATCH_COL))
+        order = ["_write", *self.order] if self.batch_first else [*self.order, "_write"]
+        payload = [c for c in rows.columns if c not in (*self.key, *order)]
+        return latest_per_key(rows, self.key, order, payload).drop("_write")
+
+    def _rows(self, spark: SparkSession, schema: T.StructType) -> tuple[DataFrame, int, dict, list[Entry]]:
+        """Base and newer batches, how many folders they came from, and what they are."""
+        base, folded, newer = self._unfolded(spark)
+        out = self._load(spark, newer, schema)
         if base:
-            parts.append(spark.read.schema(full).parquet(base))
-        if newer:
-            parts.append(spark.read.schema(full).option("basePath", self.batches_root)
-                         .parquet(*[f"{self.batches_root}/{BATCH_COL}={b}" for b in newer]))
-        if not parts:
-            return spark.createDataFrame([], full), 0
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out, (1 if base else 0) + len(newer)
+            out = spark.read.schema(with_order_cols(schema)).parquet(base).unionByName(out)
+        return out, bool(base) + len(newer), folded, newer
 
     def read(self, spark: SparkSession, schema: T.StructType | None = None,
              keep_batch: bool = False) -> DataFrame:
         schema = schema or self.schema
-        rows, n_parts = self._all_rows(spark, schema)
+        rows, n_parts, _, _ = self._rows(spark, schema)
         # a single folder is already one row per key (folded when written)
-        latest = rows if n_parts <= 1 else self._latest(rows, self._read_order)
+        latest = rows if n_parts <= 1 else self._newest(rows)
         if self.op_col:  # null-safe: a row without an op is an assignment, not a delete
             latest = latest.where(~F.col(self.op_col).eqNullSafe(F.lit(self.delete_value)))
-        cols = [c for c in schema.fieldNames()] + ([BATCH_COL] if keep_batch else [])
-        return latest.select(*cols)
+        return latest.select(*schema.fieldNames(), *([GEN_COL, BATCH_COL] if keep_batch else []))
 
     def compact(self, spark: SparkSession, schema: T.StructType | None = None) -> int:
         """Fold every committed batch into a new base snapshot (tombstones kept so that
-        they still hide older rows); later batches keep landing next to it."""
+        they still hide older rows); later batches keep landing next to it. Returns how
+        many batches were folded."""
         schema = schema or self.schema
-        done = _batch_dirs(spark, self.batches_root)
-        if not done:
-            return -1
-        upto = done[-1]
-        rows = self._all_rows(spark, schema)[0].where(F.col(BATCH_COL) <= upto)
-        latest = self._latest(rows, self._read_order)
-        latest.write.mode("overwrite").parquet(f"{self.base_root}/upto={upto}")
-        return upto
+        rows, _, folded, newer = self._rows(spark, schema)
+        if newer:
+            self._commit_base(spark, self._newest(rows), _folded(folded, newer))
+        return len(newer)
+
+    def seed(self, df: DataFrame) -> None:
+        """Install ``df`` (one row per key) as the base: every later batch is newer."""
+        self.schema = df.schema
+        self._commit_base(df.sparkSession, df.withColumn(GEN_COL, F.lit(-1)).withColumn(
+            BATCH_COL, F.lit(-1).cast("long")), {})
 
 
-class AccumulatingTable:
+class AccumulatingTable(_Table):
     """Running totals per key, stored as per-batch partial sums (merge-on-read).
 
     ``compact`` folds the committed partials into one base of totals so the number of
     folders a reader scans stays bounded; later batches keep landing next to it."""
 
-    def __init__(self, root: str, key: Sequence[str], measures: Sequence[str]):
-        self.root = root.rstrip("/")
+    def __init__(self, root: str, key: Sequence[str], measures: Sequence[str], app_id: str | None = None):
+        super().__init__(root, app_id)
         self.key = list(key)
         self.measures = list(measures)
-        self.schema: T.StructType | None = None
-
-    @property
-    def batches_root(self) -> str:
-        return f"{self.root}/batches"
-
-    @property
-    def base_root(self) -> str:
-        return f"{self.root}/base"
 
     def _sum(self, df: DataFrame) -> DataFrame:
         return df.groupBy(*self.key).agg(*[F.sum(m).alias(m) for m in self.measures])
@@ -222,56 +219,45 @@ class AccumulatingTable:
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         partial = self._sum(df)
         self.schema = partial.schema
-        partial.write.mode("overwrite").parquet(f"{self.batches_root}/{BATCH_COL}={batch_id}")
-
-    def _base(self, spark: SparkSession) -> int:
-        done = _committed(spark, self.base_root, "upto")
-        return done[-1] if done else -1
-
-    def _parts(self, spark: SparkSession, schema: T.StructType, upto_batch: int | None = None):
-        upto = self._base(spark)
-        newer = [b for b in _batch_dirs(spark, self.batches_root)
-                 if b > upto and (upto_batch is None or b <= upto_batch)]
-        parts = []
-        if upto >= 0:
-            parts.append(spark.read.schema(schema).parquet(f"{self.base_root}/upto={upto}"))
-        if newer:
-            parts.append(spark.read.schema(_with_batch_col(schema)).option("basePath", self.batches_root)
-                         .parquet(*[f"{self.batches_root}/{BATCH_COL}={b}" for b in newer])
-                         .drop(BATCH_COL))
-        return parts, newer
+        if not self._skip(df, batch_id):
+            self._write(partial, batch_id)
+
+    def _total(self, spark: SparkSession, schema: T.StructType) -> tuple[DataFrame, dict, list[Entry]]:
+        base, folded, newer = self._unfolded(spark)
+        out = self._load(spark, newer, schema).select(*schema.fieldNames())
+        if base:
+            out = spark.read.schema(schema).parquet(base).unionByName(out)
+        return self._sum(out), folded, newer
 
     def read(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
-        schema = schema or self.schema
-        parts, _ = self._parts(spark, schema)
-        if not parts:
-            return spark.createDataFrame([], schema)
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return self._sum(out)
+        return self._total(spark, schema or self.schema)[0]
 
     def compact(self, spark: SparkSession, schema: T.StructType | None = None) -> int:
-        """Fold base + committed partials into a new base; returns the last batch folded."""
-        schema = schema or self.schema
-        parts, newer = self._parts(spark, schema)
-        if not newer:
-            return self._base(spark)
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        self._sum(out).write.mode("overwrite").parquet(f"{self.base_root}/upto={newer[-1]}")
-        return newer[-1]
+        """Fold base and committed partials into a new base; returns how many were folded."""
+        total, folded, newer = self._total(spark, schema or self.schema)
+        if newer:
+            self._commit_base(spark, total, _folded(folded, newer))
+        return len(newer)
+
+    def seed(self, df: DataFrame) -> None:
+        """Install totals (of a migrated or backfilled state); later partials add to them."""
+        totals = self._sum(df)
+        self.schema = totals.schema
+        self._commit_base(df.sparkSession, totals, {})
 
 
 class TxnGuard:
-    """Apply ``fn(df, batch_id)`` at most once per ``(app_id, batch_id)``.
+    """Apply ``fn(df, batch_id)`` once per ``(app_id, batch_id)``, as a transaction id and
+    version do: a query that starts over under the same ``app_id`` is skipped until it
+    passes the batches applied before, so give it a new one if its batches are new.
 
     The marker is written after ``fn`` succeeds. A crash between the two replays the
-    batch, so ``fn`` must itself be replay-safe (a deterministic overwrite); the guard
-    then saves the work and protects writers that are not (accumulating merges)."""
+    batch, so ``fn`` must itself be replay-safe (the sinks here are, under the same
+    ``app_id``); a plain append is refused."""
 
     def __init__(self, marker_root: str, app_id: str, fn: Callable[[DataFrame, int], None]):
+        if not getattr(fn, "replay_safe", True):
+            raise ValueError("a plain append is written twice if the guard's marker is lost: use a replay-safe sink")
         self.marker_root = marker_root.rstrip("/")
         self.app_id = app_id
         self.fn = fn
@@ -292,42 +278,39 @@ class TxnGuard:
         self.applied.append(batch_id)
 
 
-class VersionedTable:
+class VersionedTable(_Table):
     """Copy-on-write table for small result tables (running totals, top-k inputs).
 
-    Version ``N`` is written by batch ``N`` from the newest committed version below it;
-    a committed version ``N`` means batch ``N`` was applied (the txn marker rides with
-    the data), so a replay is skipped. Each batch rewrites the whole table, so use it
-    for tables whose size is bounded by the key space, not by the input."""
+    Every applied batch writes the next version from the one before, and its commit marker
+    is the transaction marker, so a replay is skipped. Each batch rewrites the whole
+    table, so use it for tables whose size is bounded by the key space, not by the input.
+    The newest ``keep`` versions stay for readers under way; older ones are deleted."""
 
-    def __init__(self, root: str):
-        self.root = root.rstrip("/")
-        self.schema: T.StructType | None = None
-        self.skipped: list[int] = []
+    def __init__(self, root: str, app_id: str | None = None, keep: int = 2):
+        super().__init__(root, app_id)
+        self.keep = max(1, keep)
 
-    def versions(self, spark: SparkSession) -> list[int]:
-        return _committed(spark, self.root, "v")
+    def _versions(self, spark: SparkSession) -> list[Entry]:
+        return sorted(self.log.entries(spark), key=lambda e: e.attempt)  # attempts sort by time
 
-    def read(self, spark: SparkSession, below: int | None = None,
-             schema: T.StructType | None = None) -> DataFrame | None:
-        vs = [v for v in self.versions(spark) if below is None or v < below]
-        schema = schema or self.schema
-        if not vs:
+    def read(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame | None:
+        done, schema = self._versions(spark), schema or self.schema
+        if not done:
             return None if schema is None else spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(f"{self.root}/v={vs[-1]}") if schema \
-            else spark.read.parquet(f"{self.root}/v={vs[-1]}")
+        if schema is None:
+            return spark.read.parquet(self.log.path(done[-1]))
+        return spark.read.schema(schema).parquet(self.log.path(done[-1]))
 
     def apply(self, df: DataFrame, batch_id: int,
               merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
         spark = df.sparkSession
-        if batch_id in self.versions(spark):
-            self.skipped.append(batch_id)
-            _consume(df)
+        if self._skip(df, batch_id):
             return
-        base = self.read(spark, below=batch_id, schema=None if self.schema is None else self.schema)
-        out = merge(base, df)
+        out = merge(self.read(spark), df)
         self.schema = out.schema
-        out.write.mode("overwrite").parquet(f"{self.root}/v={batch_id}")
+        self._write(out, batch_id)
+        for old in self._versions(spark)[:-self.keep]:
+            paths.delete(spark, self.log.path(old))
 
 
 def versioned_sink(table: VersionedTable,
@@ -340,9 +323,10 @@ def versioned_sink(table: VersionedTable,
 
 def append_writer(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
     """Plain append of every batch: *not* replay-safe on its own (a replayed batch is
-    written twice). Wrap it in ``TxnGuard`` or dedup downstream."""
+    written twice): dedup downstream. ``TxnGuard`` refuses it."""
     def write(df: DataFrame, batch_id: int) -> None:
         df.write.mode("append").format(fmt).save(path)
+    write.replay_safe = False
     return write
 
 

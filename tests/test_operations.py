@@ -6,6 +6,7 @@ from __future__ import annotations
 import shutil
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
@@ -14,8 +15,8 @@ from rivulet.operators import aggregate, windows
 from rivulet.plans.materialize import append_to_parquet
 from rivulet.session import run_dir
 from rivulet.sources import files, state, tables
-from rivulet.streaming import operations, runtime
-from rivulet.streaming.sinks import BatchPathSink, UpsertTable
+from rivulet.streaming import observe, operations, runtime
+from rivulet.streaming.sinks import AccumulatingTable, BatchPathSink, UpsertTable
 
 
 def _local(path: str) -> Path:
@@ -76,19 +77,72 @@ def test_multiple_watermark_policy_min_vs_max(spark, conf):
     assert expect["max"] > expect["min"]
 
 
-def test_export_state_and_seed_a_new_table(spark):
+def test_migrated_totals_are_continued(spark):
     agg = aggregate.group_count(tables.events(spark, SF0001), ["event_type"])
-    d = run_dir(spark, "t_export")
+    d = run_dir(spark, "t_migrate")
     runtime.run_to_end(agg, f"{d}/ck", output_mode="update",
-                       foreach_batch=UpsertTable(f"{d}/t", ["event_type"]))
-    exported = operations.export_state(spark, f"{d}/ck", f"{d}/state")
-    migrated = exported.select("event_type", F.col("count").alias("cnt"))
-    seeded = UpsertTable(f"{d}/t2", ["event_type"])
-    operations.seed_upsert_table(seeded, migrated)
-    got = {r.event_type: r.cnt for r in seeded.read(spark).collect()}
-    want = {r.event_type: r.cnt for r in aggregate.group_count(
+                       foreach_batch=UpsertTable(f"{d}/t", ["event_type"], unique_keys=True))
+    table = AccumulatingTable(f"{d}/t2", ["event_type"], ["cnt"])
+    operations.migrate_totals(spark, f"{d}/ck", f"{d}/state", table, lambda st: st.select(
+        "event_type", F.col("count").alias("cnt")))
+    ones = tables.events(spark, SF0001).select("event_type", F.lit(1).cast("long").alias("cnt"))
+    runtime.run_to_end(ones, f"{d}/ck2", foreach_batch=table)
+    want = {r.event_type: 2 * r.cnt for r in aggregate.group_count(
         tables.events(spark, SF0001, streaming=False), ["event_type"]).collect()}
-    assert got == want
+    assert {r.event_type: r.cnt for r in table.read(spark).collect()} == want
+    table.compact(spark)
+    assert {r.event_type: r.cnt for r in table.read(spark).collect()} == want
+
+
+def test_reset_and_backfill_starts_over(spark):
+    d = run_dir(spark, "t_backfill")
+    table = AccumulatingTable(f"{d}/t", ["event_type"], ["cnt"])
+    table(spark.createDataFrame([("click", 1_000_000)], "event_type string, cnt long"), 0)
+    ones = lambda: tables.events(spark, SF0001).select("event_type", F.lit(1).cast("long").alias("cnt"))
+    operations.reset_and_backfill(table, ones, runtime.checkpoint_for(f"{d}/t", 2))
+    n = tables.events(spark, SF0001, streaming=False).count()
+    assert table.read(spark).agg(F.sum("cnt")).first()[0] == n
+    with pytest.raises(ValueError):
+        operations.reset_and_backfill(table, ones, runtime.checkpoint_for(f"{d}/t", 2))
+
+
+def test_state_partitions_are_the_callers_choice(spark, conf):
+    conf("spark.sql.shuffle.partitions", "5")
+    agg = aggregate.group_count(tables.events(spark, SF0001), ["event_type"])
+    for asked, got in ((3, 3), (None, 5)):
+        d = run_dir(spark, "t_parts")
+        runtime.run_to_end(agg, f"{d}/ck", output_mode="update", foreach_batch=BatchPathSink(f"{d}/a"),
+                           state_partitions=asked)
+        assert {r.numPartitions for r in state.read_state_metadata(spark, f"{d}/ck").collect()} == {got}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "5"
+
+
+def test_audit_past_log_retention_and_manifest_compaction(spark, conf):
+    conf("spark.sql.streaming.minBatchesToRetain", "2")
+    conf("spark.sql.streaming.fileSink.log.compactInterval", "3")
+    root, sink, ck = (run_dir(spark, f"t_audit_{x}") for x in ("in", "sink", "ck"))
+    sliced = files.Slices(tables.events(spark, SF0001, streaming=False), 12, "event_id")
+    for i in range(12):
+        files.write_slice(sliced, root, i)
+        stream = files.parquet_stream(spark, f"{root}/slice-*", schemas.EVENTS_SLICED)
+        runtime.run_to_end(stream, ck, sink=sink)
+    got = observe.audit_checkpoints(spark, {"q": (ck, sink)}).collect()
+    assert got and all(r.aligned for r in got) and max(r.batch_id for r in got) == 11
+    assert min(r.batch_id for r in got) > 0  # older offsets are gone and not judged
+    shutil.rmtree(_local(f"{ck}/commits/11"), ignore_errors=True)
+    _local(f"{ck}/commits/11").unlink(missing_ok=True)
+    late = {r.batch_id: r.aligned for r in observe.audit_checkpoints(spark, {"q": (ck, sink)}).collect()}
+    assert late[11] is False and all(v for k, v in late.items() if k != 11)
+
+
+def test_arrivals_do_not_depend_on_the_number_of_files(spark, conf, monkeypatch):
+    """Slices of several files are still one batch each."""
+    from rivulet.plans import queries
+
+    conf("spark.sql.files.maxRecordsPerFile", "100")
+    seen = []
+    queries._feed(spark, SF0001, "t_many_files", lambda df, b: seen.append((b, df.select("slice").distinct().count(), df.count())))
+    assert [b for b, *_ in seen] == [0, 1, 2, 3] and all(s == 1 and n > 100 for _, s, n in seen)
 
 
 def test_compaction_keeps_rows_and_reduces_files(spark):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
@@ -26,6 +29,9 @@ def test_batch_path_replay_overwrites(spark):
     sink(_kv(spark, [("c", 3)]), 1)
     assert sorted((r.k, r.v, r.batch_id) for r in sink.read(spark).collect()) == \
         [("a", 1, 0), ("b", 2, 0), ("c", 3, 1)]
+    assert sink.batches(spark) == [(0, 0), (0, 1)]
+    assert sink.log.vacuum(spark) == 1  # the attempt that the replay replaced
+    assert sink.read(spark).count() == 3
     assert [r.k for r in sink.read_latest(spark).collect()] == ["c"]
 
 
@@ -39,14 +45,119 @@ def test_batch_marker_skips_committed_batch(spark):
 
 def test_txn_guard_applies_each_batch_once_per_app(spark):
     root = run_dir(spark, "t_txn")
-    a = TxnGuard(f"{root}/_txn", "a", append_writer(f"{root}/a"))
-    b = TxnGuard(f"{root}/_txn", "b", append_writer(f"{root}/b"))
+    sinks = {app: BatchPathSink(f"{root}/{app}", app_id=app) for app in "ab"}
+    a, b = (TxnGuard(f"{root}/_txn", app, sink) for app, sink in sinks.items())
     df = _kv(spark, [("x", 1)])
     for _ in range(2):
         a(df, 0)
         b(df, 0)
     assert a.applied == [0] and a.skipped == [0] and b.applied == [0]
-    assert spark.read.parquet(f"{root}/a").count() == 1
+    assert sinks["a"].read(spark).count() == 1
+
+
+def test_txn_guard_survives_a_crash_between_write_and_marker(spark, monkeypatch):
+    root = run_dir(spark, "t_txn_crash")
+    sink = BatchPathSink(f"{root}/t", app_id="a")
+    guard = TxnGuard(f"{root}/_txn", "a", sink)
+    from rivulet.streaming import paths, sinks as sinks_module
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    real = paths.write_text
+    with monkeypatch.context() as m:
+        m.setattr(sinks_module.paths, "write_text", lambda spark, path, text: crash() if "_txn" in path else real(spark, path, text))
+        with pytest.raises(RuntimeError):
+            guard(_kv(spark, [("x", 1)]), 0)
+    guard(_kv(spark, [("x", 1)]), 0)
+    assert sink.read(spark).count() == 1 and guard.applied == [0]
+    with pytest.raises(ValueError):
+        TxnGuard(f"{root}/_txn", "b", append_writer(f"{root}/b"))
+
+
+def _apps(make, root):
+    return make(root, app_id="first"), make(root, app_id="second")
+
+
+def test_a_new_checkpoint_brings_new_rows(spark):
+    """Two queries count their batches from 0; with and without a compaction in between."""
+    for compact in (False, True):
+        root = run_dir(spark, "t_apps")
+        one, two = _apps(lambda r, **k: AccumulatingTable(f"{r}/acc", ["k"], ["v"], **k), root)
+        one(_kv(spark, [("a", 1)]), 0)
+        one(_kv(spark, [("a", 2)]), 1)
+        if compact:
+            assert one.compact(spark) == 2
+        two(_kv(spark, [("a", 10), ("new", 1)]), 0)
+        one(_kv(spark, [("a", 2)]), 1)  # a replay of the first, also after the compaction
+        assert one.skipped == [1]
+        assert sorted((r.k, r.v) for r in two.read(spark).collect()) == [("a", 13), ("new", 1)]
+
+        up, up2 = _apps(lambda r, **k: UpsertTable(f"{r}/up", ["k"], order=["v"], **k), root)
+        up(_kv(spark, [("a", 5)]), 7)
+        if compact:
+            up.compact(spark)
+        up2(_kv(spark, [("a", 3), ("new", 1)]), 0)
+        assert sorted((r.k, r.v) for r in up2.read(spark).collect()) == [("a", 3), ("new", 1)]
+
+        ver, ver2 = _apps(lambda r, **k: VersionedTable(f"{r}/ver", **k), root)
+        merge = accumulate_merge(["k"], ["v"])
+        ver.apply(_kv(spark, [("a", 1)]), 0, merge)
+        ver2.apply(_kv(spark, [("a", 4)]), 0, merge)
+        ver2.apply(_kv(spark, [("a", 4)]), 0, merge)
+        assert [(r.k, r.v) for r in ver2.read(spark).collect()] == [("a", 5)]
+
+        raw, raw2 = _apps(lambda r, **k: BatchPathSink(f"{r}/raw", **k), root)
+        raw(_kv(spark, [("a", 1)]), 0)
+        raw2(_kv(spark, [("b", 1), ("c", 1)]), 0)
+        assert raw2.read(spark).count() == 3
+
+
+def test_streams_are_told_apart_by_their_query_id(spark):
+    root = run_dir(spark, "t_query_ids")
+    table = AccumulatingTable(f"{root}/t", ["event_type"], ["cnt"])
+    rows = tables.events(spark, SF0001).select("event_type", F.lit(1).cast("long").alias("cnt"))
+    n = tables.events(spark, SF0001, streaming=False).count()
+    for k in (1, 2):
+        runtime.run_to_end(rows, f"{root}/ck{k}", foreach_batch=table)
+        assert table.read(spark).agg(F.sum("cnt")).first()[0] == k * n
+    assert [(g, b) for g, b in [(e.gen, e.batch) for e in table.log.entries(spark)]] == [(0, 0), (1, 0)]
+
+
+def test_reset_hides_everything_written_before(spark):
+    t = UpsertTable(run_dir(spark, "t_reset"), ["k"], order=["v"])
+    t(_kv(spark, [("a", 1), ("b", 1)]), 0)
+    t.compact(spark)
+    t.reset(spark)
+    assert t.read(spark).count() == 0
+    t(_kv(spark, [("a", 9)]), 0)
+    assert [(r.k, r.v) for r in t.read(spark).collect()] == [("a", 9)]
+
+
+def test_a_crash_before_the_commit_leaves_nothing(spark, monkeypatch):
+    sink = BatchPathSink(run_dir(spark, "t_half"))
+    with monkeypatch.context() as m:
+        m.setattr(sink.log, "commit", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            sink(_kv(spark, [("a", 1)]), 0)
+    assert sink.read(spark).count() == 0
+    sink(_kv(spark, [("a", 1)]), 0)
+    assert sink.read(spark).count() == 1
+
+
+def test_versions_are_cleaned_up(spark):
+    t = VersionedTable(run_dir(spark, "t_keep"), keep=2)
+    for b in range(5):
+        t.apply(_kv(spark, [("a", 1)]), b, accumulate_merge(["k"], ["v"]))
+    left = [e for e in t.log.entries(spark) if Path(t.log.path(e).replace("file:", "")).exists()]
+    assert [e.batch for e in left] == [3, 4] and t.read(spark).first().v == 5
+    t.apply(_kv(spark, [("a", 1)]), 1, accumulate_merge(["k"], ["v"]))
+    assert t.skipped == [1]
+
+
+def test_upsert_without_an_order_is_refused(spark):
+    with pytest.raises(ValueError):
+        UpsertTable(run_dir(spark, "t_no_order"), ["k"])
 
 
 def test_upsert_table_with_deletes_and_compaction(spark):
@@ -55,7 +166,7 @@ def test_upsert_table_with_deletes_and_compaction(spark):
     t(_kv(spark, [("a", 1, "set", 1), ("b", 2, "set", 2), ("a", 3, "set", 9)], schema), 0)
     t(_kv(spark, [("b", 4, "delete", None)], schema), 1)
     assert {(r.k, r.v) for r in t.read(spark).collect()} == {("a", 9)}
-    assert t.compact(spark) == 1
+    assert t.compact(spark) == 2
     t(_kv(spark, [("b", 5, "set", 5)], schema), 2)
     assert {(r.k, r.v) for r in t.read(spark).collect()} == {("a", 9), ("b", 5)}
 
@@ -77,7 +188,7 @@ def test_accumulating_table_replay_does_not_double_count(spark):
     t(_kv(spark, [("a", 1), ("a", 2)]), 0)
     t(_kv(spark, [("a", 10)]), 1)
     assert [(r.k, r.v) for r in t.read(spark).collect()] == [("a", 13)]
-    assert t.compact(spark) == 1
+    assert t.compact(spark) == 2
     t(_kv(spark, [("a", 100), ("b", 1)]), 2)
     assert sorted((r.k, r.v) for r in t.read(spark).collect()) == [("a", 113), ("b", 1)]
 
@@ -102,7 +213,7 @@ def test_skipping_a_replayed_batch_of_a_stateful_query_keeps_state(spark):
     """A guard that skips must still run the batch, or the state store commit fails."""
     agg = aggregate.group_count(tables.events(spark, SF0001), ["event_type"])
     root = run_dir(spark, "t_stateful_skip")
-    sink = UpsertTable(f"{root}/t", ["event_type"])
+    sink = UpsertTable(f"{root}/t", ["event_type"], unique_keys=True, app_id="app")
     guard = TxnGuard(f"{root}/_txn", "app", sink)
     runtime.run_to_end(agg, f"{root}/ck0", output_mode="update", foreach_batch=guard)
     runtime.run_to_end(agg, f"{root}/ck1", output_mode="update", foreach_batch=guard)

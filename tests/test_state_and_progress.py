@@ -11,7 +11,7 @@ from rivulet.operators.windows import windowed_agg
 from rivulet.session import run_dir
 from rivulet.sources.rate import rate_micro_batch
 from rivulet.streaming.harness import FileDropStream
-from rivulet.streaming.observe import ProgressCollector, trace_rows
+from rivulet.streaming.observe import ProgressTable
 
 SCHEMA = T.StructType([T.StructField("value", T.LongType())])
 
@@ -31,7 +31,7 @@ def _state_rows(spark, conf, delay, mode):
         for start in range(0, 200, 20):
             h.add([(start + i,) for i in range(0, 20, 3)])
             h.process()
-        return [r[3] for r in trace_rows(h.query)]
+        return [r[3] for r in h.trace()]
     finally:
         h.stop()
 
@@ -46,24 +46,29 @@ def test_watermark_bounds_window_state(spark, conf):
     assert max(totals) <= 8
 
 
-def test_progress_listener_sees_every_batch(spark):
-    collector = ProgressCollector()
-    spark.streams.addListener(collector)
-    try:
-        h = FileDropStream(spark, SCHEMA, "listener")
-        q = h.start(lambda df: df, "append", lambda df, b: df.collect())
-        for i in range(3):
-            h.add([(i,)])
-            h.process()
-        h.stop()
-        deadline = time.time() + 10
-        while time.time() < deadline and len({r["batchId"] for r in collector.snapshot()
-                                               if r["id"] == str(q.id)}) < 3:
-            time.sleep(0.2)  # listener events arrive asynchronously
-        rows = [r for r in collector.snapshot() if r["id"] == str(q.id) and r["numInputRows"]]
-        assert sorted(r["batchId"] for r in rows) == [0, 1, 2]
-    finally:
-        spark.streams.removeListener(collector)
+def test_progress_table_is_complete_past_the_recent_progress(spark, conf):
+    conf("spark.sql.streaming.numRecentProgressUpdates", "3")
+    table = ProgressTable(spark, run_dir(spark, "t_progress"), flush_every=4)
+    h = FileDropStream(spark, SCHEMA, "listener")
+    q = h.start(_windows("10 seconds"), "append", lambda df, b: df.count())
+    for i in range(9):
+        h.add([(20 * i,), (20 * i + 1,)])
+        h.process()
+    h.stop()
+    table.close()
+    rows = [r for r in table.read().collect() if r.queryId == str(q.id)]
+    assert sum(r.numInputRows for r in rows) == 18
+    assert sorted(r.batchId for r in rows) == list(range(max(r.batchId for r in rows) + 1))
+    assert len([r for r in rows if r.numInputRows]) == 9 and len(q.recentProgress) <= 3
+    assert all(r.eventTimeMax for r in rows if r.numInputRows)
+
+
+def test_trace_sums_all_state_operators(spark):
+    from rivulet.streaming.observe import trace_row
+
+    op = {"numRowsTotal": 2, "numRowsUpdated": 1, "numRowsRemoved": 0, "numRowsDroppedByWatermark": 3}
+    row = trace_row({"id": "q", "runId": "r", "batchId": 4, "numInputRows": 7, "stateOperators": [op, op]})
+    assert (row["numRowsTotal"], row["numRowsDroppedByWatermark"], row["batchId"]) == (4, 6, 4)
 
 
 def test_rate_micro_batch_values_are_contiguous(spark):
@@ -101,22 +106,35 @@ def test_progress_reporter_emits_lines(spark):
     assert lines and lines[0].startswith("batch=")
 
 
-def test_foreach_row_writer(spark):
+def test_foreach_row_writer(spark, tmp_path):
     from conftest import SF0001
     from rivulet.sources import tables
     from rivulet.streaming import runtime
 
+    folder = str(tmp_path)
+
     class Writer:
         def open(self, partition_id, epoch_id):
+            self.file = open(f"{folder}/{epoch_id}-{partition_id}", "w")
             return True
 
         def process(self, row):
-            pass
+            self.file.write(f"{row.event_id}\n")
 
         def close(self, error):
-            pass
+            self.file.close()
+
+    ev = tables.events(spark, SF0001).select("event_id")
+    runtime.drain(runtime.start(ev, run_dir(spark, "t_foreach"), foreach=Writer()))
+    written = sorted(int(x) for f in tmp_path.iterdir() for x in f.read_text().split())
+    want = [r.event_id for r in tables.events(spark, SF0001, streaming=False).orderBy("event_id").collect()]
+    assert written == want
+
+
+def test_u_millis_as_a_pandas_udf(spark):
+    """The survey's scalar UDF example next to the built-in."""
+    from rivulet.functions.time import millis_to_timestamp, millis_to_timestamp_udf
 
-    q = runtime.start(tables.events(spark, SF0001).select("event_id"), run_dir(spark, "t_foreach"),
-                      foreach=Writer())
-    runtime.drain(q)
-    assert q.lastProgress["numInputRows"] > 0
+    df = spark.range(5).select((F.col("id") * 86_400_123).alias("ms"))
+    both = df.select(millis_to_timestamp("ms").alias("a"), millis_to_timestamp_udf("ms").alias("b")).collect()
+    assert all(r.a == r.b for r in both)

@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 from rivulet.operators.windows import windowed_agg
 from rivulet.session import run_dir
 from rivulet.streaming.harness import FileDropStream
-from rivulet.streaming.observe import trace_rows
 
 SCHEMA = T.StructType([T.StructField("value", T.LongType())])
 
@@ -44,7 +43,7 @@ def _run_continuous(spark, conf, batches, nodata: bool):
         for b in batches:
             h.add([(v,) for v in b])
             h.process()
-        return emitted, trace_rows(h.query)
+        return emitted, h.trace()
     finally:
         h.stop()
 
