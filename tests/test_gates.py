@@ -101,3 +101,89 @@ def test_inner_stream_stream_join_without_watermark_runs(spark):
     sink = BatchPathSink(f"{d}/t")
     runtime.run_to_end(a.join(b, "event_id"), f"{d}/ck", foreach_batch=sink)
     assert sink.read(spark).count() == tables.events(spark, SF0001, streaming=False).count()
+
+
+# ---------------------------------------------------------------- the rest of the matrix
+
+def test_stateless_query_in_complete_mode_is_refused(spark):
+    with pytest.raises(AnalysisException):
+        _start(tables.events(spark, SF0001).select("event_id"), "complete")
+
+
+def test_stateless_query_in_update_mode_is_append(spark):
+    d = run_dir(spark, "gate_stateless_update")
+    sink = BatchPathSink(f"{d}/t")
+    runtime.run_to_end(tables.events(spark, SF0001).select("event_id"), f"{d}/ck", output_mode="update",
+                       foreach_batch=sink)
+    assert sink.read(spark).count() == tables.events(spark, SF0001, streaming=False).count()
+
+
+@pytest.mark.parametrize("mode", ["update", "complete"])
+def test_limit_outside_append_and_complete(spark, mode):
+    """``limit`` of a stream counts rows for good: not in update; in complete it limits the
+    result table of an aggregate."""
+    ev = tables.events(spark, SF0001)
+    if mode == "update":
+        with pytest.raises(AnalysisException):
+            _start(ev.select("event_id").limit(3), mode)
+        return
+    d = run_dir(spark, "gate_limit")
+    sink = BatchPathSink(f"{d}/t")
+    runtime.run_to_end(ev.groupBy("user_id").count().limit(3), f"{d}/ck", output_mode=mode, foreach_batch=sink)
+    assert sink.read_latest(spark).count() == 3
+
+
+def test_sort_on_an_aggregate_in_complete_mode_is_legal(spark):
+    d = run_dir(spark, "gate_sort_complete")
+    sink = BatchPathSink(f"{d}/t")
+    agg = tables.events(spark, SF0001).groupBy("event_type").count().orderBy(F.desc("count"))
+    runtime.run_to_end(agg, f"{d}/ck", output_mode="complete", foreach_batch=sink)
+    assert sink.read_latest(spark).count() == 5
+
+
+def test_session_window_in_update_mode_is_refused(spark):
+    agg = windows.session_agg(tables.events(spark, SF0001), "ts", "1 hour", ["user_id"],
+                              [F.count("*").alias("cnt")], delay="1 day")
+    with pytest.raises(AnalysisException):
+        _start(agg, "update")
+
+
+@pytest.mark.parametrize("mode", ["update", "complete"])
+def test_outer_stream_stream_join_needs_append_mode(spark, mode):
+    a = tables.events(spark, SF0001).select("event_id", F.col("ts").alias("t1")).withWatermark("t1", "1 day")
+    b = tables.events(spark, SF0001).select(F.col("event_id").alias("e2"), F.col("ts").alias("t2")).withWatermark("t2", "1 day")
+    j = a.join(b, (F.col("event_id") == F.col("e2")) & (F.col("t2") >= F.col("t1"))
+               & (F.col("t2") <= F.col("t1") + F.expr("INTERVAL 1 HOUR")), "left_outer")
+    with pytest.raises(AnalysisException):
+        _start(j, mode)
+
+
+def test_a_refused_start_leaves_the_checkpoint_usable(spark):
+    d = run_dir(spark, "gate_refused")
+    rows = tables.events(spark, SF0001).select("event_id")
+    with pytest.raises(AnalysisException):
+        runtime.start(rows, f"{d}/ck", output_mode="complete", foreach_batch=BatchPathSink(f"{d}/t"))
+    sink = BatchPathSink(f"{d}/t")
+    runtime.run_to_end(rows, f"{d}/ck", output_mode="append", foreach_batch=sink)
+    assert sink.read(spark).count() > 0
+
+
+def test_a_shared_folder_is_required_off_local_mode(monkeypatch):
+    from rivulet import session
+
+    class Nothing:
+        def isDefined(self):  # noqa: N802
+            return False
+
+    class Fake:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+            class _jsc:  # noqa: N801
+                sc = staticmethod(lambda: type("SC", (), {"getCheckpointDir": staticmethod(lambda: Nothing())}))
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        session.work_root(Fake)
