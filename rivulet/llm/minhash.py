@@ -9,10 +9,11 @@ all weights are 1. An element stops as soon as its next arrival is later than th
 register, so a text costs its length plus ``m log m``, not length times ``m``.
 
 Equal texts collapse to one node first. Nodes meet in bands of registers. In every bucket
-each node is compared with the bucket's smallest node only; buckets that these links join
-into one component are finished, and in the others the pairs of nodes from different
-components are compared as well. So no link that decides the classes is lost, and a bucket
-of many copies costs its size, not its square. Every link is verified by the exact
+each node is compared with the bucket's hub only, the node that meets most others; buckets
+that these links join into one component are finished. In the others the nodes of
+different components are compared as well, block against block inside a task: no pair
+becomes a row, only the links that join components do. So no link that decides the classes
+is lost, and a bucket of many copies costs its size. Every link is verified by the exact
 similarity of the two whole texts.
 """
 
@@ -33,6 +34,10 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: A pair at the threshold misses every band with probability (1 - 0.8**6)**32 < 1e-4.
 BANDS, ROWS = 32, 6
+#: Nodes of a bucket, and bytes of their shingles, that are compared with as many others at
+#: a time. Larger buckets are cut into blocks, and every two blocks are compared.
+BLOCK_NODES, BLOCK_BYTES = 256, 8 << 20
+_COLUMNS = 4096
 _ORDER = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -144,6 +149,82 @@ def _verify(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     return joined.select("a", "b", "ea", "ca", "eb", "cb").mapInArrow(check, "a long, b long")
 
 
+def _overlaps(bags: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many elements each left bag shares with each right bag: products of 0/1 matrices,
+    a stretch of the elements at a time."""
+    size = np.array([len(b) for b in bags])
+    _, column = np.unique(np.concatenate(bags), return_inverse=True)
+    row = np.repeat(np.arange(len(bags)), size)
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        lo, hi = np.searchsorted(column, (start, start + _COLUMNS))
+        part = np.zeros((len(bags), _COLUMNS), np.float32)
+        part[row[lo:hi], column[lo:hi] - start] = 1
+        out += part[left] @ part[right].T
+    return out
+
+
+def _links(band: int, uid: np.ndarray, root: np.ndarray, bands: np.ndarray, left: np.ndarray, right: np.ndarray,
+           bags: list[np.ndarray], counts: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
+    """Links between left and right nodes of one bucket, as few as join the same nodes: of
+    the pairs of different roots that meet in no earlier band."""
+    met = root[left][:, None] == root[right][None, :]
+    for k in range(band):
+        met |= bands[left, k][:, None] == bands[right, k][None, :]
+    a, b = np.nonzero(~met & (uid[left][:, None] < uid[right][None, :])) if left is right else np.nonzero(~met)
+    if len(a) == 0:
+        return []
+    size = np.array([len(x) for x in bags])
+    shared = _overlaps(bags, left, right)[a, b]
+    a, b = left[a], right[b]
+    plain = np.array([len(c) == 0 or c.max() == 1 for c in counts])
+    alike = shared >= threshold * (size[a] + size[b] - shared)
+    alike &= plain[a] & plain[b]
+    top = {int(r): int(r) for r in np.unique(root)}
+
+    def find(x: int) -> int:
+        while top[x] != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+
+    out = []
+    for k in np.flatnonzero(alike | ~(plain[a] & plain[b]) & (shared > 0)):
+        i, j = a[k], b[k]
+        x, y = find(int(root[i])), find(int(root[j]))
+        if x != y and (alike[k] or similarity(bags[i], counts[i], bags[j], counts[j]) >= threshold):
+            top[x] = y
+            out.append((int(uid[i]), int(uid[j])))
+    return out
+
+
+def _cross_links(torn: DataFrame, nodes: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+    """Links ``(a, b)`` between the components that share a bucket of ``torn`` (``band, value,
+    uid, root``). A node goes to every pair of blocks that its block is part of."""
+    size = bags.select("uid", (F.length("elements") + F.length("counts")).alias("bytes"))
+    blocks = torn.join(size, "uid").groupBy("band", "value").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK_NODES), F.ceil(F.sum("bytes") / BLOCK_BYTES)).alias("blocks"))
+    dealt = torn.join(blocks, ["band", "value"]).withColumn("block", F.pmod(F.xxhash64("uid"), "blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select("band", "value", "uid", "root", "block", F.least("block", "other").alias("lo"),
+                         F.greatest("block", "other").alias("hi"))
+    full = dealt.join(bags, "uid").join(nodes.select("uid", "bands"), "uid")
+
+    def compare(t: pa.Table) -> pa.Table:
+        uid, root, block, lo, hi = (t.column(c).to_numpy() for c in ("uid", "root", "block", "lo", "hi"))
+        bands = np.stack(t.column("bands").to_pylist())
+        bag = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("elements")]
+        count = [np.frombuffer(x.as_buffer(), np.uint32) for x in t.column("counts")]
+        left = np.flatnonzero(block == lo)
+        right = left if lo[0] == hi[0] else np.flatnonzero(block == hi)
+        found = _links(int(t.column("band")[0].as_py()), uid, root, bands, left, right, bag, count, threshold)
+        return pa.table({"a": pa.array([i for i, _ in found], pa.int64()), "b": pa.array([j for _, j in found], pa.int64())})
+
+    return full.groupBy("band", "value", "lo", "hi").applyInArrow(compare, "a long, b long")
+
+
 def classes(rows: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(_key, root)`` for every distinct text: equal ``root`` means the same class.
     ``rows`` has ``_key``; ``texts`` has ``_key`` and ``_text``, copies allowed."""
@@ -151,28 +232,29 @@ def classes(rows: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) ->
     nodes = stored(signed.groupBy("_key").agg(F.first("bands").alias("bands"))
                    .withColumn("uid", F.monotonically_increasing_id()), "near-nodes")
     member = nodes.select("uid", F.posexplode("bands").alias("band", "value"))
-    shared = member.groupBy("band", "value").agg(F.min("uid").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = stored(member.join(shared, ["band", "value"]).select("band", "value", "uid", "least"), "near-shared")
+    many = member.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = stored(member.join(many, ["band", "value"]), "near-shared")
+    # a bucket's hub: the node that meets most others in all its buckets, of equals the least
+    meets = shared.groupBy("uid").agg(F.sum("n").alias("meets"))
+    rank = (F.col("meets").cast("decimal(18,0)") * F.lit(str(1 << 63)).cast("decimal(19,0)")
+            - F.col("uid")).cast("decimal(38,0)")
+    hubs = shared.join(meets, "uid").groupBy("band", "value").agg(F.max_by("uid", rank).alias("hub"))
+    star = stored(shared.join(hubs, ["band", "value"]).where("uid != hub")
+                  .select(F.col("hub").alias("a"), F.col("uid").alias("b")).distinct(), "near-star")
 
     wanted = shared.select("uid").distinct().join(nodes.select("uid", "_key"), "uid")
     one = texts.groupBy("_key").agg(F.first("_text").alias("_text"))
     bags = stored(wanted.join(one, "_key").select("uid", "_text").mapInArrow(
         _bags, "uid long, elements binary, counts binary"), "near-bags")
 
-    star = stored(shared.where("uid != least").select(F.col("least").alias("a"), F.col("uid").alias("b")).distinct(),
-                  "near-star")
     links = stored(_verify(star, bags, threshold), "near-links")
     root = components(links)
-    # buckets that are still more than one component: pairs across components
     placed = shared.join(root.withColumnRenamed("node", "uid"), "uid", "left").select(
         "band", "value", "uid", F.coalesce("root", "uid").alias("root"))
-    torn = placed.groupBy("band", "value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+    torn = placed.groupBy("band", "value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                               F.count(F.lit(1)).alias("n")).where("lo < hi and n > 2")
     torn = stored(placed.join(torn.select("band", "value"), ["band", "value"]), "near-torn")
-    left = torn.select("band", "value", F.col("uid").alias("a"), F.col("root").alias("ra"))
-    right = torn.select("band", "value", F.col("uid").alias("b"), F.col("root").alias("rb"))
-    cross = (left.join(right, ["band", "value"]).where("a < b and ra != rb").select("a", "b").distinct()
-             .join(star, ["a", "b"], "left_anti"))
-    more = stored(_verify(cross, bags, threshold), "near-links")
+    more = stored(_cross_links(torn, nodes, bags, threshold), "near-links")
     root = components(links.unionByName(more))
     return nodes.select("_key", "uid").join(root.withColumnRenamed("node", "uid"), "uid", "left").select(
         "_key", F.coalesce("root", "uid").alias("root"))
