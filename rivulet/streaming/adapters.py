@@ -1,7 +1,7 @@
 """Thin adapters for connectors that are not on this classpath (Delta, JDBC).
 
-They carry the same semantics as the tested Parquet forms in ``sinks.py`` and are
-untested here (no Delta jars, no database). Each raises a clear error when the
+They carry the same semantics as the tested Parquet forms in ``sinks.py``; here only their
+options and statements are tested (no Delta jars, no JDBC driver). Each raises a clear error when the
 connector is missing instead of failing deep inside a query.
 """
 
@@ -61,3 +61,12 @@ def jdbc_stage(df: DataFrame, url: str, staging_table: str, properties: dict) ->
     """Append a micro-batch to a staging table; the database then applies it with
     ``INSERT ... ON CONFLICT DO NOTHING`` keyed on the event id (at-least-once safe)."""
     df.write.mode("append").jdbc(url, staging_table, properties=properties)
+
+
+def jdbc_apply_statement(staging_table: str, table: str, columns: Sequence[str], key: str) -> str:
+    """The statement that the database runs after ``jdbc_stage``: rows whose ``key`` is not
+    there yet, once each, whatever was staged or applied before."""
+    cols = ", ".join(columns)
+    return (f"INSERT INTO {table} ({cols}) SELECT {cols} FROM (SELECT *, row_number() OVER "
+            f"(PARTITION BY {key} ORDER BY {key}) AS nth FROM {staging_table}) AS s "
+            f"WHERE nth = 1 ON CONFLICT ({key}) DO NOTHING")
