@@ -47,15 +47,16 @@ def crc_fold(doc_id: Column, folds: int) -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int,
                     per_class: int, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with ``_label`` for at most ``per_class`` labelled rows of each class, never
-    from the held-out fold. The chosen label rows are a broadcast of that proven size."""
+    """``docs`` (with ``_id``) and ``_label`` for at most ``per_class`` labelled rows of each
+    class, never from the held-out fold. The chosen label rows are a broadcast of that
+    proven size; of ``labels`` only ``id_col`` and ``label`` are read."""
     rows = labels.where(crc_fold(F.col(id_col), folds) != held).select(
         F.col(id_col).alias("_label_id"), F.col(label).cast("int").alias("_label"))
     picked = None
     for value in (0, 1):
         part = rows.where(F.col("_label") == value).orderBy(F.xxhash64("_label_id"), "_label_id").limit(per_class)
         picked = part if picked is None else picked.unionByName(part)
-    return docs.join(F.broadcast(picked), F.col(id_col) == F.col("_label_id"))
+    return docs.join(F.broadcast(picked), F.col("_id") == F.col("_label_id"))
 
 
 def vectors(batch: pa.RecordBatch, meta: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -176,7 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                     "value": pa.array([value[a:b].tobytes() for a, b in zip(starts, starts[1:])], pa.binary())})
 
     slim = _prepared(docs, text_col, meta, F.col(id_col).alias("_id"))
-    sample = labelled_sample(slim, labels.withColumnRenamed(id_col, "_id"), "quality", 4, 2, per_class, "_id")
+    sample = labelled_sample(slim, labels, "quality", 4, 2, per_class, id_col)
     found = sample.select("_label", "_text", *names).mapInArrow(
         encode, "label int, index binary, value binary").collect()
     rows = sorted((r["label"], bytes(r["index"]), bytes(r["value"])) for r in found)  # fixed order, fixed model

@@ -326,7 +326,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     other columns are ignored; without labels every text with words scores a half; an
     empty table gives an empty result."""
     sample = labelled_sample(docs.select(F.col(id_col).alias("_id"), whole_text(text_col).alias("_text")),
-                             labels.withColumnRenamed(id_col, "_id"), "toxic", 5, 0, per_class, "_id")
+                             labels, "toxic", 5, 0, per_class, id_col)
     rows = sorted((r["_label"], r["_text"]) for r in sample.select("_label", "_text").collect())
     net = fit(pa.array([t for _, t in rows], pa.large_string()), np.array([y for y, _ in rows], np.int64))
     del rows

@@ -76,6 +76,8 @@ def test_quality_edge_cases(spark):
     assert len(got) == len(rows()) and all(0 <= r.score <= 1 for r in got)
     assert not any(r.held_out for r in got if r.doc_id is None)
     assert quality_fm.kept(docs(spark), labels).columns == docs(spark).columns
+    wide = labels.selectExpr("*", "1 as _id", "2 as _label", "3 as _label_id", "4 as _text")
+    assert quality_fm.classify(docs(spark), wide, meta=("n_chars",)).collect() == got
     none = labels.where("false")
     assert {r.score for r in quality_fm.classify(df, none).collect()} == {0.5}
     assert quality_fm.classify(empty(spark), labels).count() == 0
@@ -158,7 +160,7 @@ def test_toxicity_held_out_accuracy_and_edges(spark, monkeypatch):
 
 
 def test_toxicity_without_labels_or_rows(spark):
-    _, labels = _toxic_docs(spark)
+    labels = _toxic_docs(spark)[1].selectExpr("*", "1 as _id", "2 as _label", "3 as _label_id", "4 as _text")
     got = toxicity_gru.toxicity(docs(spark), labels.where("false")).collect()
     assert {round(r.score, 6) for r in got if (r.doc_id or 0) in (1, 2, 7, 8)} == {0.5}
     assert toxicity_gru.toxicity(empty(spark), labels).count() == 0
