@@ -26,6 +26,7 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,13 +35,21 @@ from rivulet.llm.common import flat_words, stored, text_slices, whole_text
 
 SEQUENCE = 2048
 PACKET = 512
+#: Text bytes whose words are told apart at a time.
+SLICE = 12 << 20
 END_ID = 1
 #: Rounds whose packets one task orders: a bounded number of tokens, about 2 million.
 ROUNDS = 1024
 #: Blocks under one total of the second level of the stream's prefix sum.
 BLOCKS = 4096
-#: Distinct words whose ids a task remembers.
+#: Distinct word stems whose ids a task remembers in each of two generations.
 _REMEMBER = 300_000
+#: Plain words, letters and then ASCII punctuation, and that punctuation.
+_PLAIN = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+[!-&(-/:-@\[-`{-~]*$"
+_LETTERS = "".join(c for c in map(chr, range(65, 256)) if c.isalpha() and c not in "\xaa\xb5\xba")
+_PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+#: Stems that are encoded in one string.
+_TOGETHER = 500
 
 
 def default_tokenizer() -> str:
@@ -49,6 +58,83 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class WordIds:
+    """Token ids of single words, as bytes of unsigned 32-bit numbers.
+
+    The tokenizer lower-cases, and letters and punctuation never share a token, so a plain
+    word has the ids of its lower-cased stem and then those of its punctuation. Stems are
+    encoded many in one string and told apart afterwards: the vocabulary marks the tokens
+    that end a word. Should the marks not add up, and for all other words, each is encoded
+    by itself."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        vocabulary = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.now: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+
+    def _alone(self, words: list[str]) -> None:
+        for w, e in zip(words, self.tok.encode_batch_fast(words, add_special_tokens=False)):
+            self.now[w] = np.array(e.ids, np.uint32).tobytes()
+
+    def _together(self, stems: list[str]) -> None:
+        groups = [stems[i:i + _TOGETHER] for i in range(0, len(stems), _TOGETHER)]
+        for g, e in zip(groups, self.tok.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(g):
+                self._alone(g)
+                continue
+            raw, a = ids.tobytes(), 0
+            for stem, b in zip(g, (4 * stops).tolist()):
+                self.now[stem] = raw[a:b]
+                a = b
+
+    def _known(self, stems: pa.Array, plain: np.ndarray) -> list[bytes]:
+        """Ids of distinct ``stems``; those not ``plain`` are encoded by themselves."""
+        now, old, names = self.now, self.old, stems.to_pylist()
+        new = []
+        for k, w in enumerate(names):
+            if w not in now:
+                if w in old:
+                    now[w] = old[w]
+                else:
+                    new.append(k)
+        self._together([names[k] for k in new if plain[k]])
+        self._alone([names[k] for k in new if not plain[k]])
+        return [now[w] for w in names]
+
+    def __call__(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words one after the other, how many each word has)."""
+        if len(self.now) > _REMEMBER:
+            self.old, self.now = self.now, {"": b""}
+        plain = pc.match_substring_regex(distinct, _PLAIN)
+        stems = pc.if_else(plain, pc.utf8_lower(pc.utf8_rtrim(distinct, _PUNCTUATION)), distinct).dictionary_encode()
+        tails = pc.if_else(plain, pc.utf8_ltrim(distinct, _LETTERS), "").dictionary_encode()
+        whole = pc.match_substring_regex(stems.dictionary, _PLAIN).to_numpy(zero_copy_only=False)
+        parts = self._known(stems.dictionary, whole) + self._known(tails.dictionary, np.zeros(len(tails.dictionary), bool))
+        pick = np.stack([stems.indices.to_numpy(), tails.indices.to_numpy() + len(stems.dictionary)], 1).ravel()
+        return _gather(parts, pick, 2)
+
+
+def _gather(parts: list[bytes], pick: np.ndarray, each: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of ``parts[pick]`` one after the other, and their number per ``each`` picks."""
+    size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+    flat, lens = _ragged(np.frombuffer(b"".join(parts), np.uint32), size, pick)
+    return flat, lens.reshape(-1, each).sum(1)
+
+
+def _ragged(ids: np.ndarray, size: np.ndarray, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs ``pick`` of ``ids``, which are cut into runs of ``size``, and their lengths."""
+    begin, lens = (np.cumsum(size) - size)[pick], size[pick]
+    return ids[np.repeat(begin - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())], lens
+
+
 def tokenized(docs: DataFrame, id_col: str, text_col: str, source_col: str, tokenizer: str) -> DataFrame:
     """``_uid, _id, _source, n, ids`` per document: ``ids`` are zstd-compressed unsigned
     32-bit numbers, the end id included; stored once."""
@@ -60,25 +146,11 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, source_col: str, toke
                            T.StructField("ids", T.BinaryType())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tok, known, press = Tokenizer.from_file(tokenizer), {}, zstandard.ZstdCompressor(level=1)
+        word_ids, press = WordIds(tokenizer), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for part in text_slices(batch, "_text"):
+            for part in text_slices(batch, "_text", SLICE):
                 doc, code, distinct = flat_words(part.column("_text"))
-                words = distinct.to_pylist()
-                if len(known) > _REMEMBER:
-                    known.clear()
-                new = [w for w in words if w not in known]
-                for w, e in zip(new, tok.encode_batch_fast(new, add_special_tokens=False)):
-                    known[w] = np.array(e.ids, np.uint32).tobytes()
-                own = [known[w] for w in words]
-                ids = np.frombuffer(b"".join(own), np.uint32)
-                size = np.fromiter(map(len, own), np.int64, len(own)) // 4
-                at = np.concatenate([[0], np.cumsum(size)])
-                lens = size[code]
-                flat = ids[np.repeat(at[code], lens) + np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)]
+                flat, lens = _ragged(*word_ids(distinct), code)
                 count = np.bincount(doc, lens, part.num_rows).astype(np.int64)
                 ends = np.cumsum(count)
                 rows = [press.compress(flat[e - c:e].tobytes() + np.uint32(END_ID).tobytes())
@@ -110,8 +182,8 @@ def packets(tokens: DataFrame, weights: Mapping[str, float] | None, packet: int,
         for name, w in weights.items():
             weight = F.when(F.col("source") == name, F.lit(float(w))).otherwise(weight)
     queues = queues.withColumn("weight", weight)
-    queues = queues.crossJoin(F.broadcast(queues.agg(F.sum("weight").alias("all"))))  # one row
-    quantum = queues.select("source", (F.col("weight") / F.col("all") * sequence).alias("quantum"))
+    every = queues.select(F.sum("weight")).scalar()
+    quantum = queues.select("source", (F.col("weight") / every * sequence).alias("quantum"))
     parts = stored(parts.select("source", "part", _before("n", by=["source"], order=["part"]).alias("base"))
                    .join(quantum, "source"), "pack-queues")
     docs = docs.withColumn("before", _before("n", by=["source", "part"], order=["_uid"]))
