@@ -33,7 +33,7 @@ from rivulet.llm.common import flat_words, mix64, stored, text_slices, whole_tex
 WINDOW = 35
 GRAM = 4
 #: Runs in a bucket, on average; their number sets how many buckets there are.
-RUNS_PER_BUCKET = 10_000
+RUNS_PER_BUCKET = 16_000
 HOT = 5_000
 #: Text bytes whose runs are grouped together on the sending side.
 SLICE = 8 << 20
@@ -114,7 +114,7 @@ def _send(part: pa.RecordBatch, hot: np.ndarray, n_buckets: int, window: int) ->
     lo, hi = edge[begin].tolist(), edge[begin + size + window - 1].tolist()
     doc_start = np.searchsorted(doc, np.arange(part.num_rows))
     keys = part.column("_key")
-    press = zstandard.ZstdCompressor(level=1)
+    press = zstandard.ZstdCompressor(level=3)
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order])) + 1
     for group in np.split(order, cuts):
@@ -242,14 +242,26 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keyed = _keyed(docs, id_col, text_col)
     cover = stored(repeated_stretches(keyed, window, runs_per_bucket), "substring-stretches")
     cover = cover.groupBy("_key").agg(F.collect_set(F.struct("start", "stop")).alias("cover"))
-    wide = keyed.join(cover, "_key", "left").select("_id", "_text", "cover")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            texts = [press.compress(t.as_buffer()) for t in batch.column("_text").cast(pa.large_binary())]
+            yield pa.record_batch({"_id": batch.column("_id"), "_key": batch.column("_key"), "_text": pa.array(texts, pa.binary())})
+
+    # texts meet their stretches compressed: the shuffle carries half the bytes
+    packed = keyed.select("_id", "_key", F.col("_text").cast("binary").alias("_text"))
+    packed = keyed.select("_id", "_key", "_text").mapInArrow(pack, packed.schema)
+    wide = packed.join(cover, "_key", "left").select("_id", "_text", "cover")
     out = wide.select("_id", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"),
                       F.lit("").alias("kept_sha256"), *([F.lit("").alias("kept_text")] if with_text else [])).schema
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdDecompressor()
         for batch in batches:
-            for part in text_slices(batch, "_text"):
-                doc, code, distinct = flat_words(part.column("_text"))
+            for part in text_slices(batch, "_text", 2 << 20):
+                texts = pa.array([press.decompress(t.as_buffer()) for t in part.column("_text")], pa.large_binary())
+                doc, code, distinct = flat_words(texts)
                 start = np.searchsorted(doc, np.arange(part.num_rows + 1))
                 lists = part.column("cover")
                 p = lists.flatten()
