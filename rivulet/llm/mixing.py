@@ -74,13 +74,14 @@ def allocate(leaves: DataFrame, levels: Sequence[str], weights: Mapping[str, Map
                               .otherwise(F.lit(0.0)))
     total = nodes.agg(F.sum("_cap").alias("_all"), F.sum("supply").alias("_sum"))
     given = F.col("_sum").cast("double") if budget is None else F.lit(float(budget))
-    parent = total.select(F.least(F.col("_all"), given).alias("_give"))
+    whole = total.select(F.least(F.col("_all"), given)).scalar()
+    parent = None
     for depth, level in enumerate(levels, 1):
         keys = list(levels[:depth])
         here = nodes.groupBy(*keys).agg(F.sum("_cap").alias("_cap")).withColumn(
             "_w", _weight(level, weights))
         if depth == 1:
-            here = here.crossJoin(F.broadcast(parent))  # one row: the budget
+            here = here.withColumn("_give", whole)
         else:
             here = _join(here, parent, keys[:-1])
         group = Window.partitionBy(*keys[:-1])
