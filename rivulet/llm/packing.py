@@ -36,14 +36,14 @@ from rivulet.llm.common import flat_words, stored, text_slices, whole_text
 SEQUENCE = 2048
 PACKET = 512
 #: Text bytes whose words are told apart at a time.
-SLICE = 12 << 20
+SLICE = 6 << 20
 END_ID = 1
 #: Rounds whose packets one task orders: a bounded number of tokens, about 2 million.
 ROUNDS = 1024
 #: Blocks under one total of the second level of the stream's prefix sum.
 BLOCKS = 4096
 #: Distinct word stems whose ids a task remembers in each of two generations.
-_REMEMBER = 300_000
+_REMEMBER = 150_000
 #: Plain words, letters and then ASCII punctuation, and that punctuation.
 _PLAIN = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+[!-&(-/:-@\[-`{-~]*$"
 _LETTERS = "".join(c for c in map(chr, range(65, 256)) if c.isalpha() and c not in "\xaa\xb5\xba")
