@@ -36,7 +36,7 @@ from rivulet.llm.common import flat_words, stored, text_slices, whole_text
 SEQUENCE = 2048
 PACKET = 512
 #: Text bytes whose words are told apart at a time.
-SLICE = 6 << 20
+SLICE = 4 << 20
 END_ID = 1
 #: Rounds whose packets one task orders: a bounded number of tokens, about 2 million.
 ROUNDS = 1024
@@ -157,6 +157,8 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, source_col: str, toke
                         for c, e in zip(count, ends)]
                 yield pa.record_batch({"_id": part.column("_id"), "_source": part.column("_source"),
                                        "n": pa.array(count + 1), "ids": pa.array(rows, pa.binary())})
+                del doc, code, distinct, flat, rows
+                pa.default_memory_pool().release_unused()  # else the pool keeps a slice's memory
 
     return stored(slim.mapInArrow(encode, schema).withColumn("_uid", F.monotonically_increasing_id()),
                   "pack-ids")
