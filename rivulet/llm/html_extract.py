@@ -1,15 +1,19 @@
 """Operator 3, HTML extraction: site template removal.
 
 Every element's subtree is hashed bottom-up (its tag, class and id, text and children).
-Spark counts on how many pages of a host each hash occurs, and subtrees that recur on many
-pages of their host are deleted, whatever they are called: menus, notices, adverts. Inside
-the article the bar is higher, since sites repeat passages but not most of an article.
-Tags, roles and class names that announce boilerplate are deleted as well, so that pages
-of small hosts lose theirs too.
-
-The counting key is (host, hash), pre-aggregated per slice and map-side, so a host with a
-third of all pages is spread over its hashes. What a host's pages share is a bounded list:
-a page has E elements on average, so at most ``E / SHARE`` hashes reach the share.
+Spark counts with how many different contents of a host each hash occurs (pages with the
+same main text are one content), and blocks that recur with many contents are deleted,
+whatever they are called: menus, notices, adverts. Inline elements, headings, cells and
+short paragraphs belong to the text around them and go only together with their block.
+Inside the article the bar is higher, since sites repeat passages but not most of an
+article; a page whose recurring blocks are most of its text, as in a group of near copies,
+keeps all that hold more than links. Tags, roles and class names that announce boilerplate
+are deleted as well, so that pages of small hosts lose theirs too.
+
+The counting key is (host, hash, content), made distinct per slice and map-side, so a host
+with a third of all pages is spread over its hashes and contents. What a host's pages share
+is a bounded list: a page has E elements on average, so at most ``E / SHARE`` hashes reach
+the share.
 """
 
 from __future__ import annotations
@@ -28,10 +32,14 @@ from pyspark.sql import functions as F
 from rivulet.llm.common import stored, text_slices
 from rivulet.llm.url_filter import host_of
 
-#: A subtree is template if at least so many pages of its host have it, and this share.
+#: A subtree is template if at least so many contents of its host have it, and this share.
 MIN_PAGES, SHARE = 5, 0.1
 #: The same for a subtree inside the article.
 MIN_PAGES_INSIDE, SHARE_INSIDE = 20, 0.5
+#: A paragraph shorter than this ("Yes.", "* * *") is running text, however often it recurs.
+LEAST_CHARS = 15
+#: Recurring text of a page that is longer than this and than the rest is its content.
+MOST_CHARS = 300
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -41,6 +49,10 @@ _RAW = frozenset("script style title textarea noscript template iframe svg math
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Blocks that recurrence may delete: not those that are part of a text, list or table.
+_RECURS = _BLOCK - _HEADINGS - frozenset(
+    "html body article main dd dt figcaption hgroup hr legend li summary tbody td tfoot th thead tr".split())
 #: Opening one of these closes an open one of the named tags in the same container.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
            "th": ("td", "th"), "option": ("option",), "tbody": ("tbody", "thead", "tr", "td", "th"),
@@ -70,29 +82,47 @@ def _boilerplate(tag: str, attrs: dict[str, str], inside: bool) -> bool:
 
 
 class _Open:
-    __slots__ = ("tag", "names", "parts", "at", "drop", "main")
+    """An open element. Of the text kept in it, ``size`` counts the characters outside links,
+    ``linked`` those in links and ``heads`` those of recurring headings; ``cut`` tells that
+    a recurring block in it was deleted."""
+
+    __slots__ = ("tag", "names", "parts", "at", "drop", "main", "size", "linked", "heads", "cut")
 
     def __init__(self, tag, names, at, drop, main):
         self.tag, self.names, self.parts, self.at, self.drop, self.main = tag, names, [], at, drop, main
+        self.size = self.linked = self.heads = 0
+        self.cut = False
 
 
 def parse(source: str, templates: frozenset[int] = frozenset(), inner: frozenset[int] = frozenset(),
           found: Counter | None = None) -> str:
-    """Main text of a page without boilerplate and without the subtrees hashed in
-    ``templates`` (``inner`` inside the article). ``found`` receives each distinct subtree
-    hash that holds text, as ``(hash, inside)``.
+    """Main text of a page without boilerplate and without the blocks hashed in
+    ``templates`` (``inner`` inside the article). ``found`` receives the hash of each
+    distinct subtree that recurrence may delete, as ``(hash, inside)``.
 
     Broken pages are read as browsers do: missing end tags are implied by what follows,
     stray end tags are ignored, and what is open at the end is closed."""
+    text, hashes, lost, kept = _read(source, templates, inner, False)
+    if lost > MOST_CHARS and lost > kept:
+        text = _read(source, templates, inner, True)[0]
+    if found is not None:
+        found.update(hashes)
+    return text
+
+
+def _read(source: str, templates: frozenset[int], inner: frozenset[int],
+          spare: bool) -> tuple[str, set[tuple[int, bool]], int, int]:
+    """Text, hashes, and the characters outside links that recurrence deleted and that are
+    left. With ``spare`` only blocks without text outside links are deleted."""
     out: list[str | None] = []  # text, and None between blocks
     best: list[str | None] = []
     stack = [_Open("", "", 0, False, False)]
-    mains = 0
+    mains = lost = 0
     opened: Counter = Counter()  # how many of each tag are open: spares searching a deep stack
     hashes: set[tuple[int, bool]] = set()
 
     def close() -> None:
-        nonlocal mains
+        nonlocal mains, lost
         e = stack.pop()
         opened[e.tag] -= 1
         if e.tag in _BLOCK:
@@ -105,14 +135,31 @@ def parse(source: str, templates: frozenset[int] = frozenset(), inner: frozenset
         if e.main:
             mains -= 1
         number = int.from_bytes(mark, "little", signed=True) if mark else 0
-        whole = e.main or e.tag in ("html", "body", "article", "main")
-        if mark and not whole:
+        length, known = e.size + e.linked, inner if inside else templates
+        if not mark or e.main:
+            pass
+        elif e.tag in _HEADINGS:
             hashes.add((number, inside))
-            if number in (inner if inside else templates):
-                e.drop = True
+            if number in known:
+                e.heads = length
+        elif e.tag in _RECURS and (e.tag != "p" or len(b" ".join(e.parts)) >= LEAST_CHARS) or (
+                e.tag == "li" and not inside and not e.size):
+            hashes.add((number, inside))
+            # also what is left of a block when only its recurring headings are
+            if not e.drop and (number in known and not (spare and e.size) or e.cut and length == e.heads):
+                e.drop = stack[-1].cut = True
+                lost += e.size
         if e.drop:
             del out[e.at:]
             out.append(None)
+        else:
+            up = stack[-1]
+            up.size += e.size
+            up.linked += e.linked
+            up.heads += e.heads
+            up.cut = up.cut or e.cut
+        if e.drop:
+            pass
         elif e.main and mains == 0 and not any(x.drop for x in stack):
             best.extend(out[e.at:])
 
@@ -123,6 +170,10 @@ def parse(source: str, templates: frozenset[int] = frozenset(), inner: frozenset
             squeezed = " ".join(piece.split())
             if squeezed:
                 stack[-1].parts.append(squeezed.encode("utf-8", "surrogatepass"))
+                if opened["a"]:
+                    stack[-1].linked += len(squeezed)
+                else:
+                    stack[-1].size += len(squeezed)
 
     pos, size = 0, len(source)
     while pos < size:
@@ -181,9 +232,6 @@ def parse(source: str, templates: frozenset[int] = frozenset(), inner: frozenset
         stack.append(_Open(tag, attrs.get("class", "") + "\x00" + attrs.get("id", ""), len(out), drop, main))
     while len(stack) > 1:
         close()
-    if found is not None:
-        found.update(hashes)
-
     blocks, line = [], []
     for piece in (best or out) + [None]:
         if piece is not None:
@@ -193,7 +241,7 @@ def parse(source: str, templates: frozenset[int] = frozenset(), inner: frozenset
             line = []
             if block:
                 blocks.append(block)
-    return "\n\n".join(blocks)
+    return "\n\n".join(blocks), hashes, lost, stack[0].size
 
 
 def site_templates(pages: DataFrame) -> DataFrame:
@@ -202,21 +250,26 @@ def site_templates(pages: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "_text"):
-                seen: dict[str, Counter] = {}
+                seen: set[tuple] = set()
                 for host, page in zip(part.column("_host").to_pylist(), part.column("_text").to_pylist()):
-                    parse(page, found=seen.setdefault(host, Counter()))
-                rows = [(h, k, i, n) for h, c in seen.items() for (k, i), n in c.items()]
+                    found: Counter = Counter()
+                    main = parse(page, found=found)
+                    content = int.from_bytes(blake2b(main.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+                    seen.add((host, None, None, content))
+                    seen.update((host, mark, inside, content) for mark, inside in found)
                 yield pa.record_batch([pa.array(list(x), t) for x, t in zip(
-                    zip(*rows) if rows else ([],) * 4, (pa.string(), pa.int64(), pa.bool_(), pa.int64()))],
-                    names=["host", "mark", "inside", "n"])
+                    zip(*seen) if seen else ([],) * 4, (pa.string(), pa.int64(), pa.bool_(), pa.int64()))],
+                    names=["host", "mark", "inside", "content"])
 
     known = pages.where("_host <> ''")
-    marks = known.select("_host", "_text").mapInArrow(count, "host string, mark long, inside boolean, n long")
-    marks = marks.groupBy("host", "mark", "inside").agg(F.sum("n").alias("n"))
-    marks = marks.where(F.col("n") >= F.when(F.col("inside"), MIN_PAGES_INSIDE).otherwise(MIN_PAGES))
-    hosts = known.groupBy(F.col("_host").alias("host")).agg(F.count(F.lit(1)).alias("pages"))
-    often = marks.join(hosts, "host").where(
-        F.col("n") >= F.col("pages") * F.when(F.col("inside"), SHARE_INSIDE).otherwise(SHARE))
+    marks = known.select("_host", "_text").mapInArrow(count, "host string, mark long, inside boolean, content long")
+    # a host's row without a mark counts its contents
+    marks = marks.distinct().groupBy("host", "mark", "inside").agg(F.count(F.lit(1)).alias("n"))
+    marks = stored(marks.where(F.col("mark").isNull() | (
+        F.col("n") >= F.when(F.col("inside"), MIN_PAGES_INSIDE).otherwise(MIN_PAGES))), "html-marks")
+    hosts = marks.where("mark is null").select("host", F.col("n").alias("contents"))
+    often = marks.where("mark is not null").join(hosts, "host").where(
+        F.col("n") >= F.col("contents") * F.when(F.col("inside"), SHARE_INSIDE).otherwise(SHARE))
     return often.groupBy("host").agg(
         F.collect_list(F.when(~F.col("inside"), F.col("mark"))).alias("templates"),
         F.collect_list(F.when(F.col("inside"), F.col("mark"))).alias("inner"))
@@ -226,8 +279,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """One row per page: ``id_col, url, text, n_chars``.
 
     Null and empty pages give an empty text. A page whose url is null or has no host
-    shares templates with no other page. Repeated rows each get a row, and count as pages
-    of their host; other columns are ignored; an empty table gives an empty result."""
+    shares templates with no other page. Repeated rows each get a row, and count once for
+    their host; other columns are ignored; an empty table gives an empty result."""
     slim = pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"),
                         host_of(F.col(url_col)).alias("_host"),
                         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("_text"))

@@ -149,3 +149,35 @@ def test_extracts_the_article_of_every_test_page(spark):
     got = html_extract.extract(pages).collect()
     bodies = [squeeze(" ".join(r.text.split("\n\n")[1:])) for r in got]
     assert len(got) == pages.count() and sum(b in known for b in bodies) == len(bodies)
+
+
+def _texts(spark, pages):
+    return [r.text for r in sorted(html_extract.extract(spark.createDataFrame(
+        [(i, "http://h.example/%d" % i, p) for i, p in enumerate(pages)], PAGES)).collect(), key=lambda r: r.page_id)]
+
+
+def test_copies_of_an_article_are_one_content(spark):
+    body = "<h1>Title</h1><p>The same long story on many pages</p><ul><li>first point of it</li></ul>"
+    whole = "Title\n\nThe same long story on many pages\n\nfirst point of it"
+    for wrap in ("<article>%s</article>", "<body><div>%s</div></body>"):
+        texts = _texts(spark, [wrap % body] * 30 + [wrap % f"<p>Another story, number {i}</p>" for i in range(20)])
+        assert texts[:30] == [whole] * 30
+        assert texts[30:] == [f"Another story, number {i}" for i in range(20)]
+
+
+def test_near_copies_keep_their_shared_paragraphs(spark):
+    shared = "".join(f"<p>{'word%d ' % k * 20}</p>" for k in range(5))
+    texts = _texts(spark, [f"<article><p>edition {i} of this</p>{shared}</article>" for i in range(40)])
+    assert all(f"edition {i} of this" in t and "word0" in t and "word4" in t for i, t in enumerate(texts))
+
+
+def test_recurrence_spares_parts_of_running_text(spark):
+    part = ("<h2>References</h2><p>Story %d has <b>Name</b> and <em>not</em> <a href=/d>Docs</a></p><p>Yes.</p>"
+            "<table><tr><td>Yes</td><td>%d</td></tr></table>")
+    want = "References\n\nStory %d has Name and not Docs\n\nYes.\n\nYes\n\n%d"
+    menu = "<ul class=k><li><a href=/>Home</a></li><li><a href=/n>News</a></li><li><b>Now %d</b></li></ul>"
+    box = "<div class=z><h2>Most read</h2><div><p>One recurring teaser</p></div></div>"
+    for page in (f"<article>{part}</article>", f"<body>{menu}<div>{part}</div>{box}</body>"):
+        n = page.count("%d")
+        texts = _texts(spark, [page % ((i,) * n) for i in range(40)])
+        assert texts == [("Now %d\n\n" % i if n == 3 else "") + want % (i, i) for i in range(40)]
