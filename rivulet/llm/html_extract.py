@@ -97,7 +97,8 @@ class _Open:
 def parse(source: str, templates: frozenset[int] = frozenset(), inner: frozenset[int] = frozenset(),
           found: Counter | None = None) -> str:
     """Main text of a page without boilerplate and without the blocks hashed in
-    ``templates`` (``inner`` inside the article). ``found`` receives the hash of each
+    ``templates`` (``inner`` inside the article): that of its main elements if they hold at
+    least half of the text outside links, else all of it. ``found`` receives the hash of each
     distinct subtree that recurrence may delete, as ``(hash, inside)``.
 
     Broken pages are read as browsers do: missing end tags are implied by what follows,
@@ -117,12 +118,12 @@ def _read(source: str, templates: frozenset[int], inner: frozenset[int],
     out: list[str | None] = []  # text, and None between blocks
     best: list[str | None] = []
     stack = [_Open("", "", 0, False, False)]
-    mains = lost = 0
+    mains = lost = best_size = 0
     opened: Counter = Counter()  # how many of each tag are open: spares searching a deep stack
     hashes: set[tuple[int, bool]] = set()
 
     def close() -> None:
-        nonlocal mains, lost
+        nonlocal mains, lost, best_size
         e = stack.pop()
         opened[e.tag] -= 1
         if e.tag in _BLOCK:
@@ -162,6 +163,7 @@ def _read(source: str, templates: frozenset[int], inner: frozenset[int],
             pass
         elif e.main and mains == 0 and not any(x.drop for x in stack):
             best.extend(out[e.at:])
+            best_size += e.size
 
     def text(piece: str) -> None:
         if piece:
@@ -233,7 +235,9 @@ def _read(source: str, templates: frozenset[int], inner: frozenset[int],
     while len(stack) > 1:
         close()
     blocks, line = [], []
-    for piece in (best or out) + [None]:
+    # text outside links decides: an empty main or a teaser is not the page's text
+    chosen = best if 2 * best_size >= stack[0].size and any(x and not x.isspace() for x in best) else out
+    for piece in chosen + [None]:
         if piece is not None:
             line.append(piece)
         elif line:

@@ -181,3 +181,13 @@ def test_recurrence_spares_parts_of_running_text(spark):
         n = page.count("%d")
         texts = _texts(spark, [page % ((i,) * n) for i in range(40)])
         assert texts == [("Now %d\n\n" % i if n == 3 else "") + want % (i, i) for i in range(40)]
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<main></main><div><p>Story</p></div>", "Story"),
+    ("<main> <p> </p></main><p>Story</p>", "Story"),
+    ("<div><p>A story told at length</p></div><article>Teaser</article>", "A story told at length\n\nTeaser"),
+    ("<div><a href=/>A long list of links, longer than the text</a></div><main><p>Short text</p></main><p>more</p>", "Short text"),
+])
+def test_main_elements_must_hold_most_of_the_text(page, text):
+    assert parse(page) == text
