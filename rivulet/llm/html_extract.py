@@ -45,7 +45,7 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)
 _ATTR = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _SPACE = re.compile(r"\s+")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style title textarea noscript template iframe svg math object".split())
+_RAW = frozenset("script style title textarea noscript template iframe svg annotation annotation-xml object".split())
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -58,14 +58,42 @@ _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "
            "th": ("td", "th"), "option": ("option",), "tbody": ("tbody", "thead", "tr", "td", "th"),
            "tfoot": ("tbody", "thead", "tr", "td", "th")}
 _SCOPE = frozenset("html body table td th article main section div aside nav header footer form ul ol dl blockquote".split())
-_DROP_TAG = frozenset("nav aside form footer button select dialog head menu".split())
+_DROP_TAG = frozenset("nav aside footer button select dialog head menu".split())
 _DROP_WORD = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner breadcrumb breadcrumbs "
     "comment comments respond disqus cookie cookies consent gdpr notice popup modal overlay footer masthead menu nav "
     "navbar navigation newsletter pagination pager related recommended share sharing sidebar social subscribe "
     "signup login search toolbar widget widgets copyright skip".split())
-_DROP_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
+_DROP_ROLE = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 _WORD = re.compile(r"[a-z]+")
+#: Whole class names and ids that announce boilerplate also inside the article and on its
+#: paragraphs, where single words of a name may as well tell what the text is about.
+_DROP_NAME = frozenset(
+    "ad ads advert adverts advertisement sponsored breadcrumb breadcrumbs comments comment-list comment-form respond "
+    "disqus disqus-thread cookie-notice cookie-banner cookie-consent newsletter newsletter-signup newsletter-form "
+    "subscribe-box subscribe-form pagination pager navbar nav-links post-navigation sidebar popup modal masthead "
+    "ad-container ad-slot ad-unit ad-wrapper ad-banner banner-ad related-posts related-articles related-stories "
+    "related-links related-content related-news recommended-posts recommended-articles share-buttons share-bar "
+    "share-links share-tools sharing-buttons social-share social-sharing social-links social-buttons social-icons "
+    "social-media-links skip-link".split())
+#: Those of them that an id generated from a heading may be.
+_SLUGS = frozenset("ad ads advert adverts advertisement sponsored newsletter pagination pager sidebar popup modal masthead".split())
+
+
+def _named(tag: str, attrs: dict[str, str], inside: bool) -> tuple[bool, bool]:
+    """Whether class and id make an element boilerplate, and whether they hint at it."""
+    classes, key = attrs.get("class", "").lower(), attrs.get("id", "").lower()
+    if tag in ("html", "body", "article", "main") and "comment" not in classes:
+        return False, False
+    names = set(classes.replace("_", "-").split())
+    text = tag == "p" or tag in _HEADINGS
+    if not text:  # ids of headings and sections are often made from their words
+        names |= {key.replace("_", "-").strip()} - (_SLUGS if tag == "section" else frozenset())
+    if names & _DROP_NAME:
+        return True, True
+    words = _WORD.findall(classes + ("" if text or tag == "section" else " " + key))
+    hint = any(w in _DROP_WORD for w in words) or "header" in words and not inside
+    return hint and not (inside or text) or tag in ("article", "main") and hint, hint
 
 
 def _boilerplate(tag: str, attrs: dict[str, str], inside: bool) -> bool:
@@ -73,25 +101,21 @@ def _boilerplate(tag: str, attrs: dict[str, str], inside: bool) -> bool:
         return True
     if attrs.get("role", "") in _DROP_ROLE or attrs.get("aria-hidden") == "true":
         return True
-    if "display:none" in attrs.get("style", "").replace(" ", ""):
-        return True
-    if tag in ("html", "body", "article", "main") and "comment" not in attrs.get("class", ""):
-        return False
-    names = _WORD.findall((attrs.get("class", "") + " " + attrs.get("id", "")).lower())
-    return any(w in _DROP_WORD for w in names) or "header" in names and not inside
+    return "display:none" in attrs.get("style", "").replace(" ", "")
 
 
 class _Open:
     """An open element. Of the text kept in it, ``size`` counts the characters outside links,
     ``linked`` those in links and ``heads`` those of recurring headings; ``cut`` tells that
-    a recurring block in it was deleted."""
+    a recurring block in it was deleted, ``form`` is the number of a form (0: none), and
+    ``hint`` tells that its names hint at boilerplate."""
 
-    __slots__ = ("tag", "names", "parts", "at", "drop", "main", "size", "linked", "heads", "cut")
+    __slots__ = ("tag", "names", "parts", "at", "drop", "main", "size", "linked", "heads", "cut", "form", "hint")
 
-    def __init__(self, tag, names, at, drop, main):
+    def __init__(self, tag, names, at, drop, main, form=0, hint=False):
         self.tag, self.names, self.parts, self.at, self.drop, self.main = tag, names, [], at, drop, main
         self.size = self.linked = self.heads = 0
-        self.cut = False
+        self.cut, self.form, self.hint = False, form, hint
 
 
 def parse(source: str, templates: frozenset[int] = frozenset(), inner: frozenset[int] = frozenset(),
@@ -103,27 +127,34 @@ def parse(source: str, templates: frozenset[int] = frozenset(), inner: frozenset
 
     Broken pages are read as browsers do: missing end tags are implied by what follows,
     stray end tags are ignored, and what is open at the end is closed."""
-    text, hashes, lost, kept = _read(source, templates, inner, False)
+    text, hashes, lost, kept, (size, form) = _read(source, templates, inner, False, 0)
+    if size <= kept:
+        form = 0
+    else:  # the page is in this form
+        text, hashes, lost, kept, _ = _read(source, templates, inner, False, form)
     if lost > MOST_CHARS and lost > kept:
-        text = _read(source, templates, inner, True)[0]
+        text = _read(source, templates, inner, True, form)[0]
     if found is not None:
         found.update(hashes)
     return text
 
 
 def _read(source: str, templates: frozenset[int], inner: frozenset[int],
-          spare: bool) -> tuple[str, set[tuple[int, bool]], int, int]:
-    """Text, hashes, and the characters outside links that recurrence deleted and that are
-    left. With ``spare`` only blocks without text outside links are deleted."""
+          spare: bool, page_form: int) -> tuple[str, set[tuple[int, bool]], int, int, tuple[int, int]]:
+    """Text, hashes, the characters outside links that recurrence deleted and that are left,
+    and size and number of the largest deleted form. Forms are deleted unless they hold a
+    main element or are number ``page_form``. With ``spare`` recurrence deletes only blocks
+    without text outside links."""
     out: list[str | None] = []  # text, and None between blocks
     best: list[str | None] = []
     stack = [_Open("", "", 0, False, False)]
-    mains = lost = best_size = 0
+    mains = lost = best_size = forms = 0
+    largest = (0, 0)
     opened: Counter = Counter()  # how many of each tag are open: spares searching a deep stack
     hashes: set[tuple[int, bool]] = set()
 
     def close() -> None:
-        nonlocal mains, lost, best_size
+        nonlocal mains, lost, best_size, largest
         e = stack.pop()
         opened[e.tag] -= 1
         if e.tag in _BLOCK:
@@ -132,7 +163,7 @@ def _read(source: str, templates: frozenset[int], inner: frozenset[int],
         if e.parts:
             mark = blake2b(f"{e.tag}\x00{e.names}\x00".encode() + b"\x00".join(e.parts), digest_size=8).digest()
             stack[-1].parts.append(mark)
-        inside = mains > 0
+        inside = mains > 0 and not e.hint  # a name that hints at boilerplate lowers the bar
         if e.main:
             mains -= 1
         number = int.from_bytes(mark, "little", signed=True) if mark else 0
@@ -150,6 +181,10 @@ def _read(source: str, templates: frozenset[int], inner: frozenset[int],
             if not e.drop and (number in known and not (spare and e.size) or e.cut and length == e.heads):
                 e.drop = stack[-1].cut = True
                 lost += e.size
+        if e.form:
+            if not e.drop and not any(x.drop for x in stack):
+                largest = max(largest, (e.size, e.form))
+            e.drop = True
         if e.drop:
             del out[e.at:]
             out.append(None)
@@ -227,11 +262,19 @@ def _read(source: str, templates: frozenset[int], inner: frozenset[int],
         if rest and not rest.isspace():
             attrs = {k.lower(): (v or "").strip("\"'") for k, v in _ATTR.findall(rest)}
         main = tag in ("article", "main") or attrs.get("role") == "main"
-        drop = _boilerplate(tag, attrs, mains > 0)
+        named, hint = _named(tag, attrs, mains > 0)
+        drop = named or _boilerplate(tag, attrs, mains > 0)
         main = main and not drop
         mains += main
+        form = 0
+        if main:
+            for x in stack:
+                x.form = 0
+        elif tag == "form" or attrs.get("role") == "form":
+            forms += 1
+            form = forms if forms != page_form else 0
         opened[tag] += 1
-        stack.append(_Open(tag, attrs.get("class", "") + "\x00" + attrs.get("id", ""), len(out), drop, main))
+        stack.append(_Open(tag, attrs.get("class", "") + "\x00" + attrs.get("id", ""), len(out), drop, main, form, hint))
     while len(stack) > 1:
         close()
     blocks, line = [], []
@@ -245,7 +288,7 @@ def _read(source: str, templates: frozenset[int], inner: frozenset[int],
             line = []
             if block:
                 blocks.append(block)
-    return "\n\n".join(blocks), hashes, lost, stack[0].size
+    return "\n\n".join(blocks), hashes, lost, stack[0].size, largest
 
 
 def site_templates(pages: DataFrame) -> DataFrame:

@@ -191,3 +191,26 @@ def test_recurrence_spares_parts_of_running_text(spark):
 ])
 def test_main_elements_must_hold_most_of_the_text(page, text):
     assert parse(page) == text
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><h2 id='how-to-search'>How</h2><section id='related-work'>Work</section><p class='share-price'>Up</p></article>",
+     "How\n\nWork\n\nUp"),
+    ("<article><div class='social-history'>Past</div><figure class='banner'>Flag</figure><h3 id='notice-period'>Term</h3></article>",
+     "Past\n\nFlag\n\nTerm"),
+    ("<div><h2 id='how-to-search'>How</h2><section id='related-work'>Work</section><p class='share-price'>Up</p></div>", "How\n\nWork\n\nUp"),
+    ("<article>x<div class='share-buttons'>s</div><div class='related_posts'>r</div><div id='respond'>c</div></article>", "x"),
+    ("<body><form><nav>n</nav><div><p>The whole page</p><select><option>o</select></div></form></body>", "The whole page"),
+    ("<form id=a><div role=main><p>m</p></div></form>", "m"),
+    ("<p>longer text</p><form>f</form>", "longer text"),
+    ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x = 2</annotation></math> holds</p></article>", "so x=2 holds"),
+])
+def test_names_and_forms_do_not_take_the_text(page, text):
+    assert parse(page) == text
+
+
+def test_names_inside_the_article_lower_the_bar(spark):
+    block = "<div class='%s'>Follow our channel for more</div>"
+    pages = [f"<article><p>Story {i} of many</p>{block % 'social-hint' if i < 10 else block % 'x' if i < 20 else ''}</article>" for i in range(30)]
+    texts = _texts(spark, pages)
+    assert all(("Follow" in t) == (10 <= i < 20) for i, t in enumerate(texts))
