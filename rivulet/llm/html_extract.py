@@ -5,15 +5,16 @@ Spark counts with how many different contents of a host each hash occurs (pages
 same main text are one content), and blocks that recur with many contents are deleted,
 whatever they are called: menus, notices, adverts. Inline elements, headings, cells and
 short paragraphs belong to the text around them and go only together with their block.
-Inside the article the bar is higher, since sites repeat passages but not most of an
-article; a page whose recurring blocks are most of its text, as in a group of near copies,
+The bar is a count that grows with the logarithm of the host's contents only, so that a
+notice on thousands of pages goes however large the host, as do adverts that rotate. Inside
+the article it is higher, since sites repeat passages; a page whose recurring blocks are most of its text, as in a group of near copies,
 keeps all that hold more than links. Tags, roles and class names that announce boilerplate
 are deleted as well, so that pages of small hosts lose theirs too.
 
 The counting key is (host, hash, content), made distinct per slice and map-side, so a host
 with a third of all pages is spread over its hashes and contents. What a host's pages share
-is a bounded list: a page has E elements on average, so at most ``E / SHARE`` hashes reach
-the share.
+is a bounded list for each content: with E elements on average, C contents have ``C * E``
+hashes, of which at most ``C * E / MIN_PAGES`` reach the bar.
 """
 
 from __future__ import annotations
@@ -26,16 +27,17 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm.common import stored, text_slices
 from rivulet.llm.url_filter import host_of
 
-#: A subtree is template if at least so many contents of its host have it, and this share.
-MIN_PAGES, SHARE = 5, 0.1
+#: A subtree is template if at least so many contents of its host have it, on a host of up
+#: to FROM contents; each doubling of the host's contents adds as many again.
+MIN_PAGES, FROM = 5, 50
 #: The same for a subtree inside the article.
-MIN_PAGES_INSIDE, SHARE_INSIDE = 20, 0.5
+MIN_PAGES_INSIDE, FROM_INSIDE = 20, 100
 #: A paragraph shorter than this ("Yes.", "* * *") is running text, however often it recurs.
 LEAST_CHARS = 15
 #: Recurring text of a page that is longer than this and than the rest is its content.
@@ -291,6 +293,13 @@ def _read(source: str, templates: frozenset[int], inner: frozenset[int],
     return "\n\n".join(blocks), hashes, lost, stack[0].size, largest
 
 
+def _bar(contents: Column, inside: Column) -> Column:
+    def grown(least: int, start: int) -> Column:
+        return least * (1 + F.log2(F.greatest(contents / start, F.lit(1.0))))
+
+    return F.when(inside, grown(MIN_PAGES_INSIDE, FROM_INSIDE)).otherwise(grown(MIN_PAGES, FROM))
+
+
 def site_templates(pages: DataFrame) -> DataFrame:
     """``host, templates, inner``: the subtree hashes to delete on each host. ``pages`` has
     ``_host`` and ``_text``; pages without a host share nothing."""
@@ -316,7 +325,7 @@ def site_templates(pages: DataFrame) -> DataFrame:
         F.col("n") >= F.when(F.col("inside"), MIN_PAGES_INSIDE).otherwise(MIN_PAGES))), "html-marks")
     hosts = marks.where("mark is null").select("host", F.col("n").alias("contents"))
     often = marks.where("mark is not null").join(hosts, "host").where(
-        F.col("n") >= F.col("contents") * F.when(F.col("inside"), SHARE_INSIDE).otherwise(SHARE))
+        F.col("n") >= _bar(F.col("contents"), F.col("inside")))
     return often.groupBy("host").agg(
         F.collect_list(F.when(~F.col("inside"), F.col("mark"))).alias("templates"),
         F.collect_list(F.when(F.col("inside"), F.col("mark"))).alias("inner"))

@@ -7,6 +7,7 @@ import math
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from rivulet.llm import html_extract, url_filter
 from rivulet.llm.html_extract import parse
@@ -214,3 +215,17 @@ def test_names_inside_the_article_lower_the_bar(spark):
     pages = [f"<article><p>Story {i} of many</p>{block % 'social-hint' if i < 10 else block % 'x' if i < 20 else ''}</article>" for i in range(30)]
     texts = _texts(spark, pages)
     assert all(("Follow" in t) == (10 <= i < 20) for i, t in enumerate(texts))
+
+
+def test_the_bar_does_not_grow_with_the_host(spark):
+    notice = "<div class=q>Read the new terms of use</div>"
+    texts = _texts(spark, [f"<body><p>Story {i} is long</p>{notice if i < 50 else ''}</body>" for i in range(600)])
+    assert texts == [f"Story {i} is long" for i in range(600)]
+    bars = spark.createDataFrame([(n,) for n in (40, 1000, 300000)], "n long").select(
+        html_extract._bar(F.col("n"), F.lit(False)), html_extract._bar(F.col("n"), F.lit(True))).collect()
+    assert bars[0][0] == 5 and bars[0][1] == 20 and bars[1][0] < 30 and bars[2][0] < 100 and bars[2][1] < 300
+
+
+def test_adverts_that_rotate_in_the_article_go(spark):
+    texts = _texts(spark, [f"<article><p>Story {i} is long</p><div class=q>Buy our product {'abc'[i % 3]}</div></article>" for i in range(60)])
+    assert texts == [f"Story {i} is long" for i in range(60)]
