@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 from rivulet.llm.common import WS_CHARS, stored, whole_text, words_col
 
 WINDOW = 5
+#: Variety is the share of distinct words in stretches of so many words, over the whole text:
+#: that of a text as a whole falls with its length.
+STRETCH = 500
 #: A document is kept when its posterior probability of being good reaches this.
 KEEP_AT = 0.5
 RULES = ("length", "symbols", "repeats", "lines", "shouting", "variety", "plain")
@@ -42,16 +45,15 @@ def rules() -> dict[str, Column]:
     for what bad texts of every kind lack; the absence of one fault is no vote."""
     length, symbols = _ratio("word_chars", "n_words"), _ratio("n_symbols", "n_words")
     repeats, dup_lines = _ratio("n_repeat_words", "n_words"), _ratio("n_dup_lines", "n_lines")
-    shouts, distinct = _ratio("n_shouts", "n_words"), _ratio("n_distinct_words", "n_words")
-    varied = (distinct > 0.4) | (F.col("n_words") > 2000)
+    shouts, distinct = _ratio("n_shouts", "n_words"), _ratio("n_stretch_distinct", "n_words")
     return {
         "length": _vote((length < 2.0) | (length > 14.0)),
         "symbols": _vote(symbols > 0.1),
         "repeats": _vote(repeats > 0.15),
         "lines": _vote(dup_lines > 0.3),
         "shouting": _vote(shouts > 0.1),
-        "variety": _vote((distinct < 0.25) & (F.col("n_words") <= 2000)),
-        "plain": _vote(F.lit(False), (symbols < 0.02) & (shouts < 0.02) & (repeats < 0.05) & varied),
+        "variety": _vote(distinct < 0.25),
+        "plain": _vote(F.lit(False), (symbols < 0.02) & (shouts < 0.02) & (repeats < 0.05) & (distinct > 0.4)),
     }
 
 
@@ -66,6 +68,11 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.sequence(F.lit(0), F.size("_w") - WINDOW),
         lambda i: F.xxhash64(*[F.get(F.col("_w"), i + k) for k in range(WINDOW)]))
     ).otherwise(F.array().cast("array<bigint>"))
+    varied = F.aggregate(
+        F.transform(F.sequence(F.lit(0), F.floor((F.size("_w") - 1) / STRETCH).cast("int")), lambda i: F.size(
+            F.array_distinct(F.slice("_w", i * STRETCH + 1, STRETCH))).cast("long")),
+        F.lit(0).cast("long"), lambda a, b: a + b)
+    varied = F.when(n > 0, varied).otherwise(F.lit(0).cast("long"))
     df = df.select(
         "_id", n.alias("n_words"),
         F.length(F.translate("_t", WS_CHARS, "")).cast("long").alias("word_chars"),
@@ -73,7 +80,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.size("_l").cast("long").alias("n_lines"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
         (F.length("_t") - F.length(F.replace(F.col("_t"), F.lit("!"), F.lit("")))).cast("long").alias("n_shouts"),
-        F.size(F.array_distinct("_w")).cast("long").alias("n_distinct_words"),
+        varied.alias("n_stretch_distinct"),
         grams.alias("_g"))
     # most texts repeat no window: only the others are sorted
     df = df.withColumn("_g", F.when(F.size(F.array_distinct("_g")) < F.size("_g"), F.col("_g")))

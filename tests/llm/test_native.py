@@ -88,6 +88,21 @@ def test_quality_rules_counts_and_base(spark):
     assert quality_rules.quality_rules(empty(spark)).count() == 0
 
 
+def test_quality_rules_variety_does_not_depend_on_length(spark):
+    import random
+    rnd = random.Random(4)
+    few, many = [f"word{i}" for i in range(50)], [f"term{i}" for i in range(4000)]
+    sizes = (400, 2000, 2001, 9000)
+    texts = [" ".join(rnd.choice(w) for _ in range(n)) for w in (few, many) for n in sizes]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(quality_rules.quality_rules(df).collect(), key=lambda r: r.doc_id)
+    assert [(r.vote_variety, r.vote_plain, r.kept) for r in got] == [(-1, 0, False)] * 4 + [(0, 1, True)] * 4
+    found = {r._id: r.n_stretch_distinct for r in quality_rules.features(df).collect()}
+    for i, t in enumerate(texts):
+        w = t.split()
+        assert found[i] == sum(len(set(w[k:k + 500])) for k in range(0, len(w), 500))
+
+
 def test_quality_rules_em_finds_the_accurate_rules():
     import random
     rnd, k = random.Random(3), len(quality_rules.RULES)
