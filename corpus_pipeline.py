@@ -17,7 +17,7 @@ from rivulet.sources.tables import read_table
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine does not reject."""
-    return quality_fm.kept(docs, read_table(spark, sf_dir, "labels"))
+    return quality_fm.kept(docs, read_table(spark, sf_dir, "labels"), meta=quality_fm.META)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,6 +30,9 @@ SAMPLE_PER_CLASS = 3000
 EPOCHS = 12
 KEEP_AT = 0.7
 
+#: Metadata columns of ``documents`` that the registered query and the pipeline use.
+META = ("n_chars",)
+
 #: Byte classes whose shares of the text are statistics.
 _CLASSES = ("other", "lower", "upper", "digit", "space", "newline", "stop", "bang", "bar", "symbol")
 _CLASS_OF = np.zeros(256, np.int64)
@@ -104,6 +107,7 @@ class Machine:
     bias: float
     weight: np.ndarray
     factor: np.ndarray
+    learned: bool = True  # from at least one labelled row
 
     def raw(self, starts: np.ndarray, index: np.ndarray, value: np.ndarray) -> np.ndarray:
         """Scores before the logistic; every row has at least its statistics."""
@@ -127,6 +131,7 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], width: int, epochs: int
     y = np.array([r[0] for r in rows], np.float32)
     if len(rows) == 0 or y.min() == y.max():
         m.factor[:] = 0
+        m.learned = len(rows) > 0
         m.bias = 0.0 if len(rows) == 0 else (4.0 if y[0] else -4.0)
         return m
     share = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())).astype(np.float32)
@@ -220,6 +225,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def kept(docs: DataFrame, labels: DataFrame, text_col: str = "text", meta: Sequence[str] = (),
          per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """The rows of ``docs`` with a score of at least ``KEEP_AT``, with their own columns."""
+    """The rows of ``docs`` with a score of at least ``KEEP_AT``, with their own columns; all
+    of them when no labelled row could teach a rejection."""
     model = train(docs, labels, "doc_id", text_col, meta, per_class)
+    if not model.learned:
+        return docs
     return score(docs, model, docs.columns, text_col, meta).where(F.col("_score") >= KEEP_AT).select("_row.*")

@@ -27,7 +27,7 @@ def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.classify(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"),
-                               meta=("n_chars",))
+                               meta=quality_fm.META)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -146,6 +146,24 @@ def test_pipeline_stages(spark):
     assert packed == collections.Counter({i: n * len(_ids(texts[i])) for i, n in copies.items()})
 
 
+def test_pipeline_decides_by_the_machine_of_the_query(spark, monkeypatch):
+    from rivulet.llm import quality_fm
+    sf, train, models = "/root/testdata/sf0.001", quality_fm.train, []
+    monkeypatch.setattr(quality_fm, "train", lambda *a: models.append(train(*a)) or models[-1])
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    left = {r.doc_id for r in corpus_pipeline.quality(spark, table, sf).collect()}
+    judged = entry.queries()["op4_quality_classifier"](spark, sf).collect()
+    assert left == {r.doc_id for r in judged if r.predicted} and 0 < len(left) < len(judged)
+    assert len(models[0].weight) == len(models[1].weight) and (models[0].weight == models[1].weight).all()
+
+
+def test_quality_stage_without_labels_keeps_all(spark):
+    from rivulet.llm import quality_fm
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    none = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").where("false")
+    assert quality_fm.kept(table, none, meta=quality_fm.META).count() == table.count() > 0
+
+
 def test_pipeline_on_an_empty_table(spark):
     from rivulet.llm.common import stored
     current = empty(spark)
