@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import SF0001
+from given_tables import SF0001
 from rivulet.functions.numeric import exact_sum
 from rivulet.operators import aggregate, dedup, duality, joins, stateful
 from rivulet.session import run_dir

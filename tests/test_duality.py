@@ -7,7 +7,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from given_tables import SF0001
 from rivulet import schemas
 from rivulet.operators import duality
 from rivulet.sources import tables

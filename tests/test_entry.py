@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF0001
+from given_tables import SF0001
 from rivulet.plans import oracles, registry
 from tools.compare import rows as _rows
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from given_tables import SF0001
 from rivulet.operators import windows
 from rivulet.session import run_dir
 from rivulet.sources import tables

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import SF0001
+from given_tables import SF0001
 from rivulet.operators import stateless, windows
 from rivulet.plans.materialize import append_to_parquet
 from rivulet.sources import tables

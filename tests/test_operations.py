@@ -9,7 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from given_tables import SF0001
 from rivulet import schemas
 from rivulet.operators import aggregate, windows
 from rivulet.plans.materialize import append_to_parquet

@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from given_tables import SF0001
 from rivulet.operators import aggregate
 from rivulet.session import run_dir
 from rivulet.sources import tables

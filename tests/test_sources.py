@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from given_tables import SF0001
 from rivulet import schemas
 from rivulet.functions import parse
 from rivulet.operators import stateless

@@ -107,7 +107,7 @@ def test_progress_reporter_emits_lines(spark):
 
 
 def test_foreach_row_writer(spark, tmp_path):
-    from conftest import SF0001
+    from given_tables import SF0001
     from rivulet.sources import tables
     from rivulet.streaming import runtime
 
