@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from rivulet.llm import (exact_dedup, html_extract, minhash, mixing, packing, quality_fm,
+from rivulet.llm import (exact_dedup, html_extract, minhash, mixing, packing, prefix_trie, quality_fm,
                          quality_rules, substring_dedup, toxicity_gru, url_filter)
 from rivulet.llm.common import documents
 from rivulet.sources.tables import read_table
@@ -54,8 +54,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.sequences(read_table(spark, sf_dir, "conversations"))
+    return prefix_trie.digested(*prefix_trie.prefix_trie(prefix_trie.grafted(turns)))
+
+
 _QUERIES = [op1_packing, op2_url_filter, op3_html_extract, op4_quality_classifier, op5_toxicity,
-            op6_near_dedup, op7_substring_dedup, op8_exact_dedup, op9_quality_rules, op10_mixing]
+            op6_near_dedup, op7_substring_dedup, op8_exact_dedup, op9_quality_rules, op10_mixing,
+            op11_prefix_trie]
 
 _ORACLE = {
     "op8_exact_dedup": r"""
@@ -64,6 +70,37 @@ _ORACLE = {
         select doc_id, min(doc_id) over g as keep_id, count(*) over g as group_size,
                doc_id = min(doc_id) over g as kept, text_sha256
         from d window g as (partition by text_sha256)""",
+    "op11_prefix_trie": r"""
+        with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+                   where conv_id is not null),
+        e as (select conv_id, turn, md5(length(role) || ':' || role || text) as dig,
+                     len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words from t),
+        own as (select conv_id, list({'dig': dig, 'words': words} order by turn nulls first, dig) as turns
+                from e group by conv_id),
+        h as (select conv_id, turns, xor(list_reduce(list_prepend(4294967295::bigint,
+                         list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint)),
+                         lambda crc, c: list_reduce(list_prepend(xor(crc, c), list_transform(range(8), lambda i: 0::bigint)),
+                             lambda a, b: xor(a >> 1, 3988292384::bigint * (a & 1)))), 4294967295::bigint) % 4 as h from own),
+        paths as (select h.conv_id, list_concat(list_slice(coalesce(b.turns, []), 1, h), list_slice(h.turns, h + 1, len(h.turns)))
+                         as turns
+                  from h left join own b on b.conv_id = h.conv_id - h.conv_id % 20),
+        members as (select conv_id, d.depth, len(turns) as length,
+                       md5(array_to_string(list_transform(list_slice(turns, 1, d.depth), lambda x: x.dig), '')) as key,
+                       case when d.depth = 0 then '' else md5(array_to_string(
+                           list_transform(list_slice(turns, 1, d.depth - 1), lambda x: x.dig), '')) end as above,
+                       case when d.depth = 0 then 0 else turns[d.depth].words end as words
+                    from paths, lateral (select unnest(range(len(turns) + 1)) as depth) d),
+        node as (select depth, key, min(conv_id) as conv_id, any_value(above) as above, any_value(words) as words,
+                    count(*) as n_convs, sha256(coalesce(string_agg(case when length = depth then conv_id::varchar end, ','
+                        order by conv_id), '')) as ends_sha256 from members group by depth, key),
+        kids as (select depth - 1 as depth, above as key, count(*) as n_children from node where depth > 0 group by all),
+        own_part as (select node.*, coalesce(n_children, 0) as n_children from node left join kids using (depth, key)),
+        below as (select m.depth, m.key, count(*) filter (where v.n_children = 0) as n_leaves,
+                     sum((v.n_convs - 1) * v.words) as saved_tokens
+                  from own_part v join members m on m.conv_id = v.conv_id and m.depth <= v.depth group by all)
+        select v.conv_id, v.depth::bigint as depth, p.conv_id as parent_conv_id, v.n_convs, v.n_children, n_leaves,
+               saved_tokens::bigint as saved_tokens, v.ends_sha256
+        from own_part v join below using (depth, key) left join node p on p.depth = v.depth - 1 and p.key = v.above""",
     "op10_mixing": r"""
         with d as (select doc_id, lang, source,
                  case when source is null then null
