@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rivulet.llm import (exact_dedup, html_extract, minhash, mixing, packing, prefix_trie, quality_fm,
-                         quality_rules, substring_dedup, toxicity_gru, url_filter)
-from rivulet.llm.common import documents
+                         quality_rules, substring_dedup, token_align, toxicity_gru, url_filter)
+from rivulet.llm.common import documents, stored
 from rivulet.sources.tables import read_table
 
 
@@ -59,9 +60,15 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.digested(*prefix_trie.prefix_trie(prefix_trie.grafted(turns)))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    aligned = token_align.align(documents(spark, sf_dir)).withColumn("groups_sha256", digest).drop("groups")
+    return token_align.scored(stored(aligned, "aligned"), token_align.piece_count())
+
+
 _QUERIES = [op1_packing, op2_url_filter, op3_html_extract, op4_quality_classifier, op5_toxicity,
             op6_near_dedup, op7_substring_dedup, op8_exact_dedup, op9_quality_rules, op10_mixing,
-            op11_prefix_trie]
+            op11_prefix_trie, op12_token_alignment]
 
 _ORACLE = {
     "op8_exact_dedup": r"""
