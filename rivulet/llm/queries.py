@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rivulet.llm import (exact_dedup, html_extract, minhash, mixing, packing, prefix_trie, quality_fm,
-                         quality_rules, substring_dedup, token_align, toxicity_gru, url_filter)
+from rivulet.llm import (exact_dedup, html_extract, minhash, mixing, ngram_join, packing, prefix_trie,
+                         quality_fm, quality_rules, substring_dedup, token_align, toxicity_gru, url_filter)
 from rivulet.llm.common import documents, stored
 from rivulet.sources.tables import read_table
 
@@ -66,9 +66,13 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_align.scored(stored(aligned, "aligned"), token_align.piece_count())
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.smallest_ids(ngram_join.ngram_join(documents(spark, sf_dir))[0])
+
+
 _QUERIES = [op1_packing, op2_url_filter, op3_html_extract, op4_quality_classifier, op5_toxicity,
             op6_near_dedup, op7_substring_dedup, op8_exact_dedup, op9_quality_rules, op10_mixing,
-            op11_prefix_trie, op12_token_alignment]
+            op11_prefix_trie, op12_token_alignment, op13_ngram_join]
 
 _ORACLE = {
     "op8_exact_dedup": r"""
@@ -108,6 +112,23 @@ _ORACLE = {
         select v.conv_id, v.depth::bigint as depth, p.conv_id as parent_conv_id, v.n_convs, v.n_children, n_leaves,
                saved_tokens::bigint as saved_tokens, v.ends_sha256
         from own_part v join below using (depth, key) left join node p on p.depth = v.depth - 1 and p.key = v.above""",
+    "op13_ngram_join": r"""
+        with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                      'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+        s as (select doc_id, unnest(list_distinct(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+                  else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end)) as g
+              from d),
+        o as (select *, count(*) over (partition by doc_id) as n, row_number() over (partition by doc_id order by md5(g)) as r
+              from s),
+        c as (select distinct a.doc_id as a, b.doc_id as b, a.n as na, b.n as nb from o a join o b on a.g = b.g
+              where a.doc_id < b.doc_id and a.r <= a.n - ceil(0.9 * a.n) + 1 and b.r <= b.n - ceil(0.9 * b.n) + 1
+                and 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)),
+        l as (select c.a, c.b from c join s x on x.doc_id = c.a join s y on y.doc_id = c.b and y.g = x.g
+              group by c.a, c.b, c.na, c.nb having 100 * count(*) >= 90 * (c.na + c.nb - count(*))),
+        e as (select a, b from l union all select b, a from l),
+        r as (select doc_id, doc_id as other from d union select r.doc_id, e.b from r join e on e.a = r.other)
+        select doc_id, (select count(*) from s where s.doc_id = r.doc_id) as n_shingles, min(other) as component_id
+        from r group by doc_id""",
     "op10_mixing": r"""
         with d as (select doc_id, lang, source,
                  case when source is null then null
