@@ -19,11 +19,9 @@ from rivulet.operators import aggregate, dedup, duality, joins, stateful, statel
 from rivulet.plans.materialize import append_to_parquet, through_batches
 from rivulet.session import run_dir
 from rivulet.sources import envelope, files, state, tables
-from rivulet.streaming import observe, operations, paths, runtime
-from rivulet.streaming.commits import BATCH_COL, GEN_COL
-from rivulet.streaming.sinks import (AccumulatingTable, BatchPathSink, TxnGuard, UpsertTable,
-                                     VersionedTable, accumulate_merge, append_writer, fan_out,
-                                     split_dead_letter, versioned_sink)
+from rivulet.streaming import observe, operations, paths, runtime, transactional
+from rivulet.streaming.sinks import (AccumulatingTable, BatchPathSink, UpsertTable, append_writer, fan_out,
+                                     split_dead_letter)
 
 #: Decimals that registered queries show of sums and means (float sums depend on their
 #: order in the last digits).
@@ -289,7 +287,7 @@ def j_stream_static(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     runtime.run_to_end(ev, run_dir(spark, "j_stream_static_ck"),
                        foreach_batch=joins.stream_static_join(customers, "user_id", sink))
-    return sink.read(spark).drop(GEN_COL, BATCH_COL)
+    return sink.read(spark)
 
 
 def j_stream_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -483,44 +481,45 @@ def k_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       F.sum("total_cents").alias("total_cents"))
 
 
-def _raw_batches(spark: SparkSession, sf_dir: str, name: str, skip_committed: bool) -> DataFrame:
-    sink = BatchPathSink(run_dir(spark, f"{name}_out"), skip_committed=skip_committed)
-    _feed(spark, sf_dir, name, sink, replay=True)
-    return stateless.project_events(sink.read(spark))
-
-
 def k_batch_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A folder per query and batch, replaced when the batch is replayed."""
-    return _raw_batches(spark, sf_dir, "k_batch_path", skip_committed=False)
+    sink = BatchPathSink(run_dir(spark, "k_batch_path_out"))
+    _feed(spark, sf_dir, "k_batch_path", sink, replay=True)
+    return stateless.project_events(sink.read(spark))
 
 
 def k_batch_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Processed-batch marker committed with the data: replayed batches are skipped
-    instead of rewritten."""
-    return _raw_batches(spark, sf_dir, "k_batch_marker", skip_committed=True)
+    """A stream sink whose commit publishes a batch with its marker in one rename: every
+    batch is replayed and none is written twice."""
+    out = run_dir(spark, "k_batch_marker_out")
+    _arrivals(spark, sf_dir, "k_batch_marker", N_SLICES, lambda s: s, replay=True, sink=out,
+              fmt=transactional.register(spark), options={"appId": "marker"})
+    return stateless.project_events(transactional.published(spark, out, schemas.EVENTS_SLICED))
 
 
 def k_txn_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two writers (app ids) fed by each micro-batch; each applies a batch once per
     ``(app_id, batch_id)`` although every batch is replayed."""
-    shared = run_dir(spark, "k_txn_guard_table")
+    out = run_dir(spark, "k_txn_guard_table")
     buys = F.col("event_type") == "purchase"
-    sinks = {app: BatchPathSink(f"{shared}/{app}", app_id=app) for app in ("a", "b")}
-    guards = {app: TxnGuard(f"{shared}/_txn", app, sink) for app, sink in sinks.items()}
-    targets = [(lambda d: d.where(buys), guards["a"]), (lambda d: d.where(~buys | buys.isNull()), guards["b"])]
+
+    def writer(app: str):
+        return lambda df, batch_id: transactional.write_once(df, out, app, batch_id)
+
+    targets = [(lambda d: d.where(buys), writer("a")), (lambda d: d.where(~buys | buys.isNull()), writer("b"))]
     _feed(spark, sf_dir, "k_txn_guard", lambda df, batch_id: fan_out(df, batch_id, targets),
           build=lambda s: s.select("event_id", "event_type", _cents().alias("cents")), replay=True)
-    rows = [sink.read(spark).select("cents", F.lit(app).alias("app_id")) for app, sink in sinks.items()]
-    return rows[0].unionByName(rows[1]).groupBy("app_id").agg(_cnt(), F.sum("cents").alias("total_cents"))
+    schema = schemas.T.StructType.fromDDL("event_id long, event_type string, cents long")
+    rows = transactional.published(spark, out, schema, keep_batch=True).withColumnRenamed("app", "app_id")
+    return rows.groupBy("app_id").agg(_cnt(), F.sum("cents").alias("total_cents"))
 
 
 def k_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accumulating merge (``t.cnt + s.cnt``) into a versioned table; the commit of a
-    batch's version is its transaction marker, so a replay does not count twice."""
-    table = VersionedTable(run_dir(spark, "k_accumulate_table"))
-    _feed(spark, sf_dir, "k_accumulate", versioned_sink(table, accumulate_merge(["event_type"], ["cnt", "total_cents"])),
-          build=lambda s: s.select("event_type", F.lit(1).cast("long").alias("cnt"), _cents().alias("total_cents")),
-          replay=True)
+    """Accumulating merge (``t.cnt + s.cnt``) into a bucketed table whose buckets know the last
+    batch they include, so a replay does not count twice."""
+    table = AccumulatingTable(run_dir(spark, "k_accumulate_table"), ["event_type"], ["cnt", "total_cents"])
+    _feed(spark, sf_dir, "k_accumulate", table, replay=True, build=lambda s: s.select(
+        "event_type", F.lit(1).cast("long").alias("cnt"), _cents().alias("total_cents")))
     return table.read(spark)
 
 
@@ -596,8 +595,6 @@ def k_topk_all_time(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = files.parquet_stream(spark, f"{half}/slice-*", schemas.EVENTS_SLICED).select(
             "user_id", F.lit(1).cast("long").alias("cnt"))
         runtime.run_to_end(stream, f"{half}-checkpoint", foreach_batch=table)
-        if i == 1:
-            table.compact(spark)
     return table.read(spark).orderBy(F.desc("cnt"), F.asc("user_id")).limit(10)
 
 

@@ -23,7 +23,7 @@ def delta_available(spark: SparkSession) -> bool:
 def _require_delta(spark: SparkSession) -> None:
     if not delta_available(spark):
         raise RuntimeError("Delta Lake is not on the classpath; use rivulet.streaming.sinks "
-                           "(UpsertTable, TxnGuard, VersionedTable) for the Parquet form")
+                           "(UpsertTable, AccumulatingTable) and rivulet.streaming.transactional for the Parquet form")
 
 
 def delta_idempotent_write(df: DataFrame, path: str, app_id: str, batch_id: int,
@@ -46,7 +46,7 @@ def delta_upsert(df: DataFrame, path: str, keys: Sequence[str]) -> None:
 
 
 def delta_accumulate(df: DataFrame, path: str, keys: Sequence[str], measures: Sequence[str]) -> None:
-    """``t.m = t.m + s.m`` merge; not idempotent, so call it behind ``sinks.TxnGuard``."""
+    """``t.m = t.m + s.m`` merge; not idempotent, so give it a transaction id and version."""
     spark = df.sparkSession
     _require_delta(spark)
     from delta.tables import DeltaTable  # noqa: PLC0415

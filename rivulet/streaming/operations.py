@@ -11,11 +11,11 @@
 
 from __future__ import annotations
 
+import copy
 import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.operators.joins import estimated_bytes
 from rivulet.sources.state import read_state
@@ -34,20 +34,24 @@ def export_state(spark: SparkSession, checkpoint: str, out_path: str, operator_i
     return spark.read.parquet(out_path)
 
 
-def reset_and_backfill(table, build: Callable[[], DataFrame], checkpoint: str, **start_kwargs) -> StreamingQuery:
-    """State migration by recomputation: hide what ``table`` (a sink of ``sinks``) holds and
-    drain ``build()``, the new query over the whole input, into it on a fresh checkpoint."""
+def reset_and_backfill(table, root: str, build: Callable[[], DataFrame], checkpoint: str, **start_kwargs):
+    """State migration by recomputation: drain ``build()``, the new query over the whole input,
+    on a fresh checkpoint into a fresh version of ``table`` (a sink of ``sinks``) at ``root``.
+    Returns it; the old version stays as it is until its readers have moved."""
     df = build()
-    if paths.exists(df.sparkSession, checkpoint):
-        raise ValueError(f"{checkpoint} exists: a backfill needs a fresh checkpoint")
-    table.reset(df.sparkSession)
-    return runtime.run_to_end(df, checkpoint, foreach_batch=table, **start_kwargs)
+    for path in (root, checkpoint):
+        if paths.exists(df.sparkSession, path):
+            raise ValueError(f"{path} exists: a backfill needs a fresh table and checkpoint")
+    new = copy.copy(table)
+    new.root, new.schema = root.rstrip("/"), None
+    runtime.run_to_end(df, checkpoint, foreach_batch=new, **start_kwargs)
+    return new
 
 
 def migrate_totals(spark: SparkSession, checkpoint: str, work_path: str, table: AccumulatingTable,
                    transform: Callable[[DataFrame], DataFrame], operator_id: int = 0) -> DataFrame:
     """State migration by conversion: the running totals in the old query's state, turned
-    into the new query's keys by ``transform``, become the base of ``table``. The new
+    into the new query's keys by ``transform``, are installed in ``table``. The new
     query (fresh checkpoint, only later input) adds its partial sums to them."""
     migrated = transform(export_state(spark, checkpoint, work_path, operator_id))
     table.seed(migrated)

@@ -2,24 +2,23 @@
 
 Spark replays a planned-but-uncommitted micro-batch with the *same* ``batch_id`` and the
 same rows; a new checkpoint starts again at batch 0 with *other* rows. Every sink here
-therefore knows a batch by who wrote it and its id (``commits.CommitLog``): a replay is a
-no-op or replaces its own rows, and a new query's batches are new rows.
-
-* ``BatchPathSink``: each batch in a folder of its own; a replay replaces it.
-* ``UpsertTable``: keyed upsert as merge-on-read. Each batch writes its latest row per
-  key (tombstones for deletes); readers fold the newest row per key. Writes cost
-  O(batch), not O(table); ``compact`` folds old batches into a base.
-* ``AccumulatingTable``: per-batch partial sums; readers add them up.
-* ``TxnGuard``: skip a batch already applied by the same ``(app_id, batch_id)``.
-* ``VersionedTable``: copy-on-write for small result tables.
+therefore knows a batch by who wrote it (the streaming query's id, or an explicit ``app_id``)
+and its id.
+
+* ``BatchPathSink``: a folder per writer and batch, replaced by dynamic partition overwrite.
+* ``UpsertTable``: keyed upsert. Rows live in ``bucket = hash(key) mod n``; a batch rewrites the
+  buckets that it touches and no others.
+* ``AccumulatingTable``: running totals per key, in buckets as well.
 * ``fan_out`` / ``split_dead_letter``: several outputs from one persisted batch.
 
-All tables have ``reset``: what was written so far is hidden, for a backfill from scratch.
+``transactional`` has the sink whose commit publishes a batch as a whole and once.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,320 +26,221 @@ from pyspark.sql import types as T
 
 from rivulet.operators.aggregate import latest_per_key
 from rivulet.streaming import paths
-from rivulet.streaming.commits import BATCH_COL, GEN_COL, CommitLog, Entry, app_of, with_order_cols
+
+APP_COL, BATCH_COL = "app", "batch_id"
 
 
-def _consume(df: DataFrame) -> None:
-    """Execute a skipped batch without writing it: a stateful upstream operator must
-    still commit its state for this batch id (Spark fails the query otherwise)."""
-    df.write.format("noop").mode("overwrite").save()
+def app_of(df: DataFrame, app_id: str | None) -> str:
+    """``app_id``, else the id of the streaming query that runs this batch (kept across
+    restarts of one checkpoint, new with a new checkpoint), else ``batch``."""
+    query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return quote(app_id or query or "batch", safe="")
 
 
-class _Table:
-    """A folder of committed batches."""
+def with_batch_cols(schema: T.StructType) -> T.StructType:
+    """``schema`` plus the columns that a read by folder name adds."""
+    fields = [f for f in schema.fields if f.name not in (APP_COL, BATCH_COL)]
+    return T.StructType(fields + [T.StructField(APP_COL, T.StringType()), T.StructField(BATCH_COL, T.LongType())])
 
-    replay_safe = True
 
-    def __init__(self, root: str, app_id: str | None = None):
+class BatchPathSink:
+    """A folder per writer and batch: ``<root>/app=A/batch_id=N``. A replay replaces it."""
+
+    def __init__(self, root: str, fmt: str = "parquet", partition_by: Sequence[str] = (), app_id: str | None = None):
         self.root = root.rstrip("/")
-        self.app_id = app_id
-        self.log = CommitLog(self.root)
-        self.schema: T.StructType | None = None
-        self.skipped: list[int] = []
-
-    def applied(self, spark: SparkSession, app: str, batch_id: int) -> bool:
-        folded = self.log.base(spark)[1]
-        return batch_id <= folded.get(app, -1) or any(
-            e.app == app and e.batch == batch_id for e in self.log.entries(spark))
-
-    def _skip(self, df: DataFrame, batch_id: int) -> bool:
-        """Whether this very batch was committed before; if so, it is only executed."""
-        if not self.applied(df.sparkSession, app_of(df, self.app_id), batch_id):
-            return False
-        self.skipped.append(batch_id)
-        _consume(df)
-        return True
-
-    def _write(self, df: DataFrame, batch_id: int, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
-        spark = df.sparkSession
-        entry = self.log.new_entry(spark, app_of(df, self.app_id), batch_id)
-        w = df.write.mode("overwrite").format(fmt)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.save(self.log.path(entry))
-        self.log.commit(spark, entry)
-
-    def _load(self, spark: SparkSession, entries: Sequence[Entry], schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-        """Rows of ``entries`` with ``gen`` and ``batch_id``."""
-        full = with_order_cols(schema)
-        if not entries:
-            return spark.createDataFrame([], full)
-        return (spark.read.schema(full).option("basePath", f"{self.root}/data").format(fmt)
-                .load([self.log.path(e) for e in entries]).select(*full.fieldNames()))
-
-    def _unfolded(self, spark: SparkSession) -> tuple[str | None, dict[str, int], list[Entry]]:
-        """(base folder, what it holds, the batches on top of it)."""
-        base, folded = self.log.base(spark)
-        return base, folded, [e for e in self.log.entries(spark) if e.batch > folded.get(e.app, -1)]
-
-    def _commit_base(self, spark: SparkSession, df: DataFrame, folded: dict[str, int]) -> None:
-        key, path = self.log.new_base()
-        df.write.mode("overwrite").parquet(path)
-        self.log.commit_base(spark, key, folded)
-
-    def reset(self, spark: SparkSession) -> None:
-        self.log.reset(spark)
-
-
-def _folded(folded: dict[str, int], entries: Sequence[Entry]) -> dict[str, int]:
-    out = dict(folded)
-    for e in entries:
-        out[e.app] = max(e.batch, out.get(e.app, -1))
-    return out
-
-
-class BatchPathSink(_Table):
-    """A folder per batch. A replay writes it anew and then switches over, or, with
-    ``skip_committed``, is recognised by the batch's marker and skipped."""
-
-    def __init__(self, root: str, fmt: str = "parquet", skip_committed: bool = False,
-                 partition_by: Sequence[str] = (), app_id: str | None = None):
-        super().__init__(root, app_id)
         self.fmt = fmt
-        self.skip_committed = skip_committed
         self.partition_by = list(partition_by)
+        self.app_id = app_id
+        self.schema: T.StructType | None = None
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         self.schema = df.schema
-        if not (self.skip_committed and self._skip(df, batch_id)):
-            self._write(df, batch_id, self.fmt, self.partition_by)
+        named = df.withColumn(APP_COL, F.lit(app_of(df, self.app_id))).withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
+        (named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(APP_COL, BATCH_COL, *self.partition_by).format(self.fmt).save(self.root))
 
-    def batches(self, spark: SparkSession) -> list[tuple[int, int]]:
-        return [(e.gen, e.batch) for e in self.log.entries(spark)]
-
-    def read(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
-        """All committed batches with their ``gen`` and ``batch_id``."""
-        return self._load(spark, self.log.entries(spark), schema or self.schema, self.fmt)
+    def read(self, spark: SparkSession, schema: T.StructType | None = None, keep_batch: bool = False) -> DataFrame:
+        """The rows of all batches; with ``keep_batch`` also who wrote them and in which batch."""
+        schema = schema or self.schema
+        full = with_batch_cols(schema)
+        if not paths.exists(spark, self.root):
+            rows = spark.createDataFrame([], full)
+        else:
+            rows = spark.read.schema(full).format(self.fmt).load(self.root)
+        return rows.select(*(full if keep_batch else schema).fieldNames())
 
     def read_latest(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
-        """The newest committed batch only: the result table of a ``complete`` query."""
+        """The newest batch only: the result table of a ``complete`` query."""
+        rows = self.read(spark, schema, keep_batch=True)
+        newest = rows.select(F.max(BATCH_COL)).scalar()
+        return rows.where(F.col(BATCH_COL) == newest).drop(APP_COL, BATCH_COL)
+
+
+class _Buckets:
+    """A keyed table whose rows live in ``_bucket = hash(key) mod buckets``.
+
+    A batch reads the buckets that its keys fall into, merges and writes them by dynamic
+    partition overwrite, so work and files follow the batch and the number of buckets, not
+    the number of batches. Each bucket has two folders (``_slot`` 0 and 1) written in turn:
+    Spark swaps the folders of a commit one by one, and a crash in between leaves every bucket
+    with its old or its new rows. A bucket's rows say which batch of which writer they
+    include last (``_meta``), so a replay skips the buckets that have it. One writer at a time."""
+
+    def __init__(self, root: str, key: Sequence[str], buckets: int, app_id: str | None):
+        self.root = root.rstrip("/")
+        self.key = list(key)
+        self.buckets = buckets
+        self.app_id = app_id
+        self.schema: T.StructType | None = None
+
+    def _fold(self, df: DataFrame) -> DataFrame:
+        """One row per key of a batch."""
+        raise NotImplementedError
+
+    def _merge(self, old: DataFrame, new: DataFrame) -> DataFrame:
+        """One row per key of the table's rows and a folded batch's."""
+        raise NotImplementedError
+
+    def _rows(self, spark: SparkSession, schema: T.StructType) -> DataFrame | None:
+        if not paths.exists(spark, self.root):
+            return None
+        extra = [("_meta", T.StringType()), ("_bucket", T.IntegerType()), ("_slot", T.IntegerType())]
+        full = T.StructType([*schema.fields, *(T.StructField(n, t) for n, t in extra)])
+        return spark.read.schema(full).parquet(self.root)
+
+    def _newest(self, rows: DataFrame | None) -> dict[int, tuple[int, dict]]:
+        """Slot and meta of each bucket's newest folder; at most two rows a bucket come back."""
+        out: dict[int, tuple[int, dict]] = {}
+        if rows is not None:
+            for r in rows.groupBy("_bucket", "_slot").agg(F.first("_meta").alias("_meta")).collect():
+                meta = json.loads(r["_meta"])
+                if r["_bucket"] not in out or meta["seq"] > out[r["_bucket"]][1]["seq"]:
+                    out[r["_bucket"]] = (r["_slot"], meta)
+        return out
+
+    @staticmethod
+    def _in(chosen: dict[int, int]) -> Column:
+        """Rows of the chosen slot of each bucket: a filter on folder names."""
+        names = [f"{b}-{s}" for b, s in chosen.items()]
+        return F.concat_ws("-", F.col("_bucket"), F.col("_slot")).isin(names)
+
+    def __call__(self, df: DataFrame, batch_id: int) -> None:
+        spark, app = df.sparkSession, app_of(df, self.app_id)
+        folded = self._fold(df)
+        self.schema = folded.schema
+        new = folded.withColumn("_bucket", F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")).persist()
+        try:
+            touched = [r[0] for r in new.select("_bucket").distinct().collect()]
+            rows = self._rows(spark, self.schema)
+            found = self._newest(rows.where(F.col("_bucket").isin(touched)) if rows is not None and touched else None)
+            due = [b for b in touched if found.get(b, (0, {"applied": {}}))[1]["applied"].get(app, -1) < batch_id]
+            if not due:
+                return
+            slots, metas = {}, {}
+            for b in due:
+                slot, meta = found.get(b, (1, {"seq": 0, "applied": {}}))
+                slots[b] = 1 - slot
+                metas[b] = json.dumps({"seq": meta["seq"] + 1, "applied": meta["applied"] | {app: batch_id}})
+            merged = new.where(F.col("_bucket").isin(due)).drop("_bucket")
+            base = {b: found[b][0] for b in due if b in found}
+            if base:
+                merged = self._merge(rows.where(self._in(base)).select(*self.schema.fieldNames()), merged)
+            bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+            out = merged.select(*self.schema.fieldNames(), bucket.alias("_bucket"))
+            for name, of in (("_meta", metas), ("_slot", slots)):
+                table = F.create_map(*[F.lit(x) for b in due for x in (b, of[b])])
+                out = out.withColumn(name, table[F.col("_bucket")])
+            (out.repartition(len(due), "_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("_bucket", "_slot").parquet(self.root))
+        finally:
+            new.unpersist()
+
+    def read(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
         schema = schema or self.schema
-        return self._load(spark, self.log.entries(spark)[-1:], schema, self.fmt).select(*schema.fieldNames())
+        rows = self._rows(spark, schema)
+        if rows is None:
+            return spark.createDataFrame([], schema)
+        newest = {b: slot for b, (slot, _) in self._newest(rows).items()}
+        return rows.where(self._in(newest)).select(*schema.fieldNames())
+
+    def seed(self, df: DataFrame) -> None:
+        """Install the rows of a migrated or backfilled state: every batch comes after them."""
+        app, self.app_id = self.app_id, "seed"
+        try:
+            self(df, 0)
+        finally:
+            self.app_id = app
 
 
-class UpsertTable(_Table):
-    """Keyed upsert with merge-on-read.
+class UpsertTable(_Buckets):
+    """Keyed upsert.
 
     ``order`` names the columns that decide which row of a key is newest (after the
-    batch). ``op_col`` (optional) marks tombstones with ``'delete'``. ``unique_keys``
-    declares that every batch already holds one row per key (the output of an
-    ``update``-mode aggregate), which skips the in-batch fold; without it an ``order`` is
-    required. With ``batch_first=False`` the data's own ``order`` decides before the
-    batch, so a late-arriving older record never overwrites a newer one.
-    """
+    batch). ``op_col`` (optional) marks tombstones with ``'delete'``; they stay in the table, so
+    that a late older row does not bring its key back. ``unique_keys`` declares that every
+    batch already holds one row per key (the output of an ``update``-mode aggregate), which
+    skips the in-batch fold; without it an ``order`` is required. With ``batch_first=False`` the
+    data's own ``order`` decides before the batch, so a late-arriving older record never
+    overwrites a newer one."""
 
     def __init__(self, root: str, key: Sequence[str], order: Sequence[str] = (),
                  op_col: str | None = None, delete_value: str = "delete",
-                 unique_keys: bool = False, batch_first: bool = True, app_id: str | None = None):
-        super().__init__(root, app_id)
+                 unique_keys: bool = False, batch_first: bool = True, app_id: str | None = None, buckets: int = 8):
+        super().__init__(root, key, buckets, app_id)
         if not order and not unique_keys:
             raise ValueError("an upsert needs an order of a key's rows, or batches with unique keys")
-        self.key = list(key)
         self.order = list(order)
         self.op_col = op_col
         self.delete_value = delete_value
         self.unique_keys = unique_keys
         self.batch_first = batch_first
 
-    def __call__(self, df: DataFrame, batch_id: int) -> None:
-        self.schema = df.schema
-        if self._skip(df, batch_id):
-            return
+    def _latest(self, df: DataFrame) -> DataFrame:
         payload = [c for c in df.columns if c not in (*self.key, *self.order)]
-        latest = df if self.unique_keys else latest_per_key(df, self.key, self.order, payload).select(*df.columns)
-        self._write(latest, batch_id)
-
-    def _newest(self, rows: DataFrame) -> DataFrame:
-        """Newest row per key of rows with ``gen`` and ``batch_id``."""
-        rows = rows.withColumn("_write", F.col(GEN_COL).cast("long") * F.lit(1 << 40) + F.col(BATCH_COL))
-        order = ["_write", *self.order] if self.batch_first else [*self.order, "_write"]
-        payload = [c for c in rows.columns if c not in (*self.key, *order)]
-        return latest_per_key(rows, self.key, order, payload).drop("_write")
-
-    def _rows(self, spark: SparkSession, schema: T.StructType) -> tuple[DataFrame, int, dict, list[Entry]]:
-        """Base and newer batches, how many folders they came from, and what they are."""
-        base, folded, newer = self._unfolded(spark)
-        out = self._load(spark, newer, schema)
-        if base:
-            out = spark.read.schema(with_order_cols(schema)).parquet(base).unionByName(out)
-        return out, bool(base) + len(newer), folded, newer
-
-    def read(self, spark: SparkSession, schema: T.StructType | None = None,
-             keep_batch: bool = False) -> DataFrame:
-        schema = schema or self.schema
-        rows, n_parts, _, _ = self._rows(spark, schema)
-        # a single folder is already one row per key (folded when written)
-        latest = rows if n_parts <= 1 else self._newest(rows)
-        if self.op_col:  # null-safe: a row without an op is an assignment, not a delete
-            latest = latest.where(~F.col(self.op_col).eqNullSafe(F.lit(self.delete_value)))
-        return latest.select(*schema.fieldNames(), *([GEN_COL, BATCH_COL] if keep_batch else []))
+        return latest_per_key(df, self.key, self.order, payload).select(*df.columns)
 
-    def compact(self, spark: SparkSession, schema: T.StructType | None = None) -> int:
-        """Fold every committed batch into a new base snapshot (tombstones kept so that
-        they still hide older rows); later batches keep landing next to it. Returns how
-        many batches were folded."""
-        schema = schema or self.schema
-        rows, _, folded, newer = self._rows(spark, schema)
-        if newer:
-            self._commit_base(spark, self._newest(rows), _folded(folded, newer))
-        return len(newer)
+    def _fold(self, df: DataFrame) -> DataFrame:
+        return df if self.unique_keys else self._latest(df)
 
-    def seed(self, df: DataFrame) -> None:
-        """Install ``df`` (one row per key) as the base: every later batch is newer."""
-        self.schema = df.schema
-        self._commit_base(df.sparkSession, df.withColumn(GEN_COL, F.lit(-1)).withColumn(
-            BATCH_COL, F.lit(-1).cast("long")), {})
+    def _merge(self, old: DataFrame, new: DataFrame) -> DataFrame:
+        if not self.batch_first:
+            return self._latest(old.unionByName(new))
+        now = new.select(*[F.col(k).alias(f"_new_{k}") for k in self.key])
+        same = F.lit(True)
+        for k in self.key:  # a null key is a key
+            same = same & F.col(k).eqNullSafe(F.col(f"_new_{k}"))
+        return old.join(now, same, "left_anti").unionByName(new)
 
+    def read(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
+        rows = super().read(spark, schema)
+        if self.op_col:  # null-safe: a row without an op is an assignment, not a delete
+            rows = rows.where(~F.col(self.op_col).eqNullSafe(F.lit(self.delete_value)))
+        return rows
 
-class AccumulatingTable(_Table):
-    """Running totals per key, stored as per-batch partial sums (merge-on-read).
 
-    ``compact`` folds the committed partials into one base of totals so the number of
-    folders a reader scans stays bounded; later batches keep landing next to it."""
+class AccumulatingTable(_Buckets):
+    """Running totals per key: ``t.m + s.m``. A replayed batch is not added again."""
 
-    def __init__(self, root: str, key: Sequence[str], measures: Sequence[str], app_id: str | None = None):
-        super().__init__(root, app_id)
-        self.key = list(key)
+    def __init__(self, root: str, key: Sequence[str], measures: Sequence[str], app_id: str | None = None,
+                 buckets: int = 8):
+        super().__init__(root, key, buckets, app_id)
         self.measures = list(measures)
 
-    def _sum(self, df: DataFrame) -> DataFrame:
+    def _fold(self, df: DataFrame) -> DataFrame:
         return df.groupBy(*self.key).agg(*[F.sum(m).alias(m) for m in self.measures])
 
-    def __call__(self, df: DataFrame, batch_id: int) -> None:
-        partial = self._sum(df)
-        self.schema = partial.schema
-        if not self._skip(df, batch_id):
-            self._write(partial, batch_id)
-
-    def _total(self, spark: SparkSession, schema: T.StructType) -> tuple[DataFrame, dict, list[Entry]]:
-        base, folded, newer = self._unfolded(spark)
-        out = self._load(spark, newer, schema).select(*schema.fieldNames())
-        if base:
-            out = spark.read.schema(schema).parquet(base).unionByName(out)
-        return self._sum(out), folded, newer
-
-    def read(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
-        return self._total(spark, schema or self.schema)[0]
-
-    def compact(self, spark: SparkSession, schema: T.StructType | None = None) -> int:
-        """Fold base and committed partials into a new base; returns how many were folded."""
-        total, folded, newer = self._total(spark, schema or self.schema)
-        if newer:
-            self._commit_base(spark, total, _folded(folded, newer))
-        return len(newer)
-
-    def seed(self, df: DataFrame) -> None:
-        """Install totals (of a migrated or backfilled state); later partials add to them."""
-        totals = self._sum(df)
-        self.schema = totals.schema
-        self._commit_base(df.sparkSession, totals, {})
-
-
-class TxnGuard:
-    """Apply ``fn(df, batch_id)`` once per ``(app_id, batch_id)``, as a transaction id and
-    version do: a query that starts over under the same ``app_id`` is skipped until it
-    passes the batches applied before, so give it a new one if its batches are new.
-
-    The marker is written after ``fn`` succeeds. A crash between the two replays the
-    batch, so ``fn`` must itself be replay-safe (the sinks here are, under the same
-    ``app_id``); a plain append is refused."""
-
-    def __init__(self, marker_root: str, app_id: str, fn: Callable[[DataFrame, int], None]):
-        if not getattr(fn, "replay_safe", True):
-            raise ValueError("a plain append is written twice if the guard's marker is lost: use a replay-safe sink")
-        self.marker_root = marker_root.rstrip("/")
-        self.app_id = app_id
-        self.fn = fn
-        self.applied: list[int] = []
-        self.skipped: list[int] = []
-
-    def marker(self, batch_id: int) -> str:
-        return f"{self.marker_root}/app_id={self.app_id}/{BATCH_COL}={batch_id}"
-
-    def __call__(self, df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        if paths.exists(spark, self.marker(batch_id)):
-            self.skipped.append(batch_id)
-            _consume(df)
-            return
-        self.fn(df, batch_id)
-        paths.write_text(spark, self.marker(batch_id), "")
-        self.applied.append(batch_id)
-
-
-class VersionedTable(_Table):
-    """Copy-on-write table for small result tables (running totals, top-k inputs).
-
-    Every applied batch writes the next version from the one before, and its commit marker
-    is the transaction marker, so a replay is skipped. Each batch rewrites the whole
-    table, so use it for tables whose size is bounded by the key space, not by the input.
-    The newest ``keep`` versions stay for readers under way; older ones are deleted."""
-
-    def __init__(self, root: str, app_id: str | None = None, keep: int = 2):
-        super().__init__(root, app_id)
-        self.keep = max(1, keep)
-
-    def _versions(self, spark: SparkSession) -> list[Entry]:
-        return sorted(self.log.entries(spark), key=lambda e: e.attempt)  # attempts sort by time
-
-    def read(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame | None:
-        done, schema = self._versions(spark), schema or self.schema
-        if not done:
-            return None if schema is None else spark.createDataFrame([], schema)
-        if schema is None:
-            return spark.read.parquet(self.log.path(done[-1]))
-        return spark.read.schema(schema).parquet(self.log.path(done[-1]))
-
-    def apply(self, df: DataFrame, batch_id: int,
-              merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
-        spark = df.sparkSession
-        if self._skip(df, batch_id):
-            return
-        out = merge(self.read(spark), df)
-        self.schema = out.schema
-        self._write(out, batch_id)
-        for old in self._versions(spark)[:-self.keep]:
-            paths.delete(spark, self.log.path(old))
-
-
-def versioned_sink(table: VersionedTable,
-                   merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function applying ``merge`` to a ``VersionedTable``."""
-    def apply(df: DataFrame, batch_id: int) -> None:
-        table.apply(df, batch_id, merge)
-    return apply
+    def _merge(self, old: DataFrame, new: DataFrame) -> DataFrame:
+        return self._fold(old.unionByName(new))
 
 
 def append_writer(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
     """Plain append of every batch: *not* replay-safe on its own (a replayed batch is
-    written twice): dedup downstream. ``TxnGuard`` refuses it."""
+    written twice): dedup downstream."""
     def write(df: DataFrame, batch_id: int) -> None:
         df.write.mode("append").format(fmt).save(path)
-    write.replay_safe = False
     return write
 
 
-def accumulate_merge(key: Sequence[str], measures: Sequence[str]):
-    """``t.m + s.m`` merge for ``VersionedTable.apply``: union and re-aggregate."""
-    def merge(base: DataFrame | None, batch: DataFrame) -> DataFrame:
-        part = batch.groupBy(*key).agg(*[F.sum(m).alias(m) for m in measures])
-        if base is None:
-            return part
-        return (base.unionByName(part).groupBy(*key)
-                .agg(*[F.sum(m).alias(m) for m in measures]))
-    return merge
-
-
 def fan_out(df: DataFrame, batch_id: int,
             targets: Sequence[tuple[Callable[[DataFrame], DataFrame], Callable[[DataFrame, int], None]]]) -> None:
     """Write one micro-batch to several sinks, computing the batch once (``persist``)."""
