@@ -20,8 +20,8 @@ counted in each fragment separately and summed per pair.
 Equal sets collapse to one node first. In a bucket of equal segments each node is paired with
 the bucket's hub, the node that meets most others; buckets whose nodes then lie in one
 component are done. In the others the next hubs are nodes of other components, for
-``HUB_ROUNDS`` rounds; what is still apart after them is paired across components, in blocks
-of ``BLOCK`` nodes. A bucket of copies costs its size.
+``HUB_ROUNDS`` rounds; what is still apart after them is compared across components in blocks,
+inside tasks. A bucket of copies costs its size, and no pair but a node with its hub becomes a row.
 """
 
 from __future__ import annotations
@@ -41,8 +41,10 @@ GRAM = 3
 PERCENT = 90
 #: Fragments of the order in which overlaps are counted.
 PARTS = 4
-HUB_ROUNDS = 3
-BLOCK = 1024
+HUB_ROUNDS = 1
+#: Sets of a cluster, and bytes of them, that are compared with as many others at a time.
+BLOCK, BLOCK_BYTES = 512, 8 << 20
+_COLUMNS = 4096
 #: Sizes in one class differ by this factor at most.
 _SPREAD = 1.5
 _ORDER = np.uint64(0xD6E8FEB86659FD93)
@@ -234,16 +236,80 @@ def _torn(shared: DataFrame, roots: DataFrame) -> DataFrame:
     return placed.join(open_.select("sign"), "sign", "left_semi")
 
 
-def _across(torn: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share a bucket, block against block."""
-    blocks = torn.groupBy("sign").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    dealt = torn.join(blocks, "sign").withColumn("block", F.pmod(F.xxhash64("uid"), "blocks"))
-    left = dealt.select("sign", "block", F.col("uid").alias("a"), F.col("size").alias("na"), F.col("root").alias("ra"))
-    right = dealt.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "sign", "block", F.col("uid").alias("b"), F.col("size").alias("nb"), F.col("root").alias("rb"))
-    met = left.join(right, ["sign", "block"]).where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))
-                                                    & _fits(F.col("na"), F.col("nb"), percent))
-    return met.select("a", "b", "na", "nb").distinct()
+def _overlaps(held: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many shingles each left set shares with each right one in one fragment: products of
+    0/1 matrices, a stretch of the shingles that two sets or more have at a time."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    row = np.repeat(np.arange(len(held)), [len(x) for x in held])
+    _, column, count = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
+    row, column = row[count[column] > 1], (np.cumsum(count > 1) - 1)[column[count[column] > 1]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        lo, hi = np.searchsorted(column, (start, start + _COLUMNS))
+        there = np.zeros((len(held), _COLUMNS), np.float32)
+        there[row[lo:hi], column[lo:hi] - start] = 1
+        out += there[left] @ there[right].T
+    return out
+
+
+def _joined(uid: np.ndarray, root: np.ndarray, alike: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Of the similar pairs, as few as join the same components."""
+    top = {int(r): int(r) for r in np.unique(root)}
+
+    def find(x: int) -> int:
+        while top[x] != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(alike)):
+        i, j = left[i], right[j]
+        x, y = find(int(root[i])), find(int(root[j]))
+        if x != y:
+            top[x] = y
+            out.append((int(uid[i]), int(uid[j])))
+    return out
+
+
+def _within(torn: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+    """Links between components that share a bucket. The sets that buckets hold together form
+    clusters; a cluster is cut into blocks, and the sets of every two blocks are compared
+    inside a task, fragment by fragment, so that pairs never become rows. Small clusters share a task."""
+    hubs = torn.groupBy("sign").agg(F.min("uid").alias("a"))
+    edges = torn.join(hubs, "sign").select("a", F.col("uid").alias("b")).distinct()
+    cluster = components(edges).select(F.col("node").alias("uid"), F.col("root").alias("cluster"))
+    nodes = stored(torn.select("uid", "size", "root").distinct().join(cluster, "uid"), "gram-clusters")
+    tasks = nodes.agg(F.sum("size")).first()[0] * 8 // BLOCK_BYTES + 1
+    blocks = nodes.groupBy("cluster").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") * 8 / BLOCK_BYTES)).alias("blocks"))
+    dealt = nodes.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("uid"), "blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    task = F.when(F.col("blocks") > 1, F.col("cluster")).otherwise(-1 - F.pmod(F.xxhash64("cluster"), F.lit(tasks)))
+    dealt = dealt.select("uid", "size", "root", "cluster", "block", task.alias("task"),
+                         F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+
+    def compare(t: pa.Table) -> pa.Table:
+        found = []
+        t = t.sort_by([("cluster", "ascending"), ("uid", "ascending"), ("part", "ascending")])
+        lo, hi = t.column("lo")[0].as_py(), t.column("hi")[0].as_py()
+        first = slice(None, None, PARTS)
+        uid, size, root, cluster, block = (t.column(c).to_numpy()[first] for c in ("uid", "size", "root", "cluster", "block"))
+        held = t.column("held").combine_chunks()
+        cut = np.flatnonzero(np.diff(cluster, prepend=-1, append=-1))
+        for x, y in zip(cut, cut[1:]):
+            left = np.flatnonzero(block[x:y] == lo)
+            right = left if lo == hi else np.flatnonzero(block[x:y] == hi)
+            both = np.zeros((len(left), len(right)), np.float32)
+            for part in range(PARTS):
+                both += _overlaps([np.frombuffer(held[k * PARTS + part].as_buffer(), np.uint64) for k in range(x, y)], left, right)
+            n, m = size[x:y][left][:, None], size[x:y][right][None, :]
+            alike = (100 * both >= percent * (n + m - both)) & (root[x:y][left][:, None] != root[x:y][right][None, :])
+            found += _joined(uid[x:y], root[x:y], alike, left, right)
+        return pa.table({"a": pa.array([i for i, _ in found], pa.int64()), "b": pa.array([j for _, j in found], pa.int64())})
+
+    return dealt.join(segments, "uid").groupBy("task", "lo", "hi").applyInArrow(compare, "a long, b long")
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM,
@@ -292,7 +358,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if torn.isEmpty():
             break
     else:
-        new = stored(_verified(stored(_across(torn, percent), "gram-across"), segments, percent), "gram-links")
+        new = stored(_within(torn, segments, percent), "gram-links")
         links = links.unionByName(new)
         roots = _roots(links)
     placed = stored(nodes.select("name", "uid").join(roots, "uid", "left").select(

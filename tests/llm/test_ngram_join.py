@@ -62,7 +62,8 @@ def near_copies(seed: int, families: int, members: int) -> list[tuple]:
 @pytest.mark.parametrize("seed", [1, 2])
 def test_equal_to_all_pairs(spark, monkeypatch, seed):
     monkeypatch.setattr(J, "HUB_ROUNDS", 2 - seed % 2)
-    monkeypatch.setattr(J, "BLOCK", 4)
+    monkeypatch.setattr(J, "BLOCK", 4 if seed == 1 else 100)
+    monkeypatch.setattr(J, "_COLUMNS", 50)
     table = near_copies(seed, 16, 12)
     assert run(spark.createDataFrame(table, SCHEMA).repartition(4)) == brute(table)
 
