@@ -122,3 +122,14 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str, value: str) -> DataF
         F.max(~F.col("_new")).alias("old_set"), F.max(F.when(~F.col("_new"), F.col("v"))).alias("old_value"),
         F.max("_new").alias("new_set"), F.max(F.when(F.col("_new"), F.col("v"))).alias("new_value"))
     return changes(g)
+
+
+def replay_changes(changes: DataFrame, upto_seq: Column | int | None = None) -> DataFrame:
+    """The table at log position ``upto_seq`` (inclusive) from its full changes (``key, seq,
+    kind, value``): a key's last change, unless it is a delete. Output ``key, value, seq``."""
+    now = changes.where(F.col("kind") != "update_before")
+    if upto_seq is not None:
+        now = now.where(F.col("seq") <= upto_seq)
+    last = latest_per_key(now.select("key", "seq", (F.col("kind") != "delete").alias("_there"), "value"),
+                          ["key"], ["seq"], ["_there", "value"])
+    return last.where("_there").select("key", "value", "seq")

@@ -1,5 +1,9 @@
 """Arbitrary stateful processing (``transformWithStateInPandas``) with timers and TTL.
 
+``running_totals`` counts per key in two state variables, a value and a map, which an old
+query's totals can seed and which expire if asked. ``changes`` turns a changelog stream into
+the full changes of its table, keeping a key's current value and removing it with its delete.
+
 ``idle_keys`` reports every idle period: a stretch of ``gap_ms`` of event time without an
 event of the key. Events are first counted on the JVM per key and short time bucket (a
 windowed aggregate with partial combine), so a hot key reaches the Python processor as a
@@ -53,10 +57,13 @@ class IdleCounter(StatefulProcessor):
                 idle.append((cnt, last_us))
                 cnt = 0
             cnt, last_us = cnt + n, hi
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
         # events up to a bucket's width behind the watermark may still be on their way
-        self.handle.registerTimer(last_us // 1000 + self.gap_ms + self.bucket_ms)
+        due = last_us // 1000 + self.gap_ms + self.bucket_ms
+        if self.acc.exists():
+            old = self.acc.get()[1] // 1000 + self.gap_ms + self.bucket_ms
+            if old != due:
+                self.handle.deleteTimer(old)
+        self.handle.registerTimer(due)
         self.acc.update((cnt, last_us))
         if idle:
             yield self._report(key, idle)
@@ -87,3 +94,92 @@ def idle_keys(df: DataFrame, key: str, ts: str, gap_ms: int, delay: str,
         statefulProcessor=IdleCounter(key, gap_ms, ttl_ms=ttl_ms),
         outputStructType=f"{key} {key_type}, cnt long, last_ts_us long",
         outputMode="Append", timeMode="EventTime")
+
+
+class RunningTotals(StatefulProcessor):
+    """Rows per key (``total``) and per key and kind (``kinds``)."""
+
+    def __init__(self, key_col: str, ttl_ms: int | None = None):
+        self.key_col, self.ttl_ms = key_col, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.total = handle.getValueState("total", "cnt long", self.ttl_ms)
+        self.kinds = handle.getMapState("kinds", "kind string", "cnt long", self.ttl_ms)
+
+    def _add(self, n: int, kinds: dict[str, int]) -> int:
+        cnt = n + (self.total.get()[0] if self.total.exists() else 0)
+        self.total.update((cnt,))
+        for kind, m in kinds.items():
+            before = self.kinds.getValue((kind,))[0] if self.kinds.containsKey((kind,)) else 0
+            self.kinds.updateValue((kind,), (before + m,))
+        return cnt
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
+        kinds = initialState.groupby("kind")["cnt"].sum()
+        self._add(int(kinds.sum()), {str(k): int(n) for k, n in kinds.items()})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
+        kinds: dict[str, int] = {}
+        for part in rows:
+            for kind, n in part["kind"].value_counts().items():
+                kinds[kind] = kinds.get(kind, 0) + int(n)
+        cnt = self._add(sum(kinds.values()), kinds)
+        yield pd.DataFrame({self.key_col: [key[0]], "cnt": [cnt]})
+
+    def close(self) -> None:
+        pass
+
+
+def running_totals(df: DataFrame, key: str, kind: str, initial: DataFrame | None = None,
+                   ttl_ms: int | None = None) -> DataFrame:
+    """``key, cnt`` in update mode: how many rows a key has had so far. ``initial`` (``key, kind,
+    cnt``) are totals of an old query to go on from. With ``ttl_ms`` a key's state expires so
+    long after it last changed, and the key starts anew. A null kind counts as the empty one."""
+    key_type = dict(df.dtypes)[key]
+    kinds = F.coalesce(F.col(kind), F.lit("")).alias("kind")
+    seeds = None if initial is None else initial.select(key, kinds, "cnt").groupBy(key)
+    return df.select(key, kinds).groupBy(key).transformWithStateInPandas(
+        statefulProcessor=RunningTotals(key, ttl_ms), outputStructType=f"{key} {key_type}, cnt long",
+        outputMode="Update", timeMode="ProcessingTime" if ttl_ms else "None", initialState=seeds)
+
+
+class ChangeEmitter(StatefulProcessor):
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.current = handle.getValueState("current", "value long, seq long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
+        held = self.current.get() if self.current.exists() else None
+        log = pd.concat(list(rows)).sort_values("seq")
+        out = []
+        for seq, is_set, value in zip(log["seq"].tolist(), log["is_set"].tolist(), log["value"].tolist()):
+            if is_set:
+                value = None if value is None or value != value else int(value)
+                out += [(seq, "update_before", held[0]), (seq, "update_after", value)] if held else [(seq, "insert", value)]
+                held = (value, seq)
+            elif held:
+                out.append((seq, "delete", held[0]))
+                held = None
+        if held:
+            self.current.update(held)
+        else:
+            self.current.clear()
+        if out:
+            seqs, kinds, values = zip(*out)
+            yield pd.DataFrame({"key": [key[0]] * len(out), "seq": seqs, "kind": kinds,
+                                "value": pd.array(values, dtype="Int64")})
+
+    def close(self) -> None:
+        pass
+
+
+def changes(changelog: DataFrame) -> DataFrame:
+    """Full changes of the table that a changelog stream (``seq, key, op, value``, in order of
+    ``seq`` from batch to batch) describes: ``key, seq, kind, value``, with ``insert``,
+    ``update_before`` and ``update_after``, and ``delete`` with the value that goes; a delete of an
+    absent key changes nothing. Replaying them up to any ``seq`` rebuilds the table of that
+    moment. State holds a row per key of the table (``current``) and loses it with its delete."""
+    key_type = dict(changelog.dtypes)["key"]
+    rows = changelog.select("key", "seq", (F.col("op") == "set").alias("is_set"), F.col("value").cast("long").alias("value"))
+    return rows.groupBy("key").transformWithStateInPandas(
+        statefulProcessor=ChangeEmitter(), outputStructType=f"key {key_type}, seq long, kind string, value long",
+        outputMode="Append", timeMode="None")

@@ -25,6 +25,7 @@ QUERY_NAMES = [
     "k_topk_all_time", "t_topk_batch",
     "s_rate_contiguity", "s_state_reader", "u_millis", "b_progress", "b_audit", "w_late_data",
     "x_idle_users", "x_migrate", "k_compact", "a_avg_partial", "k_partitioned_write",
+    "x_cutover", "x_change_verdict", "s_state_vars", "x_initial_state", "o_changes_stream", "o_fold_stream", "o_changes_replay",
 ]
 
 

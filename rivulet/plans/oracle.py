@@ -353,3 +353,40 @@ SELECT event_id, user_id, event_type, value, epoch_us(ts) AS ts_us,
        CAST(floor(epoch_us(ts) / {DAY_US}) AS BIGINT) AS event_day
 FROM events
 """
+
+ORACLE["s_state_vars"] = f"""
+WITH e AS (SELECT user_id, event_type, {_SLICE4.format(n=3)} AS slice FROM events)
+SELECT 'total' AS part, user_id, CAST(NULL AS VARCHAR) AS kind, count(*) AS cnt FROM e GROUP BY user_id
+UNION ALL SELECT 'kinds', user_id, coalesce(event_type, ''), count(*) FROM e GROUP BY user_id, coalesce(event_type, '')
+UNION ALL SELECT 'changed', user_id, NULL, count(*) FROM e GROUP BY user_id HAVING max(slice) = 2
+"""
+
+ORACLE["x_initial_state"] = """
+SELECT user_id, coalesce(event_type, '') AS event_type, count(*) AS cnt FROM events GROUP BY ALL
+"""
+
+ORACLE["o_changes_stream"] = f"""
+WITH {_CHANGELOG},
+p AS (SELECT *, lag(op) OVER w AS was, lag(value) OVER w AS old FROM cl WINDOW w AS (PARTITION BY key ORDER BY seq))
+SELECT key, seq, 'insert' AS kind, value FROM p WHERE op = 'set' AND was IS DISTINCT FROM 'set'
+UNION ALL SELECT key, seq, 'update_before', old FROM p WHERE op = 'set' AND was = 'set'
+UNION ALL SELECT key, seq, 'update_after', value FROM p WHERE op = 'set' AND was = 'set'
+UNION ALL SELECT key, seq, 'delete', old FROM p WHERE op = 'delete' AND was = 'set'
+"""
+
+ORACLE["o_fold_stream"] = ORACLE["o_fold_upsert"]
+ORACLE["o_changes_replay"] = ORACLE["o_fold_asof"]
+
+ORACLE["x_cutover"] = f"""
+WITH b AS (SELECT epoch_us(ts) // {DAY_US} * 86400 AS ws, event_type, coalesce(value >= 50, false) AS big FROM events)
+SELECT ws AS win_start, ws + 86400 AS win_end, event_type, big, count(*) AS cnt, 1 AS refused
+FROM b GROUP BY ws, event_type, big
+HAVING (ws + 86400) * 1000000 <= {_wm_us(2 * DAY_US)}
+"""
+
+ORACLE["x_change_verdict"] = f"""
+SELECT change, verdict, columns,
+       (SELECT count(*) FROM (SELECT DISTINCT epoch_us(ts) // {DAY_US}, event_type FROM events)) AS n_state
+FROM (VALUES ('result filter', 'safe', ''), ('key', 'refused', 'user_id'), ('aggregate', 'dangerous', 'sum -> max'),
+             ('input filter', 'dangerous', 'event_id')) v(change, verdict, columns)
+"""

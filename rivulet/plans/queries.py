@@ -19,7 +19,7 @@ from rivulet.operators import aggregate, dedup, duality, joins, stateful, statel
 from rivulet.plans.materialize import append_to_parquet, through_batches
 from rivulet.session import run_dir
 from rivulet.sources import envelope, files, state, tables
-from rivulet.streaming import observe, operations, paths, runtime, transactional
+from rivulet.streaming import changes, migration, observe, operations, paths, runtime, transactional
 from rivulet.streaming.sinks import (AccumulatingTable, BatchPathSink, UpsertTable, append_writer, fan_out,
                                      split_dead_letter)
 
@@ -362,11 +362,13 @@ def u_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 AS_OF = "2024-01-16T00:00:00Z"
 
 
-def _changelog(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+def _changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` read as a changelog: key user, value in cents, errors delete the key."""
-    ev = tables.events(spark, sf_dir, streaming=streaming)
-    ev = ev.withColumn("cents", F.round(F.col("value") * 100).cast("long"))
-    return duality.as_changelog(ev, "user_id", "cents", "event_id",
+    return _as_changelog(tables.events(spark, sf_dir, streaming=False))
+
+
+def _as_changelog(ev: DataFrame) -> DataFrame:
+    return duality.as_changelog(ev.withColumn("cents", _cents()), "user_id", "cents", "event_id",
                                 F.col("event_type") == F.lit("error"))
 
 
@@ -696,20 +698,148 @@ def x_idle_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every 6-hour idle period of a user in event time, found by a stateful processor with
     event-time timers over hourly counts, in four arrivals."""
     sink = run_dir(spark, "x_idle_users_table")
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    saved = spark.conf.get(provider, None)
-    spark.conf.set(provider, runtime.ROCKSDB)  # transformWithState needs RocksDB
-    try:
-        _arrivals(spark, sf_dir, "x_idle_users", N_SLICES, lambda s: stateful.idle_keys(
-            s, "user_id", "ts", 6 * 3600 * 1000, "1 day"), sink=sink)
-    finally:
-        if saved is None:
-            spark.conf.unset(provider)
-        else:
-            spark.conf.set(provider, saved)
+    _arrivals(spark, sf_dir, "x_idle_users", N_SLICES, lambda s: stateful.idle_keys(
+        s, "user_id", "ts", 6 * 3600 * 1000, "1 day"), sink=sink, confs=runtime.PROCESSOR, state_partitions=SMALL_STATE)
     return spark.read.schema("user_id long, cnt long, last_ts_us long").parquet(sink)
 
 
+#: State partitions of the processors here, whose state is a row per user.
+SMALL_STATE = 4
+
+
+def _totals_sink(root: str) -> UpsertTable:
+    return UpsertTable(root, ["user_id"], unique_keys=True)
+
+
+def s_state_vars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Named state variables of a processor, a value and a map, after three arrivals, and what
+    the last of them changed in the value (the state's change feed)."""
+    d = run_dir(spark, "s_state_vars")
+    ck, _ = _arrivals(spark, sf_dir, "s_state_vars", 3, lambda s: stateful.running_totals(s, "user_id", "event_type"),
+                      output_mode="update", foreach_batch=_totals_sink(d), confs=runtime.CHANGELOG,
+                      state_partitions=SMALL_STATE)
+    user = F.col("key.user_id").alias("user_id")
+    whole = state.read_variable(spark, ck, "total").select(
+        F.lit("total").alias("part"), user, F.lit(None).cast("string").alias("kind"), F.col("value.cnt").alias("cnt"))
+    kinds = state.read_variable(spark, ck, "kinds").select(
+        F.lit("kinds").alias("part"), user, F.col("user_map_key.kind").alias("kind"), F.col("user_map_value.cnt").alias("cnt"))
+    last = state.read_changes(spark, ck, 2, 2, variable="total").where("change_type = 'update'").select(
+        F.lit("changed").alias("part"), user, F.lit(None).cast("string").alias("kind"), F.col("value.cnt").alias("cnt"))
+    return whole.unionByName(kinds).unionByName(last)
+
+
+def x_initial_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State migration inside the state store: the state of an old aggregate (two arrivals)
+    seeds the state of a new processor, which later arrivals go on from."""
+    root = run_dir(spark, "x_initial_state")
+    sliced = files.Slices(tables.events(spark, sf_dir, streaming=False), N_SLICES, "event_id")
+
+    def arrival(name: str, i: int, build, **kwargs) -> None:
+        files.write_slice(sliced, f"{root}/{name}_in", i)
+        stream = files.parquet_stream(spark, f"{root}/{name}_in/slice-*", schemas.EVENTS_SLICED)
+        runtime.run_to_end(build(stream), f"{root}/{name}_checkpoint", output_mode="update", **kwargs)
+
+    for i in range(2):
+        arrival("old", i, lambda s: aggregate.group_count(s, ["user_id", "event_type"]),
+                foreach_batch=UpsertTable(f"{root}/old_table", ["user_id", "event_type"], unique_keys=True))
+    old = operations.export_state(spark, f"{root}/old_checkpoint", f"{root}/old_state")
+    seeds = old.select("user_id", "event_type", F.col("count").alias("cnt"))
+    for i in range(2, N_SLICES):
+        arrival("new", i, lambda s: stateful.running_totals(s, "user_id", "event_type", initial=seeds),
+                foreach_batch=_totals_sink(f"{root}/new_table"), confs=runtime.PROCESSOR, state_partitions=SMALL_STATE)
+    return state.read_variable(spark, f"{root}/new_checkpoint", "kinds").select(
+        F.col("key.user_id").alias("user_id"), F.col("user_map_key.kind").alias("event_type"),
+        F.col("user_map_value.cnt").alias("cnt"))
+
+
+def _change_stream(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str]:
+    """Checkpoint and sink of the full changes of the changelog, in four arrivals."""
+    sink = run_dir(spark, f"{name}_changes")
+    ck, _ = _arrivals(spark, sf_dir, name, N_SLICES, lambda s: stateful.changes(_as_changelog(s)), sink=sink,
+                      confs=runtime.PROCESSOR, state_partitions=SMALL_STATE)
+    return ck, sink
+
+
+CHANGES = "key long, seq long, kind string, value long"
+
+
+def o_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Table -> stream in full: every insert, update (before and after) and delete, from a
+    processor that keeps the previous value of each key."""
+    return spark.read.schema(CHANGES).parquet(_change_stream(spark, sf_dir, "o_changes_stream")[1])
+
+
+def o_fold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream -> table as a stream: the processor's state after four arrivals is the table; a
+    delete has removed its key's row."""
+    ck, _ = _change_stream(spark, sf_dir, "o_fold_stream")
+    return state.read_variable(spark, ck, "current").select(
+        F.col("key.key").alias("key"), F.col("value.value").alias("value"), F.col("value.seq").alias("seq"))
+
+
+def o_changes_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full changes replayed up to ``AS_OF``: the table of that moment."""
+    full = spark.read.schema(CHANGES).parquet(_change_stream(spark, sf_dir, "o_changes_replay")[1])
+    return duality.replay_changes(full, _as_of(spark, sf_dir))
+
+
+def x_change_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What changed versions of a running query would do on its checkpoint, found before they
+    start: the daily sums per event type against another filter on the result, another key,
+    another aggregate and another filter on the input. ``n_state`` is the state at stake."""
+    def sums(agg="sum", keys=("event_type",), where="event_id >= 0"):
+        return lambda s: s.where(where).groupBy(F.window("ts", "1 day"), *keys).agg(getattr(F, agg)("value").alias("x"))
+
+    variants = {"result filter": lambda s: sums()(s).where("x > 10"), "key": sums(keys=("event_type", "user_id")),
+                "aggregate": sums(agg="max"), "input filter": sums(where="event_id > 0")}
+    d = run_dir(spark, "x_change_verdict")
+    ck, _ = _arrivals(spark, sf_dir, "x_change_verdict", 2, sums(), output_mode="update", foreach_batch=BatchPathSink(d))
+    rows = []
+    for name, build in variants.items():
+        found = changes.verdict(spark, ck, build, schemas.EVENTS_SLICED, "update")
+        rows.append((name, changes.worst(found), ",".join(sorted({c for f in found for c in f.columns}))))
+    verdicts = spark.createDataFrame(rows, "change string, verdict string, columns string")
+    return verdicts.withColumn("n_state", state.read_state(spark, ck).select(F.count(F.lit(1))).scalar())
+
+
+def x_cutover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parallel cut-over: daily counts per event type move to daily counts per event type and
+    size class. Both queries see the same arrivals, the new one an arrival later; a switch is
+    refused while it is behind, and agreed once it has caught up and its sums are the old
+    counts up to the smaller watermark. The result is the table that readers then see."""
+    root = run_dir(spark, "x_cutover")
+    sliced = files.Slices(tables.events(spark, sf_dir, streaming=False), N_SLICES, "event_id")
+
+    def counts(keys):
+        return lambda s: windows.windowed_agg(s.withColumn("big", F.coalesce(F.col("value") >= 50, F.lit(False))), "ts", "1 day",
+                                              [_cnt()], delay="2 days", keys=keys)
+
+    builds = {"old": counts(["event_type"]), "new": counts(["event_type", "big"])}
+
+    def run(name: str) -> None:
+        stream = files.parquet_stream(spark, f"{root}/in/slice-*", schemas.EVENTS_SLICED)
+        runtime.run_to_end(builds[name](stream), f"{root}/{name}_checkpoint", sink=f"{root}/{name}")
+
+    fields = "win_start long, win_end long, event_type string, cnt long"
+    old = migration.Live("old", f"{root}/old_checkpoint", lambda: spark.read.schema(fields).parquet(f"{root}/old"))
+    new = migration.Live(
+        "new", f"{root}/new_checkpoint", lambda: spark.read.schema(f"{fields}, big boolean").parquet(f"{root}/new"),
+        same=lambda df: df.groupBy("win_start", "win_end", "event_type").agg(F.sum("cnt").alias("cnt")))
+    cut = migration.CutOver(spark, root, old, new, ["win_start", "win_end", "event_type"], "win_end")
+    refused = 0
+    for i in range(N_SLICES):
+        files.write_slice(sliced, f"{root}/in", i)
+        run("old")
+        if i in (1, N_SLICES - 1):
+            run("new")
+        if i in (2, N_SLICES - 1):
+            try:
+                cut.switch()
+            except migration.CutOverRefused:
+                refused += 1
+    return cut.read().select("win_start", "win_end", "event_type", "big", "cnt", F.lit(refused).alias("refused"))
+
+
 def x_migrate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State migration: counts per user (two arrivals, in the old query's state) become
     counts per user and country; the new query, on a checkpoint of its own, adds the
