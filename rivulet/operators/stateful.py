@@ -134,7 +134,8 @@ def running_totals(df: DataFrame, key: str, kind: str, initial: DataFrame | None
                    ttl_ms: int | None = None) -> DataFrame:
     """``key, cnt`` in update mode: how many rows a key has had so far. ``initial`` (``key, kind,
     cnt``) are totals of an old query to go on from. With ``ttl_ms`` a key's state expires so
-    long after it last changed, and the key starts anew. A null kind counts as the empty one."""
+    long after it last changed, and the key starts anew; such a query follows the clock and has no
+    last batch, so an ``availableNow`` run of it does not end. A null kind counts as the empty one."""
     key_type = dict(df.dtypes)[key]
     kinds = F.coalesce(F.col(kind), F.lit("")).alias("kind")
     seeds = None if initial is None else initial.select(key, kinds, "cnt").groupBy(key)

@@ -45,7 +45,7 @@ def plan_lines(df: DataFrame) -> list[str]:
     run (expression ids, where the source lies)."""
     lines = []
     for line in df._jdf.queryExecution().analyzed().toString().splitlines():
-        line = re.sub(r"#\d+L?|-T\d+ms", "", line.lstrip(" :+-~"))
+        line = re.sub(r"#\d+L?|-T\d+ms|[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", "", line.lstrip(" :+-~"))
         lines.append(re.sub(r"^(StreamingRelation\w*|StreamingDataSource\w*)\b.*?(\[[^\]]*\])?$", r"\1 \2", line))
     return [x for x in lines if x]
 
