@@ -12,7 +12,7 @@ from rivulet.plans.oracle import ORACLE
 QUERY_NAMES = [
     "w_tumbling_key", "w_tumbling", "w_sliding", "w_session", "w_processing_time", "w_chained",
     "s_parquet_stream", "s_batch_scan", "s_json_stream", "s_envelope", "s_bronze_stream",
-    "s_csv_lines",
+    "s_csv_lines", "s_driven_stream",
     "p_stateless", "p_flatmap",
     "a_sum_count", "a_filtered_group", "a_group_count", "a_min_max", "a_distinct",
     "a_latest_per_key",

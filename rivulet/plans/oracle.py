@@ -238,6 +238,12 @@ SELECT {_SLICE4.format(n=4)} AS slice, count(*) AS cnt,
 FROM events GROUP BY slice
 """
 
+ORACLE["s_driven_stream"] = f"""
+SELECT CAST({_SLICE4.format(n=4)} // 2 AS BIGINT) AS batch_id, {_SLICE4.format(n=4)} AS slice, count(*) AS cnt,
+       CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total_cents
+FROM events GROUP BY ALL
+"""
+
 ORACLE["k_txn_guard"] = """
 SELECT CASE WHEN event_type = 'purchase' THEN 'a' ELSE 'b' END AS app_id, count(*) AS cnt,
        CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total_cents

@@ -18,7 +18,7 @@ from rivulet.functions.time import millis_to_timestamp
 from rivulet.operators import aggregate, dedup, duality, joins, stateful, stateless, topk, windows
 from rivulet.plans.materialize import append_to_parquet, through_batches
 from rivulet.session import run_dir
-from rivulet.sources import envelope, files, state, tables
+from rivulet.sources import driven, envelope, files, state, tables
 from rivulet.streaming import changes, migration, observe, operations, paths, runtime, transactional
 from rivulet.streaming.sinks import (AccumulatingTable, BatchPathSink, UpsertTable, append_writer, fan_out,
                                      split_dead_letter)
@@ -469,6 +469,28 @@ def _projected(spark: SparkSession):
     return stateless.project_events(spark.createDataFrame([], schemas.EVENTS_SLICED)).schema
 
 
+def s_driven_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`events` slices as caller-set batches of a replayable source: two arrivals at a time,
+    each run replayed as after a crash before its commit, so that a batch is its own two
+    slices however often it runs. Counts per batch and slice."""
+    ev = files.Slices(tables.events(spark, sf_dir, streaming=False), N_SLICES, "event_id")
+    log = driven.BatchLog(spark, run_dir(spark, "s_driven_stream_in"), schemas.EVENTS_SLICED)
+    sink = BatchPathSink(run_dir(spark, "s_driven_stream_out"))
+    ck = runtime.checkpoint_for(run_dir(spark, "s_driven_stream"))
+
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        sink(df.groupBy("slice").agg(_cnt(), F.sum(_cents()).alias("total_cents")), batch_id)
+
+    stream = log.stream()
+    for i in range(N_SLICES):
+        log.add(ev.part(i))
+        if i % 2:
+            runtime.run_to_end(stream, ck, foreach_batch=per_batch)
+            _replay_last(spark, ck)
+            runtime.run_to_end(stream, ck, foreach_batch=per_batch)
+    return sink.read(spark, keep_batch=True).select("batch_id", "slice", "cnt", "total_cents")
+
+
 def k_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``foreachBatch`` runs batch-only DataFrame code on each bounded micro-batch;
     here per-slice partial counts written to the batch's own folder."""

@@ -3,7 +3,9 @@
 PySpark has no ``MemoryStream``. ``FileDropStream`` gives the same control: ``add``
 writes one new file (atomically, through Spark's writer) into a watched folder and
 ``process`` blocks until the running query has consumed it, so each ``add`` +
-``process`` pair is one micro-batch (``maxFilesPerTrigger=1``).
+``process`` pair is one micro-batch (``maxFilesPerTrigger=1``). ``DrivenStream`` is the same
+over the caller-driven source (``sources.driven``): what was added since the last trigger is
+one micro-batch, and an empty ``add`` is a batch without rows.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.session import run_dir
+from rivulet.sources.driven import BatchLog
 from rivulet.streaming.observe import trace_row
 
 
@@ -81,3 +84,16 @@ class FileDropStream:
         if rows and min(rows) > 0:
             raise RuntimeError("the query's first batches have left its recent progress: use ProgressTable")
         return [rows[k] for k in sorted(rows)]
+
+
+class DrivenStream(FileDropStream):
+    def __init__(self, spark: SparkSession, schema: T.StructType, name: str = "driven"):
+        super().__init__(spark, schema, name)
+        self.log = BatchLog(spark, self.root, schema)
+
+    def stream(self) -> DataFrame:
+        return self.log.stream()
+
+    def add(self, rows: Iterable[tuple]) -> None:
+        self.log.add(self.spark.createDataFrame(list(rows), self.schema).coalesce(1))
+        self.n = self.log.n
