@@ -44,7 +44,10 @@ LEAST_CHARS = 15
 MOST_CHARS = 300
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+#: The rest of a tag, in which quoted values may hold anything; without its last group where
+#: the tag does not end before the next one begins.
+_REST = re.compile(r"(?:[^<>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+(>)?")
+_ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _SPACE = re.compile(r"\s+")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style title textarea noscript template iframe svg annotation annotation-xml object".split())
@@ -60,7 +63,7 @@ _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "
            "th": ("td", "th"), "option": ("option",), "tbody": ("tbody", "thead", "tr", "td", "th"),
            "tfoot": ("tbody", "thead", "tr", "td", "th")}
 _SCOPE = frozenset("html body table td th article main section div aside nav header footer form ul ol dl blockquote".split())
-_DROP_TAG = frozenset("nav aside footer button select dialog head menu".split())
+_DROP_TAG = frozenset("nav aside footer button select dialog head menu label datalist".split())
 _DROP_WORD = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner breadcrumb breadcrumbs "
     "comment comments respond disqus cookie cookies consent gdpr notice popup modal overlay footer masthead menu nav "
@@ -68,20 +71,38 @@ _DROP_WORD = frozenset(
     "signup login search toolbar widget widgets copyright skip".split())
 _DROP_ROLE = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 _WORD = re.compile(r"[a-z]+")
-#: Whole class names and ids that announce boilerplate also inside the article and on its
-#: paragraphs, where single words of a name may as well tell what the text is about.
-_DROP_NAME = frozenset(
-    "ad ads advert adverts advertisement sponsored breadcrumb breadcrumbs comments comment-list comment-form respond "
-    "disqus disqus-thread cookie-notice cookie-banner cookie-consent newsletter newsletter-signup newsletter-form "
-    "subscribe-box subscribe-form pagination pager navbar nav-links post-navigation sidebar popup modal masthead "
-    "ad-container ad-slot ad-unit ad-wrapper ad-banner banner-ad related-posts related-articles related-stories "
-    "related-links related-content related-news recommended-posts recommended-articles share-buttons share-bar "
-    "share-links share-tools sharing-buttons social-share social-sharing social-links social-buttons social-icons "
-    "social-media-links skip-link".split())
+#: A class name or id announces boilerplate also inside the article, where single words may
+#: as well tell what the text is about, if all its words name a kind of boilerplate or a part
+#: of a layout: ``comments-area``, ``cookie-banner-wrap``, but not ``cookie-recipe``. These
+#: kinds do so alone, the others only next to a part or another kind.
+_KIND_ALONE = frozenset(
+    "ad ads advert adverts advertisement advertisements sponsored breadcrumb breadcrumbs comment comments commentlist "
+    "respond disqus newsletter pagination pager navbar sidebar popup modal masthead promo".split())
+_KIND = _KIND_ALONE | frozenset(
+    "cookie cookies consent gdpr nav navigation recommended related share sharing signup skip social subscribe".split())
+_PART = frozenset(
+    "area articles banner bar block bottom box button buttons container content footer form header icons inner item items "
+    "left link links list news notice outer panel post posts reader readers right section slot stories thread tools top unit "
+    "user users wrap wrapper".split())
+#: Words that may stand next to a kind but make none of it.
+_BESIDE = _PART | frozenset(["media"])
+#: Kinds that, alone, also mark parts of a running text (comments in source code).
+_NOT_TEXT = frozenset("comment promo".split())
 #: Those of them that an id generated from a heading may be.
 _SLUGS = frozenset("ad ads advert adverts advertisement sponsored newsletter pagination pager sidebar popup modal masthead".split())
 
 
+def _announces(name: str, running: bool) -> bool:
+    """Whether a name is made of kinds of boilerplate and parts of a layout."""
+    if running and name in _NOT_TEXT:
+        return False
+    words = set(name.split("-")) - {""}
+    kinds = words & _KIND
+    if not kinds or words - _KIND - _BESIDE:
+        return False
+    return bool(kinds & _KIND_ALONE or words & _PART) or len(kinds) > 1
+
+
 def _named(tag: str, attrs: dict[str, str], inside: bool) -> tuple[bool, bool]:
     """Whether class and id make an element boilerplate, and whether they hint at it."""
     classes, key = attrs.get("class", "").lower(), attrs.get("id", "").lower()
@@ -91,7 +112,7 @@ def _named(tag: str, attrs: dict[str, str], inside: bool) -> tuple[bool, bool]:
     text = tag == "p" or tag in _HEADINGS
     if not text:  # ids of headings and sections are often made from their words
         names |= {key.replace("_", "-").strip()} - (_SLUGS if tag == "section" else frozenset())
-    if names & _DROP_NAME:
+    if any(_announces(name, text or tag not in _BLOCK or tag == "pre") for name in names):
         return True, True
     words = _WORD.findall(classes + ("" if text or tag == "section" else " " + key))
     hint = any(w in _DROP_WORD for w in words) or "header" in words and not inside
@@ -214,7 +235,7 @@ def _read(source: str, templates: frozenset[int], inner: frozenset[int],
                 else:
                     stack[-1].size += len(squeezed)
 
-    pos, size = 0, len(source)
+    pos, size, broken = 0, len(source), 0
     while pos < size:
         m = _TAG.search(source, pos)
         if m is None:
@@ -225,12 +246,12 @@ def _read(source: str, templates: frozenset[int], inner: frozenset[int],
         if m[2] is None:  # comment, doctype or instruction
             continue
         tag, rest = m[2].lower(), m[3]
-        if rest.count('"') % 2 and not m[1]:  # a > inside a quoted value
-            quote = source.find('"', pos)
-            end = source.find(">", quote) if quote >= 0 else -1
-            if end >= 0:
-                rest += source[pos - 1:end]
-                pos = end + 1
+        if m.start(3) >= broken and not m[1] and ('"' in rest or "'" in rest):  # a > may be inside a value
+            whole = _REST.match(source, m.start(3))
+            if whole[1]:
+                rest, pos = source[m.start(3):whole.start(1)], whole.end()
+            else:  # read up to the first >, as are all tags begun before this place
+                broken = whole.end()
         if m[1]:
             if tag == "br":
                 out.append(" ")

@@ -101,7 +101,7 @@ def test_bayes_matches_brute_force(spark):
     ("<div class='cookie-notice'>c</div><div class=ad>buy</div><div>kept</div>", "kept"),
     ("<div style='display: none'>h</div><div hidden>h</div><p aria-hidden='true'>h</p>t", "t"),
     ("<p>1 < 2 &lt;b&gt; &#65;&#x42; &copy; &nosuch;</p>", "1 < 2 <b> AB \u00a9 &nosuch;"),
-    ("</div></p>stray", "stray"), ("", ""), ("plain", "plain"), ("<p title='a > b'>q</p>", "b'>q"),
+    ("</div></p>stray", "stray"), ("", ""), ("plain", "plain"), ("<p title='a > b'>q</p>", "q"),
     ('<p title="a > b">q</p>', "q"), ("<article><p>cut &am</p", "cut &am"), ("<main><p>m</p></main><article class=comment>c</article>", "m"),
     ("<style>p{}</style><title>t</title><p>x</p>", "x"), ("<p>a</p><script>never closed <p>b</p>", "a"),
     ("<article><pre>k\n  l</pre><blockquote>q</blockquote></article>", "k l\n\nq"),
@@ -110,6 +110,42 @@ def test_parse(page, text):
     assert parse(page) == text
 
 
+@pytest.mark.parametrize("name", [
+    "class='comments-area'", "class='commentlist'", "id='comments-section'", "class='comment'", "class='reader-comments'",
+    "class='sidebar-right'", "class='promo'", "class='advertisement-block'", "class='cookie-banner-wrap'", "class='x user_comments'",
+    "class='social-media-links'", "class='related-news'"])
+def test_comments_and_adverts_inside_the_article_go(name):
+    assert parse(f"<article><p>Story</p><div {name}><p>me too</p><p>and me</p></div><p>End</p></article>") == "Story\n\nEnd"
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><div class='cookie-recipe'>Flour</div><div class='social-media'>Posts</div><div class='promotion-rules'>Chess</div></article>",
+     "Flour\n\nPosts\n\nChess"),
+    ("<article><pre>x = 1 <span class='comment'># one</span></pre><p class=comment>c</p></article>", "x = 1 # one\n\nc"),
+    ("<article><p>a</p><label>Email</label><p>b</p></article>", "a\n\nb"),
+    ("""<p title='a > b' alt="it's > that">q</p>""", "q"),
+    ("""<p title="she said 'a > b'">q</p><p data-1="class='ad' > x">r</p>""", "q\n\nr"),
+    ("<p>it's 1 > 0</p><p alt=it's>s</p>", "it's 1 > 0\n\ns"),
+    ("<p title='never closed>q</p><p>r</p>", "q\n\nr"),
+    ("""<p title="never closed>q</p><p>r</p>""", "q\n\nr"),
+])
+def test_names_by_their_words_and_both_quotes(page, text):
+    assert parse(page) == text
+
+
+@pytest.mark.parametrize("piece", ["<p a=\">\"", "<p a='>", "<p a=\"'>", "<p a='\">", "<p a=", "<p a=\"<p b='", "<p a='x' b=\"", "<p ' \" ="])
+def test_broken_quotes_are_read_in_linear_time(piece):
+    import time
+
+    def seconds(n):
+        start = time.perf_counter()
+        parse(piece * n + "x")
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(20000) < 40 * max(seconds(2000), 0.02)
+
+
 def test_deep_and_broken_pages_end():
     assert parse("<div>" * 20000 + "x") == "x"
     assert parse("<b>" * 20000 + "</i>" * 20000 + "<p>" * 20000 + "x") == "x"
