@@ -46,10 +46,13 @@ def words_col(text: Column) -> Column:
 def text_slices(batch: pa.RecordBatch, col: str = "text",
                 max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a record batch into row slices of about ``max_bytes`` of text, so that the
-    working arrays stay small whatever the row count (a row is never cut)."""
+    working arrays stay small whatever the row count (a row is never cut). An integer
+    ``col`` holds the sizes themselves, for texts that travel compressed."""
     if batch.num_rows == 0:
         return
-    sizes = pc.fill_null(pc.binary_length(batch.column(col)), 0).to_numpy(zero_copy_only=False)
+    sizes = batch.column(col)
+    sizes = sizes if pa.types.is_integer(sizes.type) else pc.binary_length(sizes)
+    sizes = pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes.astype(np.int64) + 64)
     start = 0
     while start < batch.num_rows:

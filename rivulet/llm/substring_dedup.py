@@ -246,20 +246,23 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            texts = [press.compress(t.as_buffer()) for t in batch.column("_text").cast(pa.large_binary())]
-            yield pa.record_batch({"_id": batch.column("_id"), "_key": batch.column("_key"), "_text": pa.array(texts, pa.binary())})
-
-    # texts meet their stretches compressed: the shuffle carries half the bytes
-    packed = keyed.select("_id", "_key", F.col("_text").cast("binary").alias("_text"))
+            plain = batch.column("_text").cast(pa.large_binary())
+            texts = [press.compress(t.as_buffer()) for t in plain]
+            yield pa.record_batch({"_id": batch.column("_id"), "_key": batch.column("_key"), "_text": pa.array(texts, pa.binary()),
+                                   "_size": pc.binary_length(plain).cast(pa.int64())})
+
+    # texts meet their stretches compressed: the shuffle carries half the bytes. They are
+    # unpacked in slices of their plain size, which a repeated word hides
+    packed = keyed.select("_id", "_key", F.col("_text").cast("binary").alias("_text"), F.lit(0).cast("long").alias("_size"))
     packed = keyed.select("_id", "_key", "_text").mapInArrow(pack, packed.schema)
-    wide = packed.join(cover, "_key", "left").select("_id", "_text", "cover")
+    wide = packed.join(cover, "_key", "left").select("_id", "_text", "_size", "cover")
     out = wide.select("_id", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"),
                       F.lit("").alias("kept_sha256"), *([F.lit("").alias("kept_text")] if with_text else [])).schema
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
         for batch in batches:
-            for part in text_slices(batch, "_text", 2 << 20):
+            for part in text_slices(batch, "_size", 2 << 20):
                 texts = pa.array([press.decompress(t.as_buffer()) for t in part.column("_text")], pa.large_binary())
                 doc, code, distinct = flat_words(texts)
                 start = np.searchsorted(doc, np.arange(part.num_rows + 1))

@@ -185,6 +185,24 @@ def test_windows_with_one_fingerprint_are_told_apart(monkeypatch):
     assert got.tolist() == [seen[tuple(code[i:i + 4])] > 1 for i in at]
 
 
+def test_packed_texts_are_sliced_by_their_plain_size():
+    import pyarrow as pa
+
+    from rivulet.llm.common import text_slices
+
+    batch = pa.record_batch({"_text": pa.array([b"x"] * 6), "_size": pa.array([900, 900, 3000, None, 10, 900], pa.int64())})
+    assert [s.num_rows for s in text_slices(batch, "_size", 2000)] == [2, 1, 3]
+    assert [s.num_rows for s in text_slices(batch, "_text", 2000)] == [6]
+
+
+def test_substring_dedup_of_long_repeated_words(spark):
+    long = [(i, "word " * 200_000 + f"end{i}") for i in range(6)]
+    df = spark.createDataFrame(long + [(9, " ".join(f"w{k}" for k in range(100)))], "doc_id long, text string")
+    got = {r.doc_id: r for r in substring_dedup.substring_dedup(df).collect()}
+    assert [(got[i].n_words, got[i].n_removed) for i in range(6)] == [(200_001, 200_000)] * 6
+    assert got[0].kept_sha256 == hashlib.sha256(b"end0").hexdigest() and (got[9].n_words, got[9].n_removed) == (100, 0)
+
+
 def test_substring_dedup_edge_cases(spark):
     got = substring_dedup.substring_dedup(docs(spark)).collect()
     want = collections.Counter()
