@@ -1,7 +1,9 @@
-"""Batch and streaming readers over a folder of Parquet tables (``<dir>/<name>.parquet``).
+"""Batch and streaming readers over a folder of Parquet tables (``<dir>/<name>.parquet``, a
+file or a folder of files).
 
 A streaming file source needs a *folder* (a single-file path is refused), so a stream
-over one table watches the folder and keeps only that file with ``pathGlobFilter``.
+over a table of one file watches the folder around it and keeps only that file with
+``pathGlobFilter``. A table of many files is a folder itself, whatever its files are called.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivulet import schemas
+from rivulet.streaming import paths
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -24,12 +27,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType,
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """Unbounded view of one table file inside ``sf_dir``."""
-    r = (spark.readStream.schema(schema)
-         .option("pathGlobFilter", f"{name}.parquet"))
+    """Unbounded view of one table inside ``sf_dir``."""
+    r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(sf_dir)
+    if paths.is_folder(spark, table_path(sf_dir, name)):
+        return r.parquet(table_path(sf_dir, name))
+    return r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def with_event_time(df: DataFrame, col: str = "ts") -> DataFrame:

@@ -20,6 +20,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p)) and bool(fs.getFileStatus(p).isDirectory())
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Child names of a folder (empty when it does not exist)."""
     fs, p = _fs(spark, path)
