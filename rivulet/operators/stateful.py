@@ -1,4 +1,4 @@
-"""Arbitrary stateful processing (``transformWithStateInPandas``) with timers and TTL.
+"""Arbitrary stateful processing (``transformWithState``) with timers and TTL.
 
 ``running_totals`` counts per key in two state variables, a value and a map, which an old
 query's totals can seed and which expire if asked. ``changes`` turns a changelog stream into
@@ -13,7 +13,9 @@ walks them: a gap between two buckets ends an idle period, and so does a timer w
 key stays silent. An optional TTL drops the state of keys without a watermark.
 
 Needs the RocksDB state store provider. The processor is pickled by value: workers need
-no copy of this package.
+no copy of this package. Keys are many and have few rows each in a batch, so the processors
+take and give rows: a pandas frame per key costs more than the key's work. For the same
+reason they ask the state store no more than once for what they need.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -44,35 +46,32 @@ class IdleCounter(StatefulProcessor):
         self.handle = handle
         self.acc = handle.getValueState("acc", "cnt long, last_us long", self.ttl_ms)
 
-    def _report(self, key, found: list[tuple[int, int]]) -> pd.DataFrame:
-        return pd.DataFrame({self.key_col: [key[0]] * len(found), "cnt": [c for c, _ in found],
-                             "last_ts_us": [t for _, t in found]})
+    def _report(self, key, cnt: int, last_us: int) -> Row:
+        return Row(**{self.key_col: key[0], "cnt": cnt, "last_ts_us": last_us})
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
-        cnt, last_us = self.acc.get() if self.acc.exists() else (0, None)
-        buckets = pd.concat(list(rows)).sort_values("lo_us")  # a row per bucket of the batch
-        idle = []
-        for n, lo, hi in zip(buckets["n"].tolist(), buckets["lo_us"].tolist(), buckets["hi_us"].tolist()):
+    def _due(self, last_us: int) -> int:
+        # events up to a bucket's width behind the watermark may still be on their way
+        return last_us // 1000 + self.gap_ms + self.bucket_ms
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802
+        held = self.acc.get()
+        cnt, last_us = held or (0, None)
+        for n, lo, hi in sorted(((r.n, r.lo_us, r.hi_us) for r in rows), key=lambda b: b[1]):  # a row per bucket of the batch
             if last_us is not None and lo - last_us >= self.gap_ms * 1000:
-                idle.append((cnt, last_us))
+                yield self._report(key, cnt, last_us)
                 cnt = 0
             cnt, last_us = cnt + n, hi
-        # events up to a bucket's width behind the watermark may still be on their way
-        due = last_us // 1000 + self.gap_ms + self.bucket_ms
-        if self.acc.exists():
-            old = self.acc.get()[1] // 1000 + self.gap_ms + self.bucket_ms
-            if old != due:
-                self.handle.deleteTimer(old)
+        due = self._due(last_us)
+        if held and self._due(held[1]) != due:
+            self.handle.deleteTimer(self._due(held[1]))
         self.handle.registerTimer(due)
         self.acc.update((cnt, last_us))
-        if idle:
-            yield self._report(key, idle)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
-        if self.acc.exists():
-            cnt, last_us = self.acc.get()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802
+        held = self.acc.get()
+        if held:
             self.acc.clear()
-            yield self._report(key, [(cnt, last_us)])
+            yield self._report(key, *held)
 
     def close(self) -> None:
         pass
@@ -88,9 +87,9 @@ def idle_keys(df: DataFrame, key: str, ts: str, gap_ms: int, delay: str,
     buckets = (df.withWatermark(ts, delay)
                .groupBy(F.window(ts, f"{BUCKET_MS} milliseconds").alias("_w"), key)
                .agg(F.count(F.lit(1)).alias("n"), F.min(us).alias("lo_us"), F.max(us).alias("hi_us"))
-               .select(key, F.window_time("_w").alias("bucket_time"), "n", "lo_us", "hi_us"))
+               .select(key, "n", "lo_us", "hi_us"))
     key_type = dict(df.dtypes)[key]
-    return buckets.groupBy(key).transformWithStateInPandas(
+    return buckets.groupBy(key).transformWithState(
         statefulProcessor=IdleCounter(key, gap_ms, ttl_ms=ttl_ms),
         outputStructType=f"{key} {key_type}, cnt long, last_ts_us long",
         outputMode="Append", timeMode="EventTime")

@@ -721,12 +721,22 @@ def x_idle_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     event-time timers over hourly counts, in four arrivals."""
     sink = run_dir(spark, "x_idle_users_table")
     _arrivals(spark, sf_dir, "x_idle_users", N_SLICES, lambda s: stateful.idle_keys(
-        s, "user_id", "ts", 6 * 3600 * 1000, "1 day"), sink=sink, confs=runtime.PROCESSOR, state_partitions=SMALL_STATE)
+        s, "user_id", "ts", 6 * 3600 * 1000, "1 day"), sink=sink, confs=runtime.PROCESSOR,
+        state_partitions=_state_partitions(spark, sf_dir))
     return spark.read.schema("user_id long, cnt long, last_ts_us long").parquet(sink)
 
 
-#: State partitions of the processors here, whose state is a row per user.
-SMALL_STATE = 4
+#: Least state partitions of the processors here, and the bytes of `events` for each one more.
+SMALL_STATE, STATE_BYTES = 4, 1 << 20
+
+
+def _state_partitions(spark: SparkSession, sf_dir: str) -> int:
+    """State partitions of a processor with a row per user: they are fixed for the life of its
+    checkpoint and bound the tasks of every batch, so they follow the input, up to two for each
+    core. A few are enough for a small table, as each costs every batch a Python worker and a
+    commit."""
+    size = joins.estimated_bytes(tables.events(spark, sf_dir, streaming=False))
+    return max(SMALL_STATE, min(size // STATE_BYTES, 2 * spark.sparkContext.defaultParallelism))
 
 
 def _totals_sink(root: str) -> UpsertTable:
@@ -739,7 +749,7 @@ def s_state_vars(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = run_dir(spark, "s_state_vars")
     ck, _ = _arrivals(spark, sf_dir, "s_state_vars", 3, lambda s: stateful.running_totals(s, "user_id", "event_type"),
                       output_mode="update", foreach_batch=_totals_sink(d), confs=runtime.CHANGELOG,
-                      state_partitions=SMALL_STATE)
+                      state_partitions=_state_partitions(spark, sf_dir))
     user = F.col("key.user_id").alias("user_id")
     whole = state.read_variable(spark, ck, "total").select(
         F.lit("total").alias("part"), user, F.lit(None).cast("string").alias("kind"), F.col("value.cnt").alias("cnt"))
@@ -764,11 +774,12 @@ def x_initial_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i in range(2):
         arrival("old", i, lambda s: aggregate.group_count(s, ["user_id", "event_type"]),
                 foreach_batch=UpsertTable(f"{root}/old_table", ["user_id", "event_type"], unique_keys=True))
+    parts = _state_partitions(spark, sf_dir)
     old = operations.export_state(spark, f"{root}/old_checkpoint", f"{root}/old_state")
     seeds = old.select("user_id", "event_type", F.col("count").alias("cnt"))
     for i in range(2, N_SLICES):
         arrival("new", i, lambda s: stateful.running_totals(s, "user_id", "event_type", initial=seeds),
-                foreach_batch=_totals_sink(f"{root}/new_table"), confs=runtime.PROCESSOR, state_partitions=SMALL_STATE)
+                foreach_batch=_totals_sink(f"{root}/new_table"), confs=runtime.PROCESSOR, state_partitions=parts)
     return state.read_variable(spark, f"{root}/new_checkpoint", "kinds").select(
         F.col("key.user_id").alias("user_id"), F.col("user_map_key.kind").alias("event_type"),
         F.col("user_map_value.cnt").alias("cnt"))
@@ -778,7 +789,7 @@ def _change_stream(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, st
     """Checkpoint and sink of the full changes of the changelog, in four arrivals."""
     sink = run_dir(spark, f"{name}_changes")
     ck, _ = _arrivals(spark, sf_dir, name, N_SLICES, lambda s: stateful.changes(_as_changelog(s)), sink=sink,
-                      confs=runtime.PROCESSOR, state_partitions=SMALL_STATE)
+                      confs=runtime.PROCESSOR, state_partitions=_state_partitions(spark, sf_dir))
     return ck, sink
 
 
