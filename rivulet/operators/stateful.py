@@ -147,26 +147,22 @@ class ChangeEmitter(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.current = handle.getValueState("current", "value long, seq long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
-        held = self.current.get() if self.current.exists() else None
-        log = pd.concat(list(rows)).sort_values("seq")
-        out = []
-        for seq, is_set, value in zip(log["seq"].tolist(), log["is_set"].tolist(), log["value"].tolist()):
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802
+        held = self.current.get()
+        change = Row("key", "seq", "kind", "value")
+        for seq, is_set, value in sorted(((r.seq, r.is_set, r.value) for r in rows), key=lambda r: r[0]):
             if is_set:
-                value = None if value is None or value != value else int(value)
-                out += [(seq, "update_before", held[0]), (seq, "update_after", value)] if held else [(seq, "insert", value)]
+                if held:
+                    yield change(key[0], seq, "update_before", held[0])
+                yield change(key[0], seq, "update_after" if held else "insert", value)
                 held = (value, seq)
             elif held:
-                out.append((seq, "delete", held[0]))
+                yield change(key[0], seq, "delete", held[0])
                 held = None
         if held:
             self.current.update(held)
         else:
             self.current.clear()
-        if out:
-            seqs, kinds, values = zip(*out)
-            yield pd.DataFrame({"key": [key[0]] * len(out), "seq": seqs, "kind": kinds,
-                                "value": pd.array(values, dtype="Int64")})
 
     def close(self) -> None:
         pass
@@ -180,6 +176,6 @@ def changes(changelog: DataFrame) -> DataFrame:
     moment. State holds a row per key of the table (``current``) and loses it with its delete."""
     key_type = dict(changelog.dtypes)["key"]
     rows = changelog.select("key", "seq", (F.col("op") == "set").alias("is_set"), F.col("value").cast("long").alias("value"))
-    return rows.groupBy("key").transformWithStateInPandas(
+    return rows.groupBy("key").transformWithState(
         statefulProcessor=ChangeEmitter(), outputStructType=f"key {key_type}, seq long, kind string, value long",
         outputMode="Append", timeMode="None")
