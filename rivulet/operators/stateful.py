@@ -21,9 +21,9 @@ reason they ask the state store no more than once for what they need.
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -106,24 +106,22 @@ class RunningTotals(StatefulProcessor):
         self.kinds = handle.getMapState("kinds", "kind string", "cnt long", self.ttl_ms)
 
     def _add(self, n: int, kinds: dict[str, int]) -> int:
-        cnt = n + (self.total.get()[0] if self.total.exists() else 0)
+        held = self.total.get()
+        cnt = n + (held[0] if held else 0)
         self.total.update((cnt,))
         for kind, m in kinds.items():
-            before = self.kinds.getValue((kind,))[0] if self.kinds.containsKey((kind,)) else 0
-            self.kinds.updateValue((kind,), (before + m,))
+            before = self.kinds.getValue((kind,)) if held else None  # a key's kinds come with its total
+            self.kinds.updateValue((kind,), (m + (before[0] if before else 0),))
         return cnt
 
     def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
-        kinds = initialState.groupby("kind")["cnt"].sum()
-        self._add(int(kinds.sum()), {str(k): int(n) for k, n in kinds.items()})
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
-        kinds: dict[str, int] = {}
-        for part in rows:
-            for kind, n in part["kind"].value_counts().items():
-                kinds[kind] = kinds.get(kind, 0) + int(n)
+        kinds = {k["kind"]: k["cnt"] for k in initialState.kinds}
+        self._add(sum(kinds.values()), kinds)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802
+        kinds = Counter(r.kind for r in rows)
         cnt = self._add(sum(kinds.values()), kinds)
-        yield pd.DataFrame({self.key_col: [key[0]], "cnt": [cnt]})
+        yield Row(**{self.key_col: key[0], "cnt": cnt})
 
     def close(self) -> None:
         pass
@@ -137,8 +135,11 @@ def running_totals(df: DataFrame, key: str, kind: str, initial: DataFrame | None
     last batch, so an ``availableNow`` run of it does not end. A null kind counts as the empty one."""
     key_type = dict(df.dtypes)[key]
     kinds = F.coalesce(F.col(kind), F.lit("")).alias("kind")
-    seeds = None if initial is None else initial.select(key, kinds, "cnt").groupBy(key)
-    return df.select(key, kinds).groupBy(key).transformWithStateInPandas(
+    seeds = None
+    if initial is not None:  # a row per key
+        sums = initial.groupBy(key, kinds).agg(F.coalesce(F.sum("cnt"), F.lit(0)).cast("long").alias("cnt"))
+        seeds = sums.groupBy(key).agg(F.collect_list(F.struct("kind", "cnt")).alias("kinds")).groupBy(key)
+    return df.select(key, kinds).groupBy(key).transformWithState(
         statefulProcessor=RunningTotals(key, ttl_ms), outputStructType=f"{key} {key_type}, cnt long",
         outputMode="Update", timeMode="ProcessingTime" if ttl_ms else "None", initialState=seeds)
 
